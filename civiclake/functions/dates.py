@@ -38,5 +38,4 @@ def week_start(c: str | Column) -> Column:
 
 def duration_hours(start: str | Column, end: str | Column) -> Column:
     """(end - start) in hours on parsed timestamps (P15); NULL if either is NULL."""
-    s, e = col_(start), col_(end)
-    return (F.unix_timestamp(e.cast("timestamp")) - F.unix_timestamp(s.cast("timestamp"))) / F.lit(3600.0)
+    return F.timestamp_diff("SECOND", col_(start), col_(end)) / F.lit(3600.0)

@@ -348,3 +348,261 @@ def q_recent_events(spark: SparkSession, d: str) -> DataFrame:
 def q_grand_totals(spark: SparkSession, d: str) -> DataFrame:
     """G18."""
     return reports.grand_totals(roles.legislative_events(spark, d), roles.expenses(spark, d))
+
+
+# ------------------------------------------------------- keys, dedup, SCD2
+from civiclake.functions import clean as clean_fn  # noqa: E402
+from civiclake.functions import dates as date_fn  # noqa: E402
+from civiclake.functions.keys import surrogate_key  # noqa: E402
+from civiclake.operators import dedup, quality, scd2  # noqa: E402
+from civiclake.operators.joins import lookup_join  # noqa: E402
+
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+           "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register(
+    "dedup_keep_latest",
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
+  l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+  l_discount DESC NULLS LAST, l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn FROM lineitem)
+  WHERE rn = 1""",
+)
+def q_dedup_keep_latest(spark: SparkSession, d: str) -> DataFrame:
+    """One row per (order, line number), latest ship date; full-row tiebreak."""
+    return dedup.keep_latest(roles.table(spark, d, "lineitem").select(*LI_COLS), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@register(
+    "dup_keys",
+    """SELECT l_orderkey, l_linenumber, count(*) AS qtde FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
+)
+def q_dup_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Q1: duplicated natural keys."""
+    return quality.duplicate_keys(roles.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "surrogate_key",
+    """SELECT DISTINCT p_brand, p_type, md5(to_json({'p_brand': p_brand, 'p_type': p_type})) AS chave_marca_tipo,
+  md5(p_type) AS chave_tipo FROM part""",
+)
+def q_surrogate_key(spark: SparkSession, d: str) -> DataFrame:
+    """K3: deterministic single and composite keys."""
+    p = roles.table(spark, d, "part").select("p_brand", "p_type").distinct()
+    return p.select("p_brand", "p_type", surrogate_key("p_brand", "p_type").alias("chave_marca_tipo"),
+                    surrogate_key("p_type").alias("chave_tipo"))
+
+
+@register(
+    "extract_dim",
+    with_(EXP) + """SELECT DISTINCT md5(nullif(trim(tipoDespesa), '')) AS id_categoria, nullif(trim(tipoDespesa), '') AS categoria FROM exp
+  WHERE nullif(trim(tipoDespesa), '') IS NOT NULL""",
+)
+def q_extract_dim(spark: SparkSession, d: str) -> DataFrame:
+    """K4: category dimension extracted from the expense fact."""
+    return extract_dim(roles.expenses(spark, d), "tipoDespesa", "categoria", "id_categoria")
+
+
+@register(
+    "star_lookup",
+    with_(EXP, """dc AS (SELECT DISTINCT md5(nullif(trim(tipoDespesa), '')) AS id_categoria, nullif(trim(tipoDespesa), '') AS categoria FROM exp
+        WHERE nullif(trim(tipoDespesa), '') IS NOT NULL)""",
+          """df AS (SELECT DISTINCT md5(nullif(trim(nomeFornecedor), '')) AS id_fornecedor, nullif(trim(nomeFornecedor), '') AS nome_fornecedor
+        FROM exp WHERE nullif(trim(nomeFornecedor), '') IS NOT NULL)""")
+    + """SELECT e.idDeputado, e.data_documento, e.valor_liquido, e.id_categoria, dc.categoria, e.id_fornecedor, df.nome_fornecedor
+  FROM exp e LEFT JOIN dc ON e.id_categoria = dc.id_categoria LEFT JOIN df ON e.id_fornecedor = df.id_fornecedor""",
+)
+def q_star_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Fact keys resolve in both dimensions (labels attached by key)."""
+    exp = roles.expenses(spark, d)
+    dc = extract_dim(exp, "tipoDespesa", "categoria", "id_categoria")
+    df_ = extract_dim(exp, "nomeFornecedor", "nome_fornecedor", "id_fornecedor")
+    x = lookup_join(exp, dc, "id_categoria", "id_categoria", ["categoria"])
+    x = lookup_join(x, df_, "id_fornecedor", "id_fornecedor", ["nome_fornecedor"])
+    return x.select("idDeputado", "data_documento", "valor_liquido", "id_categoria", "categoria", "id_fornecedor", "nome_fornecedor")
+
+
+PRIO_LOG = "lg AS (SELECT o_custkey AS id, o_orderdate AS ts, o_orderkey AS tb, o_orderpriority AS prioridade FROM orders {where})"
+SCD2_SQL = """p_{n} AS (SELECT *, lag(prioridade) OVER (PARTITION BY id ORDER BY ts, tb) AS prev,
+      row_number() OVER (PARTITION BY id ORDER BY ts, tb) AS rn FROM {src}),
+  c_{n} AS (SELECT * FROM p_{n} WHERE rn = 1 OR prev IS DISTINCT FROM prioridade),
+  v_{n} AS (SELECT id, prioridade, ts AS valid_from, lead(ts) OVER (PARTITION BY id ORDER BY ts, tb) AS valid_to FROM c_{n})"""
+
+
+def _prio_log(spark: SparkSession, d: str) -> DataFrame:
+    return roles.table(spark, d, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("tb"),
+        F.col("o_orderpriority").alias("prioridade"),
+    )
+
+
+@register(
+    "scd2_from_log",
+    with_(PRIO_LOG.format(where=""), SCD2_SQL.format(n=1, src="lg"))
+    + "SELECT id, prioridade, valid_from, valid_to, valid_to IS NULL AS is_current FROM v_1",
+)
+def q_scd2_from_log(spark: SparkSession, d: str) -> DataFrame:
+    """Priority history per customer from the order log."""
+    return scd2.scd2_from_log(_prio_log(spark, d), "id", "ts", ["prioridade"], ["tb"])
+
+
+MERGE_CUTOFF = "1998-01-01 00:00:00"
+MERGE_AS_OF = "2002-01-01 00:00:00"
+
+
+@register(
+    "scd2_merge",
+    with_(PRIO_LOG.format(where=f"WHERE o_orderdate < TIMESTAMP '{MERGE_CUTOFF}'"), SCD2_SQL.format(n=1, src="lg"),
+          "h AS (SELECT id, prioridade, valid_from, valid_to, valid_to IS NULL AS is_current FROM v_1)",
+          """s AS (SELECT o_custkey AS id, o_orderpriority AS prioridade FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+        ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1)""",
+          "cur AS (SELECT * FROM h WHERE is_current)")
+    + f"""SELECT * FROM h WHERE NOT is_current
+UNION ALL SELECT cur.id, cur.prioridade, cur.valid_from, NULL, true FROM cur LEFT JOIN s ON cur.id = s.id
+  WHERE s.id IS NULL OR s.prioridade IS NOT DISTINCT FROM cur.prioridade
+UNION ALL SELECT cur.id, cur.prioridade, cur.valid_from, TIMESTAMP '{MERGE_AS_OF}', false FROM cur JOIN s ON cur.id = s.id
+  WHERE s.prioridade IS DISTINCT FROM cur.prioridade
+UNION ALL SELECT s.id, s.prioridade, TIMESTAMP '{MERGE_AS_OF}', NULL, true FROM s LEFT JOIN cur ON cur.id = s.id
+  WHERE cur.id IS NULL OR s.prioridade IS DISTINCT FROM cur.prioridade""",
+)
+def q_scd2_merge(spark: SparkSession, d: str) -> DataFrame:
+    """History up to the cut-off merged with the latest snapshot."""
+    log = _prio_log(spark, d)
+    hist = scd2.scd2_from_log(log.where(F.col("ts") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz")), "id", "ts", ["prioridade"], ["tb"])
+    snap = dedup.keep_latest(log, ["id"], ["ts", "tb"]).select("id", "prioridade")
+    return scd2.scd2_merge(hist, snap, "id", ["prioridade"], MERGE_AS_OF)
+
+
+@register(
+    "as_was_join",
+    with_(PRIO_LOG.format(where=""), SCD2_SQL.format(n=1, src="lg"),
+          """f AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, o.o_custkey, l.l_shipdate FROM lineitem l
+        JOIN orders o ON l.l_orderkey = o.o_orderkey)""")
+    + """SELECT f.*, v.prioridade, v.valid_from FROM f LEFT JOIN v_1 v ON f.o_custkey = v.id AND v.valid_from <= f.l_shipdate
+  AND (f.l_shipdate < v.valid_to OR v.valid_to IS NULL)""",
+)
+def q_as_was_join(spark: SparkSession, d: str) -> DataFrame:
+    """K7: each line item with its customer's priority as it was at ship date."""
+    versions = scd2.scd2_from_log(_prio_log(spark, d), "id", "ts", ["prioridade"], ["tb"])
+    li = roles.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    facts = lookup_join(li, roles.table(spark, d, "orders"), "l_orderkey", "o_orderkey", ["o_custkey"], how="inner").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "l_shipdate"
+    )
+    return scd2.as_was_join(facts, versions, "o_custkey", "l_shipdate", ["l_orderkey", "l_linenumber", "l_partkey"], "id", ["prioridade"])
+
+
+@register(
+    "status_durations",
+    """SELECT o_custkey AS id, o_orderkey, o_orderpriority AS situacao, o_orderdate AS inicio,
+  lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS fim,
+  date_diff('day', o_orderdate, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) AS dias FROM orders""",
+)
+def q_status_durations(spark: SparkSession, d: str) -> DataFrame:
+    """How long each status lasted until the entity's next status event."""
+    from civiclake.operators.sequence import previous_row
+
+    o = roles.table(spark, d, "orders").select(
+        F.col("o_custkey").alias("id"), "o_orderkey", F.col("o_orderpriority").alias("situacao"), F.col("o_orderdate").alias("inicio")
+    )
+    nxt = previous_row(o, "id", ["inicio", "o_orderkey"], ["inicio"], prefix="fim_", ascending=False)
+    return nxt.select("id", "o_orderkey", "situacao", "inicio", F.col("fim_inicio").alias("fim"),
+                      F.datediff(F.col("fim_inicio"), F.col("inicio")).cast("bigint").alias("dias"))
+
+
+# ------------------------------------------------------- cleaning and parsing
+@register(
+    "json_field",
+    "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+)
+def q_json_field(spark: SparkSession, d: str) -> DataFrame:
+    """Field of a JSON text column (spaced or compact)."""
+    e = roles.table(spark, d, "events")
+    return e.select("event_id", clean_fn.json_field("props", "k", "bigint").alias("k"))
+
+
+@register(
+    "clean_text",
+    """SELECT p_partkey, nullif(trim(concat('  ', lower(p_type), ' ')), '') AS tipo_limpo,
+  upper(nullif(trim(concat('  ', lower(p_type), ' ')), '')) AS tipo_padronizado, nullif(trim(p_name), '') AS nome_limpo,
+  nullif(trim(replace(p_brand, 'Brand#', ' ')), '') AS marca FROM part""",
+)
+def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
+    """Trim, empty -> NULL, upper-case standardisation."""
+    p = roles.table(spark, d, "part")
+    padded = F.concat(F.lit("  "), F.lower("p_type"), F.lit(" "))
+    return p.select(
+        "p_partkey",
+        clean_fn.clean_text(padded).alias("tipo_limpo"),
+        clean_fn.clean_upper(padded).alias("tipo_padronizado"),
+        clean_fn.clean_text("p_name").alias("nome_limpo"),
+        clean_fn.clean_text(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit(" "))).alias("marca"),
+    )
+
+
+@register(
+    "date_parts",
+    """SELECT l.l_orderkey, l.l_linenumber, CAST(year(l.l_shipdate) AS BIGINT) AS ano, CAST(month(l.l_shipdate) AS BIGINT) AS mes,
+  CAST(day(l.l_shipdate) AS BIGINT) AS dia, strftime(l.l_shipdate, '%Y-%m') AS ano_mes,
+  CAST(isoyear(l.l_shipdate) AS BIGINT) AS iso_ano, CAST(week(l.l_shipdate) AS BIGINT) AS iso_semana,
+  CAST(year(l.l_shipdate) AS BIGINT) AS ano_legado, CAST(l.l_shipdate AS DATE) AS data_envio,
+  round(date_diff('second', o.o_orderdate, l.l_shipdate) / 3600.0, 6) AS duracao_horas
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+)
+def q_date_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Date parsing, parts, month label, ISO week, durations."""
+    li = roles.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    x = lookup_join(li, roles.table(spark, d, "orders"), "l_orderkey", "o_orderkey", ["o_orderdate"], how="inner")
+    ship = F.col("l_shipdate")
+    iso_y, iso_w = date_fn.iso_week(ship)
+    leg_y, _ = date_fn.iso_week(ship, legacy_year=True)
+    return x.select(
+        "l_orderkey", "l_linenumber",
+        F.year(ship).cast("bigint").alias("ano"), F.month(ship).cast("bigint").alias("mes"), F.dayofmonth(ship).cast("bigint").alias("dia"),
+        date_fn.month_label(ship).alias("ano_mes"),
+        iso_y.cast("bigint").alias("iso_ano"), iso_w.cast("bigint").alias("iso_semana"), leg_y.cast("bigint").alias("ano_legado"),
+        clean_fn.to_date_safe(ship.cast("string")).alias("data_envio"),
+        F.round(date_fn.duration_hours("o_orderdate", "l_shipdate"), 6).alias("duracao_horas"),
+    )
+
+
+# ------------------------------------------------------------ data quality
+@register(
+    "nonneg_split",
+    "SELECT c_custkey, c_acctbal, (c_acctbal IS NULL OR c_acctbal >= 0) AS aceito FROM customer",
+)
+def q_nonneg_split(spark: SparkSession, d: str) -> DataFrame:
+    """Q3: accepted and rejected rows of the non-negativity rule, labelled."""
+    c = roles.table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    ok, bad = quality.split_non_negative(c, "c_acctbal")
+    return ok.withColumn("aceito", F.lit(True)).unionByName(bad.withColumn("aceito", F.lit(False)))
+
+
+@register(
+    "fk_orphans",
+    with_(EXP, DEP) + """SELECT idDeputado, count(*) AS qtde FROM exp WHERE idDeputado IS NOT NULL
+  AND idDeputado NOT IN (SELECT id FROM dep WHERE id IS NOT NULL) GROUP BY idDeputado""",
+)
+def q_fk_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Q2: expense deputies missing from the deputy dimension (none in consistent data)."""
+    return quality.orphans(roles.expenses(spark, d), roles.deputies(spark, d), "idDeputado", "id")
+
+
+@register(
+    "pending_parents",
+    with_(DEP, VOT) + "SELECT DISTINCT id FROM dep WHERE id NOT IN (SELECT deputado_id FROM vot WHERE deputado_id IS NOT NULL)",
+)
+def q_pending_parents(spark: SparkSession, d: str) -> DataFrame:
+    """Deputies whose vote pages have not landed (distributed work list)."""
+    v = roles.votes(spark, d).select(F.col("deputado_id").alias("id"))
+    return quality.pending_parents(roles.deputies(spark, d), v, "id")
+
+
+@register(
+    "null_profile",
+    "UNPIVOT (SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in LI_COLS)
+    + ", count(*) AS total FROM lineitem) ON " + ", ".join(LI_COLS) + " INTO NAME coluna VALUE nulos",
+)
+def q_null_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Q4: NULL count per column in one pass."""
+    return quality.null_profile(roles.table(spark, d, "lineitem"), LI_COLS)
