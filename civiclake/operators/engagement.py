@@ -54,15 +54,16 @@ def weighted_engagement(deputies: DataFrame, memberships: DataFrame, votes: Data
     )
 
 
-def engagement_trend(votes: DataFrame, deputy: str = "deputado_id", ts: str = "data_votacao") -> DataFrame:
-    """Engagement over time (X6): votes per deputy and month, with the
-    previous month's count and the change.  The window is over one
+def engagement_trend(activity: DataFrame, deputy: str = "deputado_id", ts: str = "data_votacao") -> DataFrame:
+    """Engagement over time (X6): activities per deputy and month, with the
+    previous month's count and the change.  The window runs over one
     deputy's *monthly aggregates*, so its size is bounded by the number
     of months, not by the deputy's raw row count.
     """
-    monthly = votes.groupBy(
+    monthly = activity.groupBy(
         F.col(deputy).alias("id_deputado"), F.year(ts).cast("bigint").alias("ano"), F.month(ts).cast("bigint").alias("mes")
-    ).agg(F.count(F.lit(1)).alias("qtde_votos"))
+    ).agg(F.count(F.lit(1)).alias("qtde_atividades"))
     w = Window.partitionBy("id_deputado").orderBy("ano", "mes")
-    prev = F.lag("qtde_votos").over(w)
-    return monthly.withColumn("qtde_votos_anterior", prev).withColumn("variacao", F.col("qtde_votos") - F.col("qtde_votos_anterior"))
+    return monthly.withColumn("qtde_anterior", F.lag("qtde_atividades").over(w)).withColumn(
+        "variacao", F.col("qtde_atividades") - F.col("qtde_anterior")
+    )

@@ -606,3 +606,194 @@ def q_pending_parents(spark: SparkSession, d: str) -> DataFrame:
 def q_null_profile(spark: SparkSession, d: str) -> DataFrame:
     """Q4: NULL count per column in one pass."""
     return quality.null_profile(roles.table(spark, d, "lineitem"), LI_COLS)
+
+
+# ------------------------------------------------------------ extensions
+from civiclake.operators import events as events_op  # noqa: E402
+
+PARTIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # fixed TPC-H market segments
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]  # fixed TPC-H order priorities
+
+
+@register(
+    "event_fact",
+    """WITH li AS (SELECT l_orderkey, max(l_shipdate) AS fim, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey AS id_evento, md5(CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR)) AS id_data,
+  md5(nullif(trim(o.o_orderpriority), '')) AS id_tipo_evento, round(date_diff('second', o.o_orderdate, li.fim) / 3600.0, 6) AS duracao_horas,
+  CAST(li.n AS INTEGER) AS qtde_presencas FROM orders o LEFT JOIN li ON o.o_orderkey = li.l_orderkey""",
+)
+def q_event_fact(spark: SparkSession, d: str) -> DataFrame:
+    """Event fact with duration and attendance (line items per order)."""
+    li = roles.table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("data_fim"), F.count(F.lit(1)).alias("qtde")
+    )
+    ev = lookup_join(roles.legislative_events(spark, d), li, "id", "l_orderkey", ["data_fim", "qtde"])
+    return rnd(events_op.event_fact(ev, presence="qtde"), {"duracao_horas": 6})
+
+
+@register(
+    "presence_rate",
+    """SELECT role, count(DISTINCT conv_id) AS qtde_eventos,
+  count(DISTINCT conv_id) / (SELECT count(DISTINCT conv_id) FROM conversations) AS taxa_presenca FROM conversations GROUP BY role""",
+)
+def q_presence_rate(spark: SparkSession, d: str) -> DataFrame:
+    """Attendance share per attendee (conversation = event, role = attendee)."""
+    c = roles.table(spark, d, "conversations").select("conv_id", "role")
+    return rnd(events_op.presence_rate(c, "conv_id", "role"), {"taxa_presenca": 6})
+
+
+@register(
+    "front_atlas",
+    with_(DEP, MEM, FRN) + """SELECT m.idFrente, f.titulo, m.id AS id_deputado, d.nome, d.sigla_partido, d.sigla_uf, d.regiao
+  FROM mem m LEFT JOIN frn f ON m.idFrente = f.id LEFT JOIN dep d ON m.id = d.id""",
+)
+def q_front_atlas(spark: SparkSession, d: str) -> DataFrame:
+    """Members of each front with party, state and region."""
+    return events_op.front_atlas(roles.memberships(spark, d), roles.fronts(spark, d), roles.deputies(spark, d))
+
+
+@register(
+    "alignment_matrix",
+    with_(DEP, MEM, VOT,
+          "md AS (SELECT m.idFrente, m.id, d.sigla_partido FROM mem m LEFT JOIN dep d ON m.id = d.id)",
+          """sv AS (SELECT md.idFrente, md.sigla_partido, v.idVotacao, v.tipoVoto, count(v.deputado_id) AS qtde FROM vot v
+        JOIN md ON v.deputado_id = md.id GROUP BY ALL)""",
+          """sp AS (SELECT *, qtde / sum(qtde) OVER (PARTITION BY idFrente, sigla_partido, idVotacao) AS prop_sub FROM sv)""",
+          "hv AS (SELECT idVotacao, tipoVoto, count(deputado_id) AS qtde FROM vot GROUP BY ALL)",
+          "hp AS (SELECT idVotacao, tipoVoto, qtde / sum(qtde) OVER (PARTITION BY idVotacao) AS prop_geral FROM hv)",
+          """r AS (SELECT sp.idFrente, sp.sigla_partido, sp.prop_sub / hp.prop_geral AS r FROM sp LEFT JOIN hp
+        ON sp.idVotacao = hp.idVotacao AND sp.tipoVoto = hp.tipoVoto)""")
+    + "SELECT idFrente AS id_frente, "
+    + ", ".join(f"round(avg(CASE WHEN sigla_partido = '{p}' THEN r END), 6) AS {p}" for p in PARTIES)
+    + " FROM r GROUP BY idFrente",
+)
+def q_alignment_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Front x party alignment with the house, pivoted by party."""
+    out = alignment.alignment_matrix(roles.votes(spark, d), roles.memberships(spark, d), roles.deputies(spark, d), PARTIES)
+    return rnd(out, {p: 6 for p in PARTIES})
+
+
+@register(
+    "week_heatmap",
+    with_(LEV) + "SELECT CAST(isoyear(CAST(data_inicio AS DATE)) AS BIGINT) AS ano, CAST(week(CAST(data_inicio AS DATE)) AS BIGINT) AS semana, "
+    + ", ".join(f"count(*) FILTER (WHERE descricaoTipo = '{p}') AS \"{p}\"" for p in PRIORITIES)
+    + " FROM lev WHERE data_inicio IS NOT NULL GROUP BY ALL",
+)
+def q_week_heatmap(spark: SparkSession, d: str) -> DataFrame:
+    """ISO week x event type counts."""
+    return reports.week_heatmap(roles.legislative_events(spark, d), PRIORITIES)
+
+
+@register(
+    "engagement_trend",
+    with_(LEV, """m AS (SELECT id_deputado, CAST(year(data_inicio) AS BIGINT) AS ano, CAST(month(data_inicio) AS BIGINT) AS mes,
+        count(*) AS qtde_atividades FROM lev GROUP BY ALL)""")
+    + """SELECT *, lag(qtde_atividades) OVER (PARTITION BY id_deputado ORDER BY ano, mes) AS qtde_anterior,
+  qtde_atividades - lag(qtde_atividades) OVER (PARTITION BY id_deputado ORDER BY ano, mes) AS variacao FROM m""",
+)
+def q_engagement_trend(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly activity per deputy with month-over-month change."""
+    return engagement.engagement_trend(roles.legislative_events(spark, d), "id_deputado", "data_inicio")
+
+
+FEED_CUTOFF = "2024-01-16"
+
+
+def _zsql(name: str, where: str) -> str:
+    return f"""{name}_c AS (SELECT * FROM clm {where}),
+  {name}_s AS (SELECT tipoDespesa, {MONEY_AVG} AS media, stddev_samp(valor_liquido) AS sd FROM {name}_c GROUP BY tipoDespesa),
+  {name} AS (SELECT c.*, CASE WHEN s.sd IS NOT NULL AND s.sd > 0 THEN (c.valor_liquido - s.media) / s.sd ELSE 0 END AS z_score
+    FROM {name}_c c LEFT JOIN {name}_s s ON c.tipoDespesa = s.tipoDespesa)"""
+
+
+@register(
+    "anomaly_feed",
+    with_(CLM, _zsql("cur", ""), _zsql("prev", f"WHERE data_documento < DATE '{FEED_CUTOFF}'"))
+    + """SELECT id_despesa, idDeputado, tipoDespesa, valor_liquido, round(z_score, 6) AS z_score, data_documento FROM cur
+  WHERE abs(z_score) > 3 AND valor_liquido > 0 AND id_despesa NOT IN
+  (SELECT id_despesa FROM prev WHERE abs(z_score) > 3 AND valor_liquido > 0)""",
+)
+def q_anomaly_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Anomalies flagged now that were not flagged by the previous run."""
+    c = roles.claims(spark, d)
+    cur = stats.zscore_filter(c, "valor_liquido", ["tipoDespesa"], money=True)
+    prev = stats.zscore_filter(c.where(F.col("data_documento") < F.lit(FEED_CUTOFF).cast("date")), "valor_liquido", ["tipoDespesa"],
+                               money=True)
+    out = quality.new_rows(cur, prev, ["id_despesa"])
+    return rnd(out.select("id_despesa", "idDeputado", "tipoDespesa", "valor_liquido", "z_score", "data_documento"), {"z_score": 6})
+
+
+# ---------------------------------------------------- layer totals, report SQL
+def _layers(spark: SparkSession, d: str) -> dict[str, dict[str, DataFrame]]:
+    return {
+        "bronze": {t: roles.table(spark, d, t) for t in ["customer", "supplier", "orders", "lineitem", "events"]},
+        "silver": {
+            "dim_deputados": roles.deputies(spark, d), "dim_frentes": roles.fronts(spark, d),
+            "fact_frentes_membros": roles.memberships(spark, d), "fact_votacoes": roles.votes(spark, d),
+            "fact_despesas": roles.expenses(spark, d), "fact_eventos": roles.legislative_events(spark, d),
+        },
+        "gold": {
+            "despesas_por_tipo": reports.spend_by_type(roles.expenses(spark, d)),
+            "padroes_votacao": reports.vote_patterns(roles.votes(spark, d)),
+            "eventos_por_mes": reports.monthly_events(roles.legislative_events(spark, d)),
+            "ranking_fornecedores": reports.supplier_ranking_by_name(roles.expenses(spark, d), 50),
+        },
+    }
+
+
+@register(
+    "layer_totals",
+    " UNION ALL ".join(
+        f"SELECT '{layer}' AS camada, CAST(sum(c) AS BIGINT) AS total_linhas FROM (" + " UNION ALL ".join(qs) + ")"
+        for layer, qs in {
+            "bronze": [f"SELECT count(*) AS c FROM {t}" for t in ["customer", "supplier", "orders", "lineitem", "events"]],
+            "silver": [f"SELECT count(*) AS c FROM ({with_(cte)} SELECT * FROM {n})" for cte, n in
+                       [(DEP, "dep"), (FRN, "frn"), (MEM, "mem"), (VOT, "vot"), (EXP, "exp"), (LEV, "lev")]],
+            "gold": [f"SELECT count(*) AS c FROM ({SQL[q]})" for q in ["spend_by_type", "vote_patterns", "monthly_frequency",
+                                                                        "supplier_ranking_name"]],
+        }.items()
+    ),
+)
+def q_layer_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Row totals per layer from one union of one-row aggregates."""
+    return quality.layer_totals(_layers(spark, d))
+
+
+@register(
+    "report_top_engaged",
+    f"SELECT * FROM ({SQL['engagement_weighted']}) ORDER BY score_engajamento DESC, id LIMIT 10",
+)
+def q_report_top_engaged(spark: SparkSession, d: str) -> DataFrame:
+    """Validation SQL over the gold engagement table."""
+    eng = q_engagement_weighted(spark, d)
+    return spark.sql("SELECT * FROM {eng} ORDER BY score_engajamento DESC, id LIMIT 10", eng=eng)
+
+
+@register(
+    "report_top_anomalies",
+    f"""SELECT * FROM ({SQL['expense_outliers']}) WHERE abs(z_score) > 3
+  ORDER BY z_score DESC, deputado_id, data_documento, tipoDespesa, valor_liquido LIMIT 10""",
+)
+def q_report_top_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """Validation SQL over the gold anomaly table."""
+    anom = q_expense_outliers(spark, d)
+    return spark.sql(
+        "SELECT * FROM {anom} WHERE abs(z_score) > 3 ORDER BY z_score DESC, deputado_id, data_documento, tipoDespesa, valor_liquido LIMIT 10",
+        anom=anom,
+    )
+
+
+@register(
+    "report_front_labels",
+    f"""WITH {FRN} SELECT fr.id AS id_frente, fr.titulo, d.indice_diversidade FROM ({SQL['diversity_front_hhi']}) d
+  JOIN frn fr ON fr.id = d.id_frente ORDER BY d.indice_diversidade DESC, id_frente LIMIT 20""",
+)
+def q_report_front_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Front label lookup in the dashboard SQL (inner join + sort + limit 20)."""
+    div = q_diversity_front_hhi(spark, d)
+    fr = roles.fronts(spark, d)
+    return spark.sql(
+        """SELECT fr.id AS id_frente, fr.titulo, d.indice_diversidade FROM {div} d JOIN {fr} fr ON fr.id = d.id_frente
+           ORDER BY d.indice_diversidade DESC, id_frente LIMIT 20""",
+        div=div, fr=fr,
+    )
