@@ -1,0 +1,61 @@
+"""Layer runner (W10, W11): bronze -> silver -> gold in dependency order.
+
+Each table's plan runs exactly once, inside its write; the row count is
+observed during that write.  Bronze isolates failures per table (the run
+continues and reports them); silver and gold stop at the first failure,
+as the reference did.  The result of a run is a status DataFrame
+``(camada, tabela, status, linhas, erro)`` rather than console prints.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from civiclake.plans import gold, silver
+from civiclake.schemas import BRONZE
+from civiclake.sinks.writers import write_path
+from civiclake.sources.envelope import bronze as bronze_table
+
+STATUS = StructType([
+    StructField("camada", StringType()), StructField("tabela", StringType()), StructField("status", StringType()),
+    StructField("linhas", LongType()), StructField("erro", StringType()),
+])
+
+
+def run_layer(spark: SparkSession, layer: str, tables: Mapping[str, Callable[[], DataFrame]], out_dir: str,
+              partitions: Mapping[str, tuple[str, ...]] | None = None, isolate_errors: bool = False) -> list[tuple]:
+    """Write every table of a layer; returns status rows."""
+    rows = []
+    for name, build in tables.items():
+        try:
+            n = write_path(build(), os.path.join(out_dir, layer, name), partition_by=(partitions or {}).get(name, ()))
+            rows.append((layer, name, "ok", n, None))
+        except Exception as e:  # noqa: BLE001 - reported in the status frame
+            rows.append((layer, name, "falha", None, f"{type(e).__name__}: {str(e)[:500]}"))
+            if not isolate_errors:
+                raise RuntimeError(f"{layer}.{name} failed") from e
+    return rows
+
+
+def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> DataFrame:
+    """Full run from landed pages; returns the status frame of all layers."""
+    status: list[tuple] = []
+
+    def bronze_builder(spec):
+        return lambda: bronze_table(spark, landing, spec)[0]
+
+    present = {k: v for k, v in BRONZE.items() if os.path.isdir(os.path.join(landing, k))}
+    status += run_layer(spark, "bronze", {k: bronze_builder(v) for k, v in present.items()}, out_dir, isolate_errors=True)
+    br = {r[1]: spark.read.parquet(os.path.join(out_dir, "bronze", r[1])) for r in status if r[2] == "ok"}
+
+    s_frames = silver.build_all(br, as_of)
+    status += run_layer(spark, "silver", {k: (lambda v=v: v) for k, v in s_frames.items()}, out_dir, silver.PARTITIONS)
+    sv = {k: spark.read.parquet(os.path.join(out_dir, "silver", k)) for k in s_frames}
+
+    g = {f"b_{k}": v for k, v in gold.gold_b(sv).items()} | {f"a_{k}": v for k, v in gold.gold_a(sv).items()}
+    status += run_layer(spark, "gold", {k: (lambda v=v: v) for k, v in g.items()}, out_dir)
+    return spark.createDataFrame(status, STATUS)

@@ -1,0 +1,3 @@
+"""Sinks: path and catalog writes with observed row counts, comments."""
+
+from civiclake.sinks.writers import comment_columns, comment_table, register_table, save_table, write_path  # noqa: F401

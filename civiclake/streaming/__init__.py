@@ -1,0 +1,3 @@
+"""Structured Streaming: incremental ingest of landed pages."""
+
+from civiclake.streaming.incremental import start_ingest, stream_records  # noqa: F401
