@@ -1,7 +1,8 @@
 """Engagement scores.
 
-Global minima / maxima are scalar subqueries (``DataFrame.scalar()``):
-Spark evaluates the one-row aggregate once and inlines the value, so
+Global minima / maxima are one scalar subquery returning a struct
+(``DataFrame.scalar()``): Spark evaluates the one-row aggregate once
+(later references are ``ReusedSubquery``) and inlines the values, so
 there is no driver ``collect()`` and no join against a one-row frame.
 """
 
@@ -15,8 +16,8 @@ from civiclake.operators.joins import lookup_join
 
 def minmax_score(counts: DataFrame, value: str, out: str) -> DataFrame:
     """``(v - min) / (max - min)``; 1.0 for every row when max = min."""
-    lo = counts.select(F.min(value)).scalar()
-    hi = counts.select(F.max(value)).scalar()
+    mm = counts.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = mm["lo"], mm["hi"]
     score = F.when(hi == lo, F.lit(1.0)).otherwise((F.col(value) - lo).cast("double") / (hi - lo).cast("double"))
     return counts.withColumn(out, score)
 
@@ -40,8 +41,8 @@ def weighted_engagement(deputies: DataFrame, memberships: DataFrame, votes: Data
     base = deputies.select("id", "nome", "sigla_partido", "sigla_uf")
     e = lookup_join(base, fronts, "id", "id", ["qtde_frentes"])
     e = lookup_join(e, nvotes, "id", "id", ["qtde_votacoes"]).fillna(0, ["qtde_frentes", "qtde_votacoes"])
-    max_f = e.select(F.max("qtde_frentes")).scalar()
-    max_v = e.select(F.max("qtde_votacoes")).scalar()
+    mx = e.select(F.struct(F.max("qtde_frentes").alias("f"), F.max("qtde_votacoes").alias("v"))).scalar()
+    max_f, max_v = mx["f"], mx["v"]
 
     def part(c: str, mx, w: float):
         return F.when(mx > 0, F.col(c).cast("double") / mx * F.lit(w)).otherwise(F.lit(0.0))

@@ -50,6 +50,17 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (coluna, nulos)", "__total AS total")
 
 
+def unparsed_profile(df: DataFrame, parsed: Mapping[str, str]) -> DataFrame:
+    """Q4: one row per parsed column: ``coluna, nao_convertidos`` (raw non-NULL, parsed NULL).
+
+    ``parsed`` maps raw column -> parsed column; one pass over the rows.
+    """
+    items = list(parsed.items())
+    wide = df.agg(*[F.count_if(F.col(r).isNotNull() & F.col(p).isNull()).alias(f"__u{i}") for i, (r, p) in enumerate(items)])
+    pairs = ", ".join(f"'{p}', `__u{i}`" for i, (_, p) in enumerate(items))
+    return wide.selectExpr(f"stack({len(items)}, {pairs}) AS (coluna, nao_convertidos)")
+
+
 def table_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     """``camada, tabela, linhas`` for every table, as one union of one-row aggregates."""
     parts = [

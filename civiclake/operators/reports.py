@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.functions.clean import money_avg, money_sum
+from civiclake.functions.clean import money, money_avg, money_sum
 from civiclake.functions.dates import iso_week, week_start
 from civiclake.operators.joins import lookup_join
 
@@ -132,15 +132,15 @@ def weekly_density_spine(events: DataFrame, ts: str = "data_inicio", event_id: s
     """G10 as documented: every ISO week between the first and last event,
     with 0 for weeks without events.
 
-    The spine is generated from two scalar subqueries (first and last week
+    The spine is generated from one scalar subquery (first and last week
     start): its size is the number of weeks in the range, independent of
     the row count.  Counts are aggregated per week start first, so the
     final join is between two week-sized frames.
     """
     d = F.col(ts).cast("date")
     counts = events.where(d.isNotNull()).groupBy(week_start(d).alias("semana_inicio")).agg(F.count(event_id).alias("qtde_eventos"))
-    lo = counts.select(F.min("semana_inicio")).scalar()
-    hi = counts.select(F.max("semana_inicio")).scalar()
+    mm = counts.select(F.struct(F.min("semana_inicio").alias("lo"), F.max("semana_inicio").alias("hi"))).scalar()
+    lo, hi = mm["lo"], mm["hi"]
     spine = counts.sparkSession.range(1).select(
         F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))).alias("semana_inicio")
     )
@@ -190,6 +190,8 @@ def recent_events(events: DataFrame, n: int = 20, ts: str = "data_inicio", event
 
 def share_by_type(expenses: DataFrame, n: int = 10) -> DataFrame:
     """``tipoDespesa, total_gasto, participacao`` of the grand total, top n."""
-    per = expenses.groupBy("tipoDespesa").agg(money_sum("valor_liquido").alias("total_gasto"))
-    grand = expenses.select(money_sum("valor_liquido")).scalar()
-    return top_n(per.withColumn("participacao", F.try_divide(F.col("total_gasto"), grand)), "total_gasto", ["tipoDespesa"], n)
+    per = expenses.groupBy("tipoDespesa").agg(F.sum(money("valor_liquido")).alias("__dec"))
+    grand = per.select(F.sum("__dec")).scalar()  # from the per-type sums: no second pass over the rows
+    out = per.select("tipoDespesa", F.col("__dec").cast("double").alias("total_gasto"),
+                     F.try_divide(F.col("__dec").cast("double"), grand.cast("double")).alias("participacao"))
+    return top_n(out, "total_gasto", ["tipoDespesa"], n)

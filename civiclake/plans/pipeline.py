@@ -13,12 +13,19 @@ import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from civiclake.functions.clean import to_timestamp_safe
+from civiclake.operators import quality
 from civiclake.plans import gold, silver
 from civiclake.schemas import BRONZE
 from civiclake.sinks.writers import write_path
 from civiclake.sources.envelope import bronze as bronze_table
+from civiclake.sources.envelope import page_completeness, read_pages
+
+# One events table partitioned by year instead of one table per year
+BRONZE_PARTITIONS = {"eventos": ("ano",)}
 
 STATUS = StructType([
     StructField("camada", StringType()), StructField("tabela", StringType()), StructField("status", StringType()),
@@ -46,10 +53,17 @@ def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> Data
     status: list[tuple] = []
 
     def bronze_builder(spec):
-        return lambda: bronze_table(spark, landing, spec)[0]
+        def build():
+            df = bronze_table(spark, landing, spec)[0]
+            if spec.name == "eventos":
+                df = df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
+            return df
+
+        return build
 
     present = {k: v for k, v in BRONZE.items() if os.path.isdir(os.path.join(landing, k))}
-    status += run_layer(spark, "bronze", {k: bronze_builder(v) for k, v in present.items()}, out_dir, isolate_errors=True)
+    status += run_layer(spark, "bronze", {k: bronze_builder(v) for k, v in present.items()}, out_dir, BRONZE_PARTITIONS,
+                        isolate_errors=True)
     br = {r[1]: spark.read.parquet(os.path.join(out_dir, "bronze", r[1])) for r in status if r[2] == "ok"}
 
     s_frames = silver.build_all(br, as_of)
@@ -58,4 +72,22 @@ def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> Data
 
     g = {f"b_{k}": v for k, v in gold.gold_b(sv).items()} | {f"a_{k}": v for k, v in gold.gold_a(sv).items()}
     status += run_layer(spark, "gold", {k: (lambda v=v: v) for k, v in g.items()}, out_dir)
+    status += run_layer(spark, "audit", audit_tables(spark, landing, present, sv), out_dir)
     return spark.createDataFrame(status, STATUS)
+
+
+def audit_tables(spark: SparkSession, landing: str, present: Mapping, sv: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """Data-quality tables (Q1-Q5, S2) written with every run."""
+    out: dict[str, Callable[[], DataFrame]] = {}
+    for name, spec in present.items():
+        out[f"paginas_{name}"] = lambda spec=spec: page_completeness(read_pages(spark, os.path.join(landing, spec.name), spec.parent))
+        out[f"rejeitados_{name}"] = lambda spec=spec: bronze_table(spark, landing, spec)[1]
+    out["duplicados_fact_eventos"] = lambda: quality.duplicate_keys(sv["fact_eventos"], ["id"])
+    out["orfaos_votos"] = lambda: quality.orphans(sv["fact_votacoes"], sv["dim_deputados"], "deputado_id", "id")
+    out["orfaos_despesas"] = lambda: quality.orphans(sv["fact_despesas"], sv["dim_deputados"], "idDeputado", "id")
+    out["nulos_fact_despesas"] = lambda: quality.null_profile(sv["fact_despesas"])
+    out["nao_convertidos_despesas"] = lambda: quality.unparsed_profile(
+        sv["fact_despesas"].unionByName(sv["fact_despesas_rejeitadas"]),
+        {"valorLiquido": "valor_liquido", "valorDocumento": "valor_documento", "dataDocumento": "data_documento"},
+    )
+    return out

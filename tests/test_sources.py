@@ -117,6 +117,44 @@ def test_pipeline_end_to_end(spark, tmpdir_run):
     assert sorted(r["deputado_id"] for r in votes) == [1, 2] and votes[0]["descricao"] == "PL 1"
     div = {r["idFrente"]: r["indice_diversidade"] for r in spark.read.parquet(os.path.join(out, "gold", "b_diversidade_partidaria_frentes")).collect()}
     assert div[10] == 0.5 and div[11] == 0.0
+    assert os.path.isdir(os.path.join(out, "bronze", "eventos", "ano=2024"))  # S13
+    unparsed = {r["coluna"]: r["nao_convertidos"] for r in spark.read.parquet(os.path.join(out, "audit", "nao_convertidos_despesas")).collect()}
+    assert unparsed == {"valor_liquido": 0, "valor_documento": 0, "data_documento": 0}
+    pages = spark.read.parquet(os.path.join(out, "audit", "paginas_deputados")).first()
+    assert pages["completo"] is True and pages["paginas"] == 2
+
+
+def test_bronze_error_isolation(spark, tmpdir_run):
+    from civiclake.plans.pipeline import run_layer
+
+    def boom():
+        raise ValueError("endpoint down")
+
+    rows = run_layer(spark, "bronze", {"ok": lambda: spark.range(3), "bad": boom}, tmpdir_run, isolate_errors=True)
+    assert [(r[1], r[2], r[3]) for r in rows] == [("ok", "ok", 3), ("bad", "falha", None)]
+
+
+def test_tables_bulk_and_predicates(spark, tmpdir_run):
+    from civiclake.sources import tables
+
+    p = os.path.join(tmpdir_run, "despesas.csv")
+    with open(p, "w") as fh:
+        fh.write("idDeputado,tipoDespesa,valorLiquido,coluna_nova\n7,T,12.50,x\n8,U,bad,y\n")
+    df = tables.read_bulk(spark, p, DESPESAS)
+    rows = {r["idDeputado"]: r for r in df.collect()}
+    assert rows[7]["valorLiquido"] == "12.50" and rows[8]["_extra"] == '{"coluna_nova":"y"}'
+    d = spark.createDataFrame([("2023-12-31",), ("2024-06-01",), ("2025-01-01",)], "d string").select(F.col("d").cast("date").alias("d"))
+    assert d.where(tables.period("d", year=2024)).count() == 1
+    assert d.where(tables.period("d", start="2024-01-01")).count() == 2
+    cp = spark.createDataFrame([(1, "CPIPC"), (2, "PL")], "id long, siglaTipo string")
+    assert [r[0] for r in cp.where(tables.of_type("siglaTipo")).collect()] == [1]
+    path = os.path.join(tmpdir_run, "tbl")
+    writers.write_path(cp, path)
+    assert tables.read_path(spark, path).count() == 2
+    spark.sql("DROP TABLE IF EXISTS silver_cpis")
+    writers.register_table(spark, "silver_cpis", path)
+    assert tables.read_table(spark, "silver", "cpis").count() == 2
+    spark.sql("DROP TABLE IF EXISTS silver_cpis")
 
 
 def test_sink_observes_rows_and_comments(spark, tmpdir_run):
