@@ -3,9 +3,9 @@ independent SQL formulation (DuckDB dialect) used as the correctness
 oracle on the same parquet tables.
 
 Oracle hygiene (applied identically on both sides): doubles are rounded
-to 6 places (averages of money to 4), money is summed as decimal(18,2)
-and cast to double, integer results are BIGINT, and every top-N has a
-total order.
+to 6 places, money is summed as decimal(18,2) and cast to double, money
+averages are exact decimal averages (HALF_UP at 6 places), integer results
+are BIGINT, and every top-N has a total order.
 """
 
 from __future__ import annotations
