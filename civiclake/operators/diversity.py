@@ -40,6 +40,18 @@ def diversity_index(
     )
 
 
+def herfindahl_index(counts: DataFrame, group_col: str, part_col: str, count_col: str) -> DataFrame:
+    """G1 helper with the reference signature: from (group, part, count)
+    rows to ``(group, indice_diversidade)``.  ``part_col`` only names the
+    bucket column; the index needs the counts alone."""
+    n = F.col(count_col).cast("double")
+    return (
+        counts.where(F.col(group_col).isNotNull())
+        .groupBy(group_col)
+        .agg((F.lit(1.0) - F.try_divide(F.sum(n * n), F.pow(F.sum(n), 2))).alias("indice_diversidade"))
+    )
+
+
 def front_diversity(memberships: DataFrame, deputies: DataFrame, fronts: DataFrame) -> DataFrame:
     """Gen-B report (G3): ``idFrente, titulo, indice_diversidade, qtde_partidos, total_membros``.
 

@@ -48,9 +48,8 @@ def run_layer(spark: SparkSession, layer: str, tables: Mapping[str, Callable[[],
     return rows
 
 
-def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> DataFrame:
-    """Full run from landed pages; returns the status frame of all layers."""
-    status: list[tuple] = []
+def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
+    """Bronze: every landed endpoint, failures isolated per table."""
 
     def bronze_builder(spec):
         def build():
@@ -62,17 +61,35 @@ def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> Data
         return build
 
     present = {k: v for k, v in BRONZE.items() if os.path.isdir(os.path.join(landing, k))}
-    status += run_layer(spark, "bronze", {k: bronze_builder(v) for k, v in present.items()}, out_dir, BRONZE_PARTITIONS,
-                        isolate_errors=True)
-    br = {r[1]: spark.read.parquet(os.path.join(out_dir, "bronze", r[1])) for r in status if r[2] == "ok"}
+    return run_layer(spark, "bronze", {k: bronze_builder(v) for k, v in present.items()}, out_dir, BRONZE_PARTITIONS,
+                     isolate_errors=True)
+
+
+def _read_layer(spark: SparkSession, out_dir: str, layer: str) -> dict[str, DataFrame]:
+    base = os.path.join(out_dir, layer)
+    return {n: spark.read.parquet(os.path.join(base, n)) for n in sorted(os.listdir(base))} if os.path.isdir(base) else {}
+
+
+def transform_all(spark: SparkSession, out_dir: str, as_of: str) -> list[tuple]:
+    """Silver: all dimensions and facts from the written bronze tables (stops at the first failure)."""
+    frames = silver.build_all(_read_layer(spark, out_dir, "bronze"), as_of)
+    return run_layer(spark, "silver", {k: (lambda v=v: v) for k, v in frames.items()}, out_dir, silver.PARTITIONS)
 
-    s_frames = silver.build_all(br, as_of)
-    status += run_layer(spark, "silver", {k: (lambda v=v: v) for k, v in s_frames.items()}, out_dir, silver.PARTITIONS)
-    sv = {k: spark.read.parquet(os.path.join(out_dir, "silver", k)) for k in s_frames}
 
+def analyze_all(spark: SparkSession, out_dir: str) -> list[tuple]:
+    """Gold: both metric generations from the written silver tables (stops at the first failure)."""
+    sv = _read_layer(spark, out_dir, "silver")
     g = {f"b_{k}": v for k, v in gold.gold_b(sv).items()} | {f"a_{k}": v for k, v in gold.gold_a(sv).items()}
-    status += run_layer(spark, "gold", {k: (lambda v=v: v) for k, v in g.items()}, out_dir)
-    status += run_layer(spark, "audit", audit_tables(spark, landing, present, sv), out_dir)
+    return run_layer(spark, "gold", {k: (lambda v=v: v) for k, v in g.items()}, out_dir)
+
+
+def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> DataFrame:
+    """Full run from landed pages; returns the status frame of all layers (+ audit tables)."""
+    status = ingest_all(spark, landing, out_dir)
+    status += transform_all(spark, out_dir, as_of)
+    status += analyze_all(spark, out_dir)
+    present = {k: v for k, v in BRONZE.items() if os.path.isdir(os.path.join(landing, k))}
+    status += run_layer(spark, "audit", audit_tables(spark, landing, present, _read_layer(spark, out_dir, "silver")), out_dir)
     return spark.createDataFrame(status, STATUS)
 
 

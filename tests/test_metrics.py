@@ -125,3 +125,10 @@ def test_spend_by_state_null_state_group(spark):
     deps = spark.createDataFrame([(1, "SP"), (2, None)], "id long, sigla_uf string")
     got = {r["sigla_uf"]: r["total_gasto"] for r in reports.spend_by_state(exp, deps).collect()}
     assert got == {"SP": 10.0, None: 6.0}
+
+
+def test_herfindahl_helper_matches_index(spark):
+    counts = spark.createDataFrame([("A", "x", 3), ("B", "p", 1), ("B", "q", 1), ("B", "r", 2), (None, "z", 5)],
+                                   "g string, p string, n long")
+    got = {r[0]: r[1] for r in diversity.herfindahl_index(counts, "g", "p", "n").collect()}
+    assert got == {"A": pytest.approx(0.0), "B": pytest.approx(1 - (1 + 1 + 4) / 16)}
