@@ -104,11 +104,19 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
 
 
 if __name__ == "__main__":
-    from civiclake.session import build_session
-
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
-    spark = build_session("local[8]")
+    args = sys.argv[1:]
+    plain = "--plain" in args
+    args = [a for a in args if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
+    if plain:  # a session configured like the driver's, not ours
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        from civiclake.session import build_session
+
+        spark = build_session("local[8]")
     res = compare(spark, sf, names)
     bad = [k for k, v in res.items() if not v.get("match", not v.get("has_oracle")) or "error" in v]
     print("MISMATCH/ERROR:", bad)
