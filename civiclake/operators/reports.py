@@ -19,15 +19,22 @@ from civiclake.functions.dates import iso_week, week_start
 from civiclake.operators.joins import lookup_join
 
 
+def distinct_count(c: str, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Exact ``count(DISTINCT c)`` by default (A3); ``approx=True`` uses a
+    HyperLogLog++ sketch: no per-value dedup state, a fixed-size buffer per
+    group, at relative error ``rsd``."""
+    return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+
+
 def top_n(df: DataFrame, measure: str | Column, keys: Sequence[str], n: int) -> DataFrame:
     """Rows with the ``n`` largest ``measure``; ties broken by ``keys`` ascending."""
     m = F.col(measure) if isinstance(measure, str) else measure
     return df.orderBy(m.desc(), *[F.col(k).asc() for k in keys]).limit(n)
 
 
-def most_active_members(memberships: DataFrame, n: int = 10) -> DataFrame:
+def most_active_members(memberships: DataFrame, n: int = 10, approx: bool = False) -> DataFrame:
     """Deputies in the most distinct fronts -> ``id_deputado, qtde_frentes``."""
-    per = memberships.groupBy(F.col("id").alias("id_deputado")).agg(F.count_distinct("idFrente").alias("qtde_frentes"))
+    per = memberships.groupBy(F.col("id").alias("id_deputado")).agg(distinct_count("idFrente", approx).alias("qtde_frentes"))
     return top_n(per, "qtde_frentes", ["id_deputado"], n)
 
 
@@ -43,7 +50,7 @@ def supplier_ranking_by_key(expenses: DataFrame, suppliers: DataFrame, n: int =
     ).select("id_fornecedor", "nome_fornecedor", "total_recebido", "cnpj_suspeito")
 
 
-def supplier_ranking_by_name(expenses: DataFrame, n: int = 50) -> DataFrame:
+def supplier_ranking_by_name(expenses: DataFrame, n: int = 50, approx: bool = False) -> DataFrame:
     """``nomeFornecedor, total_recebido, qtde_transacoes, qtde_deputados_atendidos``."""
     per = (
         expenses.where(F.col("nomeFornecedor").isNotNull())
@@ -51,13 +58,13 @@ def supplier_ranking_by_name(expenses: DataFrame, n: int = 50) -> DataFrame:
         .agg(
             money_sum("valor_liquido").alias("total_recebido"),
             F.count(F.lit(1)).alias("qtde_transacoes"),
-            F.count_distinct("idDeputado").alias("qtde_deputados_atendidos"),
+            distinct_count("idDeputado", approx).alias("qtde_deputados_atendidos"),
         )
     )
     return top_n(per, "total_recebido", ["nomeFornecedor"], n)
 
 
-def spend_by_type(expenses: DataFrame) -> DataFrame:
+def spend_by_type(expenses: DataFrame, approx: bool = False) -> DataFrame:
     """``tipoDespesa, total_gasto, media_gasto, qtde_transacoes, qtde_deputados``."""
     return (
         expenses.groupBy("tipoDespesa")
@@ -65,7 +72,7 @@ def spend_by_type(expenses: DataFrame) -> DataFrame:
             money_sum("valor_liquido").alias("total_gasto"),
             money_avg("valor_liquido").alias("media_gasto"),
             F.count(F.lit(1)).alias("qtde_transacoes"),
-            F.count_distinct("idDeputado").alias("qtde_deputados"),
+            distinct_count("idDeputado", approx).alias("qtde_deputados"),
         )
         .orderBy(F.desc("total_gasto"), "tipoDespesa")
     )
@@ -84,7 +91,7 @@ def spend_by_deputy(expenses: DataFrame, deputies: DataFrame) -> DataFrame:
     )
 
 
-def spend_by_state(expenses: DataFrame, deputies: DataFrame) -> DataFrame:
+def spend_by_state(expenses: DataFrame, deputies: DataFrame, approx: bool = False) -> DataFrame:
     """State comes from the deputy, so join first; a NULL state is its own group."""
     x = lookup_join(expenses.select("idDeputado", "valor_liquido"), deputies, "idDeputado", "id", ["sigla_uf"])
     return (
@@ -93,31 +100,31 @@ def spend_by_state(expenses: DataFrame, deputies: DataFrame) -> DataFrame:
             money_sum("valor_liquido").alias("total_gasto"),
             money_avg("valor_liquido").alias("media_gasto"),
             F.count(F.lit(1)).alias("qtde_despesas"),
-            F.count_distinct("idDeputado").alias("qtde_deputados"),
+            distinct_count("idDeputado", approx).alias("qtde_deputados"),
         )
         .orderBy(F.desc("total_gasto"), "sigla_uf")
     )
 
 
-def vote_patterns(votes: DataFrame) -> DataFrame:
+def vote_patterns(votes: DataFrame, approx: bool = False) -> DataFrame:
     """Per option ``qtde_votos, qtde_deputados, qtde_votacoes``."""
     return (
         votes.groupBy("tipoVoto")
         .agg(
             F.count(F.lit(1)).alias("qtde_votos"),
-            F.count_distinct("deputado_id").alias("qtde_deputados"),
-            F.count_distinct("idVotacao").alias("qtde_votacoes"),
+            distinct_count("deputado_id", approx).alias("qtde_deputados"),
+            distinct_count("idVotacao", approx).alias("qtde_votacoes"),
         )
         .orderBy(F.desc("qtde_votos"), "tipoVoto")
     )
 
 
-def monthly_events(events: DataFrame, ts: str = "data_inicio", kind: str = "descricaoTipo") -> DataFrame:
+def monthly_events(events: DataFrame, ts: str = "data_inicio", kind: str = "descricaoTipo", approx: bool = False) -> DataFrame:
     """``ano, mes, qtde_eventos, qtde_tipos_eventos`` for dated events."""
     return (
         events.where(F.col(ts).isNotNull())
         .groupBy(F.year(ts).cast("bigint").alias("ano"), F.month(ts).cast("bigint").alias("mes"))
-        .agg(F.count(F.lit(1)).alias("qtde_eventos"), F.count_distinct(kind).alias("qtde_tipos_eventos"))
+        .agg(F.count(F.lit(1)).alias("qtde_eventos"), distinct_count(kind, approx).alias("qtde_tipos_eventos"))
         .orderBy("ano", "mes")
     )
 

@@ -132,3 +132,11 @@ def test_herfindahl_helper_matches_index(spark):
                                    "g string, p string, n long")
     got = {r[0]: r[1] for r in diversity.herfindahl_index(counts, "g", "p", "n").collect()}
     assert got == {"A": pytest.approx(0.0), "B": pytest.approx(1 - (1 + 1 + 4) / 16)}
+
+
+def test_approx_distinct_opt_in(spark):
+    votes = _votes(spark, [(d, f"v{d % 7}", "a") for d in range(200)])
+    exact = reports.vote_patterns(votes).first()
+    approx = reports.vote_patterns(votes, approx=True).first()
+    assert exact["qtde_deputados"] == 200
+    assert abs(approx["qtde_deputados"] - 200) <= 10 and approx["qtde_votacoes"] == 7
