@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from civiclake.functions.clean import to_timestamp_safe
 from civiclake.operators import quality
@@ -48,37 +48,54 @@ def run_layer(spark: SparkSession, layer: str, tables: Mapping[str, Callable[[],
     return rows
 
 
-def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
-    """Bronze: every landed endpoint, failures isolated per table."""
+def _bronze_frame(spark: SparkSession, landing: str, spec) -> tuple[DataFrame, str]:
+    """Bronze records of one endpoint, or an empty typed frame when nothing landed."""
+    from pyspark.errors import AnalysisException
 
-    def bronze_builder(spec):
-        def build():
-            df = bronze_table(spark, landing, spec)[0]
-            if spec.name == "eventos":
-                df = df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
-            return df
+    try:
+        df = bronze_table(spark, landing, spec)[0]
+        df.schema  # resolves the file listing: a missing landing folder fails here
+        status = "ok"
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        schema = StructType(list(spec.schema.fields) + [
+            StructField("_extra", StringType()), StructField("_arquivo", StringType()), StructField("pagina", LongType()),
+            StructField("_chegada", TimestampType()),
+        ])
+        df, status = spark.createDataFrame([], schema), "vazio"
+    if spec.name == "eventos":
+        df = df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
+    return df, status
 
-        return build
 
-    present = {k: v for k, v in BRONZE.items() if os.path.isdir(os.path.join(landing, k))}
-    return run_layer(spark, "bronze", {k: bronze_builder(v) for k, v in present.items()}, out_dir, BRONZE_PARTITIONS,
-                     isolate_errors=True)
+def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
+    """Bronze: every endpoint, failures isolated per table; an endpoint with
+    no landed pages is written as an empty typed table."""
+    rows = []
+    for name, spec in BRONZE.items():
+        try:
+            df, state = _bronze_frame(spark, landing, spec)
+            n = write_path(df, os.path.join(out_dir, "bronze", name), partition_by=BRONZE_PARTITIONS.get(name, ()))
+            rows.append(("bronze", name, state, n, None))
+        except Exception as e:  # noqa: BLE001 - reported in the status frame
+            rows.append(("bronze", name, "falha", None, f"{type(e).__name__}: {str(e)[:500]}"))
+    return rows
 
 
-def _read_layer(spark: SparkSession, out_dir: str, layer: str) -> dict[str, DataFrame]:
-    base = os.path.join(out_dir, layer)
-    return {n: spark.read.parquet(os.path.join(base, n)) for n in sorted(os.listdir(base))} if os.path.isdir(base) else {}
+def _read_layer(spark: SparkSession, out_dir: str, layer: str, names) -> dict[str, DataFrame]:
+    return {n: spark.read.parquet(os.path.join(out_dir, layer, n)) for n in names}
 
 
 def transform_all(spark: SparkSession, out_dir: str, as_of: str) -> list[tuple]:
     """Silver: all dimensions and facts from the written bronze tables (stops at the first failure)."""
-    frames = silver.build_all(_read_layer(spark, out_dir, "bronze"), as_of)
+    frames = silver.build_all(_read_layer(spark, out_dir, "bronze", BRONZE), as_of)
     return run_layer(spark, "silver", {k: (lambda v=v: v) for k, v in frames.items()}, out_dir, silver.PARTITIONS)
 
 
 def analyze_all(spark: SparkSession, out_dir: str) -> list[tuple]:
     """Gold: both metric generations from the written silver tables (stops at the first failure)."""
-    sv = _read_layer(spark, out_dir, "silver")
+    sv = _read_layer(spark, out_dir, "silver", silver.TABLES)
     g = {f"b_{k}": v for k, v in gold.gold_b(sv).items()} | {f"a_{k}": v for k, v in gold.gold_a(sv).items()}
     return run_layer(spark, "gold", {k: (lambda v=v: v) for k, v in g.items()}, out_dir)
 
@@ -88,8 +105,9 @@ def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> Data
     status = ingest_all(spark, landing, out_dir)
     status += transform_all(spark, out_dir, as_of)
     status += analyze_all(spark, out_dir)
-    present = {k: v for k, v in BRONZE.items() if os.path.isdir(os.path.join(landing, k))}
-    status += run_layer(spark, "audit", audit_tables(spark, landing, present, _read_layer(spark, out_dir, "silver")), out_dir)
+    landed = {r[1]: BRONZE[r[1]] for r in status if r[0] == "bronze" and r[2] == "ok"}
+    status += run_layer(spark, "audit", audit_tables(spark, landing, landed, _read_layer(spark, out_dir, "silver", silver.TABLES)),
+                        out_dir)
     return spark.createDataFrame(status, STATUS)
 
 

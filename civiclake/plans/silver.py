@@ -229,5 +229,12 @@ def build_all(bronze: dict[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
     return out
 
 
+# every table build_all returns, in build order
+TABLES = (
+    "dim_deputado", "dim_partido", "dim_frente", "fato_frente_membro", "dim_data", "dim_orgao", "dim_tipo_evento", "fato_evento",
+    "fato_voto", "dim_fornecedor", "dim_categoria", "fato_despesa", "dim_deputados", "dim_frentes", "dim_partidos", "fact_votacoes",
+    "fact_despesas", "fact_despesas_rejeitadas", "fact_eventos", "fact_frentes_membros",
+)
+
 # partition columns of the Gen-B facts
 PARTITIONS = {"fact_votacoes": ("ano", "mes"), "fact_despesas": ("ano", "mes"), "fact_eventos": ("ano", "mes")}
