@@ -85,12 +85,13 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     )
 
 
-def records(pages: DataFrame, schema: StructType, parent: str | None = None, overflow: str = "_extra") -> DataFrame:
+def records(pages: DataFrame, schema: StructType, parent: str | None = None, overflow: str | None = "_extra") -> DataFrame:
     """Explode pages into conformed records.
 
     Known fields are parsed with the declared schema (missing -> typed
-    NULL); unknown fields are kept as JSON text in ``overflow``; the parent
-    id from the path fills ``parent`` when the record lacks it.
+    NULL); unknown fields are kept as JSON text in ``overflow`` (pass
+    ``None`` to skip that second parse of each record); the parent id from
+    the path fills ``parent`` when the record lacks it.
     """
     known = [fl.name for fl in schema.fields]
     carry = [c for c in ("_chegada",) if c in pages.columns]
@@ -98,18 +99,15 @@ def records(pages: DataFrame, schema: StructType, parent: str | None = None, ove
     as_map = F.from_json("_raw", "map<string,string>")
     known_arr = F.array(*[F.lit(k) for k in known])
     extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(known_arr, k))
-    parsed = rec.select(
-        "_arquivo", "pagina", "parent", *carry, "_raw",
-        F.from_json("_raw", schema).alias("r"),
-        F.when(F.size(extra) > 0, F.to_json(extra)).alias(overflow),
-    )
+    extra_col = [F.when(F.size(extra) > 0, F.to_json(extra)).alias(overflow)] if overflow else []
+    parsed = rec.select("_arquivo", "pagina", "parent", *carry, "_raw", F.from_json("_raw", schema).alias("r"), *extra_col)
     cols = []
     for fl in schema.fields:
         c = F.col(f"r.{fl.name}")
         if parent and fl.name == parent:
             c = F.coalesce(c, F.col("parent").try_cast(fl.dataType))
         cols.append(c.alias(fl.name))
-    return parsed.select(*cols, overflow, "_arquivo", "pagina", *carry)
+    return parsed.select(*cols, *([overflow] if overflow else []), "_arquivo", "pagina", *carry)
 
 
 def conform(df: DataFrame, schema: StructType, overflow: str | None = "_extra") -> DataFrame:
