@@ -117,6 +117,17 @@ def money_avg(c: str | Column) -> Column:
     return F.avg(money(c)).cast("double")
 
 
+def money_avg_from_parts(total: str | Column, count: str | Column) -> Column:
+    """The average ``money_avg`` would give, rebuilt from a decimal sum and a count.
+
+    Mirrors Spark's decimal average: sum as decimal(28,2) divided by the
+    count as decimal(20,0), result cast to decimal(22,6), then to double.
+    Lets a report aggregate per entity first and combine the parts later.
+    """
+    avg = (col_(total).cast("decimal(28,2)") / col_(count).cast("decimal(20,0)")).cast("decimal(22,6)")
+    return F.when(col_(count) > 0, avg).cast("double")
+
+
 def typed_null(dtype: str) -> Column:
     """A typed NULL constant."""
     return F.lit(None).cast(dtype)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.functions.clean import money, money_avg, money_sum
+from civiclake.functions.clean import money, money_avg, money_avg_from_parts, money_sum
 from civiclake.functions.dates import iso_week, week_start
 from civiclake.operators.joins import lookup_join
 
@@ -92,18 +92,26 @@ def spend_by_deputy(expenses: DataFrame, deputies: DataFrame) -> DataFrame:
 
 
 def spend_by_state(expenses: DataFrame, deputies: DataFrame, approx: bool = False) -> DataFrame:
-    """State comes from the deputy, so join first; a NULL state is its own group."""
-    x = lookup_join(expenses.select("idDeputado", "valor_liquido"), deputies, "idDeputado", "id", ["sigla_uf"])
-    return (
-        x.groupBy("sigla_uf")
-        .agg(
-            money_sum("valor_liquido").alias("total_gasto"),
-            money_avg("valor_liquido").alias("media_gasto"),
-            F.count(F.lit(1)).alias("qtde_despesas"),
-            distinct_count("idDeputado", approx).alias("qtde_deputados"),
-        )
-        .orderBy(F.desc("total_gasto"), "sigla_uf")
+    """Spend per state of the deputy; a NULL state is its own group.
+
+    Aggregates per deputy first (map-side combined), so the lookup join
+    sees one row per deputy instead of every expense; the per-state
+    figures are then combined from exact decimal parts.  After the first
+    step each deputy is one row, so counting rows counts distinct deputies
+    (``approx`` is accepted for signature parity; the count is exact).
+    """
+    per_dep = expenses.groupBy("idDeputado").agg(
+        F.sum(money("valor_liquido")).alias("__sum"), F.count("valor_liquido").alias("__nval"), F.count(F.lit(1)).alias("__rows")
+    )
+    x = lookup_join(per_dep, deputies, "idDeputado", "id", ["sigla_uf"])
+    agg = x.groupBy("sigla_uf").agg(
+        F.sum("__sum").alias("__sum"), F.sum("__nval").alias("__nval"), F.sum("__rows").alias("qtde_despesas"),
+        F.count("idDeputado").alias("qtde_deputados"),
     )
+    return agg.select(
+        "sigla_uf", F.col("__sum").cast("double").alias("total_gasto"), money_avg_from_parts("__sum", "__nval").alias("media_gasto"),
+        "qtde_despesas", "qtde_deputados",
+    ).orderBy(F.desc("total_gasto"), "sigla_uf")
 
 
 def vote_patterns(votes: DataFrame, approx: bool = False) -> DataFrame:

@@ -13,8 +13,8 @@ from civiclake.operators.joins import lookup_join
 def gold_b(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Gen-B: diversity, engagement, spend breakdowns, suppliers, votes, months, anomalies."""
     dep, mem, vot, exp, ev = s["dim_deputados"], s["fact_frentes_membros"], s["fact_votacoes"], s["fact_despesas"], s["fact_eventos"]
-    anom = lookup_join(exp, dep, "idDeputado", "id", ["nome", "sigla_partido", "sigla_uf"])
-    anom = stats.zscore_filter(anom, "valor_liquido", ["tipoDespesa"], money=True).select(
+    anom = stats.zscore_filter(exp, "valor_liquido", ["tipoDespesa"], money=True)  # label only the outliers
+    anom = lookup_join(anom, dep, "idDeputado", "id", ["nome", "sigla_partido", "sigla_uf"]).select(
         F.col("idDeputado").alias("deputado_id"), "nome", "sigla_partido", "sigla_uf", "tipoDespesa",
         F.col("valor_liquido").cast("double").alias("valor_liquido"), "media", "z_score", "data_documento",
     )

@@ -89,9 +89,10 @@ def q_expense_outliers(spark: SparkSession, d: str) -> DataFrame:
 def expense_outliers(spark: SparkSession, d: str) -> DataFrame:
     from civiclake.operators.joins import lookup_join
 
-    c = roles.claims(spark, d)
-    x = lookup_join(c, roles.deputies(spark, d), "idDeputado", "id", ["nome", "sigla_partido", "sigla_uf"])
-    out = stats.zscore_filter(x, "valor_liquido", ["tipoDespesa"], money=True)
+    # statistics and the filter run on the claims alone (as the reference computed its
+    # statistics); only the few outlier rows are then labelled with deputy attributes
+    out = stats.zscore_filter(roles.claims(spark, d), "valor_liquido", ["tipoDespesa"], money=True)
+    out = lookup_join(out, roles.deputies(spark, d), "idDeputado", "id", ["nome", "sigla_partido", "sigla_uf"])
     return out.select(
         F.col("idDeputado").alias("deputado_id"), "nome", "sigla_partido", "sigla_uf", "tipoDespesa", "valor_liquido", "media", "z_score",
         "data_documento",

@@ -84,3 +84,13 @@ def test_money_sum_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,)], "v double")
     assert df.select(clean.money_sum("v")).first()[0] == 0.6
     assert df.select(F.sum("v")).first()[0] != 0.6  # the float sum is not exact
+
+
+def test_money_avg_from_parts_equals_direct(spark):
+    rows = [(i % 7, round((i * 37 % 1000) / 8.0, 2)) for i in range(500)] + [(9, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    direct = {r[0]: r[1] for r in df.groupBy("g").agg(clean.money_avg("v")).collect()}
+    # split each group into parts, then combine
+    parts = df.groupBy("g", (F.col("v") * 100 % 3).alias("part")).agg(F.sum(clean.money("v")).alias("s"), F.count("v").alias("n"))
+    combined = parts.groupBy("g").agg(clean.money_avg_from_parts(F.sum("s"), F.sum("n")).alias("a"))
+    assert {r[0]: r[1] for r in combined.collect()} == direct
