@@ -11,6 +11,7 @@ from civiclake.functions.clean import (  # noqa: F401
     money_sum,
     nested_to_json,
     non_negative_or_null,
+    parse_json_column,
     rename,
     safe_ratio,
     to_date_safe,

@@ -80,6 +80,18 @@ def json_field(c: str | Column, field: str, dtype: str | None = None) -> Column:
     return v.try_cast(dtype) if dtype else v
 
 
+def parse_json_column(df: DataFrame, column: str, fields: Iterable[str]) -> DataFrame:
+    """Add ``<column>_<field>`` for each field of a JSON text column (P5).
+
+    The intended meaning of the reference helper: a JSON-path lookup that
+    accepts spaced and compact JSON and numbers (its regex matched neither).
+    A missing column leaves the frame unchanged.
+    """
+    if column not in df.columns:
+        return df
+    return df.withColumns({f"{column}_{f}": json_field(column, f) for f in fields})
+
+
 def nested_to_json(df: DataFrame) -> DataFrame:
     """Turn every struct / array / map column into its JSON text."""
     nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("struct", "array", "map")]

@@ -94,3 +94,10 @@ def test_money_avg_from_parts_equals_direct(spark):
     parts = df.groupBy("g", (F.col("v") * 100 % 3).alias("part")).agg(F.sum(clean.money("v")).alias("s"), F.count("v").alias("n"))
     combined = parts.groupBy("g").agg(clean.money_avg_from_parts(F.sum("s"), F.sum("n")).alias("a"))
     assert {r[0]: r[1] for r in combined.collect()} == direct
+
+
+def test_parse_json_column(spark):
+    df = spark.createDataFrame([('{"nome": "Ana", "idLegislatura": 57}',), ('{"nome":"Bia"}',)], "s string")
+    out = clean.parse_json_column(df, "s", ["nome", "idLegislatura"]).collect()
+    assert [(r["s_nome"], r["s_idLegislatura"]) for r in out] == [("Ana", "57"), ("Bia", None)]
+    assert clean.parse_json_column(df, "missing", ["x"]).columns == ["s"]
