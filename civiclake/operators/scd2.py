@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.operators.sequence import previous_row
+from civiclake.operators.sequence import change_points, previous_row
 
 
 def scd2_snapshot(df: DataFrame, as_of: Column | str) -> DataFrame:
@@ -33,10 +33,6 @@ def scd2_snapshot(df: DataFrame, as_of: Column | str) -> DataFrame:
         "valid_to", F.col("valid_to").cast(df.select(ts.alias("x")).schema["x"].dataType))
 
 
-def _tracked_text(tracked: Sequence[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(c) for c in tracked]))
-
-
 def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """History from a change log.
 
@@ -44,15 +40,12 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: Sequence[str], tie
     ``tiebreak`` must order a key's rows totally.
     """
     order = [ts, *tiebreak]
-    base = log.select(key, *order, *tracked).withColumn("__t", _tracked_text(tracked))
-    with_prev = previous_row(base, key, order, ["__t"], prefix="__prev")
-    changes = with_prev.where(F.col("__prev__t").isNull() | (F.col("__prev__t") != F.col("__t"))).drop("__prev__t", "__t")
-    with_next = previous_row(changes, key, order, [ts], prefix="__next_", ascending=False)
-    return with_next.select(
+    changes = change_points(log.select(key, *order, *tracked), key, order, tracked, next_col="__next")
+    return changes.select(
         key, *tracked,
         F.col(ts).alias("valid_from"),
-        F.col(f"__next_{ts}").alias("valid_to"),
-        F.col(f"__next_{ts}").isNull().alias("is_current"),
+        F.col("__next").alias("valid_to"),
+        F.col("__next").isNull().alias("is_current"),
     )
 
 

@@ -78,3 +78,53 @@ def previous_row(
         first = F.row_number().over(w) == 1
         new = {f"{prefix}{c}": F.when(first, F.col(f"__carry.{c}")).otherwise(F.lag(c).over(w)) for c in cols}
     return joined.withColumns(new).drop(PID, *carry.keys())
+
+
+def change_points(
+    df: DataFrame,
+    key: str | Sequence[str],
+    order: Sequence[str],
+    value_cols: Sequence[str],
+    next_col: str = "next_from",
+    slices: int | None = None,
+) -> DataFrame:
+    """Rows whose ``value_cols`` differ from the previous row of their key
+    (and each key's first row), with ``next_col`` = the first ``order``
+    column of the key's next such row (NULL for the last).
+
+    One range-partitioned pass instead of "previous row, filter, next
+    row": the slice edges are resolved from two boundary tables with one
+    row per (key, slice) — the previous slice's last value decides whether
+    a slice's first row is a change, and the following slices' first
+    change gives the successor of a slice's last change.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    spark = df.sparkSession
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ts = order[0]
+    base = df.select(*keys, *order, *[c for c in value_cols if c not in keys and c not in order]).withColumn(
+        "__v", F.to_json(F.struct(*[F.col(c) for c in value_cols]))
+    )
+    ranged = base.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *[F.col(c).asc_nulls_first() for c in order])
+    rows = materialize(ranged.withColumn(PID, F.spark_partition_id()), "changes")
+
+    ord_struct = F.struct(*[F.col(c) for c in order])
+    wb = Window.partitionBy(*keys).orderBy(PID)
+    edges = rows.groupBy(*keys, PID).agg(F.max_by("__v", ord_struct).alias("__last_v"))
+    edges = edges.withColumn("__prev_last", F.lag("__last_v").over(wb)).select(*keys, PID, "__prev_last")
+
+    w = Window.partitionBy(PID, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    prev_v = F.when(F.row_number().over(w) == 1, F.col("__prev_last")).otherwise(F.lag("__v").over(w))
+    flagged = rows.join(edges, [*keys, PID], "left").withColumn("__chg", prev_v.isNull() | (prev_v != F.col("__v")))
+    flagged = flagged.withColumn(
+        "__next_in", F.first(F.when(F.col("__chg"), F.col(ts)), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    )
+
+    firsts = flagged.groupBy(*keys, PID).agg(F.min_by(F.col(ts), F.when(F.col("__chg"), ord_struct)).alias("__first_chg"))
+    firsts = firsts.withColumn(
+        "__next_out", F.first("__first_chg", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
+    ).select(*keys, PID, "__next_out")
+    out = flagged.where(F.col("__chg")).join(firsts, [*keys, PID], "left")
+    return out.withColumn(next_col, F.coalesce(F.col("__next_in"), F.col("__next_out"))).drop(
+        PID, "__v", "__prev_last", "__chg", "__next_in", "__next_out"
+    )
