@@ -91,3 +91,23 @@ def test_previous_row_matches_window_with_hot_key(spark):
     got_n = sequence.previous_row(df, "k", ["t"], ["v"], prefix="n_", ascending=False, slices=6)
     ref_n = df.withColumn("n_v", F.lead("v").over(w))
     assert sorted(got_n.select("k", "t", "n_v").collect()) == sorted(ref_n.select("k", "t", "n_v").collect())
+
+
+def test_hot_key_is_split_across_slices(spark):
+    # key 0 holds 40% of the rows
+    n = 5000
+    rows = [(0 if i % 5 < 2 else 1 + i % 97, i, i % 3) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, t long, v long")
+    sliced = df.repartitionByRange(8, "k", "t").withColumn("s", F.spark_partition_id())
+    per = {r["s"]: r["c"] for r in sliced.groupBy("s").agg(F.count(F.lit(1)).alias("c")).collect()}
+    hot_slices = sliced.where("k = 0").select("s").distinct().count()
+    assert hot_slices >= 3  # the hot key is cut into several slices
+    assert max(per.values()) <= 2.5 * n / 8  # no slice holds the hot key whole
+    # the sequence operators stay exact on this data
+    w = Window.partitionBy("k").orderBy("t")
+    got = sequence.previous_row(df, "k", ["t"], ["v"], slices=8).select("k", "t", "prev_v")
+    assert sorted(got.collect()) == sorted(df.withColumn("prev_v", F.lag("v").over(w)).select("k", "t", "prev_v").collect())
+    cp = sequence.change_points(df, "k", ["t"], ["v"], slices=8)
+    ref = df.withColumn("pv", F.lag("v").over(w)).where(F.col("pv").isNull() | (F.col("pv") != F.col("v")))
+    ref = ref.withColumn("next_from", F.lead("t").over(w)).select("k", "t", "v", "next_from")
+    assert sorted(cp.select("k", "t", "v", "next_from").collect()) == sorted(ref.collect())
