@@ -23,14 +23,32 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from civiclake.functions.clean import clean_text
 from civiclake.functions.keys import surrogate_key
 from civiclake.operators.joins import lookup_join
 
 
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table.  Its footer schema is inferred once per file version
+    (path, mtime, size) and passed on later reads, which skips the
+    footer-reading step of every query's planning."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    try:
+        st = os.stat(path)
+        key = (path, st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path: always infer
+        key = None
+    if key is not None and key in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.parquet(path)
+    if key is not None:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def deputies(spark: SparkSession, d: str) -> DataFrame:

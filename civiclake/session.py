@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 # Fixed defaults for local runs (tests, bench).  A cluster sizes these itself.
 LOCAL_CONF = {
@@ -86,7 +87,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: skip the footer-inference job on read-back
+    schema = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
+    return spark.read.schema(schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
