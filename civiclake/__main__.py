@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from civiclake.plans import pipeline
+from civiclake.plans import layers
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -33,11 +33,11 @@ def main(argv: list[str] | None = None) -> None:
         spark = SparkSession.builder.appName("civiclake").getOrCreate()
         ensure_checkpoint_dir(spark)
     if a.step == "all":
-        status = pipeline.run_all(spark, a.landing, a.lake, a.as_of).collect()
+        status = layers.run_all(spark, a.landing, a.lake, a.as_of).collect()
     else:
-        rows = {"ingest": lambda: pipeline.ingest_all(spark, a.landing, a.lake),
-                "transform": lambda: pipeline.transform_all(spark, a.lake, a.as_of),
-                "analyze": lambda: pipeline.analyze_all(spark, a.lake)}[a.step]()
+        rows = {"ingest": lambda: layers.ingest_all(spark, a.landing, a.lake),
+                "transform": lambda: layers.transform_all(spark, a.lake, a.as_of),
+                "analyze": lambda: layers.analyze_all(spark, a.lake)}[a.step]()
         status = rows
     for r in status:
         print("\t".join("" if v is None else str(v) for v in r))

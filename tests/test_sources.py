@@ -98,8 +98,8 @@ def _land_domain(root):
                                         "valorLiquido": "-5", "nomeFornecedor": "Cia"}]], parent=("idDeputado", 1))
 
 
-def test_pipeline_end_to_end(spark, tmpdir_run):
-    from civiclake.plans.pipeline import run_all
+def test_layers_end_to_end(spark, tmpdir_run):
+    from civiclake.plans.layers import run_all
 
     landing = os.path.join(tmpdir_run, "landing")
     out = os.path.join(tmpdir_run, "lake")
@@ -126,7 +126,7 @@ def test_pipeline_end_to_end(spark, tmpdir_run):
 
 
 def test_bronze_error_isolation(spark, tmpdir_run):
-    from civiclake.plans.pipeline import run_layer
+    from civiclake.plans.layers import run_layer
 
     def boom():
         raise ValueError("endpoint down")
