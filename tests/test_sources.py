@@ -183,3 +183,18 @@ def test_streaming_incremental_ingest(spark, tmpdir_run):
     q.awaitTermination(120)
     got = sorted(r["id"] for r in spark.read.parquet(target).collect())
     assert got == ["a", "b", "c"]
+
+
+def test_cli_runs_layers_step_by_step(spark, tmpdir_run, capsys):
+    from civiclake.__main__ import main
+
+    landing, lake = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "lake")
+    _land_domain(landing)
+    main(["ingest", "--landing", landing, "--lake", lake])
+    main(["transform", "--lake", lake, "--as-of", AS_OF])
+    main(["analyze", "--lake", lake])
+    lines = [ln.split("\t") for ln in capsys.readouterr().out.strip().splitlines()]
+    assert {ln[0] for ln in lines} == {"bronze", "silver", "gold"}
+    assert all(ln[2] in ("ok", "vazio") for ln in lines)
+    top = spark.read.parquet(os.path.join(lake, "gold", "b_engajamento_deputados")).orderBy("id").collect()
+    assert [r["qtde_votacoes"] for r in top] == [1, 1, 0]
