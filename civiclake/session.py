@@ -42,7 +42,11 @@ def build_session(master: str | None = None, app: str = "civiclake", **conf: str
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # Spark Connect: no SparkContext on the client
+        master = spark.conf.get("spark.master", "")
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -53,7 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     which is only acceptable in local mode (tests); on a cluster we fail
     loudly instead of writing to a machine-local path.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the folder must come from the conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
+        return tempfile.mkdtemp(prefix="civiclake-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
