@@ -41,7 +41,7 @@ def zscore_flag(df: DataFrame, value: str, groups: Sequence[str], k: float = 3.0
     """
     groups = list(groups)
     stats = group_stats(df, value, groups, money=money)
-    joined = _null_safe_left(df, stats, groups)
+    joined = _left_by_keys(df, stats, groups)
     z = F.try_divide(F.col(value) - F.col("media"), F.col("desvio"))
     return joined.withColumn("z_score", z).withColumn("anomalia", F.abs(F.col("z_score")) > F.lit(k))
 
@@ -55,13 +55,13 @@ def zscore_filter(df: DataFrame, value: str, groups: Sequence[str], k: float = 3
     """
     groups = list(groups)
     stats = group_stats(df, value, groups, sd_col=sd_col, money=money)
-    joined = _null_safe_left(df, stats, groups)
+    joined = _left_by_keys(df, stats, groups)
     sd = F.col(sd_col)
     z = F.when(sd.isNotNull() & (sd > 0), (F.col(value) - F.col("media")) / sd).otherwise(F.lit(0.0))
     return joined.withColumn("z_score", z).where((F.abs(F.col("z_score")) > F.lit(k)) & (F.col(value) > 0))
 
 
-def _null_safe_left(df: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
+def _left_by_keys(df: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
     """Left join on group keys that keeps one copy of each key column."""
     s = stats.select(*[F.col(g).alias(f"__g_{g}") for g in groups], *[c for c in stats.columns if c not in groups])
     cond = [df[g] == s[f"__g_{g}"] for g in groups]

@@ -1,3 +1,10 @@
 """Sinks: path and catalog writes with observed row counts, comments."""
 
-from civiclake.sinks.writers import comment_columns, comment_table, register_table, save_table, write_path  # noqa: F401
+from civiclake.sinks.writers import (  # noqa: F401
+    comment_columns,
+    comment_table,
+    publish_version,
+    register_table,
+    save_table,
+    write_path,
+)

@@ -44,14 +44,39 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     """Expose files at ``path`` as a catalog table (``CREATE TABLE ... LOCATION``)."""
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=fmt)
-        if fmt == "parquet":
-            spark.sql(f"MSCK REPAIR TABLE {name}") if _is_partitioned(spark, name) else None
+        if fmt == "parquet" and _is_partitioned(spark, name):
+            spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(name))
 
 
+def publish_version(spark: SparkSession, df: DataFrame, name: str, base_path: str, fmt: str = "parquet",
+                    partition_by: Sequence[str] = ()) -> tuple[str, int]:
+    """Write ``df`` as a new version of table ``name`` and point the table at it.
+
+    For tables rewritten from themselves (an SCD2 merge reads the current
+    history and produces the next one): overwriting the path being read
+    would fail, so each version goes to its own folder under ``base_path``
+    and the catalog entry is switched with ``ALTER TABLE ... SET LOCATION``.
+    Earlier versions stay readable until the caller removes them.
+    Returns (version path, rows written).
+    """
+    import uuid
+
+    path = f"{base_path.rstrip('/')}/version={uuid.uuid4().hex}"
+    n = write_path(df, path, fmt, partition_by, mode="errorifexists")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_q(path)}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=path, source=fmt)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    return path, n
+
+
 def comment_table(spark: SparkSession, name: str, comment: str) -> None:
     """``COMMENT ON TABLE``."""
     spark.sql(f"COMMENT ON TABLE {name} IS '{_q(comment)}'")

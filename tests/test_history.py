@@ -111,3 +111,24 @@ def test_hot_key_is_split_across_slices(spark):
     ref = df.withColumn("pv", F.lag("v").over(w)).where(F.col("pv").isNull() | (F.col("pv") != F.col("v")))
     ref = ref.withColumn("next_from", F.lead("t").over(w)).select("k", "t", "v", "next_from")
     assert sorted(cp.select("k", "t", "v", "next_from").collect()) == sorted(ref.collect())
+
+
+def test_scd2_merge_published_as_new_versions(spark, tmpdir_run):
+    from civiclake.sinks import publish_version
+
+    name = "civiclake_test_dim_hist"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    base = tmpdir_run + "/dim_hist"
+    log = spark.createDataFrame([(1, D(1), "A"), (2, D(1), "X")], "id long, ts timestamp, p string")
+    publish_version(spark, scd2.scd2_from_log(log, "id", "ts", ["p"]), name, base)
+    for day, snap_rows in ((10, [(1, "B"), (2, "X")]), (20, [(1, "C"), (3, "Z")])):
+        current = spark.read.table(name)
+        snap = spark.createDataFrame(snap_rows, "id long, p string")
+        merged = scd2.scd2_merge(current, snap, "id", ["p"], f"2024-01-{day} 00:00:00")
+        publish_version(spark, merged, name, base)  # reads the table it replaces
+    got = sorted((r["id"], r["p"], r["valid_from"], r["valid_to"], r["is_current"]) for r in spark.read.table(name).collect())
+    assert got == [
+        (1, "A", D(1), D(10), False), (1, "B", D(10), D(20), False), (1, "C", D(20), None, True),
+        (2, "X", D(1), None, True), (3, "Z", D(20), None, True),
+    ]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
