@@ -198,3 +198,13 @@ def test_cli_runs_layers_step_by_step(spark, tmpdir_run, capsys):
     assert all(ln[2] in ("ok", "vazio") for ln in lines)
     top = spark.read.parquet(os.path.join(lake, "gold", "b_engajamento_deputados")).orderBy("id").collect()
     assert [r["qtde_votacoes"] for r in top] == [1, 1, 0]
+
+
+def test_partitioned_rerun_replaces_only_its_partitions(spark, tmpdir_run):
+    path = os.path.join(tmpdir_run, "fact")
+    first = spark.createDataFrame([(1, 2024, 1, 10.0), (2, 2024, 2, 20.0)], "id long, ano int, mes int, v double")
+    writers.write_path(first, path, partition_by=("ano", "mes"))
+    rerun = spark.createDataFrame([(3, 2024, 2, 30.0)], "id long, ano int, mes int, v double")  # February reloaded
+    writers.write_path(rerun, path, partition_by=("ano", "mes"))
+    got = sorted((r["id"], r["mes"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1), (3, 2)]  # January kept, February replaced
