@@ -51,10 +51,12 @@ def date_dim(events: DataFrame, start: str = "data_inicio") -> DataFrame:
 
 
 def presence_rate(attendance: DataFrame, event: str, attendee: str) -> DataFrame:
-    """Per attendee, events attended and the share of all events.
+    """Per attendee, events attended and the share of events.
 
     ``attendance`` has one row per (event, attendee) appearance, i.e. the
-    exploded presence list.  The denominator is a scalar subquery.
+    exploded presence list, so the denominator is the number of events
+    with a recorded presence list (attendance at the others is unknown).
+    It is a scalar subquery.
     """
     total = attendance.select(F.count_distinct(event)).scalar()
     per = attendance.groupBy(attendee).agg(F.count_distinct(event).alias("qtde_eventos"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.operators import alignment, diversity, engagement, reports, stats
+from civiclake.operators import alignment, diversity, engagement, events, reports, stats
 from civiclake.operators.joins import lookup_join
 
 
@@ -28,6 +28,10 @@ def gold_b(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "padroes_votacao": reports.vote_patterns(vot),
         "eventos_por_mes": reports.monthly_events(ev),
         "anomalias_despesas": anom,
+        # documented extensions
+        "atlas_frentes": events.front_atlas(mem, s["dim_frentes"], dep.withColumn("regiao", F.lit(None).cast("string"))),
+        "taxa_presenca": events.presence_rate(events.explode_presence(ev, "id", "presenca"), "id_evento", "id_deputado"),
+        "engajamento_mensal": engagement.engagement_trend(vot.where(F.col("data_votacao").isNotNull()), "deputado_id", "data_votacao"),
     }
 
 

@@ -119,6 +119,10 @@ def test_layers_end_to_end(spark, tmpdir_run):
     div = {r["idFrente"]: r["indice_diversidade"] for r in spark.read.parquet(os.path.join(out, "gold", "b_diversidade_partidaria_frentes")).collect()}
     assert div[10] == 0.5 and div[11] == 0.0
     assert os.path.isdir(os.path.join(out, "bronze", "eventos", "ano=2024"))  # S13
+    pres = {r["id_deputado"]: r["taxa_presenca"] for r in spark.read.parquet(os.path.join(out, "gold", "b_taxa_presenca")).collect()}
+    assert pres == {1: 1.0, 2: 1.0}  # both present at the only event that has a presence list
+    atlas = spark.read.parquet(os.path.join(out, "gold", "b_atlas_frentes")).where("idFrente = 10").orderBy("id_deputado").collect()
+    assert [(r["titulo"], r["sigla_partido"]) for r in atlas] == [("Frente A", "PT"), ("Frente A", "PL")]
     unparsed = {r["coluna"]: r["nao_convertidos"] for r in spark.read.parquet(os.path.join(out, "audit", "nao_convertidos_despesas")).collect()}
     assert unparsed == {"valor_liquido": 0, "valor_documento": 0, "data_documento": 0}
     pages = spark.read.parquet(os.path.join(out, "audit", "paginas_deputados")).first()
