@@ -25,7 +25,7 @@ from civiclake.functions.clean import (
 from civiclake.functions.dates import month_label
 from civiclake.functions.keys import surrogate_key
 from civiclake.operators.dedup import keep_latest
-from civiclake.operators.events import date_key, event_fact
+from civiclake.operators.events import date_dim, event_fact
 from civiclake.operators.joins import lookup_join
 from civiclake.operators.scd2 import scd2_snapshot
 
@@ -74,10 +74,7 @@ def event_dims(eventos: DataFrame) -> dict[str, DataFrame]:
     Organs come from the ``orgaos`` array or a single ``orgao`` struct;
     events without organs contribute none (P7, P8).
     """
-    start = to_timestamp_safe("dataHoraInicio")
-    dim_data = eventos.select(F.to_date(start).alias("data")).where(F.col("data").isNotNull()).distinct().select(
-        date_key("data").alias("id_data"), "data"
-    )
+    dim_data = date_dim(eventos.select(to_timestamp_safe("dataHoraInicio").alias("inicio")), "inicio")
     organs = F.coalesce(F.col("orgaos"), F.when(F.col("orgao").isNotNull(), F.array(F.col("orgao"))))
     org = eventos.select(F.explode(organs).alias("org")).select(
         F.col("org.id").alias("id_orgao"), clean_text("org.sigla").alias("sigla_orgao"), clean_text("org.nome").alias("nome_orgao")
