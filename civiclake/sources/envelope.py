@@ -69,19 +69,20 @@ def pages_from(raw: DataFrame, parent: str | None = None) -> DataFrame:
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:
-    """Per parent, were all pages landed?
+    """Per parent, were all pages landed and readable?
 
-    ``completo`` when pages 1..max are all present and the last one has no
-    ``next`` link.  Output: ``parent, paginas, ultima_pagina, faltando,
-    ultima_tem_proxima, completo``.
+    ``completo`` when pages 1..max are all present, none is corrupt JSON,
+    and the last one has no ``next`` link.  Output: ``parent, paginas,
+    ultima_pagina, faltando, corrompidas, ultima_tem_proxima, completo``.
     """
     per = pages.where(F.col("pagina").isNotNull()).groupBy("parent").agg(
         F.count_distinct("pagina").alias("paginas"),
         F.max("pagina").alias("ultima_pagina"),
+        F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrompidas"),
         F.max_by("tem_proxima", "pagina").alias("ultima_tem_proxima"),
     )
     return per.withColumn("faltando", F.col("ultima_pagina") - F.col("paginas")).withColumn(
-        "completo", (F.col("faltando") == 0) & ~F.col("ultima_tem_proxima")
+        "completo", (F.col("faltando") == 0) & (F.col("corrompidas") == 0) & ~F.col("ultima_tem_proxima")
     )
 
 

@@ -212,3 +212,14 @@ def test_partitioned_rerun_replaces_only_its_partitions(spark, tmpdir_run):
     writers.write_path(rerun, path, partition_by=("ano", "mes"))
     got = sorted((r["id"], r["mes"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1), (3, 2)]  # January kept, February replaced
+
+
+def test_corrupt_page_is_not_complete(spark, tmpdir_run):
+    d = land(tmpdir_run, "frentes", [[{"id": 1}], [{"id": 2}]])
+    with open(os.path.join(d, "page=2.json"), "w") as fh:
+        fh.write('{"dados": [{"id": 2}, ')  # truncated landing
+    pages = envelope.read_pages(spark, os.path.join(tmpdir_run, "frentes"))
+    c = envelope.page_completeness(pages).first()
+    assert (c["paginas"], c["corrompidas"], c["completo"]) == (2, 1, False)
+    recs, _ = envelope.bronze(spark, tmpdir_run, BRONZE["frentes"])
+    assert [r["id"] for r in recs.collect()] == [1]  # the readable page still loads
