@@ -30,9 +30,9 @@ def gold_b(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "anomalias_despesas": anom,
         # documented extensions
         "atlas_frentes": events.front_atlas(mem, s["dim_frentes"], dep.withColumn("regiao", F.lit(None).cast("string"))),
-        "taxa_presenca": events.presence_rate(events.explode_presence(ev, "id", "presenca"), "id_evento", "id_deputado"),
         "engajamento_mensal": engagement.engagement_trend(vot.where(F.col("data_votacao").isNotNull()), "deputado_id", "data_votacao"),
-    }
+    } | ({"taxa_presenca": events.presence_rate(events.explode_presence(ev, "id", "presenca"), "id_evento", "id_deputado")}
+         if "presenca" in ev.columns else {})
 
 
 def gold_a(s: dict[str, DataFrame], top_n: int = 10) -> dict[str, DataFrame]:
