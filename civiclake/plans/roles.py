@@ -129,3 +129,26 @@ def legislative_events(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderstatus").alias("situacao"),
         F.col("o_custkey").alias("id_deputado"),
     )
+
+
+def silver_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Both generations' silver tables derived from the driver tables, with
+    the column names the gold builders read (``plans.gold``)."""
+    from civiclake.operators.dims import extract_dim
+    from civiclake.operators.events import date_dim, event_fact
+
+    dep, mem, vot, exp, lev = deputies(spark, d), memberships(spark, d), votes(spark, d), expenses(spark, d), legislative_events(spark, d)
+    return {
+        # Gen-B
+        "dim_deputados": dep, "dim_frentes": fronts(spark, d), "fact_frentes_membros": mem, "fact_votacoes": vot,
+        "fact_despesas": exp, "fact_eventos": lev,
+        # Gen-A
+        "dim_deputado": dep.select(F.col("id").alias("id_deputado"), "sigla_partido", "sigla_uf"),
+        "fato_frente_membro": mem.select(F.col("idFrente").alias("id_frente"), F.col("id").alias("id_deputado")),
+        "fato_voto": vot.select(F.col("deputado_id").alias("id_deputado"), "idVotacao", F.col("tipoVoto").alias("voto_texto")),
+        "fato_despesa": exp.select(F.col("idDeputado").alias("id_deputado"), "id_fornecedor", "id_categoria", "valor_liquido"),
+        "dim_fornecedor": extract_dim(exp, "nomeFornecedor", "nome_fornecedor", "id_fornecedor"),
+        "fato_evento": event_fact(lev.withColumn("data_fim", F.lit(None).cast("timestamp_ntz")), "id", "data_inicio", "data_fim",
+                                  "descricaoTipo", None),
+        "dim_data": date_dim(lev, "data_inicio"),
+    }
