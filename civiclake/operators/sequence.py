@@ -29,6 +29,20 @@ from civiclake.session import materialize
 PID = "__slice"
 
 
+def _join_slices(rows: DataFrame, edges: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join a per-(key, slice) boundary table back to the rows.
+
+    Null-safe on the key, so rows with a NULL key (one group for a window)
+    also get their carried values across slices.
+    """
+    e = edges.select(*[F.col(k).alias(f"__e_{k}") for k in keys], F.col(PID).alias("__e_pid"),
+                     *[c for c in edges.columns if c not in keys and c != PID])
+    cond = rows[PID] == e["__e_pid"]
+    for k in keys:
+        cond = cond & rows[k].eqNullSafe(e[f"__e_{k}"])
+    return rows.join(e, cond, how).drop(*[f"__e_{k}" for k in keys], "__e_pid")
+
+
 def previous_row(
     df: DataFrame,
     key: str | Sequence[str],
@@ -69,7 +83,7 @@ def previous_row(
         carry = {"__carry": F.lag("__last").over(wb)}
     bounds = bounds.withColumns(carry).select(*keys, PID, *carry.keys())
 
-    joined = rows.join(bounds, [*keys, PID], "left")
+    joined = _join_slices(rows, bounds, keys)
     w = Window.partitionBy(PID, *keys).orderBy(*order_exprs)
     if ignore_nulls:
         frame = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +129,7 @@ def change_points(
 
     w = Window.partitionBy(PID, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     prev_v = F.when(F.row_number().over(w) == 1, F.col("__prev_last")).otherwise(F.lag("__v").over(w))
-    flagged = rows.join(edges, [*keys, PID], "left").withColumn("__chg", prev_v.isNull() | (prev_v != F.col("__v")))
+    flagged = _join_slices(rows, edges, keys).withColumn("__chg", prev_v.isNull() | (prev_v != F.col("__v")))
     flagged = flagged.withColumn(
         "__next_in", F.first(F.when(F.col("__chg"), F.col(ts)), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
     )
@@ -124,7 +138,7 @@ def change_points(
     firsts = firsts.withColumn(
         "__next_out", F.first("__first_chg", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
     ).select(*keys, PID, "__next_out")
-    out = flagged.where(F.col("__chg")).join(firsts, [*keys, PID], "left")
+    out = _join_slices(flagged.where(F.col("__chg")), firsts, keys)
     return out.withColumn(next_col, F.coalesce(F.col("__next_in"), F.col("__next_out"))).drop(
         PID, "__v", "__prev_last", "__chg", "__next_in", "__next_out"
     )

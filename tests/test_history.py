@@ -132,3 +132,15 @@ def test_scd2_merge_published_as_new_versions(spark, tmpdir_run):
         (2, "X", D(1), None, True), (3, "Z", D(20), None, True),
     ]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_null_key_group_spanning_slices(spark):
+    rows = [(None, i, i % 4) for i in range(60)] + [(1, i, i % 2) for i in range(20)]
+    df = spark.createDataFrame(rows, "k long, t long, v long")
+    w = Window.partitionBy("k").orderBy("t")
+    got = sequence.previous_row(df, "k", ["t"], ["v"], slices=5).select("k", "t", "prev_v")
+    assert sorted(got.collect(), key=str) == sorted(df.withColumn("prev_v", F.lag("v").over(w)).select("k", "t", "prev_v").collect(), key=str)
+    cp = sequence.change_points(df, "k", ["t"], ["v"], slices=5).select("k", "t", "next_from")
+    ref = df.withColumn("pv", F.lag("v").over(w)).where(F.col("pv").isNull() | (F.col("pv") != F.col("v")))
+    ref = ref.withColumn("next_from", F.lead("t").over(w)).select("k", "t", "next_from")
+    assert sorted(cp.collect(), key=str) == sorted(ref.collect(), key=str)

@@ -12,7 +12,7 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 
 # a key column where key 0 dominates (hot key), plus a strictly increasing order column
 rows_strategy = st.lists(
-    st.tuples(st.sampled_from([0, 0, 0, 0, 1, 2, 3]), st.one_of(st.none(), st.integers(0, 4))),
+    st.tuples(st.sampled_from([0, 0, 0, 0, 1, 2, 3, None, None]), st.one_of(st.none(), st.integers(0, 4))),
     min_size=1, max_size=120,
 )
 
@@ -29,10 +29,12 @@ def test_previous_row_brute_force(spark, rows, slices, ignore, asc):
     got = sequence.previous_row(sdf, "k", ["t"], ["v"], prefix="p_", ascending=asc, ignore_nulls=ignore, slices=slices)
     got = {(r["k"], r["t"]): r["p_v"] for r in got.collect()}
     exp = {}
-    for k, g in pdf.sort_values("t", ascending=asc).groupby("k"):
+    pdf = pdf.astype({"k": "object"}).where(pdf.notna(), None)
+    for k, g in pdf.sort_values("t", ascending=asc).groupby("k", dropna=False):
         prev, last_nn = None, None
         for _, r in g.iterrows():
-            exp[(r["k"], r["t"])] = last_nn if ignore else prev
+            kk = None if pd.isna(r["k"]) else int(r["k"])
+            exp[(kk, int(r["t"]))] = last_nn if ignore else prev
             prev = None if pd.isna(r["v"]) else int(r["v"])
             if not pd.isna(r["v"]):
                 last_nn = int(r["v"])
@@ -45,7 +47,8 @@ def test_keep_latest_brute_force(spark, rows):
     sdf, pdf = _frame(spark, rows)
     got = {r["k"]: (r["t"], r["v"]) for r in dedup.keep_latest(sdf, ["k"], ["v"]).collect()}
     exp = {}
-    for k, g in pdf.groupby("k"):
+    for k, g in pdf.groupby("k", dropna=False):
+        k = None if pd.isna(k) else int(k)
         # greatest v (NULL lowest), ties -> greatest t
         g = g.assign(vv=g["v"].astype("float").fillna(-1.0)).sort_values(["vv", "t"])
         last = g.iloc[-1]
