@@ -62,10 +62,11 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     ts = F.lit(as_of).cast(tstype)
     no_ts = F.lit(None).cast(tstype)
     past = history.where(~F.col("is_current")).select(key, *tracked, "valid_from", "valid_to", "is_current")
-    cur = history.where(F.col("is_current")).select(key, *tracked, "valid_from")
-    snap = snapshot.select(F.col(key).alias("__sk"), *[F.col(c).alias(f"__s_{c}") for c in tracked])
+    cur = history.where(F.col("is_current")).select(key, *tracked, "valid_from", F.lit(True).alias("__in_cur"))
+    snap = snapshot.select(F.col(key).alias("__sk"), *[F.col(c).alias(f"__s_{c}") for c in tracked], F.lit(True).alias("__in_snap"))
     j = cur.join(snap, cur[key] == snap["__sk"], "full")
-    in_cur, in_snap = F.col(key).isNotNull(), F.col("__sk").isNotNull()
+    # presence markers, not key nullness: a NULL key never matches but is still a row
+    in_cur, in_snap = F.col("__in_cur").isNotNull(), F.col("__in_snap").isNotNull()
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
@@ -96,7 +97,7 @@ def as_was_join(facts: DataFrame, versions: DataFrame, fact_key: str, fact_date:
     tstype = versions.schema["valid_from"].dataType
     far = F.lit("9999-12-31 00:00:00").cast(tstype)
     vstruct = F.struct(*[F.col(a) for a in attrs], F.col("valid_from"))
-    ver = versions.select(
+    ver = versions.where(F.col(version_key).isNotNull()).select(  # a NULL key never matches, as in a join
         F.col(version_key).alias("__k"), F.col("valid_from").alias("__d"), F.lit(0).alias("__kind"),
         F.coalesce(F.col("valid_to"), far).alias("__vto"), vstruct.alias("__v"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields],

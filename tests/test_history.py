@@ -144,3 +144,15 @@ def test_null_key_group_spanning_slices(spark):
     ref = df.withColumn("pv", F.lag("v").over(w)).where(F.col("pv").isNull() | (F.col("pv") != F.col("v")))
     ref = ref.withColumn("next_from", F.lead("t").over(w)).select("k", "t", "next_from")
     assert sorted(cp.collect(), key=str) == sorted(ref.collect(), key=str)
+
+
+def test_null_keys_in_merge_and_as_was(spark):
+    hist = spark.createDataFrame([(None, "A", D(1), None, True), (1, "A", D(1), None, True)],
+                                 "id long, p string, valid_from timestamp, valid_to timestamp, is_current boolean")
+    snap = spark.createDataFrame([(1, "A"), (None, "B")], "id long, p string")
+    got = sorted(((r["id"] is None, r["p"], r["is_current"]) for r in scd2.scd2_merge(hist, snap, "id", ["p"], "2024-01-10 00:00:00").collect()))
+    # the NULL-key current row is kept (it matches nothing); the NULL-key snapshot row is inserted
+    assert got == [(False, "A", True), (True, "A", True), (True, "B", True)]
+    facts = spark.createDataFrame([(1, None, D(5)), (2, 1, D(5))], "fid long, cust long, d timestamp")
+    out = {r["fid"]: r["p"] for r in scd2.as_was_join(facts, hist, "cust", "d", ["fid"], "id", ["p"]).collect()}
+    assert out == {1: None, 2: "A"}
