@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from civiclake.functions.clean import to_timestamp_safe
 from civiclake.operators import quality
@@ -59,16 +59,23 @@ def _bronze_frame(spark: SparkSession, landing: str, spec) -> tuple[DataFrame, s
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        schema = StructType(list(spec.schema.fields) + [
-            StructField("_extra", StringType()), StructField("_arquivo", StringType()), StructField("pagina", LongType()),
-            StructField("_chegada", TimestampType()),
-        ])
-        df, status = spark.createDataFrame([], schema), "vazio"
+        df, status = spark.createDataFrame([], bronze_schema(spec, with_partitions=False)), "vazio"
     if spec.name == "eventos":
         df = df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
     return df, status
 
 
+def bronze_schema(spec, with_partitions: bool = True) -> StructType:
+    """Schema of a written bronze table: record fields, overflow, lineage (+ partition columns)."""
+    fields = list(spec.schema.fields) + [
+        StructField("_extra", StringType()), StructField("_arquivo", StringType()), StructField("pagina", LongType()),
+        StructField("_chegada", TimestampType()),
+    ]
+    if with_partitions:
+        fields += [StructField(c, IntegerType()) for c in BRONZE_PARTITIONS.get(spec.name, ())]
+    return StructType(fields)
+
+
 def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
     """Bronze: every endpoint, failures isolated per table; an endpoint with
     no landed pages is written as an empty typed table."""
@@ -83,19 +90,28 @@ def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
     return rows
 
 
-def _read_layer(spark: SparkSession, out_dir: str, layer: str, names) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(os.path.join(out_dir, layer, n)) for n in names}
+def _read_bronze(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Written bronze tables, read with their declared schemas, so an empty
+    endpoint (which may have no data files when partitioned) reads as empty."""
+    return {n: spark.read.schema(bronze_schema(spec)).parquet(os.path.join(out_dir, "bronze", n)) for n, spec in BRONZE.items()}
+
+
+def _read_silver(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Written silver tables, read with the schemas of the silver builders
+    (derived by analysis alone, no job), for the same reason."""
+    schemas = {k: v.schema for k, v in silver.build_all(_read_bronze(spark, out_dir), "1970-01-01 00:00:00").items()}
+    return {n: spark.read.schema(schemas[n]).parquet(os.path.join(out_dir, "silver", n)) for n in silver.TABLES}
 
 
 def transform_all(spark: SparkSession, out_dir: str, as_of: str) -> list[tuple]:
     """Silver: all dimensions and facts from the written bronze tables (stops at the first failure)."""
-    frames = silver.build_all(_read_layer(spark, out_dir, "bronze", BRONZE), as_of)
+    frames = silver.build_all(_read_bronze(spark, out_dir), as_of)
     return run_layer(spark, "silver", {k: (lambda v=v: v) for k, v in frames.items()}, out_dir, silver.PARTITIONS)
 
 
 def analyze_all(spark: SparkSession, out_dir: str) -> list[tuple]:
     """Gold: both metric generations from the written silver tables (stops at the first failure)."""
-    sv = _read_layer(spark, out_dir, "silver", silver.TABLES)
+    sv = _read_silver(spark, out_dir)
     g = {f"b_{k}": v for k, v in gold.gold_b(sv).items()} | {f"a_{k}": v for k, v in gold.gold_a(sv).items()}
     return run_layer(spark, "gold", {k: (lambda v=v: v) for k, v in g.items()}, out_dir)
 
@@ -106,8 +122,7 @@ def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> Data
     status += transform_all(spark, out_dir, as_of)
     status += analyze_all(spark, out_dir)
     landed = {r[1]: BRONZE[r[1]] for r in status if r[0] == "bronze" and r[2] == "ok"}
-    status += run_layer(spark, "audit", audit_tables(spark, landing, landed, _read_layer(spark, out_dir, "silver", silver.TABLES)),
-                        out_dir)
+    status += run_layer(spark, "audit", audit_tables(spark, landing, landed, _read_silver(spark, out_dir)), out_dir)
     return spark.createDataFrame(status, STATUS)
 
 

@@ -29,7 +29,7 @@ def write_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Seq
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(observed, partition_by, mode).format(fmt).save(path)
-    return int(obs.get["rows"])
+    return _observed_rows(obs, df)
 
 
 def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
@@ -37,7 +37,19 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Seq
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(observed, partition_by, mode).format(fmt).saveAsTable(name)
-    return int(obs.get["rows"])
+    return _observed_rows(obs, df)
+
+
+def _observed_rows(obs: Observation, df: DataFrame) -> int:
+    """Rows counted during the write.  A frame with no partitions at all (an
+    empty source) never runs the metrics node; then it has no rows, which
+    ``isEmpty`` confirms cheaply."""
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001
+        if df.isEmpty():
+            return 0
+        raise
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:

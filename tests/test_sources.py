@@ -223,3 +223,15 @@ def test_corrupt_page_is_not_complete(spark, tmpdir_run):
     assert (c["paginas"], c["corrompidas"], c["completo"]) == (2, 1, False)
     recs, _ = envelope.bronze(spark, tmpdir_run, BRONZE["frentes"])
     assert [r["id"] for r in recs.collect()] == [1]  # the readable page still loads
+
+
+def test_layers_with_only_one_endpoint_landed(spark, tmpdir_run):
+    from civiclake.plans.layers import run_all
+
+    landing, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "lake")
+    land(landing, "deputados", [[{"id": 1, "nome": "Ana", "siglaPartido": "PT", "siglaUf": "SP"}]])
+    status = run_all(spark, landing, out, AS_OF).collect()
+    bad = [r for r in status if r["status"] not in ("ok", "vazio")]
+    assert not bad, bad
+    eng = spark.read.parquet(os.path.join(out, "gold", "b_engajamento_deputados")).collect()
+    assert [(r["id"], r["score_engajamento"]) for r in eng] == [(1, 0.0)]
