@@ -28,8 +28,12 @@ def vote_engagement_minmax(votes: DataFrame, deputy: str = "deputado_id", ballot
     return minmax_score(per_dep, "qtde_votacoes", "score_engajamento").select("id_deputado", "score_engajamento")
 
 
+# Fixed values of the weighted engagement score: fronts weigh 40, votes 60 (out of 100).
+FRONTS_WEIGHT, VOTES_WEIGHT = 40.0, 60.0
+
+
 def weighted_engagement(deputies: DataFrame, memberships: DataFrame, votes: DataFrame,
-                        w_fronts: float = 40.0, w_votes: float = 60.0) -> DataFrame:
+                        w_fronts: float = FRONTS_WEIGHT, w_votes: float = VOTES_WEIGHT) -> DataFrame:
     """Gen-B (G13): every deputy gets ``40*fronts/max + 60*votes/max``.
 
     A component is 0 when its maximum is 0 or absent.  Output columns:

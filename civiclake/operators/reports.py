@@ -18,6 +18,9 @@ from civiclake.functions.clean import money, money_avg, money_avg_from_parts, mo
 from civiclake.functions.dates import iso_week, week_start
 from civiclake.operators.joins import lookup_join
 
+# Report sizes of the reference's rankings and dashboard lists.
+TOP_MEMBERS, TOP_SUPPLIERS_BY_KEY, TOP_SUPPLIERS_BY_NAME, TOP_TYPES, RECENT_EVENTS = 10, 10, 50, 10, 20
+
 
 def distinct_count(c: str, approx: bool = False, rsd: float = 0.01) -> Column:
     """Exact ``count(DISTINCT c)`` by default (A3); ``approx=True`` uses a
@@ -32,13 +35,13 @@ def top_n(df: DataFrame, measure: str | Column, keys: Sequence[str], n: int) ->
     return df.orderBy(m.desc(), *[F.col(k).asc() for k in keys]).limit(n)
 
 
-def most_active_members(memberships: DataFrame, n: int = 10, approx: bool = False) -> DataFrame:
+def most_active_members(memberships: DataFrame, n: int = TOP_MEMBERS, approx: bool = False) -> DataFrame:
     """Deputies in the most distinct fronts -> ``id_deputado, qtde_frentes``."""
     per = memberships.groupBy(F.col("id").alias("id_deputado")).agg(distinct_count("idFrente", approx).alias("qtde_frentes"))
     return top_n(per, "qtde_frentes", ["id_deputado"], n)
 
 
-def supplier_ranking_by_key(expenses: DataFrame, suppliers: DataFrame, n: int = 10) -> DataFrame:
+def supplier_ranking_by_key(expenses: DataFrame, suppliers: DataFrame, n: int = TOP_SUPPLIERS_BY_KEY) -> DataFrame:
     """Sum by supplier key, label, top-n, constant ``cnpj_suspeito``.
 
     Aggregates before the label join, so the join sees one row per supplier.
@@ -50,7 +53,7 @@ def supplier_ranking_by_key(expenses: DataFrame, suppliers: DataFrame, n: int =
     ).select("id_fornecedor", "nome_fornecedor", "total_recebido", "cnpj_suspeito")
 
 
-def supplier_ranking_by_name(expenses: DataFrame, n: int = 50, approx: bool = False) -> DataFrame:
+def supplier_ranking_by_name(expenses: DataFrame, n: int = TOP_SUPPLIERS_BY_NAME, approx: bool = False) -> DataFrame:
     """``nomeFornecedor, total_recebido, qtde_transacoes, qtde_deputados_atendidos``."""
     per = (
         expenses.where(F.col("nomeFornecedor").isNotNull())
@@ -191,19 +194,19 @@ def grand_totals(events: DataFrame, expenses: DataFrame) -> DataFrame:
     return events.sparkSession.range(1).select(n_events.alias("total_eventos"), total.alias("total_despesas"))
 
 
-def top_event_types(events: DataFrame, n: int = 10, kind: str = "descricaoTipo") -> DataFrame:
+def top_event_types(events: DataFrame, n: int = TOP_TYPES, kind: str = "descricaoTipo") -> DataFrame:
     """``descricaoTipo, qtde_eventos`` top n."""
     per = events.groupBy(kind).agg(F.count(F.lit(1)).alias("qtde_eventos"))
     return top_n(per, "qtde_eventos", [kind], n)
 
 
-def recent_events(events: DataFrame, n: int = 20, ts: str = "data_inicio", event_id: str = "id",
+def recent_events(events: DataFrame, n: int = RECENT_EVENTS, ts: str = "data_inicio", event_id: str = "id",
                   columns: Sequence[str] = ("descricaoTipo", "situacao")) -> DataFrame:
     """The ``n`` most recent events (ties broken by id)."""
     return events.select(event_id, ts, *columns).orderBy(F.col(ts).desc_nulls_last(), F.col(event_id).asc()).limit(n)
 
 
-def share_by_type(expenses: DataFrame, n: int = 10) -> DataFrame:
+def share_by_type(expenses: DataFrame, n: int = TOP_TYPES) -> DataFrame:
     """``tipoDespesa, total_gasto, participacao`` of the grand total, top n."""
     per = expenses.groupBy("tipoDespesa").agg(F.sum(money("valor_liquido")).alias("__dec"))
     grand = per.select(F.sum("__dec")).scalar()  # from the per-type sums: no second pass over the rows

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from civiclake.session import materialize
 
+# Fixed value: a row is an outlier when |z| exceeds 3 standard deviations.
+Z_THRESHOLD = 3.0
+
 
 def group_stats(df: DataFrame, value: str, groups: Sequence[str], mean_col: str = "media", sd_col: str = "desvio",
                 money: bool = False) -> DataFrame:
@@ -32,7 +35,7 @@ def group_stats(df: DataFrame, value: str, groups: Sequence[str], mean_col: str
     return materialize(stats, "group_stats")
 
 
-def zscore_flag(df: DataFrame, value: str, groups: Sequence[str], k: float = 3.0, money: bool = False) -> DataFrame:
+def zscore_flag(df: DataFrame, value: str, groups: Sequence[str], k: float = Z_THRESHOLD, money: bool = False) -> DataFrame:
     """Flag form (Gen-A): every row kept, plus ``media, desvio, z_score, anomalia``.
 
     ``z = (v - media) / desvio``; NULL when the group has one row, its
@@ -46,7 +49,7 @@ def zscore_flag(df: DataFrame, value: str, groups: Sequence[str], k: float = 3.0
     return joined.withColumn("z_score", z).withColumn("anomalia", F.abs(F.col("z_score")) > F.lit(k))
 
 
-def zscore_filter(df: DataFrame, value: str, groups: Sequence[str], k: float = 3.0, sd_col: str = "desvio_padrao",
+def zscore_filter(df: DataFrame, value: str, groups: Sequence[str], k: float = Z_THRESHOLD, sd_col: str = "desvio_padrao",
                   money: bool = False) -> DataFrame:
     """Filter form (Gen-B): keep rows with ``|z| > k and value > 0``.
 

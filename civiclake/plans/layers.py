@@ -24,8 +24,6 @@ from civiclake.sinks.writers import write_path
 from civiclake.sources.envelope import bronze as bronze_table
 from civiclake.sources.envelope import page_completeness, read_pages
 
-# One events table partitioned by year instead of one table per year
-BRONZE_PARTITIONS = {"eventos": ("ano",)}
 
 STATUS = StructType([
     StructField("camada", StringType()), StructField("tabela", StringType()), StructField("status", StringType()),
@@ -60,7 +58,7 @@ def _bronze_frame(spark: SparkSession, landing: str, spec) -> tuple[DataFrame, s
         if "PATH_NOT_FOUND" not in str(e):
             raise
         df, status = spark.createDataFrame([], bronze_schema(spec, with_partitions=False)), "vazio"
-    if spec.name == "eventos":
+    if "ano" in spec.partition_by:  # S13: the event year, from the parsed start
         df = df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
     return df, status
 
@@ -72,7 +70,7 @@ def bronze_schema(spec, with_partitions: bool = True) -> StructType:
         StructField("_chegada", TimestampType()),
     ]
     if with_partitions:
-        fields += [StructField(c, IntegerType()) for c in BRONZE_PARTITIONS.get(spec.name, ())]
+        fields += [StructField(c, IntegerType()) for c in spec.partition_by]
     return StructType(fields)
 
 
@@ -83,7 +81,7 @@ def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
     for name, spec in BRONZE.items():
         try:
             df, state = _bronze_frame(spark, landing, spec)
-            n = write_path(df, os.path.join(out_dir, "bronze", name), partition_by=BRONZE_PARTITIONS.get(name, ()))
+            n = write_path(df, os.path.join(out_dir, "bronze", name), partition_by=spec.partition_by)
             rows.append(("bronze", name, state, n, None))
         except Exception as e:  # noqa: BLE001 - reported in the status frame
             rows.append(("bronze", name, "falha", None, f"{type(e).__name__}: {str(e)[:500]}"))

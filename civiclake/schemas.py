@@ -21,6 +21,9 @@ def f(name: str, dtype, comment: str = "") -> StructField:
 
 S, L = StringType(), LongType()
 
+# The field names below are those of the open-data API records
+# as landed (they must match the records for the declared parse to work).
+
 DEPUTADOS = StructType([
     f("id", L, "deputy id"), f("nome", S, "parliamentary name"), f("siglaPartido", S, "party code"), f("uriPartido", S),
     f("siglaUf", S, "state code"), f("idLegislatura", L, "legislature"), f("dataNascimento", S), f("urlFoto", S), f("email", S),
@@ -76,7 +79,8 @@ BRONZE = {
     "deputados": BronzeSpec("deputados", DEPUTADOS, ("id",), required=("id",)),
     "frentes": BronzeSpec("frentes", FRENTES, ("id",), required=("id",)),
     "frentes_membros": BronzeSpec("frentes_membros", FRENTES_MEMBROS, ("idFrente", "id"), parent="idFrente", required=("idFrente", "id")),
-    "eventos": BronzeSpec("eventos", EVENTOS, ("id",), required=("id",)),
+    # one events table partitioned by year (S13), not one table per year
+    "eventos": BronzeSpec("eventos", EVENTOS, ("id",), partition_by=("ano",), required=("id",)),
     "votacoes": BronzeSpec("votacoes", VOTACOES, ("id",), required=("id",)),
     "votos_deputados": BronzeSpec("votos_deputados", VOTOS_DEPUTADOS, ("idVotacao", "deputado_"), parent="idVotacao",
                                   required=("idVotacao",)),
