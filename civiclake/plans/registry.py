@@ -650,7 +650,7 @@ def q_presence_rate(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_front_atlas(spark: SparkSession, d: str) -> DataFrame:
     """Members of each front with party, state and region."""
-    return events_op.front_atlas(roles.memberships(spark, d), roles.fronts(spark, d), roles.deputies(spark, d))
+    return events_op.front_atlas(roles.memberships(spark, d), roles.fronts(spark, d), roles.deputies(spark, d, region=True))
 
 
 @register(

@@ -51,19 +51,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def deputies(spark: SparkSession, d: str) -> DataFrame:
+def deputies(spark: SparkSession, d: str, region: bool = False) -> DataFrame:
+    """Deputies with party and state; ``region=True`` adds ``regiao``.
+
+    The region lookup is opt-in: Catalyst cannot drop an unused left join
+    without knowing the right side is unique, so joining it by default
+    would add a scan and a broadcast to every deputy lookup.
+    """
     c = table(spark, d, "customer")
     n = table(spark, d, "nation")
-    r = table(spark, d, "region")
-    nr = lookup_join(n, r, "n_regionkey", "r_regionkey", {"r_name": "regiao"})
-    x = lookup_join(c, nr, "c_nationkey", "n_nationkey", {"n_name": "sigla_uf", "regiao": "regiao"})
+    cols = {"n_name": "sigla_uf"}
+    if region:
+        n = lookup_join(n, table(spark, d, "region"), "n_regionkey", "r_regionkey", {"r_name": "regiao"})
+        cols["regiao"] = "regiao"
+    x = lookup_join(c, n, "c_nationkey", "n_nationkey", cols)
     return x.select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("nome"),
         F.upper(F.col("c_name")).alias("nome_padronizado"),
         F.col("c_mktsegment").alias("sigla_partido"),
         "sigla_uf",
-        "regiao",
+        *(["regiao"] if region else []),
     )
 
 
