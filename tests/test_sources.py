@@ -235,3 +235,17 @@ def test_layers_with_only_one_endpoint_landed(spark, tmpdir_run):
     assert not bad, bad
     eng = spark.read.parquet(os.path.join(out, "gold", "b_engajamento_deputados")).collect()
     assert [(r["id"], r["score_engajamento"]) for r in eng] == [(1, 0.0)]
+
+
+def test_streaming_is_incremental_on_rerun(spark, tmpdir_run):
+    from civiclake.streaming import start_ingest
+
+    landing = os.path.join(tmpdir_run, "landing")
+    target, ckpt = os.path.join(tmpdir_run, "bronze_frentes"), os.path.join(tmpdir_run, "ckpt")
+    land(landing, "frentes", [[{"id": 1}, {"id": 2}]])
+    start_ingest(spark, landing, BRONZE["frentes"], target, ckpt).awaitTermination(120)
+    start_ingest(spark, landing, BRONZE["frentes"], target, ckpt).awaitTermination(120)  # nothing new landed
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [1, 2]
+    land(landing, "frentes", [[{"id": 3}]], subdir="day2")
+    start_ingest(spark, landing, BRONZE["frentes"], target, ckpt).awaitTermination(120)
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [1, 2, 3]
