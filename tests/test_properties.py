@@ -84,3 +84,22 @@ def test_scd2_and_as_was_brute_force(spark, rows, facts):
     for j, k, d in f:
         match = [v for v in exp_versions if v[0] == k and v[2] <= d and (v[3] is None or d < v[3])]
         assert got[j] == (match[0][1] if match else None)
+
+
+@SETTINGS
+@given(members=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30)), min_size=1, max_size=80),
+       parties=st.lists(st.one_of(st.none(), st.sampled_from("ABCD")), min_size=31, max_size=31),
+       votes=st.lists(st.tuples(st.integers(0, 30), st.integers(0, 5)), max_size=80))
+def test_metric_ranges(spark, members, parties, votes):
+    from civiclake.operators import diversity, engagement
+
+    mem = spark.createDataFrame([(f"F{f}", d) for f, d in members], "idFrente string, id long")
+    deps = spark.createDataFrame([(d, f"n{d}", p, "UF") for d, p in enumerate(parties)],
+                                 "id long, nome string, sigla_partido string, sigla_uf string")
+    idx = diversity.diversity_index(mem.join(deps.select("id", "sigla_partido"), "id", "left"), "idFrente", "sigla_partido")
+    assert all(0.0 <= r["indice_diversidade"] < 1.0 for r in idx.collect())
+    v = spark.createDataFrame([(d, f"b{b}", "Sim") for d, b in votes], "deputado_id long, idVotacao string, tipoVoto string")
+    if votes:
+        assert all(0.0 <= r["score_engajamento"] <= 1.0 for r in engagement.vote_engagement_minmax(v).collect())
+    w = engagement.weighted_engagement(deps, mem, v).collect()
+    assert len(w) == len(parties) and all(0.0 <= r["score_engajamento"] <= 100.0 + 1e-9 for r in w)
