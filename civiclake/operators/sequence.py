@@ -29,6 +29,18 @@ from civiclake.session import materialize
 PID = "__slice"
 
 
+def _range_slices(df: DataFrame, sort_exprs: list, slices: int | None) -> DataFrame:
+    """Range-partition into consecutive slices of the (key, order) sequence.
+
+    With ``slices=None`` the count is left to Spark: the exchange starts at
+    ``spark.sql.shuffle.partitions`` ranges and AQE merges small neighbouring
+    ranges up to the advisory partition size.  Merged ranges stay
+    contiguous, so the slice ids still follow the sequence; a hot key's
+    large ranges are not merged beyond that size.
+    """
+    return df.repartitionByRange(slices, *sort_exprs) if slices else df.repartitionByRange(*sort_exprs)
+
+
 def _join_slices(rows: DataFrame, edges: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join a per-(key, slice) boundary table back to the rows.
 
@@ -58,14 +70,12 @@ def previous_row(
     the next row).  ``order`` must be a total order within a key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def o(c: str):
         return F.col(c).asc_nulls_first() if ascending else F.col(c).desc_nulls_last()
 
     order_exprs = [o(c) for c in order]
-    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order_exprs).withColumn(PID, F.spark_partition_id())
+    ranged = _range_slices(df, [F.col(k).asc_nulls_first() for k in keys] + order_exprs, slices).withColumn(PID, F.spark_partition_id())
     rows = materialize(ranged, "sequence")
 
     # ordering value for max/min-by: the struct of the order columns
@@ -113,13 +123,11 @@ def change_points(
     change gives the successor of a slice's last change.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ts = order[0]
     base = df.select(*keys, *order, *[c for c in value_cols if c not in keys and c not in order]).withColumn(
         "__v", F.to_json(F.struct(*[F.col(c) for c in value_cols]))
     )
-    ranged = base.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *[F.col(c).asc_nulls_first() for c in order])
+    ranged = _range_slices(base, [F.col(k).asc_nulls_first() for k in keys] + [F.col(c).asc_nulls_first() for c in order], slices)
     rows = materialize(ranged.withColumn(PID, F.spark_partition_id()), "changes")
 
     ord_struct = F.struct(*[F.col(c) for c in order])
