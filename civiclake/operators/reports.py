@@ -187,6 +187,18 @@ def week_heatmap(events: DataFrame, kinds: list[str], ts: str = "data_inicio", k
     )
 
 
+def week_counts(events: DataFrame, category: str, ts: str = "data_inicio", out: str = "categoria") -> DataFrame:
+    """X5 in long form: ``ano, semana, <out>, qtde_eventos`` per ISO week and
+    category.  Needs no list of categories (a pivot would), so it suits open
+    sets such as organs; one partial aggregation."""
+    y, w = iso_week(F.col(ts).cast("date"))
+    return (
+        events.where(F.col(ts).isNotNull())
+        .groupBy(y.cast("bigint").alias("ano"), w.cast("bigint").alias("semana"), F.col(category).alias(out))
+        .agg(F.count(F.lit(1)).alias("qtde_eventos"))
+    )
+
+
 def grand_totals(events: DataFrame, expenses: DataFrame) -> DataFrame:
     """One row with the event count and the total spend (dashboard counters)."""
     n_events = events.select(F.count(F.lit(1))).scalar()

@@ -31,8 +31,11 @@ def gold_b(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
         # documented extensions
         "atlas_frentes": events.front_atlas(mem, s["dim_frentes"], dep.withColumn("regiao", F.lit(None).cast("string"))),
         "engajamento_mensal": engagement.engagement_trend(vot.where(F.col("data_votacao").isNotNull()), "deputado_id", "data_votacao"),
+        "eventos_semana_tipo": reports.week_counts(ev, "descricaoTipo", out="tipo"),
     } | ({"taxa_presenca": events.presence_rate(events.explode_presence(ev, "id", "presenca"), "id_evento", "id_deputado")}
-         if "presenca" in ev.columns else {})
+         if "presenca" in ev.columns else {}) | ({"eventos_semana_orgao": reports.week_counts(
+             ev.select("data_inicio", F.explode("orgaos").alias("o")).select("data_inicio", F.col("o.sigla").alias("orgao")),
+             "orgao", out="orgao")} if "orgaos" in ev.columns else {})
 
 
 def gold_a(s: dict[str, DataFrame], top_n: int = 10) -> dict[str, DataFrame]:

@@ -121,6 +121,8 @@ def test_layers_end_to_end(spark, tmpdir_run):
     assert os.path.isdir(os.path.join(out, "bronze", "eventos", "ano=2024"))  # S13
     pres = {r["id_deputado"]: r["taxa_presenca"] for r in spark.read.parquet(os.path.join(out, "gold", "b_taxa_presenca")).collect()}
     assert pres == {1: 1.0, 2: 1.0}  # both present at the only event that has a presence list
+    org = {r["orgao"]: r["qtde_eventos"] for r in spark.read.parquet(os.path.join(out, "gold", "b_eventos_semana_orgao")).collect()}
+    assert org == {"PLEN": 1, "CCJ": 1}  # X5 by organ (week 9 of 2024)
     atlas = spark.read.parquet(os.path.join(out, "gold", "b_atlas_frentes")).where("idFrente = 10").orderBy("id_deputado").collect()
     assert [(r["titulo"], r["sigla_partido"]) for r in atlas] == [("Frente A", "PT"), ("Frente A", "PL")]
     unparsed = {r["coluna"]: r["nao_convertidos"] for r in spark.read.parquet(os.path.join(out, "audit", "nao_convertidos_despesas")).collect()}
