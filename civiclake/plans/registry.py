@@ -685,6 +685,16 @@ def q_week_heatmap(spark: SparkSession, d: str) -> DataFrame:
     return reports.week_heatmap(roles.legislative_events(spark, d), PRIORITIES)
 
 
+@register(
+    "week_counts",
+    with_(LEV) + """SELECT CAST(isoyear(CAST(data_inicio AS DATE)) AS BIGINT) AS ano, CAST(week(CAST(data_inicio AS DATE)) AS BIGINT) AS semana,
+  descricaoTipo AS tipo, count(*) AS qtde_eventos FROM lev WHERE data_inicio IS NOT NULL GROUP BY ALL""",
+)
+def q_week_counts(spark: SparkSession, d: str) -> DataFrame:
+    """X5 in long form: ISO week x event type counts (no value list needed)."""
+    return reports.week_counts(roles.legislative_events(spark, d), "descricaoTipo", out="tipo")
+
+
 @register(
     "engagement_trend",
     with_(LEV, """m AS (SELECT id_deputado, CAST(year(data_inicio) AS BIGINT) AS ano, CAST(month(data_inicio) AS BIGINT) AS mes,
