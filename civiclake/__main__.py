@@ -20,8 +20,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--lake", required=True, help="output folder of the bronze/silver/gold tables")
     p.add_argument("--as-of", default=dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
                    help="processing timestamp stamped on silver rows (one value per run)")
-    p.add_argument("--master", default=None)
+    p.add_argument("--master", default=None, help="Spark master for local runs (e.g. local[8]); omit under spark-submit")
     a = p.parse_args(argv)
+    if a.step in ("ingest", "all") and not a.landing:
+        p.error(f"--landing is required for '{a.step}'")
 
     from pyspark.sql import SparkSession
 
