@@ -156,3 +156,10 @@ def test_null_keys_in_merge_and_as_was(spark):
     facts = spark.createDataFrame([(1, None, D(5)), (2, 1, D(5))], "fid long, cust long, d timestamp")
     out = {r["fid"]: r["p"] for r in scd2.as_was_join(facts, hist, "cust", "d", ["fid"], "id", ["p"]).collect()}
     assert out == {1: None, 2: "A"}
+
+
+def test_scd2_snapshot_stamps_current_version(spark):
+    df = spark.createDataFrame([(1, "A")], "id long, p string")
+    r = scd2.scd2_snapshot(df, "2024-01-10 00:00:00").first()
+    assert (r["valid_from"], r["valid_to"], r["is_current"]) == (D(10), None, True)
+    assert dict(scd2.scd2_snapshot(df, "2024-01-10 00:00:00").dtypes)["valid_to"] == "timestamp"

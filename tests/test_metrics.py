@@ -140,3 +140,11 @@ def test_approx_distinct_opt_in(spark):
     approx = reports.vote_patterns(votes, approx=True).first()
     assert exact["qtde_deputados"] == 200
     assert abs(approx["qtde_deputados"] - 200) <= 10 and approx["qtde_votacoes"] == 7
+
+
+def test_non_negative_split_keeps_nulls_and_reports_rejects(spark):
+    from civiclake.operators import quality
+
+    df = spark.createDataFrame([(1, 10.0), (2, -5.0), (3, None), (4, 0.0)], "id long, v double")
+    ok, bad = quality.split_non_negative(df, "v")
+    assert sorted(r["id"] for r in ok.collect()) == [1, 3, 4] and [r["id"] for r in bad.collect()] == [2]
