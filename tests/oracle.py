@@ -2,7 +2,8 @@
 
 Mirrors the driver's gate: same row count, same column names, and the
 same multiset of rows (columns sorted by name, values normalised).
-Usage: ``python tests/oracle.py [sf_dir] [name ...]``.
+Usage: ``python tests/oracle.py [--plain] [sf_dir] [name ...]`` (``--plain``: a
+session configured like the driver's instead of ours).
 """
 
 from __future__ import annotations
