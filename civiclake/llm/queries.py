@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm import bpe, substring, token_orc
+from civiclake.llm import bpe, chat, decontam, html_text, jaccard, language, quality, secrets, substring, token_orc
 from civiclake.llm.common import table
 from civiclake.session import shared_dir
 
@@ -29,19 +29,78 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_digests(token_orc.read_tokens(spark, path))
 
 
+def op2_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+    kind = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
+    text = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    base = F.filter("found", lambda s: s["kind"] != secrets.CRF)
+    return found.select(
+        "doc_id", kind("assign").alias("n_assign"), kind("access").alias("n_access"), kind("hex").alias("n_hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("found")).alias("spans")
+    )
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language.fold(F.col("doc_id")) == 2, F.lit(False))
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & ~held_out))
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
 
 
+def op5_quality_js(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeated(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], given.select("conv_id", "turn", "role", "text").schema)
+    read = chat.read_chats(chat.format_chats(chat.canonical_turns(given.select("conv_id", "turn", "role", "text").unionByName(extra))))
+    loss = F.concat_ws("", "loss_texts")
+    turns = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_token_orc": op1_token_orc,
+    "op2_secret_crf": op2_secret_crf,
+    "op3_language": op3_language,
     "op4_bpe": op4_bpe,
+    "op5_quality_js": op5_quality_js,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_chat_format": op9_chat_format,
+    "op10_html_text": op10_html_text,
 }
 
 SQL: dict[str, str] = {}
