@@ -85,7 +85,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "tables", *parts, uuid.uuid4().hex])
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, label: str = "stage", scratch: Scratch | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used for small derived sides (group statistics, boundary rows) and
@@ -94,15 +94,36 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     broadcast decision (``autoBroadcastJoinThreshold``) applies and a
     side that turns out large is joined by shuffle instead.  The files
     live in the cluster's shared folder, so a lost executor does not
-    lose them.
+    lose them.  With a ``scratch``, that owns the folder and removes it.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    if scratch is not None:
+        scratch.paths.append(path)
     df.write.mode("errorifexists").parquet(path)
     # the schema is known: skip the footer-inference job on read-back
     schema = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
     return spark.read.schema(schema).parquet(path)
 
 
+class Scratch:
+    """Owner of folders written on the way to a result; ``clear`` removes them
+    once nothing that is still to run reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def folder(self, label: str) -> str:
+        self.paths.append(shared_dir(self.spark, label))
+        return self.paths[-1]
+
+    def clear(self) -> None:
+        for path in self.paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        self.paths.clear()
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
