@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from civiclake.llm.common import batch_of, chunks, plain, ragged, small_batches, split_words
+from civiclake.llm.common import batch_of, chunks, plain, ragged, prepare, split_words
 
 #: Pieces a worker remembers; further ones are encoded again when they recur.
 CACHE_PIECES = 400_000
@@ -205,7 +205,7 @@ def _id_lists(coder: MergeRounds, ids: np.ndarray, off: np.ndarray) -> dict:
 
 def decode_ids(encoded: DataFrame, spec: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
     """``id_col`` and decoded (string) of id arrays (null: empty)."""
-    small_batches(encoded.sparkSession)
+    prepare(encoded.sparkSession)
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("token_ids"))
     shared = encoded.sparkSession.sparkContext.broadcast(spec)
     schema = pa.schema([("doc_id", _arrow_type(docs_type(rows, "doc_id"))), ("decoded", pa.string())])
@@ -244,7 +244,7 @@ def _arrow_type(kind: str) -> pa.DataType:
 
 
 def _mapped(docs: DataFrame, spec: str, id_col: str, text_col: str, columns: str, kind, make: Callable) -> DataFrame:
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 

@@ -9,6 +9,7 @@ touches the distinct words of a batch.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,16 +29,22 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the lake; also sets the Arrow batch size the operators expect."""
-    small_batches(spark)
+    """A table of the lake; also prepares the session."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the Arrow batch size where the session still has Spark's default."""
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators that run Python: smaller Arrow batches where the session still
+    has Spark's default, and this package's folder on the workers' path (a cluster gets the package
+    by --py-files or as an installed one; there the folder is merely absent)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) >= 10000:
         spark.conf.set(key, str(BATCH_ROWS))
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), here)))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import chunks, plain, small_batches
+from civiclake.llm.common import chunks, plain, prepare
 from civiclake.session import materialize
 
 #: Fixed values of HTML: element kinds.
@@ -280,7 +280,7 @@ def templates(pages: DataFrame, rule: TemplateRule) -> DataFrame:
 
 def extract(pages: DataFrame, rule: TemplateRule = TemplateRule(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row: ``id_col``, ``url_col``, text and n_chars of the main text."""
-    small_batches(pages.sparkSession)
+    prepare(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     # written, so Catalyst knows its size: small is broadcast, large is joined by host with skew split
     known = materialize(templates(rows.select("host", "html"), rule), "html-templates")

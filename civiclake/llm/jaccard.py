@@ -41,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import GOLDEN, chunks, distinct_in_rows, mix, plain, shingles, shuffle_partitions, small_batches, split_words
-from civiclake.session import materialize, shared_dir
+from civiclake.llm.common import GOLDEN, chunks, distinct_in_rows, mix, plain, prepare, shingles, shuffle_partitions, split_words, text_key
+from civiclake.session import Scratch, materialize
 
 #: Cells of the frequency table (a power of two; the table that tasks get has one byte a cell).
 CELL_BITS = 17
@@ -84,21 +84,21 @@ def sets_of(b: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def measure(docs: DataFrame, width: int) -> DataFrame:
-    """kind 0: doc_id, a = set size, b = signature; kind 1: a = cell, b = its count in one task."""
+    """kind 0: doc_id, doc_key, a = set size, b = signature; kind 1: a = cell, b = its count in one task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
-        names = ["kind", "doc_id", "a", "b"]
+        names = ["kind", "doc_id", "doc_key", "a", "b"]
         for b in chunks(batches, "text"):
             h, rows = sets_of(b, width)
             n, sig = set_signature(h, rows, b.num_rows)
             cells += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(sig)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), b.column("doc_id"), b.column("doc_key"), pa.array(n.astype(np.int64)), pa.array(sig)], names=names)
         used = np.flatnonzero(cells)
         for part in np.array_split(used, max(1, len(used) // 20000)):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int32)), pa.nulls(len(part), pa.int64()), pa.array(part), pa.array(cells[part])], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int32)), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.array(part), pa.array(cells[part])], names=names)
 
-    return docs.mapInArrow(work, "kind int, doc_id long, a long, b long")
+    return docs.mapInArrow(work, "kind int, doc_id long, doc_key long, a long, b long")
 
 
 def frequency_classes(measured: DataFrame) -> np.ndarray:
@@ -193,13 +193,13 @@ def may_link(nx, px, ny, py, percent: int):
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * rest >= percent * (n1 + n2))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node, comp (its smallest node) of undirected edges (u, v), by alternating large and small stars.
 
     Every round is written to the shared folder, so lineage stays short and a
     lost executor costs one round.
     """
-    edges = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    edges = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", scratch)
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -209,7 +209,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         joined = down.join(least, "u")
         stars = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = materialize(stars, "edges")
+        edges = materialize(stars, "edges", scratch)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
@@ -244,12 +244,12 @@ class SetTable:
     """Size, sketch and text of the sets that have candidates, bucketed by signature:
     joins on it shuffle only their other side."""
 
-    def __init__(self, docs: DataFrame, wanted: DataFrame, width: int):
+    def __init__(self, docs: DataFrame, wanted: DataFrame, width: int, scratch: Scratch):
         self.spark, self.width = docs.sparkSession, width
         self.name = f"near_sets_{uuid.uuid4().hex}"
         parts = shuffle_partitions(self.spark)
         found = self._sets(docs).join(wanted.select("sig").distinct(), "sig", "left_semi").dropDuplicates(["sig"])
-        found.write.bucketBy(parts, "sig").sortBy("sig").option("path", shared_dir(self.spark, "near-sets")).format("parquet").saveAsTable(self.name)
+        found.write.bucketBy(parts, "sig").sortBy("sig").option("path", scratch.folder("near-sets")).format("parquet").saveAsTable(self.name)
         self.table = self.spark.table(self.name)
 
     def _sets(self, docs: DataFrame) -> DataFrame:
@@ -305,34 +305,36 @@ class SetTable:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id its links reach) and group_key,
-    which is the same for the rows of one component (null for the empty set)."""
+    """Per row: doc_id, doc_key (of its text), n_shingles, component_id (smallest id its links reach)
+    and group_key, which is the same for the rows of one component (null for the empty set)."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be between 50 and 100")
     spark: SparkSession = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    prepare(spark)
+    scratch = Scratch(spark)
+    keep = lambda df, label: materialize(df, label, scratch)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("doc_key"), F.col(text_col).alias("text"))
     measured = materialize(measure(rows, width), "near-measured")
-    members = measured.where("kind = 0").select("doc_id", F.col("a").alias("n_shingles"), F.col("b").alias("sig"))
+    members = measured.where("kind = 0").select("doc_id", "doc_key", F.col("a").alias("n_shingles"), F.col("b").alias("sig"))
     texts = rows.select("text")
 
     # signatures that two sets share, and the hub of each
     of_tok = Window.partitionBy("tok")
     signed = prefix_rows(texts, frequency_classes(measured), width, percent)
     shared = signed.select("*", F.min("sig").over(of_tok).alias("lo"), F.max("sig").over(of_tok).alias("hi"), F.min(F.struct("pos", "sig", "n")).over(of_tok).alias("hub"))
-    buckets = materialize(shared.where("lo <> hi").drop("lo", "hi"), "near-buckets")
+    buckets = keep(shared.where("lo <> hi").drop("lo", "hi"), "near-buckets")
 
-    sets = SetTable(texts, buckets, width)
+    sets = SetTable(texts, buckets, width, scratch)
     hub_ok = (F.col("sig") != F.col("hub.sig")) & may_link(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), percent)
     stars = buckets.where(hub_ok).select(F.least("sig", "hub.sig").alias("x"), F.greatest("sig", "hub.sig").alias("y")).distinct()
-    stars = materialize(stars, "near-stars")
-    star_links = materialize(sets.verified(stars, percent), "near-links")
-    comp = components(star_links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+    stars = keep(stars, "near-stars")
+    star_links = keep(sets.verified(stars, percent), "near-links")
+    comp = components(star_links.select(F.col("x").alias("u"), F.col("y").alias("v")), scratch)
 
     # what is left: pairs of a bucket in different components
     known = buckets.drop("hub").join(comp, F.col("sig") == F.col("node"), "left").select("tok", "sig", "n", "pos", F.coalesce("comp", "sig").alias("comp"))
     open_ = known.select("*", F.min("comp").over(of_tok).alias("lo"), F.max("comp").over(of_tok).alias("hi")).where("lo <> hi").select("tok", "sig", "n", "pos", "comp")
-    open_ = materialize(open_, "near-open")
+    open_ = keep(open_, "near-open")
     a, b = open_.alias("a"), open_.alias("b")
     cond = (F.col("a.tok") == F.col("b.tok")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.comp") != F.col("b.comp"))
     cond = cond & may_link(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
@@ -342,15 +344,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     # common signatures so far, and at most the rest of either set
     bound = F.col("c") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
     left = seen.where((F.col("combined") == 1) | ((100 + percent) * bound >= percent * (F.col("nx") + F.col("ny")))).select("x", "y")
-    left = materialize(left.join(stars, ["x", "y"], "left_anti"), "near-left")
-    links = star_links.unionByName(materialize(sets.verified(left, percent), "near-links"))
-    comp = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    sets.drop()
+    left = keep(left.join(stars, ["x", "y"], "left_anti"), "near-left")
+    links = star_links.unionByName(keep(sets.verified(left, percent), "near-links"))
+    comp = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), scratch)
 
     reps = members.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least_id"))
     labelled = reps.join(comp, F.col("sig") == F.col("node"), "left").select("sig", "least_id", F.coalesce("comp", "sig").alias("group_key"))
     least = labelled.groupBy("group_key").agg(F.min("least_id").alias("component_id"))
     by_sig = materialize(labelled.join(least, "group_key").select("sig", "group_key", "component_id"), "near-classes")
-    empty = members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group_key"))
-    out = members.where("n_shingles > 0").join(by_sig, "sig").select("doc_id", "n_shingles", "component_id", "group_key").unionByName(empty)
+    sets.drop()
+    scratch.clear()
+    empty = members.where("n_shingles = 0").select("doc_id", "doc_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group_key"))
+    out = members.where("n_shingles > 0").join(by_sig, "sig").select("doc_id", "doc_key", "n_shingles", "component_id", "group_key").unionByName(empty)
     return out.withColumnRenamed("doc_id", id_col)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group of ``found`` the row of its smallest id
+    (then key) stays, once; rows with the empty set all stay."""
+    first = found.where("group_key is not null").groupBy("group_key").agg(F.min(F.struct("doc_id", "doc_key")).alias("k"))
+    first = first.select(F.col("k.doc_id").alias("__id"), F.col("k.doc_key").alias("__key"))
+    empty = found.where("group_key is null").select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct()
+    mine = F.col(id_col).cast("long")
+    keyed = docs.withColumn("__own", text_key(text_col))
+    met = lambda side: (F.col("__own") == F.col("__key")) & mine.eqNullSafe(F.col("__id"))
+    # equal rows of a group are told apart by a number, in the partitioning of the join
+    nth = Window.partitionBy("__own", mine).orderBy(F.lit(0))
+    kept = keyed.join(first, met(first), "left_semi").withColumn("__nth", F.row_number().over(nth)).where("__nth = 1").select(*docs.columns)
+    return kept.unionByName(keyed.join(empty, met(empty), "left_semi").select(*docs.columns))

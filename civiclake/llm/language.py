@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import chunks, plain, small_batches
+from civiclake.llm.common import chunks, plain, prepare
 
 ORDERS = 3
 UNKNOWN = "und"
@@ -119,7 +119,7 @@ def has_letter(texts: pa.Array) -> np.ndarray:
 def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Fit on rows with a label; null if there are none."""
     spark = labelled.sparkSession
-    small_batches(spark)
+    prepare(spark)
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     share = rows.groupBy("lang").count()
     total = share.agg(F.sum("count")).collect()[0][0]
@@ -172,7 +172,7 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
 def predict(docs: DataFrame, model: Model | None, config: Config = Config(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, lang_pred and score (softmax of the regressions, 0 for und) of every text."""
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     if model is None:
         return rows.select(F.col("doc_id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))

@@ -10,7 +10,8 @@ wrong or missing language label does not matter.  Texts below the minimum
 lengths are not judged by that histogram: short texts vary too much.
 
 Null and empty texts have no words and fail the base rule.  Rows with null
-language count for no reference.  Repeated rows are judged alike; an empty
+language count for no reference; rows of a language without a reference are
+not judged by distance.  Repeated rows are judged alike; an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -25,8 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import Words, chunks, plain, rolling, small_batches, split_words, word_hashes
-from civiclake.session import materialize
+from civiclake.llm.common import Words, chunks, plain, rolling, prepare, split_words, word_hashes
+from civiclake.session import Scratch, materialize
 
 COMMON_SHARE = 1 / 500
 LANGUAGE_SHARE = 1 / 200
@@ -55,9 +56,9 @@ class Rules:
     min_words: int = 20
     max_repeat_percent: int = 30
     #: Largest distance from the nearest reference, and the least characters or words to judge it.
-    max_class_distance: float = 0.42
+    max_class_distance: float = 0.33
     min_class_chars: int = 200
-    max_word_distance: float = 0.93
+    max_word_distance: float = 0.38
     min_word_words: int = 100
 
 
@@ -108,13 +109,15 @@ def counts(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
     """References of the languages of a corpus, from all its texts."""
-    small_batches(docs.sparkSession)
-    found = materialize(counts(docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))), "quality-counts")
+    prepare(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession)
+    found = materialize(counts(docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))), "quality-counts", scratch)
     totals = found.where(F.col("word") == "\x00").select("lang", F.col("n").alias("total"))
     least = F.greatest(F.lit(REFERENCE_WORDS), F.lit(LANGUAGE_SHARE) * (totals.agg(F.sum("total")).collect()[0][0] or 0))
     totals = totals.where(F.col("total") >= least)
     common = found.join(F.broadcast(totals), "lang").where((F.col("n") >= COMMON_SHARE * F.col("total")) | F.col("word").startswith("\x00"))
     got = common.collect()  # at most (1 / COMMON_SHARE + classes + 1) / LANGUAGE_SHARE rows
+    scratch.clear()
     languages = sorted({r.lang for r in got})
     index: dict[str, int] = {}
     for r in sorted(got, key=lambda r: (r.lang, r.word)):
@@ -173,12 +176,12 @@ def line_repeats(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: counts, distances from the nearest reference (null if not judged), its language,
     base_failed and kept; ``keep`` names further columns to pass on."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(refs)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.col(lang_col).cast("string").alias("__lang"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
     own = {c: docs.schema[c].dataType.simpleString() for c in (id_col, *keep)}
     schema = ", ".join([f"`{c}` {t}" for c, t in own.items()]) + ", n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, nearest string, base_failed boolean, kept boolean"
 
@@ -195,6 +198,8 @@ def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str
             repeat = repeated_words(words)
             failed = (n_words < rules.min_words) | (100 * repeat > rules.max_repeat_percent * n_words)
             class_d, word_d, nearest = distances(refs, rules, texts, n_words)
+            unknown = np.array([g is not None and g not in refs.languages for g in b.column("__lang").to_pylist()], bool)
+            class_d[unknown] = word_d[unknown] = np.nan
             far = (np.nan_to_num(class_d, nan=0) > rules.max_class_distance) | (np.nan_to_num(word_d, nan=0) > rules.max_word_distance)
             as_float = lambda x: pa.array(x, pa.float64(), mask=np.isnan(x))
             cols = [b.column("__id"), *(b.column(f"__keep_{c}") for c in keep)]
@@ -208,9 +213,8 @@ def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str
 def distances(refs: References, rules: Rules, texts: pa.Array, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
     """Class and word distance of each text from its nearest reference (NaN: too short, or no references)."""
     n = len(texts)
-    none = np.full(n, np.nan)
     if not refs.languages:
-        return none, none, [None] * n
+        return np.full(n, np.nan), np.full(n, np.nan), [None] * n
     classes = class_histogram(texts)
     lower = split_words(pc.utf8_lower(texts))
     at = np.fromiter((refs.index.get(w, len(refs.index)) for w in lower.uniq.to_pylist()), np.int64, len(lower.uniq))

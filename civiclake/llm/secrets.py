@@ -5,14 +5,15 @@ outside (O).  A word has shape features (length, shares of digits, capitals,
 hexadecimal letters and marks, key words, quotes, assignment marks), and
 takes part with the shapes of its two neighbours and features of its file.
 Weights are fitted on a bounded sample: words around base matches, labelled
-by them, and words around random places of the same texts.  Decoding is
+by them, words around random places of the same texts, and the latter with
+an invented secret put in.  Decoding is
 Viterbi; a word whose lead for O exceeds all that the transitions can add is
 O on every best path, so only the stretches between such words are decoded.
 
 The method adds spans that overlap no base span; base spans stay.
 
-Null and empty texts have no spans.  Without base matches in the sample
-nothing can be learned and only base spans are found.  Repeated rows give
+Null and empty texts have no spans.  A sample without any word teaches nothing,
+and only base spans are found.  Repeated rows give
 repeated results; an empty table gives an empty one; other columns are not
 read.
 """
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import Words, chunks, plain, small_batches, split_words
+from civiclake.llm.common import Words, chunks, plain, prepare, split_words
 
 #: Base kinds in their order (fixed values), the group that holds the secret, and the least length of a group.
 BASE = {
@@ -48,7 +49,7 @@ EDGE = "\"'`()[]{}<>,;:"
 
 O, B, I = 0, 1, 2
 #: Features of a word's shape: one category of each group is set.
-GROUPS = {"length": 10, "digits": 6, "capitals": 6, "hex": 5, "marks": 5, "key": 2, "assign": 3, "quote": 3, "mixed": 60}
+GROUPS = {"length": 10, "digits": 6, "capitals": 6, "hex": 5, "marks": 5, "key": 2, "assign": 3, "quote": 3, "address": 2, "mixed": 60}
 N_SHAPE = sum(GROUPS.values())
 N_FILE = 12
 
@@ -56,11 +57,13 @@ N_FILE = 12
 @dataclass(frozen=True)
 class Config:
     #: Documents of the training sample (expected number), words on each side of a place, places without a match in a document.
-    sample_docs: int = 3000
-    context: int = 6
-    plain_places: int = 4
+    sample_docs: int = 2000
+    context: int = 5
+    plain_places: int = 3
     max_places: int = 8
-    rounds: int = 150
+    #: Share of the sample's documents that also give a stretch with an invented secret, of shapes the base patterns don't know.
+    made_up: float = 0.3
+    rounds: int = 100
     rate: float = 0.15
     decay: float = 1e-4
 
@@ -109,6 +112,7 @@ def shapes(uniq: pa.Array) -> np.ndarray:
         "key": has(r"(?i)passw(or)?d|secret|token|api_?key|credential|private|auth"),
         "assign": np.where(has("^[:=]+$"), 2, has("[:=][\"']?$")),
         "quote": has("^[\"'`]") + has("[\"'`][.,;]?$"),
+        "address": has(r"@|://|^www[.]"),
         "mixed": length * 6 + share(digits, 6),
     }
     out, base = [], 0
@@ -208,39 +212,56 @@ def find(texts: pa.Array, model: Model | None) -> list[list[tuple[int, int, int]
     return out
 
 
+def made_up(rng: np.random.Generator) -> list[str]:
+    """Words of an invented secret, the last one secret: a key word and a mark before it, or a prefix of its own."""
+    alphabets = ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef")
+    text = "".join(rng.choice(list(alphabets[rng.integers(len(alphabets))]), int(rng.integers(18, 60))))
+    quote = ("", '"', "'")[rng.integers(3)]
+    prefix = ("", "", "ghp_", "sk-", "xoxb-", "key-")[rng.integers(6)]
+    name = ("key", "auth", "SECRET_KEY", "api-key", "credential", "private_key", "Bearer", "access_token")[rng.integers(8)]
+    lead = ([], [name, "="], [f"{name}:"], [name, ":"], [name])[rng.integers(5)] if prefix else ([name, "="], [f"{name}:"], [name, ":"])[rng.integers(3)]
+    return [*lead, f"{quote}{prefix}{text}{quote}"]
+
+
 def _examples(texts: pa.Array, config: Config, seed: np.ndarray) -> list[tuple[list, list, list]]:
-    """Training stretches: shape rows, file features and tags."""
+    """Training stretches: shape rows (one word more on each side, which has no tag), file features and tags."""
     words = split_words(texts)
-    shape, files = shapes(words.uniq), file_features(texts, words)
-    out = []
+    files = file_features(texts, words)
+    out: list[tuple[list, list, list]] = []
     for i in range(len(texts)):
         text = texts[i].as_py()
-        a, z = int(words.offsets[i]), int(words.offsets[i + 1])
-        if a == z:
-            continue
         places = [m.span() for m in WORD.finditer(text)]
+        if not places:
+            continue
+        said = [text[a:z] for a, z in places]
         starts = np.array([p[0] for p in places])
-        tags = np.zeros(z - a, np.int64)
+        tags = [O] * len(said)
         centres = []
         for _, _, _, s, e in base_spans(text):
             lo, hi = int(np.searchsorted(starts, s, side="right")) - 1, int(np.searchsorted(starts, e, side="left"))
-            tags[lo:hi] = I
-            tags[lo] = B
+            tags[lo:hi] = [B] + [I] * (hi - lo - 1)
             centres.append(lo)
         rng = np.random.default_rng(int(seed[i]) & 0xFFFFFFFF)
-        centres = centres[: config.max_places] + rng.integers(0, z - a, config.plain_places).tolist()
-        for c in centres:
-            lo, hi = max(0, c - config.context), min(z - a, c + config.context + 1)
-            # one word more on each side for the neighbours' shapes; it has no tag
-            wide = range(lo - 1, hi + 1)
-            rows = [shape[words.codes[a + k]].tolist() if 0 <= k < z - a else [] for k in wide]
-            out.append(([x or [-1] * len(GROUPS) for x in rows], files[i].tolist(), tags[lo:hi].tolist()))
-    return out
+        centres = centres[: config.max_places] + rng.integers(0, len(said), config.plain_places).tolist()
+        stretch = lambda w, t, c: (w, t, max(0, c - config.context), min(len(w), c + config.context + 1))
+        found = [stretch(said, tags, c) for c in centres]
+        if rng.random() < config.made_up:
+            c = int(rng.integers(0, len(said)))
+            new = made_up(rng)
+            near = slice(max(0, c - 2 * config.context), c)
+            w = [*said[near], *new, *said[c : c + 2 * config.context]]
+            t = [*tags[near], *[O] * (len(new) - 1), B, *tags[c : c + 2 * config.context]]
+            found.append(stretch(w, t, len(said[near]) + len(new) - 1))
+        for w, t, lo, hi in found:
+            out.append(([w[k] if 0 <= k < len(w) else None for k in range(lo - 1, hi + 1)], files[i].tolist(), t[lo:hi]))
+    known = sorted({x for w, _, _ in out for x in w if x is not None})
+    number = {x: r for x, r in zip(known, shapes(pa.array(known, pa.string())).tolist())}
+    return [([number[x] if x is not None else [-1] * len(GROUPS) for x in w], f, t) for w, f, t in out]
 
 
 def train(docs: DataFrame, config: Config = Config(), id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Fit the field on a sample of about ``sample_docs`` rows, chosen by a hash of the id."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     total = rows.count()
     if not total:
@@ -277,34 +298,31 @@ def fit(stretches: list[tuple], config: Config) -> Model:
         shape[i, : len(x)] = np.where(x < 0, N_SHAPE, x)
         tags[i, : len(t)] = t
         live[i, : len(t)] = True
-    p = {"own": np.zeros((N_SHAPE + 1, 3)), "before": np.zeros((N_SHAPE + 1, 3)), "after": np.zeros((N_SHAPE + 1, 3)), "file": np.zeros((N_FILE, 3)), "steps": np.zeros((3, 3))}
-    views = {"own": shape[:, 1:-1], "before": shape[:, :-2], "after": shape[:, 2:]}
-    flat = {k: v[live] for k, v in views.items()}
-    file_rows = np.broadcast_to(files[:, None, :], (n, width, files.shape[1]))[live]
-    gold = np.eye(3)[tags] * live[..., None]
+    # one indicator row a word: its own shape, those of its neighbours (none: no indicator), and its file
+    block = N_SHAPE + 1
+    at = [shape[:, 1:-1][live], block + shape[:, :-2][live], 2 * block + shape[:, 2:][live], 3 * block + np.broadcast_to(files[:, None, :], (n, width, files.shape[1]))[live]]
+    x = np.zeros((int(live.sum()), 3 * block + N_FILE), np.float32)
+    for cols in at:
+        x[np.arange(len(x))[:, None], cols] = 1
+    x[:, [block - 1, 2 * block - 1, 3 * block - 1]] = 0
+    gold = np.eye(3)[tags[live]]
     gold_steps = np.zeros((3, 3))
     pairs = live[:, 1:]
     np.add.at(gold_steps, (tags[:, :-1][pairs], tags[:, 1:][pairs]), 1)
+    p = {"words": np.zeros((x.shape[1], 3)), "steps": np.zeros((3, 3))}
     mean, var = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
+    e = np.zeros((n, width, 3))
     for t in range(1, config.rounds + 1):
-        e = sum(p[k][v].sum(axis=2) for k, v in views.items()) + p["file"][files].sum(axis=1)[:, None, :]
+        e[live] = x @ p["words"].astype(np.float32)
         unary, step = marginals(e, p["steps"], live)
-        diff = (unary * live[..., None] - gold)[live]
-        grad = {"steps": step - gold_steps}
-        for k, rows in flat.items():
-            g = np.zeros_like(p[k])
-            for col in range(rows.shape[1]):
-                for tag in range(3):
-                    g[:, tag] += np.bincount(rows[:, col], diff[:, tag], minlength=N_SHAPE + 1)
-            g[N_SHAPE] = 0
-            grad[k] = g
-        grad["file"] = np.stack([sum(np.bincount(file_rows[:, c], diff[:, tag], minlength=N_FILE) for c in range(files.shape[1])) for tag in range(3)], axis=1)
+        grad = {"words": x.T @ (unary[live] - gold).astype(np.float32), "steps": step - gold_steps}
         for k in p:
             g = grad[k] / n + config.decay * p[k]
             mean[k] = 0.9 * mean[k] + 0.1 * g
             var[k] = 0.99 * var[k] + 0.01 * g * g
             p[k] -= config.rate * (mean[k] / (1 - 0.9**t)) / (np.sqrt(var[k] / (1 - 0.99**t)) + 1e-8)
-    return Model(p["own"][:N_SHAPE], p["before"][:N_SHAPE], p["after"][:N_SHAPE], p["file"], p["steps"])
+    own, before, after = (p["words"][k * block : k * block + N_SHAPE] for k in range(3))
+    return Model(own, before, after, p["words"][3 * block :], p["steps"])
 
 
 def marginals(e: np.ndarray, steps: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -330,7 +348,7 @@ def marginals(e: np.ndarray, steps: np.ndarray, live: np.ndarray) -> tuple[np.nd
 
 def scan(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: ``id_col``, ``keep``, and found: array of (kind, start, end) in code points, end exclusive."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
     own = {c: docs.schema[c].dataType.simpleString() for c in (id_col, *keep)}

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import chunks, mix, plain, rolling, shuffle_partitions, small_batches, split_words, text_key, word_hashes
+from civiclake.llm.common import chunks, mix, plain, rolling, shuffle_partitions, prepare, split_words, text_key, word_hashes
 
 #: Words of an anchor (at most the window).
 ANCHOR = 8
@@ -173,7 +173,7 @@ def remove_repeated(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
     """Per row: ``id_col``, n_words, n_removed, intervals (word positions, end exclusive) and kept_text
     (the words outside the intervals, joined by one space)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_key(text_col).alias("text_key"))
     runs = window_runs(rows, window)
     marks = repeated_runs(runs.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor"))

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import chunks, encode_parts, plain, ragged, shuffle_partitions, small_batches, text_key
+from civiclake.llm.common import chunks, encode_parts, plain, ragged, shuffle_partitions, prepare, text_key
 
 CACHE_PIECES = 400_000
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
@@ -135,7 +135,7 @@ def write_tokens(docs: DataFrame, spec: str, path: str, end_id: int = 0, id_col:
     one batch of texts at a time, whatever the size of its range.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(spec)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_key(text_col).alias("tie"))
     ordered = rows.repartitionByRange(files or shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")

@@ -1,25 +1,66 @@
-"""The corpus pipeline: stages over documents, each on what its predecessor kept."""
+"""The corpus pipeline: five stages over documents, each on what its predecessor kept.
+
+Quality rules drop what they reject; of each group of near duplicates one
+document stays; documents that benchmark passages contaminate go; secrets
+are masked in the texts; the last stage encodes and decodes the texts and
+returns their digests.  Rows that no stage rejects keep all their columns
+(``n_chars`` follows a masked text).  SQL can express none but the benchmark
+stage, so the pipeline has no oracle; tests hold it against brute force.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civiclake.llm import bpe
-from civiclake.llm.common import small_batches, table
+from civiclake.llm import bpe, decontam, jaccard, quality, secrets
+from civiclake.llm.common import table, text_key
 from civiclake.llm.queries import WORD_BPE, tokenizer_file
 from civiclake.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules; references are taken from the documents given."""
+    judged = quality.judge(docs, quality.fit(docs), keep=tuple(c for c in docs.columns if c != "doc_id"))
+    return judged.where("kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    found = materialize(jaccard.near_duplicates(docs), "pipeline-groups")
+    return jaccard.one_of_each(docs, found)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark contamination."""
+    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = found.where(decontam.is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct()
+    # written, so Catalyst knows its size and need not shuffle the texts for a few rows
+    bad = materialize(bad, "pipeline-contaminated")
+    met = (text_key("text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return docs.join(bad, met, "left_anti").select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked."""
+    masked = secrets.redact(docs, secrets.train(docs))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+
+
 def encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digest of the ids of each remaining text and of the text decoded from them."""
+    """Digests of the ids of each remaining text and of the text decoded from them."""
     return bpe.digests(docs, tokenizer_file(WORD_BPE))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
     ("bpe", encode_decode),
 ]
 
@@ -28,7 +69,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages from the documents table on; every stage's output is written as Parquet and read again."""
-    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
