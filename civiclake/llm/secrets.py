@@ -6,7 +6,7 @@ hexadecimal letters and marks, key words, quotes, assignment marks), and
 takes part with the shapes of its two neighbours and features of its file.
 Weights are fitted on a bounded sample: words around base matches, labelled
 by them, words around random places of the same texts, and the latter with
-an invented secret put in.  Decoding is
+an invented secret, or something harmless that looks like one, put in.  Decoding is
 Viterbi; a word whose lead for O exceeds all that the transitions can add is
 O on every best path, so only the stretches between such words are decoded.
 
@@ -63,7 +63,11 @@ class Config:
     max_places: int = 8
     #: Share of the sample's documents that also give a stretch with an invented secret, of shapes the base patterns don't know.
     made_up: float = 0.3
-    rounds: int = 100
+    #: The same for a harmless string that looks like one (a date, an address, a number).
+    harmless: float = 0.5
+    #: Added to the score of O: what a word must have beyond even odds to be called a secret.
+    caution: float = 1.0
+    rounds: int = 80
     rate: float = 0.15
     decay: float = 1e-4
 
@@ -223,6 +227,19 @@ def made_up(rng: np.random.Generator) -> list[str]:
     return [*lead, f"{quote}{prefix}{text}{quote}"]
 
 
+def harmless(rng: np.random.Generator) -> list[str]:
+    """Words that look a little like a secret and are none, sometimes after a mark."""
+    n = lambda a, b: int(rng.integers(a, b))
+    letters = lambda a, b: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n(a, b)))
+    forms = (
+        f"{n(1900, 2100)}-{n(1, 13):02}-{n(1, 29):02}", f"{n(0, 24):02}:{n(0, 60):02}:{n(0, 60):02}", f"{letters(2, 9)}.{n(1, 99)}@{letters(3, 9)}{n(1, 9)}.{letters(3, 8)}.com", f"{n(1, 256)}.{n(0, 256)}.{n(0, 256)}.{n(1, 256)}",
+        f"({n(100, 999)})", f"{n(100, 999)}-{n(1000, 9999)}", f"v{n(0, 20)}.{n(0, 20)}.{n(0, 20)}", f"https://{letters(3, 9)}.example.org/{letters(2, 9)}/{n(1, 9999)}?page={n(1, 9)}", letters(12, 30) + (".", ",", "")[n(0, 3)], letters(1, 2).upper() + letters(12, 24) + ".",
+        str(n(1, 10**9)), f"{n(1, 999)},{n(100, 999)}.{n(10, 99)}", f"/{letters(2, 8)}/{letters(2, 8)}/{letters(2, 8)}.{letters(2, 4)}", f"{letters(2, 6)}_{letters(2, 6)}({letters(1, 4)})", letters(3, 8).upper(),
+    )
+    lead = ([], [], [], ["="], [f"{letters(2, 8)}:"], [letters(2, 8), "="])[n(0, 6)]
+    return [*lead, forms[n(0, len(forms))]]
+
+
 def _examples(texts: pa.Array, config: Config, seed: np.ndarray) -> list[tuple[list, list, list]]:
     """Training stretches: shape rows (one word more on each side, which has no tag), file features and tags."""
     words = split_words(texts)
@@ -245,13 +262,14 @@ def _examples(texts: pa.Array, config: Config, seed: np.ndarray) -> list[tuple[l
         centres = centres[: config.max_places] + rng.integers(0, len(said), config.plain_places).tolist()
         stretch = lambda w, t, c: (w, t, max(0, c - config.context), min(len(w), c + config.context + 1))
         found = [stretch(said, tags, c) for c in centres]
-        if rng.random() < config.made_up:
-            c = int(rng.integers(0, len(said)))
-            new = made_up(rng)
-            near = slice(max(0, c - 2 * config.context), c)
-            w = [*said[near], *new, *said[c : c + 2 * config.context]]
-            t = [*tags[near], *[O] * (len(new) - 1), B, *tags[c : c + 2 * config.context]]
-            found.append(stretch(w, t, len(said[near]) + len(new) - 1))
+        for share, make, tag in ((config.made_up, made_up, B), (config.harmless, harmless, O)):
+            if rng.random() < share:
+                c = int(rng.integers(0, len(said)))
+                new = make(rng)
+                near = slice(max(0, c - 2 * config.context), c)
+                w = [*said[near], *new, *said[c : c + 2 * config.context]]
+                t = [*tags[near], *[O] * (len(new) - 1), tag, *tags[c : c + 2 * config.context]]
+                found.append(stretch(w, t, len(said[near]) + len(new) - 1))
         for w, t, lo, hi in found:
             out.append(([w[k] if 0 <= k < len(w) else None for k in range(lo - 1, hi + 1)], files[i].tolist(), t[lo:hi]))
     known = sorted({x for w, _, _ in out for x in w if x is not None})
@@ -321,6 +339,7 @@ def fit(stretches: list[tuple], config: Config) -> Model:
             mean[k] = 0.9 * mean[k] + 0.1 * g
             var[k] = 0.99 * var[k] + 0.01 * g * g
             p[k] -= config.rate * (mean[k] / (1 - 0.9**t)) / (np.sqrt(var[k] / (1 - 0.99**t)) + 1e-8)
+    p["words"][3 * block : 3 * block + 3, O] += config.caution  # each word has one of the first three file features
     own, before, after = (p["words"][k * block : k * block + N_SHAPE] for k in range(3))
     return Model(own, before, after, p["words"][3 * block :], p["steps"])
 
