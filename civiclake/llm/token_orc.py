@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from civiclake.llm.common import chunks, encode_parts, plain, ragged, shuffle_partitions, prepare, text_key
 
-CACHE_PIECES = 400_000
+#: Pieces a worker remembers (some 200 bytes each); further ones are encoded again when they recur.
+CACHE_PIECES = 800_000
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 #: Options of the ORC writer.
 ORC_OPTIONS = {
