@@ -176,14 +176,28 @@ def line_repeats(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: counts, distances from the nearest reference (null if not judged), its language,
-    base_failed and kept; ``keep`` names further columns to pass on."""
+VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, nearest string, base_failed boolean, kept boolean"
+
+
+def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Per row: ``id_col``, counts, distances from the nearest reference (null if not judged), its language,
+    base_failed and kept."""
+    out = _judged(docs, refs, rules, (id_col,), text_col, lang_col)
+    return out.select(F.col("__keep_0").alias(id_col), *(x.split()[0] for x in VERDICT.split(", ")))
+
+
+def good_rows(docs: DataFrame, refs: References, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows that are kept, with their columns as they were."""
+    out = _judged(docs, refs, rules, tuple(docs.columns), text_col, lang_col).where("kept")
+    return out.select(*[F.col(f"__keep_{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def _judged(docs: DataFrame, refs: References, rules: Rules, keep: tuple[str, ...], text_col: str, lang_col: str) -> DataFrame:
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(refs)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.col(lang_col).cast("string").alias("__lang"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
-    own = {c: docs.schema[c].dataType.simpleString() for c in (id_col, *keep)}
-    schema = ", ".join([f"`{c}` {t}" for c, t in own.items()]) + ", n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, nearest string, base_failed boolean, kept boolean"
+    names = [f"__keep_{k}" for k in range(len(keep))]
+    rows = docs.select(F.col(text_col).alias("__text"), F.col(lang_col).cast("string").alias("__lang"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    schema = ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names)), VERDICT])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs = shared.value
@@ -202,10 +216,10 @@ def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str
             class_d[unknown] = word_d[unknown] = np.nan
             far = (np.nan_to_num(class_d, nan=0) > rules.max_class_distance) | (np.nan_to_num(word_d, nan=0) > rules.max_word_distance)
             as_float = lambda x: pa.array(x, pa.float64(), mask=np.isnan(x))
-            cols = [b.column("__id"), *(b.column(f"__keep_{c}") for c in keep)]
+            cols = [b.column(x) for x in names]
             cols += [pa.array(x.astype(np.int64)) for x in (n_words, word_chars, symbols, np.array([line_repeats(t) for t in data], np.int64), repeat)]
             cols += [as_float(class_d), as_float(word_d), pa.array(nearest, pa.string()), pa.array(failed), pa.array(~failed & ~far)]
-            yield pa.RecordBatch.from_arrays(cols, names=[*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "nearest", "base_failed", "kept"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *(x.split()[0] for x in VERDICT.split(", "))])
 
     return rows.mapInArrow(work, schema)
 

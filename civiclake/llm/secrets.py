@@ -365,20 +365,24 @@ def marginals(e: np.ndarray, steps: np.ndarray, live: np.ndarray) -> tuple[np.nd
     return unary, step
 
 
-def scan(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: ``id_col``, ``keep``, and found: array of (kind, start, end) in code points, end exclusive."""
+def scan(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``id_col`` and found: array of (kind, start, end) in code points, end exclusive."""
+    return _scanned(docs, model, (id_col,), text_col).select(F.col("__keep_0").alias(id_col), "found")
+
+
+def _scanned(docs: DataFrame, model: Model | None, keep: tuple[str, ...], text_col: str) -> DataFrame:
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
-    own = {c: docs.schema[c].dataType.simpleString() for c in (id_col, *keep)}
+    names = [f"__keep_{k}" for k in range(len(keep))]
+    rows = docs.select(F.col(text_col).alias("__text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "__text"):
             found = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans] for spans in find(plain(b.column("__text")), shared.value)]
-            yield pa.RecordBatch.from_arrays([b.column("__id"), *(b.column(f"__keep_{c}") for c in keep), pa.array(found, span)], names=[*own, "found"])
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(found, span)], names=[*names, "found"])
 
-    return rows.mapInArrow(work, ", ".join(f"`{c}` {t}" for c, t in own.items()) + ", found array<struct<kind:string,start:int,end:int>>")
+    return rows.mapInArrow(work, ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names)), "found array<struct<kind:string,start:int,end:int>>"]))
 
 
 def spans_text(spans) -> str:
@@ -389,11 +393,12 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def redact(docs: DataFrame, model: Model | None, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, model: Model | None, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
     """The rows with their columns as before, each span of a text replaced by ``mark``."""
-    found = scan(docs, model, id_col, text_col, tuple(c for c in docs.columns if c != id_col))
-    text = F.col(text_col)
+    found = _scanned(docs, model, tuple(docs.columns), text_col)
+    text = f"__keep_{docs.columns.index(text_col)}"
     # spans in order; overlapping ones share one mark
-    step = f"""named_struct('at', greatest(a.at, s.end), 'out', if(s.start >= a.at, concat(a.out, substr(`{text_col}`, a.at + 1, s.start - a.at), '{mark}'), a.out))"""
-    cut = F.expr(f"aggregate(found, named_struct('at', 0, 'out', ''), (a, s) -> {step}, a -> concat(a.out, substr(`{text_col}`, a.at + 1)))")
-    return found.withColumn(text_col, F.when(F.size("found") > 0, cut).otherwise(text)).select(*docs.columns)
+    step = f"""named_struct('at', greatest(a.at, s.end), 'out', if(s.start >= a.at, concat(a.out, substr({text}, a.at + 1, s.start - a.at), '{mark}'), a.out))"""
+    cut = F.expr(f"aggregate(found, named_struct('at', 0, 'out', ''), (a, s) -> {step}, a -> concat(a.out, substr({text}, a.at + 1)))")
+    found = found.withColumn(text, F.when(F.size("found") > 0, cut).otherwise(F.col(text)))
+    return found.select(*[F.col(f"__keep_{k}").alias(c) for k, c in enumerate(docs.columns)])

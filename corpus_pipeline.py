@@ -25,8 +25,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; references are taken from the documents given."""
-    judged = quality.judge(docs, quality.fit(docs), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return judged.where("kept").select(*docs.columns)
+    return quality.good_rows(docs, quality.fit(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
