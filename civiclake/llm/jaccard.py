@@ -200,20 +200,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     lost executor costs one round.
     """
     edges = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", scratch)
-    before = None
     while True:
+        n, parents = edges.agg(F.count("*"), F.count_distinct("u")).collect()[0]
+        # a forest of stars: each node has one parent, and no parent has one
+        if n == parents and edges.select(F.col("v").alias("u")).join(edges, "u", "left_semi").isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(least, "u")
+        large = both.where("v > u").join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        joined = large.join(least, "u")
         stars = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = materialize(stars, "edges", scratch)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        before = state
 
 
 def sketch_bits(n: int) -> int:
