@@ -6,14 +6,13 @@ the whole house.  The front index is the unweighted mean of
 ``prop_frente / prop_geral`` over its (ballot, option) cells.  Values
 above 1 mean the front concentrates on options more than the house.
 
-Plan: memberships are deduplicated and votes projected to three columns
-before the only large join (votes x memberships on deputy), which is
-followed immediately by a partial aggregation in the same stage, so only
-(front, ballot, option) counts are shuffled.  Group totals come from a
+Plan: counts add up, so votes are first counted by (deputy, ballot, option),
+map-side, which shrinks a deputy with very many votes to ballots x options
+rows; only these meet the deduplicated memberships, and the sums follow in
+the same stage, so only (front, ballot, option) counts are shuffled.  Group totals come from a
 window over already-aggregated rows (bounded by the number of options per
-ballot), not from a self-join.  Skew on a hot deputy is split by AQE's
-skew-join handling; it cannot be pre-aggregated away because the
-reference semantics count each (vote, membership) pair.
+ballot), not from a self-join.  Each (vote, membership) pair still counts
+once, as the reference semantics ask.
 """
 
 from __future__ import annotations
@@ -27,15 +26,20 @@ def _shares(counts: DataFrame, keys: list[str], n: str, out: str) -> DataFrame:
     return counts.withColumn(out, F.try_divide(F.col(n).cast("double"), F.sum(n).over(w)))
 
 
+def _votes_by_deputy(votes: DataFrame, deputy: str, ballot: str, option: str) -> DataFrame:
+    """(__dep, ballot, option, n): votes counted before they meet memberships."""
+    return votes.groupBy(F.col(deputy).alias("__dep"), F.col(ballot).alias(ballot), F.col(option).alias(option)).agg(F.count("*").alias("__n"))
+
+
 def front_option_shares(votes: DataFrame, memberships: DataFrame, deputy: str = "deputado_id", ballot: str = "idVotacao",
                         option: str = "tipoVoto", front: str = "idFrente", member: str = "id") -> DataFrame:
     """(front, ballot, option, qtde, prop_frente) over deduplicated memberships."""
-    v = votes.select(F.col(deputy).alias("__dep"), F.col(ballot).alias(ballot), F.col(option).alias(option))
+    v = _votes_by_deputy(votes, deputy, ballot, option)
     m = memberships.select(F.col(front).alias(front), F.col(member).alias("__dep")).dropDuplicates()
     counts = (
         v.join(m, "__dep", "inner")
         .groupBy(front, ballot, option)
-        .agg(F.count("__dep").alias("qtde"))
+        .agg(F.sum("__n").alias("qtde"))
         .where(F.col(front).isNotNull() & F.col(ballot).isNotNull())
     )
     return _shares(counts, [front, ballot], "qtde", "prop_frente")
@@ -79,11 +83,11 @@ def alignment_matrix(votes: DataFrame, memberships: DataFrame, deputies: DataFra
     """
     m = memberships.select(front, member).dropDuplicates()
     m = m.join(deputies.select(F.col("id").alias(member), "sigla_partido"), member, "left")
-    v = votes.select(F.col(deputy).alias("__dep"), F.col(ballot).alias(ballot), F.col(option).alias(option))
+    v = _votes_by_deputy(votes, deputy, ballot, option)
     counts = (
         v.join(m.withColumnRenamed(member, "__dep"), "__dep", "inner")
         .groupBy(front, "sigla_partido", ballot, option)
-        .agg(F.count("__dep").alias("qtde"))
+        .agg(F.sum("__n").alias("qtde"))
         .where(F.col(front).isNotNull() & F.col(ballot).isNotNull())
     )
     sub = _shares(counts, [front, "sigla_partido", ballot], "qtde", "prop_sub")

@@ -40,7 +40,7 @@ def run_layer(spark: SparkSession, layer: str, tables: Mapping[str, Callable[[],
             n = write_path(build(), os.path.join(out_dir, layer, name), partition_by=(partitions or {}).get(name, ()))
             rows.append((layer, name, "ok", n, None))
         except Exception as e:  # noqa: BLE001 - reported in the status frame
-            rows.append((layer, name, "falha", None, f"{type(e).__name__}: {str(e)[:500]}"))
+            rows.append((layer, name, "falha", None, f"{type(e).__name__}: {e}"))
             if not isolate_errors:
                 raise RuntimeError(f"{layer}.{name} failed") from e
     return rows
@@ -66,8 +66,8 @@ def _bronze_frame(spark: SparkSession, landing: str, spec) -> tuple[DataFrame, s
 def bronze_schema(spec, with_partitions: bool = True) -> StructType:
     """Schema of a written bronze table: record fields, overflow, lineage (+ partition columns)."""
     fields = list(spec.schema.fields) + [
-        StructField("_extra", StringType()), StructField("_arquivo", StringType()), StructField("pagina", LongType()),
-        StructField("_chegada", TimestampType()),
+        StructField("_extra", StringType()), StructField("_invalidos", StringType()), StructField("_arquivo", StringType()),
+        StructField("pagina", LongType()), StructField("_posicao", IntegerType()), StructField("_chegada", TimestampType()),
     ]
     if with_partitions:
         fields += [StructField(c, IntegerType()) for c in spec.partition_by]
@@ -84,7 +84,7 @@ def ingest_all(spark: SparkSession, landing: str, out_dir: str) -> list[tuple]:
             n = write_path(df, os.path.join(out_dir, "bronze", name), partition_by=spec.partition_by)
             rows.append(("bronze", name, state, n, None))
         except Exception as e:  # noqa: BLE001 - reported in the status frame
-            rows.append(("bronze", name, "falha", None, f"{type(e).__name__}: {str(e)[:500]}"))
+            rows.append(("bronze", name, "falha", None, f"{type(e).__name__}: {e}"))
     return rows
 
 

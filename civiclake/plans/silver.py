@@ -75,11 +75,13 @@ def event_dims(eventos: DataFrame) -> dict[str, DataFrame]:
     events without organs contribute none (P7, P8).
     """
     dim_data = date_dim(eventos.select(to_timestamp_safe("dataHoraInicio").alias("inicio")), "inicio")
-    organs = F.coalesce(F.col("orgaos"), F.when(F.col("orgao").isNotNull(), F.array(F.col("orgao"))))
+    # an empty array must not hide a single organ
+    organs = F.when(F.size("orgaos") > 0, F.col("orgaos")).when(F.col("orgao").isNotNull(), F.array(F.col("orgao")))
     org = eventos.select(F.explode(organs).alias("org")).select(
         F.col("org.id").alias("id_orgao"), clean_text("org.sigla").alias("sigla_orgao"), clean_text("org.nome").alias("nome_orgao")
-    ).where(F.col("id_orgao").isNotNull()).distinct()
-    dim_orgao = org.select(surrogate_key("id_orgao").alias("id_orgao_dim"), "id_orgao", "sigla_orgao", "nome_orgao")
+    ).where(F.col("id_orgao").isNotNull())
+    # one row an organ, however its name is spelt
+    dim_orgao = keep_latest(org, ["id_orgao"]).select(surrogate_key("id_orgao").alias("id_orgao_dim"), "id_orgao", "sigla_orgao", "nome_orgao")
     tipo = eventos.select(clean_text("descricaoTipo").alias("descricao_tipo")).where(F.col("descricao_tipo").isNotNull()).distinct()
     dim_tipo = tipo.select(surrogate_key("descricao_tipo").alias("id_tipo_evento"), "descricao_tipo")
     return {"dim_data": dim_data, "dim_orgao": dim_orgao, "dim_tipo_evento": dim_tipo}

@@ -73,6 +73,8 @@ class BronzeSpec:
     parent: str | None = None  # column stamped from the ``<parent>=<id>`` path segment
     partition_by: tuple[str, ...] = ()
     required: tuple[str, ...] = field(default_factory=tuple)
+    # SQL expressions of the key where columns do not suffice; the record's place is (pagina, _posicao)
+    key_exprs: tuple[str, ...] = ()
 
 
 BRONZE = {
@@ -82,11 +84,15 @@ BRONZE = {
     # one events table partitioned by year (S13), not one table per year
     "eventos": BronzeSpec("eventos", EVENTOS, ("id",), partition_by=("ano",), required=("id",)),
     "votacoes": BronzeSpec("votacoes", VOTACOES, ("id",), required=("id",)),
-    "votos_deputados": BronzeSpec("votos_deputados", VOTOS_DEPUTADOS, ("idVotacao", "deputado_"), parent="idVotacao",
-                                  required=("idVotacao",)),
+    "votos_deputados": BronzeSpec(
+        "votos_deputados", VOTOS_DEPUTADOS, ("idVotacao",), parent="idVotacao", required=("idVotacao",),
+        # the deputy's id, not the deputy's text, which changes with a photo; a vote without one is kept by its place on its page
+        key_exprs=("coalesce(get_json_object(deputado_, '$.id'), concat('#', coalesce(pagina, -1), ':', _posicao))",),
+    ),
     "despesas_deputados": BronzeSpec(
         "despesas_deputados", DESPESAS,
-        ("idDeputado", "numDocumento", "cnpjCpfFornecedor", "dataDocumento", "valorDocumento", "tipoDespesa"),
+        # claims share document numbers, so only a record equal in every field is the same claim landed again
+        tuple(DESPESAS.names),
         parent="idDeputado", required=("idDeputado",),
     ),
     "cpis": BronzeSpec("cpis", CPIS, ("id",), required=("id",)),

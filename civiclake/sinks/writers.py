@@ -3,8 +3,9 @@
 Every write runs its plan once: the row count is an ``Observation`` filled
 during the write (W5), not a second ``count()`` job.  Partitioned writes
 use a ``rebalance`` hint on the partition columns, so AQE splits a hot
-(year, month) into several files/tasks instead of one huge task, and
-overwrite only the partitions present (dynamic partition overwrite).
+(year, month) into several files/tasks instead of one huge task.  An
+overwrite replaces the whole table; ``replace="partitions"`` replaces only
+the partitions that the frame has, for a reload of some of them.
 """
 
 from __future__ import annotations
@@ -15,28 +16,32 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str], mode: str):
+def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, replace: str):
+    if replace not in ("table", "partitions"):
+        raise ValueError(f"replace must be 'table' or 'partitions', not {replace!r}")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     return w
 
 
-def write_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
+def write_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite",
+               replace: str = "table") -> int:
     """Overwrite a path (schema replaced); returns rows written."""
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    _writer(observed, partition_by, mode).format(fmt).save(path)
+    _writer(observed, partition_by, mode, replace).format(fmt).save(path)
     return _observed_rows(obs, df)
 
 
-def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
+def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite",
+               replace: str = "table") -> int:
     """Overwrite a catalog table; returns rows written."""
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    _writer(observed, partition_by, mode).format(fmt).saveAsTable(name)
+    _writer(observed, partition_by, mode, replace).format(fmt).saveAsTable(name)
     return _observed_rows(obs, df)
 
 

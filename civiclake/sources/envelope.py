@@ -68,47 +68,63 @@ def pages_from(raw: DataFrame, parent: str | None = None) -> DataFrame:
     )
 
 
-def page_completeness(pages: DataFrame) -> DataFrame:
+def page_completeness(pages: DataFrame, parents: DataFrame | None = None) -> DataFrame:
     """Per parent, were all pages landed and readable?
 
     ``completo`` when pages 1..max are all present, none is corrupt JSON,
-    and the last one has no ``next`` link.  Output: ``parent, paginas,
-    ultima_pagina, faltando, corrompidas, ultima_tem_proxima, completo``.
+    the last one has no ``next`` link, and no file lacks a page number (its
+    records are read, but its place is unknown).  ``parents`` (a column
+    ``parent``) names the parents expected; one without any page is
+    reported with 0 pages.  Output: ``parent, paginas, ultima_pagina,
+    sem_numero, corrompidas, ultima_tem_proxima, faltando, completo``.
     """
-    per = pages.where(F.col("pagina").isNotNull()).groupBy("parent").agg(
+    per = pages.groupBy("parent").agg(
         F.count_distinct("pagina").alias("paginas"),
         F.max("pagina").alias("ultima_pagina"),
+        F.count_if(F.col("pagina").isNull()).alias("sem_numero"),
         F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrompidas"),
         F.max_by("tem_proxima", "pagina").alias("ultima_tem_proxima"),
     )
-    return per.withColumn("faltando", F.col("ultima_pagina") - F.col("paginas")).withColumn(
-        "completo", (F.col("faltando") == 0) & (F.col("corrompidas") == 0) & ~F.col("ultima_tem_proxima")
-    )
+    if parents is not None:
+        counts = ["paginas", "sem_numero", "corrompidas"]
+        expected = parents.select(F.col("parent").cast("string").alias("parent")).distinct()
+        per = per.join(expected, "parent", "full").fillna(0, counts)
+    per = per.withColumn("faltando", F.coalesce(F.col("ultima_pagina"), F.lit(0)) - F.col("paginas"))
+    whole = (F.col("paginas") > 0) & (F.col("faltando") == 0) & (F.col("sem_numero") == 0) & (F.col("corrompidas") == 0)
+    return per.withColumn("completo", whole & ~F.coalesce(F.col("ultima_tem_proxima"), F.lit(True)))
 
 
-def records(pages: DataFrame, schema: StructType, parent: str | None = None, overflow: str | None = "_extra") -> DataFrame:
+def records(pages: DataFrame, schema: StructType, parent: str | None = None, overflow: str | None = "_extra", raw: bool = False) -> DataFrame:
     """Explode pages into conformed records.
 
     Known fields are parsed with the declared schema (missing -> typed
     NULL); unknown fields are kept as JSON text in ``overflow`` (pass
     ``None`` to skip that second parse of each record); the parent id from
-    the path fills ``parent`` when the record lacks it.
+    the path fills ``parent`` when the record lacks it.  ``_posicao`` is the
+    record's place on its page, ``_invalidos`` names the known fields whose
+    value was given but could not be parsed (comma-joined, NULL if none),
+    and ``raw`` keeps the record's text in ``_raw``.
     """
     known = [fl.name for fl in schema.fields]
     carry = [c for c in ("_chegada",) if c in pages.columns]
-    rec = pages.select("_arquivo", "pagina", "parent", *carry, F.explode("dados").alias("_raw"))
+    rec = pages.select("_arquivo", "pagina", "parent", *carry, F.posexplode("dados").alias("_posicao", "_raw"))
     as_map = F.from_json("_raw", "map<string,string>")
     known_arr = F.array(*[F.lit(k) for k in known])
     extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(known_arr, k))
-    extra_col = [F.when(F.size(extra) > 0, F.to_json(extra)).alias(overflow)] if overflow else []
-    parsed = rec.select("_arquivo", "pagina", "parent", *carry, "_raw", F.from_json("_raw", schema).alias("r"), *extra_col)
+    extra_col = [F.when(F.size(extra) > 0, F.to_json(extra)).alias(overflow), as_map.alias("m")] if overflow else []
+    parsed = rec.select("_arquivo", "pagina", "_posicao", "parent", *carry, "_raw", F.from_json("_raw", schema).alias("r"), *extra_col)
     cols = []
     for fl in schema.fields:
         c = F.col(f"r.{fl.name}")
         if parent and fl.name == parent:
             c = F.coalesce(c, F.col("parent").try_cast(fl.dataType))
         cols.append(c.alias(fl.name))
-    return parsed.select(*cols, *([overflow] if overflow else []), "_arquivo", "pagina", *carry)
+    invalid = []
+    if overflow:
+        bad = [F.when(F.col("m").getItem(k).isNotNull() & F.col(f"r.`{k}`").isNull(), F.lit(k)) for k in known]
+        # a text that is no record at all has no fields to name
+        invalid = [F.when(F.col("m").isNull() | F.col("r").isNull(), F.lit("registro")).otherwise(F.nullif(F.concat_ws(",", *bad), F.lit(""))).alias("_invalidos")]
+    return parsed.select(*cols, *([overflow] if overflow else []), *invalid, "_arquivo", "pagina", "_posicao", *carry, *(["_raw"] if raw else []))
 
 
 def conform(df: DataFrame, schema: StructType, overflow: str | None = "_extra") -> DataFrame:
@@ -137,6 +153,24 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def split_accepted(recs: DataFrame, spec: BronzeSpec) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) records of ``records(..., raw=True)``.
+
+    A record that lacks a required key is rejected with its text (``_raw``)
+    and the missing keys (``_motivo``), so it can be audited and landed again.
+    """
+    missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in spec.required])
+    accepted = recs.where(missing == "").drop("_raw")
+    return accepted, recs.where(missing != "").withColumn("_motivo", F.concat(F.lit("sem "), missing))
+
+
+def latest(accepted: DataFrame, spec: BronzeSpec) -> DataFrame:
+    """One row per natural key: the record of the most recently landed file (K8)."""
+    keys = [f"__k{i}" for i in range(len(spec.key_exprs))]
+    keyed = accepted.withColumns({k: F.expr(e) for k, e in zip(keys, spec.key_exprs)})
+    return keep_latest(keyed, [*spec.natural_key, *keys], ["_chegada", "_arquivo", "pagina"]).drop(*keys)
+
+
 def bronze(spark: SparkSession, landing: str, spec: BronzeSpec) -> tuple[DataFrame, DataFrame]:
     """One table-driven bronze build: (accepted records, rejected records).
 
@@ -145,11 +179,5 @@ def bronze(spark: SparkSession, landing: str, spec: BronzeSpec) -> tuple[DataFra
     natural key keeps the record from the most recently landed file (K8).
     """
     path = os.path.join(landing, spec.name)
-    recs = records(read_pages(spark, path, spec.parent), spec.schema, spec.parent)
-    ok = F.lit(True)
-    for k in spec.required:
-        ok = ok & F.col(k).isNotNull()
-    accepted = recs.where(ok)
-    rejected = recs.where(~ok)
-    dedup = keep_latest(accepted, list(spec.natural_key), ["_chegada", "_arquivo", "pagina"])
-    return dedup, rejected
+    accepted, rejected = split_accepted(records(read_pages(spark, path, spec.parent), spec.schema, spec.parent, raw=True), spec)
+    return latest(accepted, spec), rejected

@@ -32,10 +32,10 @@ def read_bulk(spark: SparkSession, path: str, schema: StructType, fmt: str = "cs
 
 
 def period(c: str | Column, year: int | None = None, start: str | None = None, end: str | None = None) -> Column:
-    """Date predicate; ``year`` -> [yyyy-01-01, yyyy-12-31]; either end optional.
+    """Predicate on a date or timestamp column; ``year`` -> all of that year; either end optional.
 
-    Applied to a partition column (``ano``) or a date column it becomes
-    partition pruning / a pushed parquet filter.
+    ``end`` is a day and counts whole: the upper bound is the next day,
+    exclusive, so its hours are in.  Becomes a pushed parquet filter.
     """
     col = F.col(c) if isinstance(c, str) else c
     cond = F.lit(True)
@@ -44,10 +44,16 @@ def period(c: str | Column, year: int | None = None, start: str | None = None, e
     if start:
         cond = cond & (col >= F.lit(start).cast("date"))
     if end:
-        cond = cond & (col <= F.lit(end).cast("date"))
+        cond = cond & (col < F.date_add(F.lit(end).cast("date"), 1))
     return cond
 
 
+def years(c: str | Column, first: int, last: int | None = None) -> Column:
+    """S10 on an integer year column (``ano``), which prunes partitions; ``last`` defaults to ``first``."""
+    col = F.col(c) if isinstance(c, str) else c
+    return col.between(first, first if last is None else last)
+
+
 def of_type(c: str, code: str = "CPIPC") -> Column:
     """Source-side type predicate (e.g. inquiry committees)."""
     return F.col(c) == F.lit(code)

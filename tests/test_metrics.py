@@ -148,3 +148,23 @@ def test_non_negative_split_keeps_nulls_and_reports_rejects(spark):
     df = spark.createDataFrame([(1, 10.0), (2, -5.0), (3, None), (4, 0.0)], "id long, v double")
     ok, bad = quality.split_non_negative(df, "v")
     assert sorted(r["id"] for r in ok.collect()) == [1, 3, 4] and [r["id"] for r in bad.collect()] == [2]
+
+
+def test_alignment_counts_votes_before_the_fan_out(spark):
+    """A deputy with a third of all votes: same shares as counting every (vote, membership) pair."""
+    import collections
+    import random
+
+    from civiclake.operators.alignment import front_option_shares
+
+    rng = random.Random(1)
+    votes = [(1 if k % 3 == 0 else rng.randint(2, 9), f"b{rng.randint(1, 4)}", rng.choice(["S", "N", None])) for k in range(600)] + [(None, "b1", "S")]
+    members = [(f, d) for f in range(1, 6) for d in range(1, 10) if rng.random() < 0.5] + [(1, 1), (1, 1)]
+    v = spark.createDataFrame(votes, "deputado_id long, idVotacao string, tipoVoto string")
+    m = spark.createDataFrame(members, "idFrente long, id long")
+    df = front_option_shares(v, m)
+    expect = collections.Counter((f, b, o) for d, b, o in votes for f, e in set(members) if d == e)
+    assert {(r["idFrente"], r["idVotacao"], r["tipoVoto"]): r["qtde"] for r in df.collect()} == expect
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join Inner")
+    assert "Aggregate [deputado_id" in plan[join:]  # counted below the fan-out join

@@ -211,7 +211,7 @@ def test_partitioned_rerun_replaces_only_its_partitions(spark, tmpdir_run):
     first = spark.createDataFrame([(1, 2024, 1, 10.0), (2, 2024, 2, 20.0)], "id long, ano int, mes int, v double")
     writers.write_path(first, path, partition_by=("ano", "mes"))
     rerun = spark.createDataFrame([(3, 2024, 2, 30.0)], "id long, ano int, mes int, v double")  # February reloaded
-    writers.write_path(rerun, path, partition_by=("ano", "mes"))
+    writers.write_path(rerun, path, partition_by=("ano", "mes"), replace="partitions")
     got = sorted((r["id"], r["mes"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1), (3, 2)]  # January kept, February replaced
 
@@ -251,3 +251,81 @@ def test_streaming_is_incremental_on_rerun(spark, tmpdir_run):
     land(landing, "frentes", [[{"id": 3}]], subdir="day2")
     start_ingest(spark, landing, BRONZE["frentes"], target, ckpt).awaitTermination(120)
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def test_full_rebuild_leaves_no_stale_partition(spark, tmpdir_run):
+    path = os.path.join(tmpdir_run, "fact")
+    writers.write_path(spark.createDataFrame([(1, 2023), (2, 2023)], "id long, ano int"), path, partition_by=("ano",))
+    writers.write_path(spark.createDataFrame([(1, 2024)], "id long, ano int"), path, partition_by=("ano",))
+    assert [(r["id"], r["ano"]) for r in spark.read.parquet(path).collect()] == [(1, 2024)]  # moved, not doubled
+    schema = spark.read.parquet(path).schema
+    writers.write_path(spark.createDataFrame([], schema), path, partition_by=("ano",))
+    assert spark.read.schema(schema).parquet(path).count() == 0
+
+
+def test_votes_without_deputy_are_kept_and_changed_texts_merge(spark, tmpdir_run):
+    page = [{"tipoVoto": "Sim"}, {"tipoVoto": "Sim"}, {"tipoVoto": "Nao", "deputado_": None},
+            {"tipoVoto": "Sim", "deputado_": '{"id": 7, "urlFoto": "a"}'}]
+    land(tmpdir_run, "votos_deputados", [page], parent=("idVotacao", "v1"))
+    land(tmpdir_run, "votos_deputados", [[*page[:3], {"tipoVoto": "Sim", "deputado_": '{"id": 7, "urlFoto": "b"}'}]], parent=("idVotacao", "v1"), subdir="again")
+    recs, rej = envelope.bronze(spark, tmpdir_run, BRONZE["votos_deputados"])
+    got = sorted((r["tipoVoto"], r["deputado_"] is None) for r in recs.collect())
+    assert got == [("Nao", True), ("Sim", False), ("Sim", True), ("Sim", True)] and rej.count() == 0
+
+
+def test_claims_that_differ_in_any_field_are_kept(spark, tmpdir_run):
+    base = {"tipoDespesa": "T", "dataDocumento": "2024-01-02", "valorDocumento": 10, "valorLiquido": 10}
+    page = [{**base, "codDocumento": "100"}, {**base, "codDocumento": "101"}, {**base, "codDocumento": "101"}]
+    land(tmpdir_run, "despesas_deputados", [page], parent=("idDeputado", 5))
+    recs, _ = envelope.bronze(spark, tmpdir_run, BRONZE["despesas_deputados"])
+    assert sorted(r["codDocumento"] for r in recs.collect()) == ["100", "101"]
+
+
+def test_rejects_keep_their_text_and_bad_values_are_named(spark, tmpdir_run):
+    land(tmpdir_run, "deputados", [[{"id": "abc", "nome": "X"}, {"id": 1, "nome": "Ana", "idLegislatura": "oops"}, {"nome": "no id"}, {"id": 2, "nome": None}]])
+    recs, rej = envelope.bronze(spark, tmpdir_run, BRONZE["deputados"])
+    assert {r["id"]: r["_invalidos"] for r in recs.collect()} == {1: "idLegislatura", 2: None}
+    got = sorted((r["_motivo"], r["_invalidos"], "abc" in r["_raw"]) for r in rej.select("_motivo", F.coalesce("_invalidos", F.lit("")).alias("_invalidos"), "_raw").collect())
+    assert got == [("sem id", "", False), ("sem id", "id", True)]
+
+
+def test_landed_rows_are_accepted_rejected_or_duplicates(spark, tmpdir_run):
+    spec = BRONZE["despesas_deputados"]
+    rows = [{"codDocumento": str(i % 7), "valorLiquido": i % 2} for i in range(60)]
+    land(tmpdir_run, spec.name, [rows[:30], rows[30:]], parent=("idDeputado", 5))
+    land(tmpdir_run, spec.name, [[{"valorLiquido": 1}, {"idDeputado": 9}]])  # no parent in the path
+    recs = envelope.records(envelope.read_pages(spark, os.path.join(tmpdir_run, spec.name), spec.parent), spec.schema, spec.parent, raw=True)
+    accepted, rejected = envelope.split_accepted(recs, spec)
+    kept = envelope.latest(accepted, spec)
+    doubles = accepted.groupBy(*spec.natural_key).count().selectExpr("sum(count - 1)").first()[0]
+    assert (recs.count(), rejected.count(), kept.count(), doubles) == (62, 1, 15, 46)
+
+
+def test_pages_without_number_and_parents_without_pages_are_reported(spark, tmpdir_run):
+    d = land(tmpdir_run, "frentes_membros", [[{"id": 1}]], parent=("idFrente", 1))
+    os.rename(os.path.join(d, "page=1.json"), os.path.join(d, "dump.json"))
+    land(tmpdir_run, "frentes_membros", [[{"id": 1}]], parent=("idFrente", 2))
+    pages = envelope.read_pages(spark, os.path.join(tmpdir_run, "frentes_membros"), "idFrente")
+    parents = spark.createDataFrame([(1,), (2,), (3,)], "parent long")
+    got = {r["parent"]: (r["paginas"], r["sem_numero"], r["completo"]) for r in envelope.page_completeness(pages, parents).collect()}
+    assert got == {"1": (0, 1, False), "2": (1, 0, True), "3": (0, 0, False)}
+
+
+def test_period_has_the_whole_last_day(spark):
+    from civiclake.sources.tables import period, years
+
+    df = spark.sql("select timestamp'2024-12-31 15:00:00' t, 2024 ano union all select timestamp'2025-01-01 00:00:00', 2025 union all select timestamp'2023-12-31 23:59:59', 2023")
+    assert [str(r["t"]) for r in df.where(period("t", year=2024)).collect()] == ["2024-12-31 15:00:00"]
+    assert df.where(period("t", end="2024-12-31")).count() == 2
+    assert [r["ano"] for r in df.where(years("ano", 2024)).collect()] == [2024] and df.where(years("ano", 2023, 2024)).count() == 2
+
+
+def test_organ_dimension_has_one_row_a_key(spark):
+    from civiclake.plans.silver import event_dims
+
+    organ = "struct<id:string,sigla:string,nome:string>"
+    rows = [(1, "2024-01-01T10:00", "T", [("9", "CCJ", "Comissao")], None), (2, "2024-01-02T10:00", "T", [("9", "CCJ", "COMISSAO X")], None),
+            (3, "2024-01-03T10:00", "T", [], ("8", "PLEN", "Plenario")), (4, None, None, None, None)]
+    ev = spark.createDataFrame(rows, f"id long, dataHoraInicio string, descricaoTipo string, orgaos array<{organ}>, orgao {organ}")
+    got = event_dims(ev)["dim_orgao"].collect()
+    assert sorted(r["id_orgao"] for r in got) == ["8", "9"] and len({r["id_orgao_dim"] for r in got}) == 2
