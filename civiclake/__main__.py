@@ -1,4 +1,4 @@
-"""Command line: ``python -m civiclake {ingest,transform,analyze,all} ...``.
+"""Command line: ``python -m civiclake {ingest,stream,transform,analyze,all} ...``.
 
 Runs the layers against landed pages (bronze) and a lake folder; prints
 the status rows.  Spark settings come from the environment
@@ -15,14 +15,14 @@ from civiclake.plans import layers
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="civiclake")
-    p.add_argument("step", choices=["ingest", "transform", "analyze", "all"])
-    p.add_argument("--landing", help="folder of landed API pages (ingest, all)")
+    p.add_argument("step", choices=["ingest", "stream", "transform", "analyze", "all"])
+    p.add_argument("--landing", help="folder of landed API pages (ingest, stream, all)")
     p.add_argument("--lake", required=True, help="output folder of the bronze/silver/gold tables")
     p.add_argument("--as-of", default=dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
                    help="processing timestamp stamped on silver rows (one value per run)")
     p.add_argument("--master", default=None, help="Spark master for local runs (e.g. local[8]); omit under spark-submit")
     a = p.parse_args(argv)
-    if a.step in ("ingest", "all") and not a.landing:
+    if a.step in ("ingest", "stream", "all") and not a.landing:
         p.error(f"--landing is required for '{a.step}'")
 
     from pyspark.sql import SparkSession
@@ -37,7 +37,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.step == "all":
         status = layers.run_all(spark, a.landing, a.lake, a.as_of).collect()
     else:
-        rows = {"ingest": lambda: layers.ingest_all(spark, a.landing, a.lake),
+        from civiclake.streaming import ingest_new
+
+        rows = {"stream": lambda: ingest_new(spark, a.landing, a.lake),
+                "ingest": lambda: layers.ingest_all(spark, a.landing, a.lake),
                 "transform": lambda: layers.transform_all(spark, a.lake, a.as_of),
                 "analyze": lambda: layers.analyze_all(spark, a.lake)}[a.step]()
         status = rows

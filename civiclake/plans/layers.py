@@ -9,20 +9,19 @@ as the reference did.  The result of a run is a status DataFrame
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-from civiclake.functions.clean import to_timestamp_safe
 from civiclake.operators import quality
 from civiclake.plans import gold, silver
 from civiclake.schemas import BRONZE
 from civiclake.sinks.writers import write_path
 from civiclake.sources.envelope import bronze as bronze_table
-from civiclake.sources.envelope import page_completeness, read_pages
+from civiclake.sources.envelope import page_completeness, read_pages, reconcile, records, with_year
 
 
 STATUS = StructType([
@@ -58,9 +57,7 @@ def _bronze_frame(spark: SparkSession, landing: str, spec) -> tuple[DataFrame, s
         if "PATH_NOT_FOUND" not in str(e):
             raise
         df, status = spark.createDataFrame([], bronze_schema(spec, with_partitions=False)), "vazio"
-    if "ano" in spec.partition_by:  # S13: the event year, from the parsed start
-        df = df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
-    return df, status
+    return with_year(df, spec), status
 
 
 def bronze_schema(spec, with_partitions: bool = True) -> StructType:
@@ -124,12 +121,36 @@ def run_all(spark: SparkSession, landing: str, out_dir: str, as_of: str) -> Data
     return spark.createDataFrame(status, STATUS)
 
 
+#: The silver table and key that a fan-out endpoint's parents come from.
+PARENTS = {"idFrente": ("dim_frentes", "id"), "idVotacao": ("fact_votacoes", "idVotacao"), "idDeputado": ("dim_deputados", "id")}
+
+
+def expected_parents(parent: str | None, sv: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Parents (column ``parent``) whose pages should have landed; none for endpoints without a parent."""
+    if parent is None:
+        return None
+    name, key = PARENTS[parent]
+    return sv[name].select(sv[name][key].cast("string").alias("parent")).where("parent is not null")
+
+
 def audit_tables(spark: SparkSession, landing: str, present: Mapping, sv: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
     """Data-quality tables (Q1-Q5, S2) written with every run."""
     out: dict[str, Callable[[], DataFrame]] = {}
     for name, spec in present.items():
-        out[f"paginas_{name}"] = lambda spec=spec: page_completeness(read_pages(spark, os.path.join(landing, spec.name), spec.parent))
+        out[f"paginas_{name}"] = lambda spec=spec: page_completeness(read_pages(spark, os.path.join(landing, spec.name), spec.parent), expected_parents(spec.parent, sv))
         out[f"rejeitados_{name}"] = lambda spec=spec: bronze_table(spark, landing, spec)[1]
+    def landed(spec) -> DataFrame:
+        return records(read_pages(spark, os.path.join(landing, spec.name), spec.parent), spec.schema, spec.parent, raw=True)
+
+    def reconciliation() -> DataFrame:
+        rows = [reconcile(landed(spec), spec) for spec in present.values()]
+        return functools.reduce(DataFrame.unionByName, rows)
+
+    if present:
+        out["reconciliacao"] = reconciliation
+    # keys as they landed: the silver table has each once
+    if "eventos" in present:
+        out["duplicados_eventos"] = lambda: quality.duplicate_keys(landed(present["eventos"]), ["id"])
     out["duplicados_fact_eventos"] = lambda: quality.duplicate_keys(sv["fact_eventos"], ["id"])
     out["orfaos_votos"] = lambda: quality.orphans(sv["fact_votacoes"], sv["dim_deputados"], "deputado_id", "id")
     out["orfaos_despesas"] = lambda: quality.orphans(sv["fact_despesas"], sv["dim_deputados"], "idDeputado", "id")

@@ -609,6 +609,16 @@ def q_null_profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.null_profile(roles.table(spark, d, "lineitem"), LI_COLS)
 
 
+@register(
+    "fk_orphans_orders",
+    """SELECT o_orderkey, count(*) AS qtde FROM orders WHERE o_orderkey IS NOT NULL
+  AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL) GROUP BY o_orderkey""",
+)
+def q_fk_orphans_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Q2 where there are orphans: orders without a line item."""
+    return quality.orphans(roles.table(spark, d, "orders"), roles.table(spark, d, "lineitem"), "o_orderkey", "l_orderkey")
+
+
 # ------------------------------------------------------------ extensions
 from civiclake.operators import events as events_op  # noqa: E402
 
@@ -632,6 +642,19 @@ def q_event_fact(spark: SparkSession, d: str) -> DataFrame:
     return rnd(events_op.event_fact(ev, presence="qtde"), {"duracao_horas": 6})
 
 
+EVENT_FACT_COLS = ["id_evento", "id_data", "id_tipo_evento", "duracao_horas", "qtde_presencas"]
+
+
+@register(
+    "null_profile_event_fact",
+    "UNPIVOT (SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in EVENT_FACT_COLS)
+    + ", count(*) AS total FROM (" + SQL["event_fact"] + ")) ON " + ", ".join(EVENT_FACT_COLS) + " INTO NAME coluna VALUE nulos",
+)
+def q_null_profile_event_fact(spark: SparkSession, d: str) -> DataFrame:
+    """Q4 where there are NULLs: events without an end or an attendance list."""
+    return quality.null_profile(q_event_fact(spark, d), EVENT_FACT_COLS)
+
+
 @register(
     "presence_rate",
     """SELECT role, count(DISTINCT conv_id) AS qtde_eventos,

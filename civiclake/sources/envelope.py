@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from civiclake.functions.clean import to_timestamp_safe
 from civiclake.operators.dedup import keep_latest
 from civiclake.schemas import LINK, BronzeSpec
 
@@ -171,6 +172,23 @@ def latest(accepted: DataFrame, spec: BronzeSpec) -> DataFrame:
     return keep_latest(keyed, [*spec.natural_key, *keys], ["_chegada", "_arquivo", "pagina"]).drop(*keys)
 
 
+def with_year(df: DataFrame, spec: BronzeSpec) -> DataFrame:
+    """The event year as the partition column of the one events table."""
+    return df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio"))) if "ano" in spec.partition_by else df
+
+
+def reconcile(recs: DataFrame, spec: BronzeSpec) -> DataFrame:
+    """Q5: one row: ``tabela, registros`` landed, ``rejeitados``, ``duplicados`` (records that another
+    record of their key replaced), ``gravados``, ``com_invalidos``; landed = rejected + duplicate + written."""
+    accepted, rejected = split_accepted(recs, spec)
+    some = accepted.agg(F.count("*").alias("aceitos"), F.count("_invalidos").alias("com_invalidos"))
+    none = rejected.agg(F.count("*").alias("rejeitados"))
+    kept = latest(accepted, spec).agg(F.count("*").alias("gravados"))
+    # three one-row frames
+    row = some.join(none).join(kept)
+    return row.select(F.lit(spec.name).alias("tabela"), (F.col("aceitos") + F.col("rejeitados")).alias("registros"), "rejeitados", (F.col("aceitos") - F.col("gravados")).alias("duplicados"), "gravados", "com_invalidos")
+
+
 def bronze(spark: SparkSession, landing: str, spec: BronzeSpec) -> tuple[DataFrame, DataFrame]:
     """One table-driven bronze build: (accepted records, rejected records).
 

@@ -1,12 +1,16 @@
 """Incremental bronze ingest with Structured Streaming.
 
-New landed page files are picked up by a file stream, exploded into
-records exactly as the batch path does, deduplicated on the endpoint's
-natural key within a watermark on landing time (a page landed twice, or
-the double-paged expense fetch, yields each record once), and written by
-``foreachBatch``.  Each micro-batch overwrites its own ``lote=<batch_id>``
-folder, so a batch replayed after a failure rewrites the same files
-(idempotent), and the checkpoint records which files were consumed.
+A file stream picks up landed page files and explodes them into records
+exactly as the batch path does.  Nothing is dropped by lateness: each
+micro-batch writes its accepted records, and its rejects with their text
+and reason, to folders named after the batch (``lote=<batch_id>``), so a
+batch replayed after a failure rewrites the same files.  The bronze table
+is then the latest record of each natural key over all batches, by the rule
+the batch path uses, in the same layout: a back-filled page adds its
+records, a corrected page replaces them, a page landed twice changes
+nothing, and the result equals a full batch build of the same files.
+
+Each refresh reads the batches' accepted records, not the landed JSON.
 """
 
 from __future__ import annotations
@@ -14,16 +18,15 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from civiclake.schemas import BronzeSpec
-from civiclake.sources.envelope import RAW_PAGE, pages_from, records
+from civiclake.schemas import BRONZE, BronzeSpec
+from civiclake.sinks.writers import write_path
+from civiclake.sources.envelope import RAW_PAGE, latest, pages_from, records, split_accepted, with_year
 
 
-def stream_records(spark: SparkSession, landing: str, spec: BronzeSpec, watermark: str = "1 day",
-                   max_files: int | None = None) -> DataFrame:
-    """Streaming frame of conformed, deduplicated records of one endpoint."""
+def stream_records(spark: SparkSession, landing: str, spec: BronzeSpec, max_files: int | None = None) -> DataFrame:
+    """Streaming frame of all records of one endpoint, with their text."""
     reader = (
         spark.readStream.schema(RAW_PAGE)
         .option("multiLine", True)
@@ -35,25 +38,56 @@ def stream_records(spark: SparkSession, landing: str, spec: BronzeSpec, watermar
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.json(os.path.join(landing, spec.name))
-    recs = records(pages_from(raw, spec.parent), spec.schema, spec.parent)
-    ok = F.lit(True)
-    for k in spec.required:
-        ok = ok & F.col(k).isNotNull()
-    return recs.where(ok).withWatermark("_chegada", watermark).dropDuplicatesWithinWatermark(list(spec.natural_key))
+    return records(pages_from(raw, spec.parent), spec.schema, spec.parent, raw=True)
+
+
+def batch_folders(target: str) -> tuple[str, str]:
+    """Folders of the accepted and rejected records of the batches, beside the table."""
+    return f"{target}_lotes", f"{target}_rejeitados"
+
+
+def refresh(spark: SparkSession, spec: BronzeSpec, target: str) -> int:
+    """Rebuild the bronze table from the accepted records of all batches; returns its rows."""
+    accepted = spark.read.parquet(batch_folders(target)[0]).drop("lote")
+    return write_path(with_year(latest(accepted, spec), spec), target, partition_by=spec.partition_by)
 
 
 def start_ingest(spark: SparkSession, landing: str, spec: BronzeSpec, target: str, checkpoint: str,
-                 available_now: bool = True, watermark: str = "1 day") -> StreamingQuery:
-    """Start the incremental ingest of one endpoint into ``target``.
+                 available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+    """Start the incremental ingest of one endpoint into the bronze table at ``target``.
 
     ``checkpoint`` must be on shared storage (e.g. under the cluster's
     ``spark.checkpoint.dir``).  ``available_now`` processes what has landed
     and stops; otherwise the query keeps running.
     """
+    accepted_path, rejected_path = batch_folders(target)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.drop("_chegada").write.mode("overwrite").parquet(os.path.join(target, f"lote={batch_id}"))
+        batch = batch.persist()
+        try:
+            accepted, rejected = split_accepted(batch, spec)
+            accepted.write.mode("overwrite").parquet(os.path.join(accepted_path, f"lote={batch_id}"))
+            rejected.write.mode("overwrite").parquet(os.path.join(rejected_path, f"lote={batch_id}"))
+        finally:
+            batch.unpersist()
+        refresh(batch.sparkSession, spec, target)
 
-    w = stream_records(spark, landing, spec, watermark).writeStream.foreachBatch(write_batch)
+    w = stream_records(spark, landing, spec, max_files).writeStream.foreachBatch(write_batch)
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def ingest_new(spark: SparkSession, landing: str, lake: str) -> list[tuple]:
+    """Bronze of a lake, incrementally: every endpoint with a landing folder takes what is new.
+    Returns status rows like the batch ingest (rows: of the table after the run)."""
+    rows = []
+    for name, spec in BRONZE.items():
+        target = os.path.join(lake, "bronze", name)
+        try:
+            start_ingest(spark, landing, spec, target, os.path.join(lake, "_checkpoints", name)).awaitTermination()
+            rows.append(("bronze", name, "ok", spark.read.parquet(target).count(), None))
+        except Exception as e:  # noqa: BLE001 - reported in the status rows
+            state = "vazio" if "PATH_NOT_FOUND" in str(e) else "falha"
+            rows.append(("bronze", name, state, None, f"{type(e).__name__}: {e}"))
+    return rows

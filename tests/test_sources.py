@@ -329,3 +329,69 @@ def test_organ_dimension_has_one_row_a_key(spark):
     ev = spark.createDataFrame(rows, f"id long, dataHoraInicio string, descricaoTipo string, orgaos array<{organ}>, orgao {organ}")
     got = event_dims(ev)["dim_orgao"].collect()
     assert sorted(r["id_orgao"] for r in got) == ["8", "9"] and len({r["id_orgao_dim"] for r in got}) == 2
+
+
+def test_stream_equals_batch_with_late_double_and_corrected_pages(spark, tmpdir_run):
+    """Landed late, twice and corrected: the stream's table is the batch build's, row for row."""
+    import time
+
+    from civiclake.streaming import refresh, start_ingest
+    from civiclake.streaming.incremental import batch_folders
+
+    landing, spec = os.path.join(tmpdir_run, "landing"), BRONZE["eventos"]
+    target, ckpt = os.path.join(tmpdir_run, "bronze", "eventos"), os.path.join(tmpdir_run, "ckpt")
+
+    def run():
+        start_ingest(spark, landing, spec, target, ckpt).awaitTermination(120)
+
+    land(landing, "eventos", [[{"id": 1, "descricao": "first", "dataHoraInicio": "2024-01-01T10:00"}], [{"id": 2, "dataHoraInicio": "2023-05-01T10:00"}]])
+    run()
+    late = land(landing, "eventos", [[{"id": 3, "descricao": "late"}, {"descricao": "no id"}]], subdir="backfill")
+    old = time.time() - 5 * 86400
+    os.utime(os.path.join(late, "page=1.json"), (old, old))
+    land(landing, "eventos", [[{"id": 1, "descricao": "corrected", "dataHoraInicio": "2025-01-01T10:00"}], [{"id": 2, "dataHoraInicio": "2023-05-01T10:00"}]], subdir="day2")
+    run()
+    cols = ["id", "descricao", "ano", "_arquivo", "_chegada"]
+    batch = envelope.with_year(envelope.bronze(spark, landing, spec)[0], spec).select(cols)
+    stream = spark.read.parquet(target).select(cols)
+    key = lambda r: r["id"]
+    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, batch.collect()), key=lambda r: r[0])
+    assert {r["id"]: r["descricao"] for r in stream.collect()} == {1: "corrected", 2: None, 3: "late"}
+    assert [r["ano"] for r in sorted(stream.collect(), key=key)] == [2025, 2023, None]  # the corrected event left 2024
+    rejects = spark.read.parquet(batch_folders(target)[1]).collect()
+    assert [(r["_motivo"], "no id" in r["_raw"]) for r in rejects] == [("sem id", True)]
+    before = sorted(map(tuple, stream.collect()))
+    run()  # nothing new
+    assert refresh(spark, spec, target) == 3  # a replayed batch changes nothing
+    assert sorted(map(tuple, spark.read.parquet(target).select(cols).collect())) == before
+
+
+def test_cli_stream_step_feeds_the_layers(spark, tmpdir_run, capsys):
+    from civiclake.__main__ import main
+
+    landing, lake = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "lake")
+    land(landing, "deputados", [[{"id": 1, "nome": "Ana"}]])
+    main(["stream", "--landing", landing, "--lake", lake])
+    lines = {ln.split("\t")[1]: ln.split("\t") for ln in capsys.readouterr().out.strip().splitlines()}
+    assert lines["deputados"][2:4] == ["ok", "1"] and lines["cpis"][2] == "vazio"
+    assert spark.read.schema(layers_schema("deputados")).parquet(os.path.join(lake, "bronze", "deputados")).first()["nome"] == "Ana"
+
+
+def layers_schema(name):
+    from civiclake.plans.layers import bronze_schema
+
+    return bronze_schema(BRONZE[name])
+
+
+def test_audit_reconciles_and_reports_pending_parents(spark, tmpdir_run):
+    from civiclake.plans.layers import run_all
+
+    landing, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "lake")
+    _land_domain(landing)
+    run_all(spark, landing, out, AS_OF)
+    rec = {r["tabela"]: r for r in spark.read.parquet(os.path.join(out, "audit", "reconciliacao")).collect()}
+    assert all(r["registros"] == r["rejeitados"] + r["duplicados"] + r["gravados"] for r in rec.values())
+    assert (rec["eventos"]["registros"], rec["eventos"]["duplicados"]) == (3, 1) and rec["frentes_membros"]["duplicados"] == 1
+    assert [tuple(r) for r in spark.read.parquet(os.path.join(out, "audit", "duplicados_eventos")).collect()] == [(100, 2)]
+    pages = {r["parent"]: (r["paginas"], r["completo"]) for r in spark.read.parquet(os.path.join(out, "audit", "paginas_despesas_deputados")).collect()}
+    assert pages == {"1": (1, True), "2": (0, False), "3": (0, False)}  # two deputies' expenses have not landed
