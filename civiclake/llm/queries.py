@@ -104,4 +104,58 @@ QUERIES = {
     "op10_html_text": op10_html_text,
 }
 
-SQL: dict[str, str] = {}
+#: Words as the contract has them, and lower case of A-Z only.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _escaped(column: str) -> str:
+    """The escaping of chat texts by plain replacements."""
+    out = f"replace({column}, '\\', '\\\\')"
+    for c in chat.CONTROLS:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+SQL: dict[str, str] = {
+    "op6_substring_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT rn, i, list_slice(w, i, i + 34) AS x FROM (SELECT rn, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+dup AS (SELECT x FROM win GROUP BY x HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rn, unnest(range(i, i + 35)) AS pos FROM win SEMI JOIN dup USING (x)),
+kept AS (SELECT rn, string_agg(word, ' ' ORDER BY pos) AS txt
+  FROM (SELECT rn, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d) ANTI JOIN gone USING (rn, pos) GROUP BY rn),
+n AS (SELECT rn, count(*) AS n FROM gone GROUP BY rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rn) LEFT JOIN n USING (rn)""",
+    "op7_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT rn, list_slice(w, i, i + 4) AS x FROM (SELECT rn, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rn, count(*) AS n FROM sh GROUP BY rn),
+both_ AS (SELECT a.rn AS a, b.rn AS b, count(*) AS k FROM sh a JOIN sh b ON a.x = b.x AND a.rn <> b.rn GROUP BY ALL),
+link AS (SELECT a, b FROM both_ JOIN n p ON p.rn = a JOIN n q ON q.rn = b WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reach(rn, other) AS (SELECT rn, rn FROM d UNION SELECT reach.rn, link.b FROM reach JOIN link ON link.a = reach.other),
+least AS (SELECT reach.rn, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.rn = reach.other GROUP BY reach.rn)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (rn) JOIN least USING (rn)""",
+    "op8_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item, list_slice(w, i, i + 12) AS x FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 11, 2))) AS i FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT len(x) AS k FROM win),
+seen AS (SELECT rn, i, k, list_slice(w, i, i + k - 1) AS x FROM (SELECT rn, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, size WHERE len(w) >= k)),
+hit AS (SELECT rn, i, k, item FROM seen JOIN win USING (x)),
+words AS (SELECT rn, count(*) AS n_hit FROM (SELECT DISTINCT rn, unnest(range(i, i + k)) FROM hit) GROUP BY rn),
+items AS (SELECT rn, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rn) LEFT JOIN items USING (rn)""",
+    "op9_chat_format": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || txt || chr(10), '' ORDER BY turn NULLS FIRST, role, txt) AS turns,
+  coalesce(string_agg(txt, '' ORDER BY turn NULLS FIRST, txt) FILTER (WHERE role = 'assistant'), '') AS loss,
+  sum({len(chat.TURN) + 1 + len(chat.END)} + length(replace({_escaped("role")}, chr(10), '\\' || chr(10))) + length({_escaped("txt")})) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g""",
+}
