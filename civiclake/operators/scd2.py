@@ -73,13 +73,18 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     changed = in_cur & in_snap & ~same
     closing = changed | (in_cur & ~in_snap & F.lit(close_missing))
 
-    keep = j.where(in_cur & ~closing).select(key, *tracked, "valid_from", no_ts.alias("valid_to"), F.lit(True).alias("is_current"))
-    closed = j.where(closing).select(key, *tracked, "valid_from", ts.alias("valid_to"), F.lit(False).alias("is_current"))
-    opened = j.where(changed | ~in_cur).select(
-        F.col("__sk").alias(key), *[F.col(f"__s_{c}").alias(c) for c in tracked], ts.alias("valid_from"),
-        no_ts.alias("valid_to"), F.lit(True).alias("is_current"),
+    # each joined pair gives the current version (kept or closed) and a new version, or only one of them
+    version = lambda cols, vfrom, vto, current: F.struct(
+        *[c.alias(n) for n, c in zip([key, *tracked], cols)], vfrom.alias("valid_from"), vto.alias("valid_to"), F.lit(current).alias("is_current")
     )
-    return past.unionByName(keep).unionByName(closed).unionByName(opened)
+    mine, new = [F.col(key), *map(F.col, tracked)], [F.col("__sk"), *[F.col(f"__s_{c}") for c in tracked]]
+    rows = F.array(
+        F.when(in_cur & ~closing, version(mine, F.col("valid_from"), no_ts, True)),
+        F.when(closing, version(mine, F.col("valid_from"), ts, False)),
+        F.when(changed | ~in_cur, version(new, ts, no_ts, True)),
+    )
+    present = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("v")).select("v.*")
+    return past.unionByName(present)
 
 
 def as_was_join(facts: DataFrame, versions: DataFrame, fact_key: str, fact_date: str, fact_id: Sequence[str],

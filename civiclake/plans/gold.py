@@ -42,7 +42,9 @@ def gold_a(s: dict[str, DataFrame], top_n: int = 10) -> dict[str, DataFrame]:
     """Gen-A: HHI diversity, most active members, alignment, flagged
     anomalies, supplier ranking by key, weekly density, min-max engagement."""
     mem = s["fato_frente_membro"].select(F.col("id_frente").alias("idFrente"), F.col("id_deputado").alias("id"))
-    dep = s["dim_deputado"].select(F.col("id_deputado").alias("id"), "sigla_partido", "sigla_uf")
+    dep = s["dim_deputado"]
+    dep = dep.where("is_current") if "is_current" in dep.columns else dep  # reports use the present attributes
+    dep = dep.select(F.col("id_deputado").alias("id"), "sigla_partido", "sigla_uf")
     votes = s["fato_voto"]
     exp = lookup_join(s["fato_despesa"], dep, "id_deputado", "id", ["sigla_uf"])
     ev = lookup_join(s["fato_evento"], s["dim_data"], "id_data", "id_data", ["data"])

@@ -13,12 +13,15 @@ import functools
 import os
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from civiclake.operators import quality
+from civiclake.operators.scd2 import scd2_merge
 from civiclake.plans import gold, silver
 from civiclake.schemas import BRONZE
+from civiclake.session import Scratch, materialize
 from civiclake.sinks.writers import write_path
 from civiclake.sources.envelope import bronze as bronze_table
 from civiclake.sources.envelope import page_completeness, read_pages, reconcile, records, with_year
@@ -47,8 +50,6 @@ def run_layer(spark: SparkSession, layer: str, tables: Mapping[str, Callable[[],
 
 def _bronze_frame(spark: SparkSession, landing: str, spec) -> tuple[DataFrame, str]:
     """Bronze records of one endpoint, or an empty typed frame when nothing landed."""
-    from pyspark.errors import AnalysisException
-
     try:
         df = bronze_table(spark, landing, spec)[0]
         df.schema  # resolves the file listing: a missing landing folder fails here
@@ -99,9 +100,30 @@ def _read_silver(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 
 
 def transform_all(spark: SparkSession, out_dir: str, as_of: str) -> list[tuple]:
-    """Silver: all dimensions and facts from the written bronze tables (stops at the first failure)."""
+    """Silver: all dimensions and facts from the written bronze tables (stops at the first failure).
+
+    The star dimensions keep their history: a run merges its snapshot into
+    the versions written before (K6), so a change closes a version and opens one.
+    """
     frames = silver.build_all(_read_bronze(spark, out_dir), as_of)
-    return run_layer(spark, "silver", {k: (lambda v=v: v) for k, v in frames.items()}, out_dir, silver.PARTITIONS)
+    scratch = Scratch(spark)
+
+    def with_history(name: str, snapshot: DataFrame) -> DataFrame:
+        path = os.path.join(out_dir, "silver", name)
+        try:
+            history = spark.read.schema(snapshot.schema).parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return snapshot
+        key, *tracked = [c for c in snapshot.columns if c not in ("valid_from", "valid_to", "is_current")]
+        # written elsewhere first: the table that it reads is replaced by it
+        return materialize(scd2_merge(history, snapshot, key, tracked, as_of), f"history-{name}", scratch)
+
+    builds = {k: ((lambda k=k, v=v: with_history(k, v)) if k in silver.HISTORY else (lambda v=v: v)) for k, v in frames.items()}
+    rows = run_layer(spark, "silver", builds, out_dir, silver.PARTITIONS)
+    scratch.clear()
+    return rows
 
 
 def analyze_all(spark: SparkSession, out_dir: str) -> list[tuple]:

@@ -235,5 +235,8 @@ TABLES = (
     "fact_despesas", "fact_despesas_rejeitadas", "fact_eventos", "fact_frentes_membros",
 )
 
+# star dimensions whose versions a run merges into the written history (K6)
+HISTORY = ("dim_deputado", "dim_partido", "dim_frente")
+
 # partition columns of the Gen-B facts
 PARTITIONS = {"fact_votacoes": ("ano", "mes"), "fact_despesas": ("ano", "mes"), "fact_eventos": ("ano", "mes")}

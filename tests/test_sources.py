@@ -395,3 +395,26 @@ def test_audit_reconciles_and_reports_pending_parents(spark, tmpdir_run):
     assert [tuple(r) for r in spark.read.parquet(os.path.join(out, "audit", "duplicados_eventos")).collect()] == [(100, 2)]
     pages = {r["parent"]: (r["paginas"], r["completo"]) for r in spark.read.parquet(os.path.join(out, "audit", "paginas_despesas_deputados")).collect()}
     assert pages == {"1": (1, True), "2": (0, False), "3": (0, False)}  # two deputies' expenses have not landed
+
+
+def test_second_run_keeps_history(spark, tmpdir_run):
+    """A party change gives two versions, one current; reports use the current one; a repeated run changes nothing."""
+    from civiclake.plans.layers import analyze_all, ingest_all, transform_all
+
+    landing, out = os.path.join(tmpdir_run, "landing"), os.path.join(tmpdir_run, "lake")
+    _land_domain(landing)
+    ingest_all(spark, landing, out)
+    transform_all(spark, out, "2024-01-01 00:00:00")
+    land(landing, "deputados", [[{"id": 1, "nome": " Ana ", "siglaPartido": "psd", "siglaUf": "sp"}]], subdir="later")
+    later = os.path.join(landing, "deputados", "later", "page=1.json")
+    os.utime(later, (os.path.getmtime(later) + 60,) * 2)
+    ingest_all(spark, landing, out)
+    for _ in range(2):
+        transform_all(spark, out, "2024-06-01 00:00:00")
+        dep = spark.read.parquet(os.path.join(out, "silver", "dim_deputado")).where("id_deputado = 1").orderBy("valid_from").collect()
+        assert [(r["sigla_partido"], str(r["valid_from"])[:10], r["valid_to"] and str(r["valid_to"])[:10], r["is_current"]) for r in dep] == [
+            ("PT", "2024-01-01", "2024-06-01", False), ("PSD", "2024-06-01", None, True),
+        ]
+        assert spark.read.parquet(os.path.join(out, "silver", "dim_partido")).where("is_current").count() == 3
+    assert all(r[2] == "ok" for r in analyze_all(spark, out))
+    assert spark.read.parquet(os.path.join(out, "gold", "a_deputados_mais_frentes")).count() == 3
