@@ -7,8 +7,9 @@ work.  Here the rows are range-partitioned on ``(key, order...)`` instead
 slices), the slice id is fixed by writing the partitioned rows once to
 the shared folder, and windows run per ``(slice, key)`` — at most one
 partition's worth of rows each.  The first row of a slice takes its
-neighbour from a small boundary table: one row per (key, slice), so its
-own per-key window is bounded by the number of slices.
+neighbour from a small boundary table.  Slices follow the sequence, so only
+a slice's first and last key can go on in another slice: the table has two
+rows a slice at most, whatever the number of keys, and is broadcast.
 
 Two flavours:
 
@@ -42,7 +43,7 @@ def _range_slices(df: DataFrame, sort_exprs: list, slices: int | None) -> DataFr
 
 
 def _join_slices(rows: DataFrame, edges: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join a per-(key, slice) boundary table back to the rows.
+    """Join a per-(key, slice) boundary table (two rows a slice at most) to the rows.
 
     Null-safe on the key, so rows with a NULL key (one group for a window)
     also get their carried values across slices.
@@ -52,7 +53,14 @@ def _join_slices(rows: DataFrame, edges: DataFrame, keys: list[str], how: str =
     cond = rows[PID] == e["__e_pid"]
     for k in keys:
         cond = cond & rows[k].eqNullSafe(e[f"__e_{k}"])
-    return rows.join(e, cond, how).drop(*[f"__e_{k}" for k in keys], "__e_pid")
+    return rows.join(F.broadcast(e), cond, how).drop(*[f"__e_{k}" for k in keys], "__e_pid")
+
+
+def _slice_ends(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, slice) of the first and the last key of each slice: the only groups that can span slices."""
+    k = F.struct(*keys)
+    ends = rows.groupBy(PID).agg(F.array_distinct(F.array(F.min(k), F.max(k))).alias("__k"))
+    return ends.select(PID, F.explode("__k").alias("__k")).select(PID, *[F.col(f"__k.{c}").alias(c) for c in keys])
 
 
 def previous_row(
@@ -85,7 +93,7 @@ def previous_row(
         aggs = [pick(F.col(c), F.when(F.col(c).isNotNull(), ord_struct)).alias(f"__last_{c}") for c in cols]
     else:
         aggs = [pick(F.struct(*[F.col(c) for c in cols]), ord_struct).alias("__last")]
-    bounds = rows.groupBy(*keys, PID).agg(*aggs)
+    bounds = _join_slices(rows, _slice_ends(rows, keys), keys, "left_semi").groupBy(*keys, PID).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(PID)
     if ignore_nulls:
         carry = {f"__carry_{c}": F.last(f"__last_{c}", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)) for c in cols}
@@ -117,8 +125,8 @@ def change_points(
     column of the key's next such row (NULL for the last).
 
     One range-partitioned pass instead of "previous row, filter, next
-    row": the slice edges are resolved from two boundary tables with one
-    row per (key, slice) — the previous slice's last value decides whether
+    row": the slice edges are resolved from two boundary tables with two
+    rows a slice at most — the previous slice's last value decides whether
     a slice's first row is a change, and the following slices' first
     change gives the successor of a slice's last change.
     """
@@ -132,7 +140,8 @@ def change_points(
 
     ord_struct = F.struct(*[F.col(c) for c in order])
     wb = Window.partitionBy(*keys).orderBy(PID)
-    edges = rows.groupBy(*keys, PID).agg(F.max_by("__v", ord_struct).alias("__last_v"))
+    ends = _slice_ends(rows, keys)
+    edges = _join_slices(rows, ends, keys, "left_semi").groupBy(*keys, PID).agg(F.max_by("__v", ord_struct).alias("__last_v"))
     edges = edges.withColumn("__prev_last", F.lag("__last_v").over(wb)).select(*keys, PID, "__prev_last")
 
     w = Window.partitionBy(PID, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
@@ -142,7 +151,7 @@ def change_points(
         "__next_in", F.first(F.when(F.col("__chg"), F.col(ts)), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
     )
 
-    firsts = flagged.groupBy(*keys, PID).agg(F.min_by(F.col(ts), F.when(F.col("__chg"), ord_struct)).alias("__first_chg"))
+    firsts = _join_slices(flagged, ends, keys, "left_semi").groupBy(*keys, PID).agg(F.min_by(F.col(ts), F.when(F.col("__chg"), ord_struct)).alias("__first_chg"))
     firsts = firsts.withColumn(
         "__next_out", F.first("__first_chg", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
     ).select(*keys, PID, "__next_out")

@@ -163,3 +163,14 @@ def test_scd2_snapshot_stamps_current_version(spark):
     r = scd2.scd2_snapshot(df, "2024-01-10 00:00:00").first()
     assert (r["valid_from"], r["valid_to"], r["is_current"]) == (D(10), None, True)
     assert dict(scd2.scd2_snapshot(df, "2024-01-10 00:00:00").dtypes)["valid_to"] == "timestamp"
+
+
+def test_boundary_rows_follow_slices_not_keys(spark):
+    from civiclake.session import materialize
+
+    df = spark.range(5000).selectExpr("id % 700 as k", "id as t", "id * 2 as v")
+    sliced = sequence._range_slices(df, [F.col("k"), F.col("t")], 6).withColumn(sequence.PID, F.spark_partition_id())
+    rows = materialize(sliced, "test")
+    assert sequence._slice_ends(rows, ["k"]).count() <= 2 * rows.select(sequence.PID).distinct().count()
+    got = sequence.previous_row(df, "k", ["t"], ["v"], slices=6).where("prev_v is not null")
+    assert got.count() == 5000 - 700 and got.where("prev_v <> v - 1400").count() == 0
