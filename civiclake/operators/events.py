@@ -50,27 +50,35 @@ def date_dim(events: DataFrame, start: str = "data_inicio") -> DataFrame:
     return d.select(date_key("data").alias("id_data"), "data")
 
 
-def presence_rate(attendance: DataFrame, event: str, attendee: str) -> DataFrame:
-    """Per attendee, events attended and the share of events.
+def presence_rate(attendance: DataFrame, event: str, attendee: str, kind: str | None = None) -> DataFrame:
+    """Per attendee, events attended and the share of events; with ``kind``
+    (a column of the event's type) per attendee and type, as a share of that type's events.
 
     ``attendance`` has one row per (event, attendee) appearance, i.e. the
     exploded presence list, so the denominator is the number of events
     with a recorded presence list (attendance at the others is unknown).
     It is a scalar subquery.
     """
+    if kind is not None:
+        total = attendance.groupBy(F.col(kind).alias("__kind")).agg(F.count_distinct(event).alias("__total"))
+        per = attendance.groupBy(attendee, kind).agg(F.count_distinct(event).alias("qtde_eventos"))
+        rate = F.try_divide(F.col("qtde_eventos").cast("double"), F.col("__total"))
+        return per.join(total, F.col(kind).eqNullSafe(F.col("__kind"))).withColumn("taxa_presenca", rate).drop("__kind", "__total")
     total = attendance.select(F.count_distinct(event)).scalar()
     per = attendance.groupBy(attendee).agg(F.count_distinct(event).alias("qtde_eventos"))
     return per.withColumn("taxa_presenca", F.try_divide(F.col("qtde_eventos").cast("double"), total))
 
 
-def explode_presence(events: DataFrame, event_id: str = "id", presence: str = "presenca") -> DataFrame:
-    """(event, attendee id) rows from an array-of-struct presence list."""
-    return events.select(F.col(event_id).alias("id_evento"), F.explode(presence).alias("p")).select("id_evento", F.col("p.id").alias("id_deputado"))
+def explode_presence(events: DataFrame, event_id: str = "id", presence: str = "presenca", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(event, attendee id, ``keep``) rows from an array-of-struct presence list."""
+    return events.select(F.col(event_id).alias("id_evento"), *keep, F.explode(presence).alias("p")).select("id_evento", F.col("p.id").alias("id_deputado"), *keep)
 
 
 def front_atlas(memberships: DataFrame, fronts: DataFrame, deputies: DataFrame) -> DataFrame:
-    """Every membership with front title and the member's party, state and region."""
+    """Every membership with front title (and legislature, where the fronts have
+    ``idLegislatura``) and the member's party, state and region."""
     m = memberships.select("idFrente", F.col("id").alias("id_deputado"))
-    m = lookup_join(m, fronts, "idFrente", "id", ["titulo"])
+    legislature = ["idLegislatura"] if "idLegislatura" in fronts.columns else []
+    m = lookup_join(m, fronts, "idFrente", "id", ["titulo", *legislature])
     m = lookup_join(m, deputies, "id_deputado", "id", ["nome", "sigla_partido", "sigla_uf", "regiao"])
-    return m.select("idFrente", "titulo", "id_deputado", "nome", "sigla_partido", "sigla_uf", "regiao")
+    return m.select("idFrente", "titulo", "id_deputado", "nome", "sigla_partido", "sigla_uf", "regiao", *legislature)

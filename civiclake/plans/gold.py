@@ -32,7 +32,8 @@ def gold_b(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "atlas_frentes": events.front_atlas(mem, s["dim_frentes"], dep.withColumn("regiao", F.lit(None).cast("string"))),
         "engajamento_mensal": engagement.engagement_trend(vot.where(F.col("data_votacao").isNotNull()), "deputado_id", "data_votacao"),
         "eventos_semana_tipo": reports.week_counts(ev, "descricaoTipo", out="tipo"),
-    } | ({"taxa_presenca": events.presence_rate(events.explode_presence(ev, "id", "presenca"), "id_evento", "id_deputado")}
+    } | ({"taxa_presenca_tipo": events.presence_rate(events.explode_presence(ev, "id", "presenca", ("descricaoTipo",)), "id_evento", "id_deputado", "descricaoTipo")}
+         if "presenca" in ev.columns else {}) | ({"taxa_presenca": events.presence_rate(events.explode_presence(ev, "id", "presenca"), "id_evento", "id_deputado")}
          if "presenca" in ev.columns else {}) | ({"eventos_semana_orgao": reports.week_counts(
              ev.select("data_inicio", F.explode("orgaos").alias("o")).select("data_inicio", F.col("o.sigla").alias("orgao")),
              "orgao", out="orgao")} if "orgaos" in ev.columns else {})
@@ -57,5 +58,7 @@ def gold_a(s: dict[str, DataFrame], top_n: int = 10) -> dict[str, DataFrame]:
         "anomalias_despesas": stats.zscore_flag(exp, "valor_liquido", ["id_categoria", "sigla_uf"], money=True),
         "ranking_fornecedores": reports.supplier_ranking_by_key(s["fato_despesa"], s["dim_fornecedor"], top_n),
         "frequencia_eventos_semana": reports.weekly_density(ev, ts="data", event_id="id_evento"),
+        # as documented: weeks without events are rows too
+        "eventos_semana_completa": reports.weekly_density_spine(ev, ts="data", event_id="id_evento"),
         "score_engajamento": engagement.vote_engagement_minmax(votes, deputy="id_deputado"),
     }

@@ -666,6 +666,28 @@ def q_presence_rate(spark: SparkSession, d: str) -> DataFrame:
     return rnd(events_op.presence_rate(c, "conv_id", "role"), {"taxa_presenca": 6})
 
 
+@register(
+    "presence_rate_by_type",
+    """WITH a AS (SELECT DISTINCT CAST(ts AS DATE) AS dia, user_id, event_type FROM events), t AS (SELECT event_type, count(DISTINCT dia) AS n FROM a GROUP BY 1)
+SELECT user_id, event_type, count(*) AS qtde_eventos, round(count(*) / any_value(n), 6) AS taxa_presenca FROM a JOIN t USING (event_type) GROUP BY 1, 2""",
+)
+def q_presence_rate_by_type(spark: SparkSession, d: str) -> DataFrame:
+    """X2 as documented: attendance share per attendee and event type (day = event)."""
+    e = roles.table(spark, d, "events").select(F.to_date("ts").alias("dia"), "user_id", "event_type")
+    return rnd(events_op.presence_rate(e, "dia", "user_id", "event_type"), {"taxa_presenca": 6})
+
+
+@register(
+    "front_atlas_legislature",
+    with_(DEP, MEM) + """SELECT m.idFrente, f.s_name AS titulo, m.id AS id_deputado, d.nome, d.sigla_partido, d.sigla_uf, d.regiao, f.s_nationkey AS idLegislatura
+  FROM mem m LEFT JOIN supplier f ON m.idFrente = f.s_suppkey LEFT JOIN dep d ON m.id = d.id""",
+)
+def q_front_atlas_legislature(spark: SparkSession, d: str) -> DataFrame:
+    """X1 as documented: the atlas with the front's legislature."""
+    fronts = roles.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("titulo"), F.col("s_nationkey").alias("idLegislatura"))
+    return events_op.front_atlas(roles.memberships(spark, d), fronts, roles.deputies(spark, d, region=True))
+
+
 @register(
     "front_atlas",
     with_(DEP, MEM, FRN) + """SELECT m.idFrente, f.titulo, m.id AS id_deputado, d.nome, d.sigla_partido, d.sigla_uf, d.regiao
