@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from civiclake.llm.common import batch_of, chunks, plain, ragged, prepare, split_words
 
 #: Pieces a worker remembers; further ones are encoded again when they recur.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 #: White space of SIMPLE as Unicode's property has it (Python's \\s adds U+001C to U+001F).
 WHITE = r"\t-\r \x85\xa0"
 NO_RANK = np.iinfo(np.int64).max

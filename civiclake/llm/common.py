@@ -9,6 +9,7 @@ touches the distinct words of a batch.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -68,6 +69,17 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             end = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give memory that is free in this process back to the system: worker processes live on
+    after a task, and what an earlier stage touched would count against a later one."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: it decides itself
+        pass
 
 
 def plain(col: pa.Array) -> pa.Array:

@@ -51,6 +51,8 @@ FREQUENT = 1 / 64
 #: Least number of groups of frequent tokens; a set of 2**l tokens has 2**l / 32 at least.
 GROUPS = 4
 FREQUENT_CLASS = 64
+#: Text bytes that one numpy step works on: shingle arrays take some thirty times that.
+STEP_BYTES = 2 << 20
 
 
 def allowance(n, percent: int):
@@ -89,7 +91,7 @@ def measure(docs: DataFrame, width: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         names = ["kind", "doc_id", "doc_key", "a", "b"]
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", STEP_BYTES):
             h, rows = sets_of(b, width)
             n, sig = set_signature(h, rows, b.num_rows)
             cells += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
@@ -148,7 +150,7 @@ def prefix_rows(docs: DataFrame, classes: np.ndarray, width: int, percent: int)
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = shared.value
         seen: set[int] = set()
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", STEP_BYTES):
             h, rows = sets_of(b, width)
             n, sig = set_signature(h, rows, b.num_rows)
             fresh = np.zeros(len(n), bool)
@@ -255,7 +257,7 @@ class SetTable:
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for b in chunks(batches, "text"):
+            for b in chunks(batches, "text", STEP_BYTES):
                 h, rows = sets_of(b, width)
                 n, sig = set_signature(h, rows, b.num_rows)
                 fresh = [i for i, s in enumerate(sig.tolist()) if n[i] and not (s in seen or seen.add(s))]
@@ -281,7 +283,7 @@ class SetTable:
                 yield b.filter(pa.array((100 + percent) * (total - apart) >= 2 * percent * total)).select(["x", "y"])
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in chunks(chunks(batches, "tx"), "ty"):
+            for b in chunks(chunks(batches, "tx", STEP_BYTES), "ty", STEP_BYTES):
                 both = []
                 for side in ("tx", "ty"):
                     both.append(distinct_in_rows(*shingles(split_words(plain(b.column(side)), lower_ascii=True), width)))
