@@ -365,10 +365,11 @@ def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
     first = found.where("group_key is not null").groupBy("group_key").agg(F.min(F.struct("doc_id", "doc_key")).alias("k"))
     first = first.select(F.col("k.doc_id").alias("__id"), F.col("k.doc_key").alias("__key"))
     empty = found.where("group_key is null").select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct()
+    # one join for both, so the texts are shuffled to it once
+    keepers = first.withColumn("__once", F.lit(True)).unionByName(empty.withColumn("__once", F.lit(False)))
     mine = F.col(id_col).cast("long")
-    keyed = docs.withColumn("__own", text_key(text_col))
-    met = lambda side: (F.col("__own") == F.col("__key")) & mine.eqNullSafe(F.col("__id"))
-    # equal rows of a group are told apart by a number, in the partitioning of the join
+    met = (F.col("__own") == F.col("__key")) & mine.eqNullSafe(F.col("__id"))
+    # equal rows of a group are told apart by a number
     nth = Window.partitionBy("__own", mine).orderBy(F.lit(0))
-    kept = keyed.join(first, met(first), "left_semi").withColumn("__nth", F.row_number().over(nth)).where("__nth = 1").select(*docs.columns)
-    return kept.unionByName(keyed.join(empty, met(empty), "left_semi").select(*docs.columns))
+    kept = docs.withColumn("__own", text_key(text_col)).join(keepers, met).withColumn("__nth", F.row_number().over(nth))
+    return kept.where("__nth = 1 or not __once").select(*docs.columns)
