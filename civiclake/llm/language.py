@@ -6,10 +6,13 @@ language span a Nyström feature space; one ridge regression a language
 (one versus rest) is fitted on a bounded sample in that space.  A batch of
 texts is scored by matrix products: presence x landmarks, then x weights.
 
-The sample has at most ``per_language`` texts of each of the languages that
-hold 1 / ``max_languages`` of the labelled rows or more, by the smallest
-hashes of their ids.  Tasks turn texts into n-grams and kernel rows, so only
-those reach the driver.
+A label is learned if ``landmarks`` of its rows or more have a letter,
+whatever the other labels hold; in small tables also if it has 1 /
+``max_languages`` of the labelled rows.  The sample has ``per_language``
+texts of each, by the smallest hashes of their ids; with more than
+``max_languages`` labels each has fewer (see ``Config.shares``), so sample
+and landmarks stay as large as with that many.  Tasks turn texts into
+n-grams and kernel rows, so only those reach the driver.
 
 Null texts and texts without a letter are ``und``; so are all if nothing
 can be learned.  Repeated rows are predicted alike; an empty table gives an
@@ -27,12 +30,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import chunks, plain, prepare
+from civiclake.llm.common import chunks, plain, prepare, ragged
 
 ORDERS = 3
 UNKNOWN = "und"
 #: Texts whose presence rows are multiplied together.
 BLOCK_ROWS = 64
+#: N-grams whose landmark columns are laid out together; only memory depends on it.
+BLOCK_CODES = 4096
 #: ASCII that is no letter counts as space.
 LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -45,6 +50,11 @@ class Config:
     ridge: float = 0.05
     sharpness: float = 4.0
 
+    def shares(self, n_languages: int) -> tuple[int, int]:
+        """Sampled texts and landmarks of each label: 4 and 1 at least, whatever their number."""
+        part = max(n_languages, self.max_languages)
+        return max(min(4, self.per_language), self.per_language * self.max_languages // part), max(1, self.landmarks * self.max_languages // part)
+
 
 def normal(text: str) -> bytes:
     """Lower-case bytes, a space on both ends, ASCII marks and digits as spaces."""
@@ -64,36 +74,71 @@ CODES = 256 + 65536 + (1 << 24)
 
 @dataclass
 class Model:
-    """Landmark n-grams and regression weights; the lookup table is built where it is used."""
+    """Landmark n-grams and regression weights; the lookup tables are built where they are used.
+
+    A landmark is the places of its n-grams among the codes; a matrix (landmarks x codes) is taken too.
+    """
 
     languages: list[str]
     codes: np.ndarray
-    landmarks: np.ndarray
+    landmarks: list[np.ndarray]
     weights: np.ndarray | None = None
 
     def __post_init__(self) -> None:
+        self.landmarks = [np.flatnonzero(x) for x in self.landmarks] if isinstance(self.landmarks, np.ndarray) else self.landmarks
         self._table = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_table": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_holders", "_offsets", "_scale")} | {"_table": None}
+
+    def _build(self) -> None:
+        self._table = np.full(CODES, len(self.codes), np.uint16)
+        self._table[self.codes] = np.arange(len(self.codes))
+        size = np.array([len(x) for x in self.landmarks])
+        place = np.concatenate(self.landmarks).astype(np.int64)
+        # the landmarks that hold each n-gram
+        self._holders = np.repeat(np.arange(len(size)), size)[np.argsort(place, kind="stable")]
+        self._offsets = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=len(self.codes)))))
+        self._scale = (1 / np.sqrt(np.maximum(size, 1))).astype(np.float32)
+
+    def _products(self, seen: np.ndarray) -> np.ndarray:
+        """Kernel of presence rows (bool, rows x codes) with each landmark."""
+        used = np.flatnonzero(seen.any(axis=0))
+        out = np.zeros((len(seen), len(self.landmarks)), np.float32)
+        for at in range(0, len(used), BLOCK_CODES):
+            some = used[at : at + BLOCK_CODES]
+            holders, offsets = ragged(self._holders, self._offsets, some)
+            held = np.zeros((len(some), len(self.landmarks)), np.float32)
+            held[np.repeat(np.arange(len(some)), np.diff(offsets)), holders] = 1
+            out += seen[:, some].astype(np.float32) @ held
+        return out * self._scale / np.sqrt(np.maximum(seen.sum(axis=1, keepdims=True), 1)).astype(np.float32)
 
     def kernel(self, texts: list[bytes]) -> np.ndarray:
         """Normalised presence kernel of each text with each landmark."""
         if self._table is None:
-            self._table = np.full(CODES, len(self.codes), np.uint16)
-            self._table[self.codes] = np.arange(len(self.codes))
-        width = len(self.codes) + 1
+            self._build()
         out = np.zeros((len(texts), len(self.landmarks)), np.float32)
         for at in range(0, len(texts), BLOCK_ROWS):
             block = texts[at : at + BLOCK_ROWS]
-            seen = np.zeros((len(block), width), np.float32)
+            seen = np.zeros((len(block), len(self.codes) + 1), bool)
             for i, t in enumerate(block):
-                seen[i, self._table[gram_codes(t)]] = 1
-            seen = seen[:, :-1]
-            size = np.sqrt(np.maximum(seen.sum(axis=1, keepdims=True), 1))
-            out[at : at + len(block)] = (seen @ self.landmarks.T) / size
+                seen[i, self._table[gram_codes(t)]] = True
+            out[at : at + len(block)] = self._products(seen[:, :-1])
         return out
 
+    def landmark_kernel(self) -> np.ndarray:
+        """Kernel of the landmarks with each other."""
+        if self._table is None:
+            self._build()
+        out = []
+        for at in range(0, len(self.landmarks), BLOCK_ROWS):
+            block = self.landmarks[at : at + BLOCK_ROWS]
+            seen = np.zeros((len(block), len(self.codes)), bool)
+            for i, x in enumerate(block):
+                seen[i, x] = True
+            out.append(self._products(seen))
+        return np.concatenate(out)
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return self.kernel(texts) @ self.weights
 
@@ -121,19 +166,24 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
     spark = labelled.sparkSession
     prepare(spark)
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    share = rows.groupBy("lang").count()
-    total = share.agg(F.sum("count")).collect()[0][0]
+    total = rows.count()
     if not total:
         return None
-    languages = sorted(r.lang for r in share.where(F.col("count") * config.max_languages >= total).collect())
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    share = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(lettered).alias("usable"))
+    enough = (F.col("usable") >= config.landmarks) | ((F.col("usable") > 0) & (F.col("n") * config.max_languages >= total))
+    languages = sorted(r.lang for r in share.where(enough).collect())
+    if not languages:
+        return None
+    per_language, n_landmarks = config.shares(len(languages))
     # the rank keeps at most per_language rows of a language in each task before anything is shuffled
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit("language")), "id")
-    usable = rows.where(F.col("lang").isin(languages) & F.col("text").rlike(r"\p{L}"))
-    ranked = usable.select("id", "lang", F.row_number().over(order).alias("rank")).where(F.col("rank") <= config.per_language)
-    picked = {(r.id, r.lang): r["rank"] for r in ranked.collect()}  # per_language x max_languages rows at most
-    sample = rows.where(F.col("id").isin(sorted({i for i, _ in picked})) & F.col("text").rlike(r"\p{L}"))
+    usable = rows.where(F.col("lang").isin(languages) & lettered)
+    ranked = usable.select("id", "lang", F.row_number().over(order).alias("rank")).where(F.col("rank") <= per_language)
+    picked = {(r.id, r.lang): r["rank"] for r in ranked.collect()}  # see Config.shares
+    sample = rows.where(F.col("id").isin(sorted({i for i, _ in picked})) & lettered)
 
-    marks = {k for k, rank in picked.items() if rank <= config.landmarks}
+    marks = {k for k, rank in picked.items() if rank <= n_landmarks}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
@@ -141,15 +191,12 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([pa.array([f"{g}\x00{i}" for i, g, _ in found], pa.string()), pa.array([np.unique(gram_codes(t)) for _, _, t in found], pa.list_(pa.int32()))], names=["key", "codes"])
 
     got = sample.select("id", "lang", "text").mapInArrow(grams, "key string, codes array<int>").orderBy("key").toArrow()
-    each = [np.asarray(x) for x in got["codes"].to_pylist()]
+    got = got["codes"].combine_chunks()
+    each = np.split(got.flatten().to_numpy(), np.cumsum(got.value_lengths().to_numpy())[:-1])
     codes, times = np.unique(np.concatenate(each), return_counts=True)
     if len(codes) >= 65535:  # the lookup table has 16-bit places: keep the n-grams that most landmarks have
         codes = np.sort(codes[np.argsort(-times, kind="stable")[:65534]])
-    presence = np.zeros((len(each), len(codes)), np.float32)
-    for i, c in enumerate(each):
-        presence[i, np.searchsorted(codes, c[np.isin(c, codes)])] = 1
-    presence /= np.sqrt(np.maximum(presence.sum(axis=1, keepdims=True), 1))
-    model = Model(languages, codes, presence)
+    model = Model(languages, codes, [np.searchsorted(codes, c[np.isin(c, codes)]).astype(np.int32) for c in each])
     shared = spark.sparkContext.broadcast(model)
 
     def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,11 +207,11 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(list(rows_), pa.list_(pa.float32()))], names=["lang", "k"])
 
     got = sample.select("id", "lang", "text").mapInArrow(kernels, "lang string, k array<float>").toArrow()
-    kernel = np.array(got["k"].to_pylist(), np.float32).reshape(-1, len(each))
-    labels = np.array([languages.index(g) for g in got["lang"].to_pylist()])
+    kernel = got["k"].combine_chunks().flatten().to_numpy().reshape(-1, len(each))
+    labels = np.searchsorted(np.array(languages, object), np.array(got["lang"].to_pylist(), object))
     # a fixed order makes the sums, and so the weights, the same in every run
     order_ = np.lexsort(np.column_stack((kernel[:, : min(8, kernel.shape[1])], labels)).T)
-    model.weights = fit_weights(kernel[order_], presence @ presence.T, labels[order_], len(languages), config.ridge)
+    model.weights = fit_weights(kernel[order_], model.landmark_kernel(), labels[order_], len(languages), config.ridge)
     shared.unpersist()
     return model
 

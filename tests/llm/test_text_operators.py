@@ -441,3 +441,27 @@ def test_language_scores_are_the_kernel_machine():
     assert np.allclose(model.kernel(texts), expect, atol=1e-5)
     model.weights = language.fit_weights(model.kernel(texts), marks @ marks.T, np.array([0, 1, 0, 1]), 2, 0.01)
     assert model.scores(texts).argmax(axis=1).tolist() == [0, 1, 0, 1]
+
+
+def test_rare_languages_are_learned(spark):
+    """A label with enough rows is learned, whatever share of the rows another one holds."""
+    rng = random.Random(6)
+    kinds = {"hot": "th er on an re he in ed", "rare": "zu ch der sch ung ver keit", "few": "ción os que mente ll ñ es"}
+    rows = [(i, " ".join(invented(rng, 20, kinds[g])), g) for i, g in enumerate(["hot"] * 1500 + ["rare"] * 20 + ["few"] * 3)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), language.Config(per_language=30, landmarks=8))
+    assert model.languages == ["hot", "rare"] and len(model.landmarks) == 16
+    new = [(i, " ".join(invented(rng, 60, kinds[g])), g) for i, g in enumerate(["hot", "rare"] * 30)]
+    got = language.predict(spark.createDataFrame(new, "doc_id long, text string, lang string"), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {i: g for i, _, g in new}
+
+
+def test_many_labels_share_the_sample(spark):
+    assert language.Config().shares(4) == language.Config().shares(64) == (250, 32)
+    assert language.Config().shares(200) == (80, 10) and language.Config().shares(100_000) == (4, 1)
+    rng = random.Random(7)
+    letters = [chr(0x4E00 + 40 * g) for g in range(12)]
+    rows = [(40 * g + i, " ".join(rng.choice((a, a + a, a + "x")) for _ in range(12)), f"l{g:02}") for g, a in enumerate(letters) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df, language.Config(per_language=12, landmarks=4, max_languages=6))
+    assert len(model.languages) == 12 and len(model.landmarks) == 24
+    assert {r.doc_id: r.lang_pred for r in language.predict(df, model).collect()} == {i: g for i, _, g in rows}
