@@ -92,7 +92,7 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if k not in ("_holders", "_offsets", "_scale")} | {"_table": None}
 
     def _build(self) -> None:
-        self._table = np.full(CODES, len(self.codes), np.uint16)
+        self._table = np.full(CODES, len(self.codes), np.uint16 if len(self.codes) < 65536 else np.int32)
         self._table[self.codes] = np.arange(len(self.codes))
         size = np.array([len(x) for x in self.landmarks])
         place = np.concatenate(self.landmarks).astype(np.int64)
@@ -193,10 +193,8 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
     got = sample.select("id", "lang", "text").mapInArrow(grams, "key string, codes array<int>").orderBy("key").toArrow()
     got = got["codes"].combine_chunks()
     each = np.split(got.flatten().to_numpy(), np.cumsum(got.value_lengths().to_numpy())[:-1])
-    codes, times = np.unique(np.concatenate(each), return_counts=True)
-    if len(codes) >= 65535:  # the lookup table has 16-bit places: keep the n-grams that most landmarks have
-        codes = np.sort(codes[np.argsort(-times, kind="stable")[:65534]])
-    model = Model(languages, codes, [np.searchsorted(codes, c[np.isin(c, codes)]).astype(np.int32) for c in each])
+    codes = np.unique(np.concatenate(each))
+    model = Model(languages, codes, [np.searchsorted(codes, c).astype(np.int32) for c in each])
     shared = spark.sparkContext.broadcast(model)
 
     def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

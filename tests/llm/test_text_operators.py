@@ -465,3 +465,14 @@ def test_many_labels_share_the_sample(spark):
     model = language.train(df, language.Config(per_language=12, landmarks=4, max_languages=6))
     assert len(model.languages) == 12 and len(model.landmarks) == 24
     assert {r.doc_id: r.lang_pred for r in language.predict(df, model).collect()} == {i: g for i, _, g in rows}
+
+
+def test_language_keeps_every_landmark_ngram(spark):
+    rng = random.Random(8)
+    rows = [(i, "".join(chr(rng.randrange(0x4E00 + 8000 * g, 0x4E00 + 8000 * g + 8000)) for _ in range(6000)), f"l{g}") for g in range(4) for i in range(10 * g, 10 * g + 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df, language.Config(per_language=10, landmarks=10))
+    sets = [set(language.gram_codes(language.normal(t)).tolist()) for _, t, _ in rows]
+    assert len(model.codes) == len(set().union(*sets)) > 65535
+    expect = [sorted(len(a & b) / np.sqrt(len(a) * len(b)) for b in sets) for a in sets]
+    assert np.allclose(np.sort(model.kernel([language.normal(t) for _, t, _ in rows]), axis=1), expect, atol=1e-5)
