@@ -1,20 +1,24 @@
 """Main text of web pages with site template removal.
 
 A page becomes an element tree (end tags that HTML lets one omit are
-implied).  Every element subtree that may be template gets a hash of its
-tags and texts; Spark counts on how many pages of a host each occurs, and
-subtrees that recur on many pages of that host are deleted, along with
-elements that by tag, role or class are menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or comments.  What is left of the
-article (or, without one, of the main element or the body) is the text.
-
-Paragraphs, headings, lists, tables and quotations inside an article are
+implied).  Every element subtree of the content that may be template gets a
+hash of its tags and texts; Spark counts on how many distinct pages of a host
+each occurs, and subtrees that recur on many pages of that host are deleted,
+along with elements that by tag, role or class are menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles or comments.  What is left
+of the article (or, without one, of the main element, the content block or
+the body) is the text.
+
+Headings, lists, tables, quotations and inline elements of the content are
 never template, however often they recur: copies and common passages are
-content.  Containers inside an article need a larger share of the pages.
+content.  Containers are from half of a host's pages on.  Paragraphs are not
+either, except in a block that only a class or id marks as content: there
+from half of a host's pages on.  Pages of one host with equal content are
+copies and count once.
 
 Null and empty pages give the empty text.  Pages without a host (null or
 relative url) have no site, so no template.  Repeated rows give repeated
-results and count as pages of their host.  An empty table gives an empty
+results and count as one page of their host.  An empty table gives an empty
 result; other columns are not read.
 """
 
@@ -22,7 +26,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -56,8 +59,10 @@ DROP_WORDS = frozenset(
 )
 CONTENT_WORDS = frozenset("content article post entry story main body text".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-#: Elements inside an article that may be template; the others are content.
-CONTAINERS = frozenset(("div", "section", "span", "center", "fieldset", "details"))
+#: Elements inside the content that may be template; the others are content.
+CONTAINERS = frozenset(("div", "section", "center", "fieldset", "details"))
+#: Kinds of candidates: the lowest bit of a template hash.
+CONTAINER, PARAGRAPH = 0, 1
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*(?:>|$)", re.S)
 ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -182,16 +187,26 @@ def subtree_hashes(page: Page) -> np.ndarray:
     return out
 
 
-def candidates(page: Page) -> tuple[list[int], list[bool]]:
-    """Elements that may be template, and whether each lies in the content."""
+def candidates(page: Page) -> list[tuple[int, int]]:
+    """Elements of the content that may be template, each with its kind.  What is outside is never text."""
+    root = page.nodes[page.roots[0]]
+    marked = root.tag in ("article", "main", "#root") or root.attrs.get("role", "").lower() == "main"
+    kinds = dict.fromkeys(CONTAINERS, CONTAINER) | ({} if marked else {"p": PARAGRAPH})
     root_up = set()
     for r in page.roots:
-        while r >= 0:
+        while r >= 0 and r not in root_up:
             root_up.add(r)
             r = page.nodes[r].parent
-    semantic = page.roots and page.nodes[page.roots[0]].tag in ("article", "main")
-    found = [i for i, n in enumerate(page.nodes) if i and i not in root_up and n.tag not in RAW and n.tag not in VOID and (not (page.inside[i] and semantic) or n.tag in CONTAINERS)]
-    return found, [page.inside[i] and bool(semantic) for i in found]
+    return [(i, kinds[n.tag]) for i, n in enumerate(page.nodes) if page.inside[i] and i not in root_up and n.tag in kinds]
+
+
+def content_hash(page: Page, hashes: np.ndarray) -> int:
+    """Equal for pages with equal content: those are copies."""
+    return np.uint64(xxhash.xxh64(hashes[page.roots].tobytes()).intdigest()).astype(np.int64).item()
+
+
+def marked_hash(h: int, kind: int) -> int:
+    return (h & ~1) | kind
 
 
 def main_text(page: Page, template: frozenset[int] | set[int]) -> str:
@@ -199,10 +214,8 @@ def main_text(page: Page, template: frozenset[int] | set[int]) -> str:
     gone = list(page.out)
     if template:
         hashes = subtree_hashes(page)
-        for i, within in zip(*candidates(page)):
-            h = int(hashes[i])
-            # the lowest bit of a template hash says whether it holds inside articles too
-            if (h | 1) in template or (not within and (h & ~1) in template):
+        for i, kind in candidates(page):
+            if marked_hash(int(hashes[i]), kind) in template:
                 gone[i] = True
     blocks, words = [], []
 
@@ -234,12 +247,13 @@ def main_text(page: Page, template: frozenset[int] | set[int]) -> str:
 
 @dataclass(frozen=True)
 class TemplateRule:
-    """On how many pages, and on what share of a host's pages, a subtree must recur."""
+    """On how many distinct pages, and on what share of a host's, a subtree must recur."""
 
-    min_pages: int = 3
-    share: float = 0.2
     min_pages_in_article: int = 8
     share_in_article: float = 0.5
+    #: Paragraphs of a block that only its class or id marks as content.
+    min_pages_of_paragraph: int = 6
+    share_of_paragraph: float = 0.5
 
 
 def host_of(url):
@@ -248,34 +262,37 @@ def host_of(url):
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """host, hash, within, n (pages); hash null: all pages of the host."""
+    """host, mark (hash and kind), n (distinct pages); mark null: all distinct pages of the host."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "html"):
-            n: Counter = Counter()
+            found: dict[tuple[str, int], list] = {}
             for host, source in zip(b.column("host").to_pylist(), plain(b.column("html")).to_pylist()):
                 page = analysed(source)
                 hashes = subtree_hashes(page)
-                n.update({(host, int(hashes[i]), w) for i, w in zip(*candidates(page))})
-                n[(host, None, False)] += 1
+                key = host, content_hash(page, hashes)
+                if key not in found:
+                    found[key] = [None, *sorted({marked_hash(int(hashes[i]), kind) for i, kind in candidates(page)})]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.int64()), pa.array([k[2] for k in n], pa.bool_()), pa.array(list(n.values()), pa.int64())],
-                names=["host", "hash", "within", "n"],
+                [pa.array([h for h, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))],
+                names=["host", "content", "marks"],
             )
 
-    return pages.mapInArrow(work, "host string, hash long, within boolean, n long").groupBy("host", "hash", "within").agg(F.sum("n").alias("n"))
+    # copies bring equal marks unless their content root is marked differently: each then counts once for one of them
+    each = pages.mapInArrow(work, "host string, content long, marks array<long>").groupBy("host", "content").agg(F.max("marks").alias("marks"))
+    return each.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
 
 
 def templates(pages: DataFrame, rule: TemplateRule) -> DataFrame:
     """host, template: hashes that recur.  Each takes a share of the host's pages, so a host has
     about as many as its pages have elements, whatever its size."""
-    least = min(rule.min_pages, rule.min_pages_in_article)
-    found = materialize(subtree_counts(pages.where("host <> ''")).where(F.col("hash").isNull() | (F.col("n") >= least)), "html-counts")
-    total = found.where("hash is null").select("host", F.col("n").alias("pages"))
-    need = F.when(F.col("within"), F.greatest(F.lit(rule.min_pages_in_article), F.lit(rule.share_in_article) * F.col("pages"))).otherwise(F.greatest(F.lit(rule.min_pages), F.lit(rule.share) * F.col("pages")))
-    many = found.where("hash is not null").join(total, "host").where(F.col("n") >= need)
-    mark = F.when(F.col("within"), F.col("hash").bitwiseOR(1)).otherwise(F.col("hash").bitwiseAND(-2))
-    return many.groupBy("host").agg(F.collect_set(mark).alias("template"))
+    least = min(rule.min_pages_in_article, rule.min_pages_of_paragraph)
+    found = materialize(subtree_counts(pages.where("host <> ''")).where(F.col("mark").isNull() | (F.col("n") >= least)), "html-counts")
+    total = found.where("mark is null").select("host", F.col("n").alias("pages"))
+    enough = lambda least, share: F.greatest(F.lit(least), F.lit(share) * F.col("pages"))
+    need = F.when(F.col("mark").bitwiseAND(1) == PARAGRAPH, enough(rule.min_pages_of_paragraph, rule.share_of_paragraph)).otherwise(enough(rule.min_pages_in_article, rule.share_in_article))
+    many = found.where("mark is not null").join(total, "host").where(F.col("n") >= need)
+    return many.groupBy("host").agg(F.collect_set("mark").alias("template"))
 
 
 def extract(pages: DataFrame, rule: TemplateRule = TemplateRule(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -115,6 +115,29 @@ def test_site_templates(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+ROOTS = ["<div id=content>{}</div>", "<div role=main>{}</div>", "{}"]
+
+
+@pytest.mark.parametrize("root", ROOTS)
+def test_copies_are_no_template(spark, root):
+    """A third of a host's pages without an article are copies, or near copies, or share a passage: all are content."""
+    html = lambda body: f"<html><body>{root.format(body)}</body></html>"
+    own = lambda i: f"<h2>Head {i}</h2><p>Own <span>text</span> {i}</p><ul><li>item</li></ul>"
+    same = "<p>Copied one.</p><p>Copied two.</p>"
+    said = "<p>A passage of many.</p>"
+    bodies = {f"{kind}{i}": f"{own(i)}{said if i % 3 == 0 else ''}" for kind in ("copies", "near", "few") for i in range(10 if kind == "few" else 30)}
+    bodies |= {f"copies{i}": same for i in range(30, 60)} | {f"near{i}": f"{same}<p>But {i}.</p>" for i in range(30, 45)} | {f"few{i}": same for i in range(30, 33)}
+    df = spark.createDataFrame([(k, f"http://{re.sub(r'[0-9]', '', k)}.example/{k}", html(b)) for k, b in bodies.items()], "page_id string, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert got == {k: text_of(f"<article>{b}</article>") for k, b in bodies.items()}
+    assert got["near31"] == "Copied one.\n\nCopied two.\n\nBut 31."
+
+
+def test_inline_text_of_articles_stays(spark):
+    df = spark.createDataFrame([(i, "http://a.example", f"<article><p><span>Note:</span> body {i}</p></article>") for i in range(12)], "page_id long, url string, html string")
+    assert {r.text for r in html_text.extract(df).collect()} == {f"Note: body {i}" for i in range(12)}
+
+
 def test_subtree_hash_sees_structure():
     one, two, three = (html_text.analysed(f"<div>{x}</div>") for x in ("<p>a</p><p>b</p>", "<p>a</p><p>b </p>", "<p>a<b>b</b></p>"))
     roots = [html_text.subtree_hashes(p)[1] for p in (one, two, three)]
