@@ -11,10 +11,10 @@ the body) is the text.
 
 Headings, lists, tables, quotations and inline elements of the content are
 never template, however often they recur: copies and common passages are
-content.  Containers are from half of a host's pages on.  Paragraphs are not
-either, except in a block that only a class or id marks as content: there
-from half of a host's pages on.  Pages of one host with equal content are
-copies and count once.
+content.  Containers are from half of a host's pages on.  Paragraphs are if
+they recur on nearly all pages, and in a block that only a class or id marks
+as content from half of a host's pages on.  Pages of one host with equal
+content are copies and count once.
 
 Null and empty pages give the empty text.  Pages without a host (null or
 relative url) have no site, so no template.  Repeated rows give repeated
@@ -61,8 +61,8 @@ CONTENT_WORDS = frozenset("content article post entry story main body text".spli
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Elements inside the content that may be template; the others are content.
 CONTAINERS = frozenset(("div", "section", "center", "fieldset", "details"))
-#: Kinds of candidates: the lowest bit of a template hash.
-CONTAINER, PARAGRAPH = 0, 1
+#: Kinds of candidates: the lowest two bits of a template hash.
+CONTAINER, PARAGRAPH, ARTICLE_PARAGRAPH = 0, 1, 2
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*(?:>|$)", re.S)
 ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -191,7 +191,7 @@ def candidates(page: Page) -> list[tuple[int, int]]:
     """Elements of the content that may be template, each with its kind.  What is outside is never text."""
     root = page.nodes[page.roots[0]]
     marked = root.tag in ("article", "main", "#root") or root.attrs.get("role", "").lower() == "main"
-    kinds = dict.fromkeys(CONTAINERS, CONTAINER) | ({} if marked else {"p": PARAGRAPH})
+    kinds = dict.fromkeys(CONTAINERS, CONTAINER) | {"p": ARTICLE_PARAGRAPH if marked else PARAGRAPH}
     root_up = set()
     for r in page.roots:
         while r >= 0 and r not in root_up:
@@ -206,7 +206,7 @@ def content_hash(page: Page, hashes: np.ndarray) -> int:
 
 
 def marked_hash(h: int, kind: int) -> int:
-    return (h & ~1) | kind
+    return (h & ~3) | kind
 
 
 def main_text(page: Page, template: frozenset[int] | set[int]) -> str:
@@ -254,6 +254,9 @@ class TemplateRule:
     #: Paragraphs of a block that only its class or id marks as content.
     min_pages_of_paragraph: int = 6
     share_of_paragraph: float = 0.5
+    #: Other paragraphs: a notice of the site is on (nearly) all its pages, a common passage is not.
+    min_pages_of_notice: int = 20
+    share_of_notice: float = 0.95
 
 
 def host_of(url):
@@ -286,11 +289,16 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
 def templates(pages: DataFrame, rule: TemplateRule) -> DataFrame:
     """host, template: hashes that recur.  Each takes a share of the host's pages, so a host has
     about as many as its pages have elements, whatever its size."""
-    least = min(rule.min_pages_in_article, rule.min_pages_of_paragraph)
+    least = min(rule.min_pages_in_article, rule.min_pages_of_paragraph, rule.min_pages_of_notice)
     found = materialize(subtree_counts(pages.where("host <> ''")).where(F.col("mark").isNull() | (F.col("n") >= least)), "html-counts")
     total = found.where("mark is null").select("host", F.col("n").alias("pages"))
     enough = lambda least, share: F.greatest(F.lit(least), F.lit(share) * F.col("pages"))
-    need = F.when(F.col("mark").bitwiseAND(1) == PARAGRAPH, enough(rule.min_pages_of_paragraph, rule.share_of_paragraph)).otherwise(enough(rule.min_pages_in_article, rule.share_in_article))
+    kind = F.col("mark").bitwiseAND(3)
+    need = (
+        F.when(kind == PARAGRAPH, enough(rule.min_pages_of_paragraph, rule.share_of_paragraph))
+        .when(kind == ARTICLE_PARAGRAPH, enough(rule.min_pages_of_notice, rule.share_of_notice))
+        .otherwise(enough(rule.min_pages_in_article, rule.share_in_article))
+    )
     many = found.where("mark is not null").join(total, "host").where(F.col("n") >= need)
     return many.groupBy("host").agg(F.collect_set("mark").alias("template"))
 

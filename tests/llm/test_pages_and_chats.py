@@ -133,6 +133,16 @@ def test_copies_are_no_template(spark, root):
     assert got["near31"] == "Copied one.\n\nCopied two.\n\nBut 31."
 
 
+@pytest.mark.parametrize("root", ["<article>{}</article>", "{}"])
+def test_notice_on_all_pages_goes(spark, root):
+    """A paragraph on all distinct pages of a host is the site's; one on all copies of a page, or on most pages, is not."""
+    notice = "<p>We use cookies.</p>"
+    bodies = {f"all{i}": f"<p>Own {i}.</p>{notice}" for i in range(30)} | {f"most{i}": f"<p>Own {i}.</p>{notice if i % 5 else ''}" for i in range(30)} | {f"copies{i}": f"<p>Own.</p>{notice}" for i in range(30)}
+    df = spark.createDataFrame([(k, f"http://{re.sub(r'[0-9]', '', k)}.example/", root.format(b)) for k, b in bodies.items()], "page_id string, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert got == {k: f"Own {k[3:]}." if k.startswith("all") else text_of(f"<article>{b}</article>") for k, b in bodies.items()}
+
+
 def test_inline_text_of_articles_stays(spark):
     df = spark.createDataFrame([(i, "http://a.example", f"<article><p><span>Note:</span> body {i}</p></article>") for i in range(12)], "page_id long, url string, html string")
     assert {r.text for r in html_text.extract(df).collect()} == {f"Note: body {i}" for i in range(12)}
