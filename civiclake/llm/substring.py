@@ -12,8 +12,10 @@ independent 48-bit hash agree (112 bits in all).
 Windows that repeat inside one batch are known at once: they go on as
 marks, and one of each remains to be counted, so a passage in a third of
 all texts sends one row a batch.  A task sorts its rows by anchor on disk
-and holds a bounded number at a time.  Marks return to their documents as
-runs, merge into maximal intervals, and the words in them go.
+and holds a bounded number at a time.  An anchor that alone fills a segment
+is not held: its windows go on one by one, dealt and sorted by anchor and
+hash, where neighbours decide.  Marks return to their documents as runs,
+merge into maximal intervals, and the words in them go.
 
 Null and empty texts have no words; a text shorter than the window keeps
 all.  Repeated rows (equal id and text) are copies of each other, so their
@@ -41,6 +43,8 @@ HASH_BYTES = 6
 SEGMENT = 2_000_000
 RUN_SCHEMA = "anchor long, doc_id long, text_key long, start int, n int, hashes binary"
 MARK_SCHEMA = "doc_id long, text_key long, start int, n int"
+#: Marks, and windows of hot anchors that are still to be counted (marks have no anchor and hash).
+OPEN_SCHEMA = MARK_SCHEMA + ", anchor long, hash long"
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -126,47 +130,104 @@ def window_runs(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(work, RUN_SCHEMA)
 
 
+def _open(columns: list, anchor: pa.Array | None = None, hashes: pa.Array | None = None) -> pa.RecordBatch:
+    none = pa.nulls(len(columns[0]), pa.int64())
+    return _batch([x.split()[0] for x in OPEN_SCHEMA.split(", ")], [*columns, none if anchor is None else anchor, none if hashes is None else hashes])
+
+
+def _exploded(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, position and hash of each window of the runs."""
+    n = t["n"].to_numpy().astype(np.int64)
+    raw = np.frombuffer(b"".join(t["hashes"].to_pylist()), np.uint8).reshape(-1, HASH_BYTES)
+    h = np.zeros((len(raw), 8), np.uint8)
+    h[:, :HASH_BYTES] = raw
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + t["start"].to_numpy()[row], h.view("<u8").ravel()
+
+
 def repeated_runs(runs: DataFrame) -> DataFrame:
-    """Marks: the windows whose anchor and hash occur more than once."""
+    """Rows of OPEN_SCHEMA: marks of the windows whose anchor and hash occur more than once, and the
+    windows of anchors that alone fill a segment."""
     names = [x.split()[0] for x in MARK_SCHEMA.split(", ")]
 
-    def judged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
-        n = t["n"].to_numpy().astype(np.int64)
-        raw = np.frombuffer(b"".join(t["hashes"].to_pylist()), np.uint8).reshape(-1, HASH_BYTES)
-        h = np.zeros((len(raw), 8), np.uint8)
-        h[:, :HASH_BYTES] = raw
-        row = np.repeat(np.arange(len(n)), n)
-        pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + t["start"].to_numpy()[row]
-        again, _ = repeats(t["anchor"].to_numpy().view(np.uint64)[row], h.view("<u8").ravel())
+    def judged(t: pa.Table) -> pa.RecordBatch:
+        row, pos, h = _exploded(t)
+        again, _ = repeats(t["anchor"].to_numpy().view(np.uint64)[row], h)
         start, count = runs_of(again, row)
         pick = pa.array(row[start])
-        return _batch(names, [t["doc_id"].combine_chunks().take(pick), t["text_key"].combine_chunks().take(pick), pa.array(pos[start], pa.int32()), pa.array(count, pa.int32())])
+        return _open([t["doc_id"].combine_chunks().take(pick), t["text_key"].combine_chunks().take(pick), pa.array(pos[start], pa.int32()), pa.array(count, pa.int32())])
+
+    def passed_on(t: pa.Table) -> pa.RecordBatch:
+        row, pos, h = _exploded(t)
+        pick = pa.array(row)
+        take = lambda c: t[c].combine_chunks().take(pick)
+        return _open([take("doc_id"), take("text_key"), pa.array(pos, pa.int32()), pa.array(np.ones(len(row), np.int32))], take("anchor"), pa.array(h.view(np.int64)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, hot = 0, None
         for b in batches:
             known = b.column("hashes").is_null()
             if known.true_count:
                 m = b.filter(known)
-                yield _batch(names, [m.column(x) for x in names])
+                yield _open([m.column(x) for x in names])
                 b = b.filter(known.to_numpy(zero_copy_only=False) == False)  # noqa: E712
+            if hot is not None and b.num_rows:
+                more = int(np.searchsorted(b.column("anchor").to_numpy(), hot, side="right"))
+                if more:
+                    yield passed_on(pa.Table.from_batches([b.slice(0, more)]).combine_chunks())
+                b = b.slice(more)
             if not b.num_rows:
                 continue
+            hot = None
             held.append(b)
             size += int(b.column("n").to_numpy().sum())
             if size >= SEGMENT:  # all rows of the last anchor wait for the next segment
-                anchor = b.column("anchor").to_numpy()
+                t = pa.Table.from_batches(held).combine_chunks()
+                anchor = t["anchor"].to_numpy()
                 last = int(np.searchsorted(anchor, anchor[-1], side="left"))
                 if last:
-                    yield judged([*held[:-1], b.slice(0, last)])
-                    held = [b.slice(last)]
-                    size = int(held[0].column("n").to_numpy().sum())
+                    yield judged(t.slice(0, last).combine_chunks())
+                t = t.slice(last).combine_chunks()
+                held, size = t.to_batches(), int(t["n"].to_numpy().sum())
+                if size >= SEGMENT:  # unless they fill it alone
+                    hot = anchor[-1]
+                    yield passed_on(t)
+                    held, size = [], 0
         if held:
-            yield judged(held)
+            yield judged(pa.Table.from_batches(held).combine_chunks())
+
+    return runs.mapInArrow(work, OPEN_SCHEMA)
+
 
-    return runs.mapInArrow(work, MARK_SCHEMA)
+def counted(rows: DataFrame) -> DataFrame:
+    """Marks: those given, and the open windows whose anchor and hash occur more than once (rows sorted by both)."""
+    names = [x.split()[0] for x in MARK_SCHEMA.split(", ")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, last_again = None, False
+        for b in batches:
+            done = b.column("anchor").is_null()
+            if done.true_count:
+                m = b.filter(done)
+                yield _batch(names, [m.column(x) for x in names])
+                b = b.filter(done.to_numpy(zero_copy_only=False) == False)  # noqa: E712
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([*([] if last is None else [last]), b]).combine_chunks()
+            a, h = t["anchor"].to_numpy(), t["hash"].to_numpy()
+            same = (a[1:] == a[:-1]) & (h[1:] == h[:-1])
+            again = np.zeros(len(a), bool)
+            again[0] = last_again
+            again[1:] |= same
+            again[:-1] |= same
+            # the last row waits for its neighbour
+            yield from t.select(names).slice(0, len(a) - 1).filter(pa.array(again[:-1])).to_batches()
+            last, last_again = b.slice(b.num_rows - 1), bool(again[-1])
+        if last_again:
+            yield _batch(names, [last.column(x) for x in names])
+
+    return rows.mapInArrow(work, MARK_SCHEMA)
 
 
 def remove_repeated(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +237,10 @@ def remove_repeated(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
     prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_key(text_col).alias("text_key"))
     runs = window_runs(rows, window)
-    marks = repeated_runs(runs.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor"))
+    some = repeated_runs(runs.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor"))
+    # windows meet by anchor and hash; marks have neither and are dealt by their place
+    deal = F.coalesce("anchor", "text_key"), F.coalesce(F.col("hash"), F.xxhash64("doc_id", "start"))
+    marks = counted(some.repartition(shuffle_partitions(spark), *deal).sortWithinPartitions("anchor", "hash"))
     # bounded by the length of the text: a set, as equal rows bring equal marks
     marks = marks.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n")).alias("marks"))
     m = marks.select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "marks")

@@ -154,6 +154,28 @@ def test_window_removal_in_small_segments(docs, monkeypatch):
     assert rows_of(substring.remove_repeated(docs, window=12), "doc_id", "n_removed", "kept_text") == whole
 
 
+def test_hot_anchor_is_not_held(spark, monkeypatch):
+    """Windows that share an anchor and differ: an anchor that fills a segment goes on by window, and the result is the same."""
+    rng = random.Random(4)
+    line = invented(rng, 14)
+    rows = [(i, " ".join([*invented(rng, 20), *line, *invented(rng, 20)])) for i in range(300)]
+    rows += [(1000 + i, " ".join(rows[i][1].split()[5:])) for i in range(0, 300, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    whole = rows_of(substring.remove_repeated(df, window=20), "doc_id", "n_removed", "kept_text")
+    seen = collections.Counter(tuple(x[k : k + 20]) for x in (words(t) for _, t in rows) for k in range(len(x) - 19))
+    assert sum(k[1] > 0 for k in whole) == sum(any(seen[tuple(x[k : k + 20])] > 1 for k in range(len(x) - 19)) for x in (words(t) for _, t in rows))
+    monkeypatch.setattr(substring, "SEGMENT", 60)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20")
+    try:
+        runs = substring.window_runs(df.withColumn("text_key", substring.text_key("text")), 20).repartition(1, "anchor").sortWithinPartitions("anchor")
+        assert substring.repeated_runs(runs).where("anchor is not null").count() > 200
+        assert rows_of(substring.remove_repeated(df, window=20), "doc_id", "n_removed", "kept_text") == whole
+    finally:
+        spark.conf.set(key, before)
+
+
 def sets_of(texts):
     out = []
     for _, t in texts:
