@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import Words, chunks, plain, prepare, split_words
+from civiclake.llm.common import Words, chunks, plain, prepare, split_words, text_key
 
 #: Base kinds in their order (fixed values), the group that holds the secret, and the least length of a group.
 BASE = {
@@ -278,15 +278,14 @@ def _examples(texts: pa.Array, config: Config, seed: np.ndarray) -> list[tuple[l
 
 
 def train(docs: DataFrame, config: Config = Config(), id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    """Fit the field on a sample of about ``sample_docs`` rows, chosen by a hash of the id."""
+    """Fit the field on the ``sample_docs`` rows with the smallest hashes of id and text; equal rows count once."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    total = rows.count()
-    if not total:
+    seed = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_key(text_col), F.lit("secrets"))
+    rows = docs.select(F.col(text_col).alias("text"), seed.alias("seed"))
+    last = rows.select("seed").distinct().orderBy("seed").limit(config.sample_docs).agg(F.max("seed")).collect()[0][0]
+    if last is None:
         return None
-    part = min(1.0, config.sample_docs / total)
-    seed = F.xxhash64(F.coalesce("id", F.lit("")), F.lit("secrets"))
-    picked = rows.select("text", seed.alias("seed")).where(F.pmod("seed", F.lit(1 << 30)) < int(part * (1 << 30)))
+    picked = rows.where(F.col("seed") <= last).dropDuplicates(["seed"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):

@@ -397,6 +397,20 @@ def test_field_finds_secrets_of_other_shapes(spark):
     assert np.mean([bool(f) for f in secrets.find(pa.array(clean), model)]) < 0.04
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_training_sample_is_bounded(spark, monkeypatch, hot):
+    """Rows that share an id, or lack one, are sampled like others; equal rows count once."""
+    rows = [(hot, t) for _, t in field_sample(300, 3)] + [(1000 + i, t) for i, t in field_sample(300, 4)]
+    rows += rows[:1] * 300
+    config = secrets.Config(sample_docs=60)
+    monkeypatch.setattr(secrets, "_examples", lambda texts, config, seed: [([[0] * len(secrets.GROUPS)], [int(t.as_py() in hot_texts)], [secrets.B]) for t in texts])
+    hot_texts = {t for i, t in rows if i == hot}
+    files = []
+    monkeypatch.setattr(secrets, "fit", lambda stretches, config: files.extend(f[0] for _, f, _ in stretches))
+    secrets.train(spark.createDataFrame(rows, "doc_id long, text string"), config)
+    assert len(files) == 60 and 10 < sum(files) < 50
+
+
 def test_viterbi_pruning_is_exact():
     rng = np.random.default_rng(4)
     for _ in range(200):
