@@ -94,6 +94,8 @@ BRONZE = {
         # claims share document numbers, so only a record equal in every field is the same claim landed again
         tuple(DESPESAS.names),
         parent="idDeputado", required=("idDeputado",),
+        # also in unknown fields and in the text of malformed ones
+        key_exprs=("coalesce(_extra, '')",),
     ),
     "cpis": BronzeSpec("cpis", CPIS, ("id",), required=("id",)),
 }

@@ -99,7 +99,8 @@ def records(pages: DataFrame, schema: StructType, parent: str | None = None, ove
     """Explode pages into conformed records.
 
     Known fields are parsed with the declared schema (missing -> typed
-    NULL); unknown fields are kept as JSON text in ``overflow`` (pass
+    NULL); unknown fields, and the text of known ones that could not be
+    parsed, are kept as JSON text in ``overflow`` (pass
     ``None`` to skip that second parse of each record); the parent id from
     the path fills ``parent`` when the record lacks it.  ``_posicao`` is the
     record's place on its page, ``_invalidos`` names the known fields whose
@@ -111,8 +112,7 @@ def records(pages: DataFrame, schema: StructType, parent: str | None = None, ove
     rec = pages.select("_arquivo", "pagina", "parent", *carry, F.posexplode("dados").alias("_posicao", "_raw"))
     as_map = F.from_json("_raw", "map<string,string>")
     known_arr = F.array(*[F.lit(k) for k in known])
-    extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(known_arr, k))
-    extra_col = [F.when(F.size(extra) > 0, F.to_json(extra)).alias(overflow), as_map.alias("m")] if overflow else []
+    extra_col = [as_map.alias("m")] if overflow else []
     parsed = rec.select("_arquivo", "pagina", "_posicao", "parent", *carry, "_raw", F.from_json("_raw", schema).alias("r"), *extra_col)
     cols = []
     for fl in schema.fields:
@@ -120,12 +120,15 @@ def records(pages: DataFrame, schema: StructType, parent: str | None = None, ove
         if parent and fl.name == parent:
             c = F.coalesce(c, F.col("parent").try_cast(fl.dataType))
         cols.append(c.alias(fl.name))
-    invalid = []
+    invalid, kept = [], []
     if overflow:
         bad = [F.when(F.col("m").getItem(k).isNotNull() & F.col(f"r.`{k}`").isNull(), F.lit(k)) for k in known]
+        bad_arr = F.array_compact(F.array(*bad))
+        extra = F.map_filter("m", lambda k, v: ~F.array_contains(known_arr, k) | F.array_contains(bad_arr, k))
+        kept = [F.when(F.size(extra) > 0, F.to_json(extra)).alias(overflow)]
         # a text that is no record at all has no fields to name
         invalid = [F.when(F.col("m").isNull() | F.col("r").isNull(), F.lit("registro")).otherwise(F.nullif(F.concat_ws(",", *bad), F.lit(""))).alias("_invalidos")]
-    return parsed.select(*cols, *([overflow] if overflow else []), *invalid, "_arquivo", "pagina", "_posicao", *carry, *(["_raw"] if raw else []))
+    return parsed.select(*cols, *kept, *invalid, "_arquivo", "pagina", "_posicao", *carry, *(["_raw"] if raw else []))
 
 
 def conform(df: DataFrame, schema: StructType, overflow: str | None = "_extra") -> DataFrame:

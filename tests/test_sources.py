@@ -418,3 +418,12 @@ def test_second_run_keeps_history(spark, tmpdir_run):
         assert spark.read.parquet(os.path.join(out, "silver", "dim_partido")).where("is_current").count() == 3
     assert all(r[2] == "ok" for r in analyze_all(spark, out))
     assert spark.read.parquet(os.path.join(out, "gold", "a_deputados_mais_frentes")).count() == 3
+
+
+def test_claims_that_differ_in_unknown_or_malformed_fields_stay(spark, tmpdir_run):
+    claim = {"tipoDespesa": "A", "numDocumento": "1", "valorLiquido": "5"}
+    page = [claim | {"parcela": 1}, claim | {"parcela": 2}, claim | {"mes": "x"}, claim | {"mes": "y"}, claim]
+    land(tmpdir_run, "despesas_deputados", [page], parent=("idDeputado", 5))
+    land(tmpdir_run, "despesas_deputados", [page], parent=("idDeputado", 5), subdir="retry")
+    recs, _ = envelope.bronze(spark, tmpdir_run, BRONZE["despesas_deputados"])
+    assert sorted(r["_extra"] or "" for r in recs.collect()) == ["", '{"mes":"x"}', '{"mes":"y"}', '{"parcela":"1"}', '{"parcela":"2"}']
