@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm import bpe, chat, decontam, html_text, jaccard, language, quality, secrets, substring, token_orc
+from civiclake.llm import bpe, chat, decontam, html_text, jaccard, language, quality, resample, secrets, substring, token_orc
 from civiclake.llm.common import table
 from civiclake.session import shared_dir
 
@@ -91,6 +91,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_token_orc": op1_token_orc,
     "op2_secret_crf": op2_secret_crf,
@@ -102,6 +107,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
+    "op13_resample": op13_resample,
 }
 
 #: Words as the contract has them, and lower case of A-Z only.
@@ -158,4 +164,21 @@ g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || txt ||
   FROM c GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
   CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g""",
+    "op13_resample": f"""
+WITH tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
+src AS (SELECT 'd' AS side, row_number() OVER () AS rn, doc_id, text FROM documents UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+d AS (SELECT side, rn, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM src),
+f AS (SELECT side, rn, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+u AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM f)),
+c AS (SELECT f, xor(list_reduce([4294967295] || list_transform(range(0, strlen(f)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM u, tab),
+fb AS (SELECT side, rn, bucket FROM f JOIN c USING (f)),
+n AS (SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t FROM fb GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM n),
+wt AS (SELECT rn, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM fb JOIN g USING (bucket) WHERE side = 'd' GROUP BY rn),
+sc AS (SELECT rn, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5)::DOUBLE / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN wt USING (rn) WHERE side = 'd'),
+r AS (SELECT rn, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM sc WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM sc LEFT JOIN r USING (rn)""",
 }
