@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm import bpe, chat, decontam, html_text, jaccard, language, quality, resample, secrets, substring, token_orc
+from civiclake.llm import bpe, chat, decontam, html_text, jaccard, language, line_dedup, quality, resample, secrets, substring, token_orc
 from civiclake.llm.common import table
 from civiclake.session import shared_dir
 
@@ -91,6 +91,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_common_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -107,6 +112,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
+    "op11_line_dedup": op11_line_dedup,
     "op13_resample": op13_resample,
 }
 
@@ -164,6 +170,13 @@ g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || txt ||
   FROM c GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
   CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g""",
+    "op11_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT rn, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+bad AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rn) >= 10),
+kept AS (SELECT rn, string_agg(line, chr(10) ORDER BY pos) AS txt, count(*) AS n FROM k ANTI JOIN bad USING (key) GROUP BY rn)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped, sha256(coalesce(txt, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (rn)""",
     "op13_resample": f"""
 WITH tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
 src AS (SELECT 'd' AS side, row_number() OVER () AS rn, doc_id, text FROM documents UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
