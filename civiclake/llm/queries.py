@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm import bpe, chat, decontam, html_text, jaccard, language, line_dedup, quality, resample, secrets, substring, token_orc
+from civiclake.llm import bpe, chat, collocations, decontam, html_text, jaccard, language, line_dedup, quality, resample, secrets, substring, token_orc
 from civiclake.llm.common import table
 from civiclake.session import shared_dir
 
@@ -96,6 +96,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -113,6 +117,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
     "op11_line_dedup": op11_line_dedup,
+    "op12_collocations": op12_collocations,
     "op13_resample": op13_resample,
 }
 
@@ -177,6 +182,20 @@ k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(
 bad AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rn) >= 10),
 kept AS (SELECT rn, string_agg(line, chr(10) ORDER BY pos) AS txt, count(*) AS n FROM k ANTI JOIN bad USING (key) GROUP BY rn)
 SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped, sha256(coalesce(txt, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (rn)""",
+    "op12_collocations": f"""
+WITH d AS (SELECT row_number() OVER () AS rn, coalesce(lang, 'und') AS lang, regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]') AS p FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(p), '[^\\x20\\x09]+') AS w FROM d),
+tot AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS x FROM p, range(1, 5) r(k) WHERE len(w) >= k),
+f AS (SELECT lang, x, any_value(k) AS k, count(*) AS f FROM g GROUP BY lang, x HAVING count(*) >= 30),
+cut AS (SELECT lang, x, k, f AS a, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+sc AS (SELECT cut.lang, cut.x, cut.a, c, p.f AS l, q.f AS r, CAST(2000000::HUGEINT * cut.a // (p.f + q.f) AS BIGINT) AS score FROM cut
+  JOIN f p ON p.lang = cut.lang AND p.x = list_slice(cut.x, 1, c) JOIN f q ON q.lang = cut.lang AND q.x = list_slice(cut.x, c + 1, cut.k)),
+best AS (SELECT lang, x, a, unnest(min(struct_pack(score := score, c := c, l := l, r := r))) FROM (SELECT lang, x, a, score, c, l, r FROM sc) GROUP BY lang, x, a),
+sub AS (SELECT lang, list_slice(x, i, i + m - 1) AS x, max(f) AS around FROM (SELECT lang, x, k, f, m, unnest(range(1, k - m + 2)) AS i FROM f, range(2, 4) s(m) WHERE m < k) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN sub USING (lang, x) WHERE around IS NULL OR 100 * around < 80 * a),
+r AS (SELECT *, array_to_string(x, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(x, ' ')) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r.r, n, score FROM r JOIN tot USING (lang) WHERE rank <= 2000""",
     "op13_resample": f"""
 WITH tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
 src AS (SELECT 'd' AS side, row_number() OVER () AS rn, doc_id, text FROM documents UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),

@@ -67,7 +67,7 @@ def test_stages_on_an_empty_table(spark, table, tmp_path):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if re.match(rf"op{n}_", x)]) == 1
     assert "pipeline" in names and set(queries.SQL) <= set(queries.QUERIES)
 
