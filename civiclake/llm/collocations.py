@@ -42,7 +42,7 @@ from civiclake.session import Scratch, materialize
 #: Groups up to which the semi-join sends them to every task (16 bytes each).
 SENT_GROUPS = 4_000_000
 #: Occurrences a task counts together before they go to Spark; only memory depends on it.
-COMBINED = 4_000_000
+COMBINED = 2_000_000
 #: Bits of a word's number inside a group; the rest is the number of the phrase before it.
 WORD_BITS = 28
 #: A-Z to lower case, what ends a piece to a line feed, tab to space.
