@@ -18,10 +18,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("step", choices=["ingest", "stream", "transform", "analyze", "all"])
     p.add_argument("--landing", help="folder of landed API pages (ingest, stream, all)")
     p.add_argument("--lake", required=True, help="output folder of the bronze/silver/gold tables")
-    p.add_argument("--as-of", default=dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
-                   help="processing timestamp stamped on silver rows (one value per run)")
+    p.add_argument("--as-of", help="processing timestamp stamped on silver rows (one value per run; now by default)")
+    p.add_argument("--years", help="first and last year to ingest, as 2023-2024 or 2024 (ingest, all): only landed files of these years are read")
     p.add_argument("--master", default=None, help="Spark master for local runs (e.g. local[8]); omit under spark-submit")
     a = p.parse_args(argv)
+    a.as_of_given = a.as_of is not None
+    a.as_of = a.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    first, _, last = (a.years or "").partition("-")
+    period = (int(first), int(last or first)) if first else None
     if a.step in ("ingest", "stream", "all") and not a.landing:
         p.error(f"--landing is required for '{a.step}'")
 
@@ -35,14 +39,14 @@ def main(argv: list[str] | None = None) -> None:
         spark = SparkSession.builder.appName("civiclake").getOrCreate()
         ensure_checkpoint_dir(spark)
     if a.step == "all":
-        status = layers.run_all(spark, a.landing, a.lake, a.as_of).collect()
+        status = layers.run_all(spark, a.landing, a.lake, a.as_of, period).collect()
     else:
         from civiclake.streaming import ingest_new
 
         rows = {"stream": lambda: ingest_new(spark, a.landing, a.lake),
-                "ingest": lambda: layers.ingest_all(spark, a.landing, a.lake),
+                "ingest": lambda: layers.ingest_all(spark, a.landing, a.lake, period),
                 "transform": lambda: layers.transform_all(spark, a.lake, a.as_of),
-                "analyze": lambda: layers.analyze_all(spark, a.lake)}[a.step]()
+                "analyze": lambda: layers.analyze_all(spark, a.lake, a.as_of if a.as_of_given else None)}[a.step]()
         status = rows
     for r in status:
         print("\t".join("" if v is None else str(v) for v in r))

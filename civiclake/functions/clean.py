@@ -143,3 +143,11 @@ def money_avg_from_parts(total: str | Column, count: str | Column) -> Column:
 def typed_null(dtype: str) -> Column:
     """A typed NULL constant."""
     return F.lit(None).cast(dtype)
+
+
+def among(c: str, values) -> Column:
+    """The column is one of some values, NULL among them if one is None (a filter that prunes partitions)."""
+    values = list(values)
+    known = [v for v in values if v is not None]
+    found = F.col(c).isin(known) if known else F.lit(False)
+    return found | F.col(c).isNull() if len(known) < len(values) else found

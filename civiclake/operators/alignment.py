@@ -17,8 +17,14 @@ once, as the reference semantics ask.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from civiclake.sinks.published import Version, part_name, publish, read_published
+
+#: Stored cells are partitioned by buckets of ballots.
+BALLOT_BUCKETS, BUCKET = 16, "balde"
 
 
 def _shares(counts: DataFrame, keys: list[str], n: str, out: str) -> DataFrame:
@@ -102,3 +108,61 @@ def alignment_matrix(votes: DataFrame, memberships: DataFrame, deputies: DataFra
         .pivot("sigla_partido", parties)
         .agg(F.avg("__r"))
     )
+
+
+# ---------------------------------------------------- additive cells, kept per ballot
+def alignment_cells(votes: DataFrame, memberships: DataFrame, deputies: DataFrame, deputy: str = "deputado_id", ballot: str = "idVotacao",
+                    option: str = "tipoVoto", front: str = "idFrente", member: str = "id") -> DataFrame:
+    """Counts that add up: ``(front, sigla_partido, ballot, option, qtde)``, and the house's own cells, whose
+    front is NULL and party NULL.  A ballot's cells depend on its votes alone (given the memberships),
+    so cells can be stored per ballot and new ballots appended without counting the old ones again."""
+    v = _votes_by_deputy(votes.where(F.col(ballot).isNotNull()), deputy, ballot, option)
+    m = memberships.select(F.col(front).alias(front), F.col(member).alias("__dep")).where(F.col(front).isNotNull()).dropDuplicates()
+    d = deputies.select(F.col("id").alias("__dep"), "sigla_partido").dropDuplicates(["__dep"])
+    fronts = v.join(m.join(d, "__dep", "left"), "__dep").groupBy(front, "sigla_partido", ballot, option).agg(F.sum("__n").alias("qtde"))
+    # of the same counted votes; a vote without a deputy is nobody's
+    house = v.where(F.col("__dep").isNotNull()).groupBy(ballot, option).agg(F.sum("__n").alias("qtde"))
+    types = fronts.schema
+    return fronts.unionByName(house.select(
+        F.lit(None).cast(types[front].dataType).alias(front), F.lit(None).cast("string").alias("sigla_partido"), ballot, option, "qtde"))
+
+
+def _ratios(cells: DataFrame, keys: list[str], ballot: str, option: str, front: str) -> DataFrame:
+    """Per (keys, ballot, option): share of the group over share of the house."""
+    own = cells.where(F.col(front).isNotNull()).groupBy(*keys, ballot, option).agg(F.sum("qtde").alias("qtde"))
+    own = _shares(own, [*keys, ballot], "qtde", "__own")
+    house = _shares(cells.where(F.col(front).isNull()).groupBy(ballot, option).agg(F.sum("qtde").alias("qtde")), [ballot], "qtde", "__house")
+    house = house.select(F.col(ballot).alias("__b"), F.col(option).alias("__o"), "__house")
+    met = (own[ballot] == house["__b"]) & (own[option] == house["__o"])
+    return own.join(house, met, "left").withColumn("__r", F.try_divide(F.col("__own"), F.col("__house")))
+
+
+def alignment_of_cells(cells: DataFrame, ballot: str = "idVotacao", option: str = "tipoVoto", front: str = "idFrente") -> DataFrame:
+    """G5 from stored cells: ``id_frente, indice_alinhamento_medio``."""
+    return _ratios(cells, [front], ballot, option, front).groupBy(F.col(front).alias("id_frente")).agg(F.avg("__r").alias("indice_alinhamento_medio"))
+
+
+def matrix_of_cells(cells: DataFrame, ballot: str = "idVotacao", option: str = "tipoVoto", front: str = "idFrente") -> DataFrame:
+    """X4 from stored cells, in long form (parties are an open set): ``id_frente, sigla_partido, indice_alinhamento``."""
+    r = _ratios(cells, [front, "sigla_partido"], ballot, option, front)
+    return r.groupBy(F.col(front).alias("id_frente"), "sigla_partido").agg(F.avg("__r").alias("indice_alinhamento"))
+
+
+def in_buckets(df: DataFrame, ballot: str = "idVotacao", buckets: int = BALLOT_BUCKETS) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(ballot), F.lit(buckets)).cast("int"))
+
+
+def store_cells(votes: DataFrame, memberships: DataFrame, deputies: DataFrame, path: str, ballots: DataFrame | None = None, run: str = "",
+                ballot: str = "idVotacao", **names: str) -> Version:
+    """Publish the cells of all ballots, or count again only the buckets that hold one of ``ballots`` (new
+    or corrected ones) and leave the others' files.  Changed memberships need all ballots."""
+    if ballots is None:
+        return publish(in_buckets(alignment_cells(votes, memberships, deputies, ballot=ballot, **names), ballot), path, [BUCKET], run=run)
+    touched = [r[0] for r in in_buckets(ballots.select(ballot), ballot).select(BUCKET).distinct().collect()]  # at most BALLOT_BUCKETS
+    some = in_buckets(votes, ballot).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    cells = in_buckets(alignment_cells(some, memberships, deputies, ballot=ballot, **names), ballot)
+    return publish(cells, path, [BUCKET], [part_name(BUCKET, b) for b in touched], run)
+
+
+def stored_cells(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    return read_published(spark, path, schema).drop(BUCKET)

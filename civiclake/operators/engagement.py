@@ -72,3 +72,26 @@ def engagement_trend(activity: DataFrame, deputy: str = "deputado_id", ts: str =
     return monthly.withColumn("qtde_anterior", F.lag("qtde_atividades").over(w)).withColumn(
         "variacao", F.col("qtde_atividades") - F.col("qtde_anterior")
     )
+
+
+def engagement_calendar(activity: DataFrame, deputy: str = "deputado_id", ts: str = "data_votacao") -> DataFrame:
+    """Engagement by calendar month (X6): one row a deputy and month from the first to the last activity,
+    zero months included, with the calendar month before and the change.
+
+    Each active month is followed by its idle months up to the next active
+    one, so one window over a deputy's monthly counts suffices and the
+    missing months are generated after the aggregation.
+    """
+    month = F.year(ts).cast("bigint") * 12 + F.month(ts) - 1
+    monthly = activity.where(F.col(ts).isNotNull()).groupBy(F.col(deputy).alias("id_deputado"), month.alias("__m")).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("id_deputado").orderBy("__m")
+    before = F.when(F.lag("__m").over(w) == F.col("__m") - 1, F.lag("__n").over(w)).when(F.lag("__m").over(w).isNotNull(), F.lit(0))
+    runs = monthly.select("id_deputado", "__m", "__n", before.alias("__before"), F.coalesce(F.lead("__m").over(w) - 1, F.col("__m")).alias("__until"))
+    rows = runs.select("id_deputado", "__m", "__n", "__before", F.explode(F.sequence("__m", "__until")).alias("__at"))
+    step = F.col("__at") - F.col("__m")
+    now = F.when(step == 0, F.col("__n")).otherwise(F.lit(0))
+    previous = F.when(step == 0, F.col("__before")).when(step == 1, F.col("__n")).otherwise(F.lit(0))
+    return rows.select(
+        "id_deputado", F.floor(F.col("__at") / 12).alias("ano"), (F.col("__at") % 12 + 1).alias("mes"), now.alias("qtde_atividades"),
+        previous.alias("qtde_anterior"), (now - previous).alias("variacao"),
+    )

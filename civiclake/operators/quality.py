@@ -82,3 +82,21 @@ def layer_totals(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
 def new_rows(current: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``current`` whose key was not in ``previous`` (an alert feed)."""
     return current.join(previous.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def new_occurrences(current: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a key that ``current`` has more often than ``previous``, with how many are new (``novas``);
+    the other columns are those of one of its rows (the greatest).  NULL keys are equal.
+
+    Both sides are counted before they meet, so equal rows are combined map-side.
+    """
+    keys = list(keys)
+    rest = [c for c in current.columns if c not in keys]
+    now = current.groupBy(*keys).agg(F.count("*").alias("__n"), F.max(F.struct(*rest)).alias("__row") if rest else F.lit(None).alias("__row"))
+    before = previous.groupBy(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("__m"))
+    met = F.lit(True)
+    for i, k in enumerate(keys):
+        met = met & F.col(k).eqNullSafe(F.col(f"__b{i}"))
+    new = F.col("__n") - F.coalesce(F.col("__m"), F.lit(0))
+    out = now.join(before, met, "left").withColumn("novas", new).where("novas > 0")
+    return out.select(*[F.col(k) for k in keys], *[F.col(f"__row.{c}").alias(c) for c in rest], "novas")

@@ -35,29 +35,31 @@ def group_stats(df: DataFrame, value: str, groups: Sequence[str], mean_col: str
     return materialize(stats, "group_stats")
 
 
-def zscore_flag(df: DataFrame, value: str, groups: Sequence[str], k: float = Z_THRESHOLD, money: bool = False) -> DataFrame:
+def zscore_flag(df: DataFrame, value: str, groups: Sequence[str], k: float = Z_THRESHOLD, money: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """Flag form (Gen-A): every row kept, plus ``media, desvio, z_score, anomalia``.
 
     ``z = (v - media) / desvio``; NULL when the group has one row, its
     standard deviation is 0, or its key is NULL; ``anomalia = |z| > k``
-    (NULL when z is NULL).
+    (NULL when z is NULL).  ``stats`` (groups, ``media, desvio``) may be given,
+    as merged from stored moments.
     """
     groups = list(groups)
-    stats = group_stats(df, value, groups, money=money)
+    stats = group_stats(df, value, groups, money=money) if stats is None else stats
     joined = _left_by_keys(df, stats, groups)
     z = F.try_divide(F.col(value) - F.col("media"), F.col("desvio"))
     return joined.withColumn("z_score", z).withColumn("anomalia", F.abs(F.col("z_score")) > F.lit(k))
 
 
 def zscore_filter(df: DataFrame, value: str, groups: Sequence[str], k: float = Z_THRESHOLD, sd_col: str = "desvio_padrao",
-                  money: bool = False) -> DataFrame:
+                  money: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """Filter form (Gen-B): keep rows with ``|z| > k and value > 0``.
 
     ``z = 0`` when the standard deviation is NULL or 0 (including rows
-    with a NULL group key), so such rows never qualify.
+    with a NULL group key), so such rows never qualify.  ``stats`` (groups,
+    ``media``, ``sd_col``) may be given.
     """
     groups = list(groups)
-    stats = group_stats(df, value, groups, sd_col=sd_col, money=money)
+    stats = group_stats(df, value, groups, sd_col=sd_col, money=money) if stats is None else stats
     joined = _left_by_keys(df, stats, groups)
     sd = F.col(sd_col)
     z = F.when(sd.isNotNull() & (sd > 0), (F.col(value) - F.col("media")) / sd).otherwise(F.lit(0.0))

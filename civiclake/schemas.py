@@ -53,7 +53,10 @@ DESPESAS = StructType([
     f("cnpjCpfFornecedor", S, "supplier tax id"), f("nomeFornecedor", S, "supplier name"), f("valorLiquido", S, "net value"),
     f("valorGlosa", S),
 ])
-CPIS = StructType([f("id", L), f("siglaTipo", S), f("numero", L), f("ano", L), f("ementa", S), f("dataApresentacao", S)])
+CPIS = StructType([
+    f("id", L, "proposal id"), f("siglaTipo", S, "proposal type"), f("numero", L), f("ano", L), f("ementa", S, "summary"),
+    f("dataApresentacao", S, "date of presentation"), f("statusProposicao", S, "status as JSON text"),
+])
 
 LINK = StructType([f("rel", S), f("href", S)])
 
@@ -75,17 +78,25 @@ class BronzeSpec:
     required: tuple[str, ...] = field(default_factory=tuple)
     # SQL expressions of the key where columns do not suffice; the record's place is (pagina, _posicao)
     key_exprs: tuple[str, ...] = ()
+    # key columns whose hash gives the bucket of a table partitioned by ``balde``: what lands together stays together
+    cluster: tuple[str, ...] = ()
+    buckets: int = 16
+
+    @property
+    def stable_partition(self) -> bool:
+        """Whether a record's partition follows from its key (a corrected record cannot move)."""
+        return bool(self.cluster)
 
 
 BRONZE = {
     "deputados": BronzeSpec("deputados", DEPUTADOS, ("id",), required=("id",)),
     "frentes": BronzeSpec("frentes", FRENTES, ("id",), required=("id",)),
-    "frentes_membros": BronzeSpec("frentes_membros", FRENTES_MEMBROS, ("idFrente", "id"), parent="idFrente", required=("idFrente", "id")),
+    "frentes_membros": BronzeSpec("frentes_membros", FRENTES_MEMBROS, ("idFrente", "id"), parent="idFrente", partition_by=("balde",), required=("idFrente", "id"), cluster=("idFrente",)),
     # one events table partitioned by year (S13), not one table per year
     "eventos": BronzeSpec("eventos", EVENTOS, ("id",), partition_by=("ano",), required=("id",)),
     "votacoes": BronzeSpec("votacoes", VOTACOES, ("id",), required=("id",)),
     "votos_deputados": BronzeSpec(
-        "votos_deputados", VOTOS_DEPUTADOS, ("idVotacao",), parent="idVotacao", required=("idVotacao",),
+        "votos_deputados", VOTOS_DEPUTADOS, ("idVotacao",), parent="idVotacao", partition_by=("balde",), required=("idVotacao",), cluster=("idVotacao",),
         # the deputy's id, not the deputy's text, which changes with a photo; a vote without one is kept by its place on its page
         key_exprs=("coalesce(get_json_object(deputado_, '$.id'), concat('#', coalesce(pagina, -1), ':', _posicao))",),
     ),
@@ -93,9 +104,10 @@ BRONZE = {
         "despesas_deputados", DESPESAS,
         # claims share document numbers, so only a record equal in every field is the same claim landed again
         tuple(DESPESAS.names),
-        parent="idDeputado", required=("idDeputado",),
+        parent="idDeputado", partition_by=("balde",), required=("idDeputado",), cluster=("ano", "mes"),
         # also in unknown fields and in the text of malformed ones
         key_exprs=("coalesce(_extra, '')",),
     ),
-    "cpis": BronzeSpec("cpis", CPIS, ("id",), required=("id",)),
+    # each day's landing stays, so that a committee's states can be followed
+    "cpis": BronzeSpec("cpis", CPIS, ("id",), required=("id",), key_exprs=("to_date(_chegada)",)),
 }

@@ -18,6 +18,7 @@ from the landed files on is a distributed read:
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from civiclake.functions.clean import to_timestamp_safe
 from civiclake.operators.dedup import keep_latest
 from civiclake.schemas import LINK, BronzeSpec
+from civiclake.session import Scratch, materialize
 
 RAW_PAGE = StructType([
     StructField("dados", ArrayType(StringType())),
@@ -34,8 +36,9 @@ RAW_PAGE = StructType([
 ])
 
 
-def read_pages(spark: SparkSession, path: str, parent: str | None = None) -> DataFrame:
-    """One row per landed page file.
+def read_pages(spark: SparkSession, path: str, parent: str | None = None, period: tuple[int, int] | None = None) -> DataFrame:
+    """One row per landed page file; ``period`` (first and last year) reads only the files of those years
+    (see :func:`of_years`).
 
     Columns: ``_arquivo`` (lineage), ``pagina``, ``parent`` (text from the
     path or NULL), ``dados`` (array of raw record texts), ``tem_proxima``
@@ -51,7 +54,16 @@ def read_pages(spark: SparkSession, path: str, parent: str | None = None) -> Dat
         .option("pathGlobFilter", "*.json")
         .json(path)
     )
-    return pages_from(raw, parent)
+    return pages_from(raw.where(of_years(*period)) if period else raw, parent)
+
+
+def of_years(first: int, last: int):
+    """S10 for landed files: those below a folder ``ano=<year>`` of the period, and those below no such
+    folder (their year is unknown).  The predicate is on the file's path alone, so Spark drops the
+    other files when it lists them, before any JSON is parsed."""
+    path = F.col("_metadata.file_path")
+    wanted = "|".join(str(y) for y in range(first, last + 1))
+    return ~path.rlike(r"/ano=\d+/") | path.rlike(f"/ano=({wanted})/")
 
 
 def pages_from(raw: DataFrame, parent: str | None = None) -> DataFrame:
@@ -95,7 +107,8 @@ def page_completeness(pages: DataFrame, parents: DataFrame | None = None) -> Dat
     return per.withColumn("completo", whole & ~F.coalesce(F.col("ultima_tem_proxima"), F.lit(True)))
 
 
-def records(pages: DataFrame, schema: StructType, parent: str | None = None, overflow: str | None = "_extra", raw: bool = False) -> DataFrame:
+def records(pages: DataFrame, schema: StructType, parent: str | None = None, overflow: str | None = "_extra", raw: bool = False,
+            page_columns: Sequence[str] = ()) -> DataFrame:
     """Explode pages into conformed records.
 
     Known fields are parsed with the declared schema (missing -> typed
@@ -105,15 +118,18 @@ def records(pages: DataFrame, schema: StructType, parent: str | None = None, ove
     the path fills ``parent`` when the record lacks it.  ``_posicao`` is the
     record's place on its page, ``_invalidos`` names the known fields whose
     value was given but could not be parsed (comma-joined, NULL if none),
-    and ``raw`` keeps the record's text in ``_raw``.
+    and ``raw`` keeps the record's text in ``_raw``.  With ``page_columns``
+    these columns of the page are kept, and a page without records is one
+    row without ``_posicao``.
     """
     known = [fl.name for fl in schema.fields]
-    carry = [c for c in ("_chegada",) if c in pages.columns]
-    rec = pages.select("_arquivo", "pagina", "parent", *carry, F.posexplode("dados").alias("_posicao", "_raw"))
+    carry = [c for c in ("_chegada",) if c in pages.columns] + list(page_columns)
+    explode = F.posexplode_outer if page_columns else F.posexplode
+    rec = pages.select("_arquivo", "pagina", "parent", *[c for c in carry if c != "parent"], explode("dados").alias("_posicao", "_raw"))
     as_map = F.from_json("_raw", "map<string,string>")
     known_arr = F.array(*[F.lit(k) for k in known])
     extra_col = [as_map.alias("m")] if overflow else []
-    parsed = rec.select("_arquivo", "pagina", "_posicao", "parent", *carry, "_raw", F.from_json("_raw", schema).alias("r"), *extra_col)
+    parsed = rec.select("_arquivo", "pagina", "_posicao", "parent", *[c for c in carry if c != "parent"], "_raw", F.from_json("_raw", schema).alias("r"), *extra_col)
     cols = []
     for fl in schema.fields:
         c = F.col(f"r.{fl.name}")
@@ -163,7 +179,7 @@ def split_accepted(recs: DataFrame, spec: BronzeSpec) -> tuple[DataFrame, DataFr
     A record that lacks a required key is rejected with its text (``_raw``)
     and the missing keys (``_motivo``), so it can be audited and landed again.
     """
-    missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in spec.required])
+    missing = missing_keys(spec)
     accepted = recs.where(missing == "").drop("_raw")
     return accepted, recs.where(missing != "").withColumn("_motivo", F.concat(F.lit("sem "), missing))
 
@@ -176,8 +192,42 @@ def latest(accepted: DataFrame, spec: BronzeSpec) -> DataFrame:
 
 
 def with_year(df: DataFrame, spec: BronzeSpec) -> DataFrame:
-    """The event year as the partition column of the one events table."""
-    return df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio"))) if "ano" in spec.partition_by else df
+    """The partition column: the event year of the one events table, or the bucket of the key columns
+    that land together (a ballot's votes, a front's members, a month's claims)."""
+    if "ano" in spec.partition_by:
+        return df.withColumn("ano", F.year(to_timestamp_safe("dataHoraInicio")))
+    if "balde" in spec.partition_by:
+        return df.withColumn("balde", F.pmod(F.xxhash64(*spec.cluster), F.lit(spec.buckets)).cast("int"))
+    return df
+
+
+def missing_keys(spec: BronzeSpec):
+    """Names of the required keys that a record lacks, comma-joined."""
+    return F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in spec.required])
+
+
+PAGE = ("parent", "tem_proxima", "corrompida")
+
+
+def landed_once(spark: SparkSession, landing: str, spec: BronzeSpec, scratch: Scratch, period: tuple[int, int] | None = None) -> DataFrame:
+    """All that landed for one endpoint, parsed once and written: records with their page's columns (a page
+    without records is one row without ``_posicao``), the text only where the record is rejected.
+
+    Accepted and rejected records, completeness and reconciliation are all taken from it.
+    """
+    pages = read_pages(spark, os.path.join(landing, spec.name), spec.parent, period).withColumn("corrompida", F.col("_corrupt_record").isNotNull())
+    recs = records(pages, spec.schema, spec.parent, raw=True, page_columns=PAGE)
+    return materialize(recs.withColumn("_raw", F.when(missing_keys(spec) != "", F.col("_raw"))), f"landed-{spec.name}", scratch)
+
+
+def landed_records(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col("_posicao").isNotNull()).drop(*PAGE)
+
+
+def landed_pages(landed: DataFrame) -> DataFrame:
+    """The pages as :func:`page_completeness` takes them."""
+    pages = landed.groupBy("_arquivo").agg(*[F.first(c).alias(c) for c in ("pagina", *PAGE)])
+    return pages.withColumn("_corrupt_record", F.when(F.col("corrompida"), F.lit("")))
 
 
 def reconcile(recs: DataFrame, spec: BronzeSpec) -> DataFrame:

@@ -4,13 +4,19 @@ A file stream picks up landed page files and explodes them into records
 exactly as the batch path does.  Nothing is dropped by lateness: each
 micro-batch writes its accepted records, and its rejects with their text
 and reason, to folders named after the batch (``lote=<batch_id>``), so a
-batch replayed after a failure rewrites the same files.  The bronze table
-is then the latest record of each natural key over all batches, by the rule
-the batch path uses, in the same layout: a back-filled page adds its
-records, a corrected page replaces them, a page landed twice changes
-nothing, and the result equals a full batch build of the same files.
-
-Each refresh reads the batches' accepted records, not the landed JSON.
+batch replayed after a failure rewrites the same files.
+
+The bronze table then takes the batch by key: only the partitions that hold
+one of its keys, or get one, are read, merged by the rule the batch path
+uses (the latest record of each natural key) and published together; every
+other partition keeps its files.  A back-filled page adds its records, a
+corrected page replaces them (and moves an event to its new year), a page
+landed twice changes nothing, and the result equals a full batch build of
+the same files.  A publication is whole or not there (``sinks.published``),
+so a crash leaves the table as it was and the replayed batch merges again.
+
+The accepted records of the batches are a log beside the table, from which
+``refresh`` can rebuild it; ``compact`` merges the log's older batches.
 """
 
 from __future__ import annotations
@@ -18,12 +24,17 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from civiclake.functions.clean import among
 from civiclake.schemas import BRONZE, BronzeSpec
-from civiclake.sinks.writers import write_path
+from civiclake.sinks.published import Folder, Version, is_published, latest_version, part_name, publish, read_published, recover
 from civiclake.sources.envelope import RAW_PAGE, latest, pages_from, records, split_accepted, with_year
 
+#: Batches of the log that are left as they are; more are merged into one.
+KEEP_BATCHES = 20
+
 
 def stream_records(spark: SparkSession, landing: str, spec: BronzeSpec, max_files: int | None = None) -> DataFrame:
     """Streaming frame of all records of one endpoint, with their text."""
@@ -48,8 +59,47 @@ def batch_folders(target: str) -> tuple[str, str]:
 
 def refresh(spark: SparkSession, spec: BronzeSpec, target: str) -> int:
     """Rebuild the bronze table from the accepted records of all batches; returns its rows."""
-    accepted = spark.read.parquet(batch_folders(target)[0]).drop("lote")
-    return write_path(with_year(latest(accepted, spec), spec), target, partition_by=spec.partition_by)
+    accepted = read_published(spark, batch_folders(target)[0]).drop("lote")
+    return publish(with_year(latest(accepted, spec), spec), target, spec.partition_by).total
+
+
+def upsert(spark: SparkSession, spec: BronzeSpec, target: str, new: DataFrame, run: str = "") -> Version:
+    """Merge accepted records into the bronze table by key; only the partitions concerned are read and replaced.
+
+    A bucket follows from the key.  An event's year does not, so the years
+    that hold the batch's keys are looked up first: a semi-join that reads
+    the key column alone.
+    """
+    from civiclake.plans.layers import bronze_schema
+
+    recover(spark, target)
+    new = latest(new, spec)
+    old = read_published(spark, target, bronze_schema(spec)) if is_published(spark, target) else None
+    if not spec.partition_by:
+        both = new if old is None else old.select(new.columns).unionByName(new)
+        return publish(latest(both, spec), target, run=run)
+    column = spec.partition_by[0]
+    placed = with_year(new, spec)
+    concerned = placed.select(column)
+    if old is not None and not spec.stable_partition:
+        keys = list(spec.natural_key)
+        concerned = concerned.union(old.select(column, *keys).join(new.select(*keys), keys, "left_semi").select(column))
+    parts = [r[0] for r in concerned.distinct().collect()]  # at most one row a partition
+    if old is not None:
+        new = old.where(among(column, parts)).select(new.columns).unionByName(new)
+    return publish(with_year(latest(new, spec), spec), target, spec.partition_by, [part_name(column, p) for p in parts], run)
+
+
+def compact(spark: SparkSession, spec: BronzeSpec, target: str, keep: int = KEEP_BATCHES) -> int:
+    """Merge all but the last ``keep`` batches of the accepted log into one, by key; returns the batches merged."""
+    log = batch_folders(target)[0]
+    lots = sorted(int(n.split("=", 1)[1]) for n in Folder(spark, log).visible() if n.startswith("lote="))
+    old = lots[: max(0, len(lots) - keep)]
+    if len(old) > 1:
+        rows = read_published(spark, log).where(F.col("lote").isin(old)).drop("lote")
+        merged = latest(rows, spec).withColumn("lote", F.lit(old[-1]))
+        publish(merged, log, ["lote"], [part_name("lote", x) for x in old])
+    return len(old) if len(old) > 1 else 0
 
 
 def start_ingest(spark: SparkSession, landing: str, spec: BronzeSpec, target: str, checkpoint: str,
@@ -70,7 +120,9 @@ def start_ingest(spark: SparkSession, landing: str, spec: BronzeSpec, target: st
             rejected.write.mode("overwrite").parquet(os.path.join(rejected_path, f"lote={batch_id}"))
         finally:
             batch.unpersist()
-        refresh(batch.sparkSession, spec, target)
+        spark = batch.sparkSession
+        upsert(spark, spec, target, spark.read.parquet(os.path.join(accepted_path, f"lote={batch_id}")), f"lote-{batch_id}")
+        compact(spark, spec, target)
 
     w = stream_records(spark, landing, spec, max_files).writeStream.foreachBatch(write_batch)
     w = w.option("checkpointLocation", checkpoint)
@@ -86,7 +138,7 @@ def ingest_new(spark: SparkSession, landing: str, lake: str) -> list[tuple]:
         target = os.path.join(lake, "bronze", name)
         try:
             start_ingest(spark, landing, spec, target, os.path.join(lake, "_checkpoints", name)).awaitTermination()
-            rows.append(("bronze", name, "ok", spark.read.parquet(target).count(), None))
+            rows.append(("bronze", name, "ok", latest_version(spark, target).total, None))
         except Exception as e:  # noqa: BLE001 - reported in the status rows
             state = "vazio" if "PATH_NOT_FOUND" in str(e) else "falha"
             rows.append(("bronze", name, state, None, f"{type(e).__name__}: {e}"))
