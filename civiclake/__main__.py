@@ -1,4 +1,4 @@
-"""Command line: ``python -m civiclake {ingest,stream,transform,analyze,all} ...``.
+"""Command line: ``python -m civiclake {ingest,stream,transform,analyze,all,register} ...``.
 
 Runs the layers against landed pages (bronze) and a lake folder; prints
 the status rows.  Spark settings come from the environment
@@ -15,9 +15,10 @@ from civiclake.plans import layers
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="civiclake")
-    p.add_argument("step", choices=["ingest", "stream", "transform", "analyze", "all"])
+    p.add_argument("step", choices=["ingest", "stream", "transform", "analyze", "all", "register"])
     p.add_argument("--landing", help="folder of landed API pages (ingest, stream, all)")
     p.add_argument("--lake", required=True, help="output folder of the bronze/silver/gold tables")
+    p.add_argument("--prefix", default="", help="prefix of the catalog names (register)")
     p.add_argument("--as-of", help="processing timestamp stamped on silver rows (one value per run; now by default)")
     p.add_argument("--years", help="first and last year to ingest, as 2023-2024 or 2024 (ingest, all): only landed files of these years are read")
     p.add_argument("--master", default=None, help="Spark master for local runs (e.g. local[8]); omit under spark-submit")
@@ -38,7 +39,11 @@ def main(argv: list[str] | None = None) -> None:
     else:
         spark = SparkSession.builder.appName("civiclake").getOrCreate()
         ensure_checkpoint_dir(spark)
-    if a.step == "all":
+    if a.step == "register":
+        from civiclake.plans.catalog import register_lake
+
+        status = [("catalogo", name, "ok") for name in register_lake(spark, a.lake, a.prefix)]
+    elif a.step == "all":
         status = layers.run_all(spark, a.landing, a.lake, a.as_of, period).collect()
     else:
         from civiclake.streaming import ingest_new

@@ -15,8 +15,8 @@ waits it reads what moves from the hidden folder.  A plain
 One writer at a time.
 
 Every publication leaves a record in ``_versoes/<n>.json``: its number, the
-run that made it, and the rows of each partition, so row counts of tables
-need no scan.
+run that made it, the schema, and the rows of each partition, so row counts
+of tables need no scan and an empty table keeps its columns.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclass
 class Version:
-    """One publication; ``rows`` by partition folder (the whole table under '')."""
+    """One publication; ``rows`` by partition folder (the whole table under ''); ``schema`` as JSON."""
 
     number: int
     id: str
@@ -46,6 +46,7 @@ class Version:
     move: list[str] = field(default_factory=list)
     remove: list[str] = field(default_factory=list)
     rows: dict[str, int] = field(default_factory=dict)
+    schema: str = ""
 
     @property
     def total(self) -> int:
@@ -159,7 +160,7 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), parts: I
     recover(spark, path)
     folder = Folder(spark, path)
     before = latest_version(spark, path)
-    new = Version(before.number + 1 if before else 1, uuid.uuid4().hex, run)
+    new = Version(before.number + 1 if before else 1, uuid.uuid4().hex, run, schema=df.schema.json())
     staged = f"{path.rstrip('/')}/{NEW}/{new.id}"
     obs = Observation("rows")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -190,6 +191,9 @@ def read_published(spark: SparkSession, path: str, schema: StructType | None = N
     """The current version of a table, also while a publication is being settled; a path without a table raises as any missing path."""
     folder = Folder(spark, path)
     waiting = _pending(folder)
+    if schema is None:
+        last = waiting or latest_version(spark, path)
+        schema = StructType.fromJson(json.loads(last.schema)) if last and last.schema else None
     reader = spark.read if schema is None else spark.read.schema(schema)
     if waiting is None:
         return reader.parquet(path)
