@@ -361,15 +361,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
 
 def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group of ``found`` the row of its smallest id
-    (then key) stays, once; rows with the empty set all stay."""
+    (then key) stays, once; rows with the empty set all stay.  Columns of any name keep their values."""
     first = found.where("group_key is not null").groupBy("group_key").agg(F.min(F.struct("doc_id", "doc_key")).alias("k"))
     first = first.select(F.col("k.doc_id").alias("__id"), F.col("k.doc_key").alias("__key"))
     empty = found.where("group_key is null").select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct()
     # one join for both, so the texts are shuffled to it once
     keepers = first.withColumn("__once", F.lit(True)).unionByName(empty.withColumn("__once", F.lit(False)))
-    mine = F.col(id_col).cast("long")
-    met = (F.col("__own") == F.col("__key")) & mine.eqNullSafe(F.col("__id"))
+    # the rows' own columns are renamed meanwhile, whatever their names
+    names = [f"__keep_{k}" for k in range(len(docs.columns))]
+    mine, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    given = docs.toDF(*names).withColumn("__own", text_key(text)).withColumn("__mine", F.col(mine).cast("long"))
+    met = (F.col("__own") == F.col("__key")) & F.col("__mine").eqNullSafe(F.col("__id"))
     # equal rows of a group are told apart by a number
-    nth = Window.partitionBy("__own", mine).orderBy(F.lit(0))
-    kept = docs.withColumn("__own", text_key(text_col)).join(keepers, met).withColumn("__nth", F.row_number().over(nth))
-    return kept.where("__nth = 1 or not __once").select(*docs.columns)
+    nth = Window.partitionBy("__own", "__mine").orderBy(F.lit(0))
+    kept = given.join(keepers, met).withColumn("__nth", F.row_number().over(nth))
+    return kept.where("__nth = 1 or not __once").select(*names).toDF(*docs.columns)

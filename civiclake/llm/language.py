@@ -6,10 +6,10 @@ language span a Nyström feature space; one ridge regression a language
 (one versus rest) is fitted on a bounded sample in that space.  A batch of
 texts is scored by matrix products: presence x landmarks, then x weights.
 
-A label is learned if ``landmarks`` of its rows or more have a letter,
-whatever the other labels hold; in small tables also if it has 1 /
-``max_languages`` of the labelled rows.  The sample has ``per_language``
-texts of each, by the smallest hashes of their ids; with more than
+A label is learned if ``least_rows`` of its rows or more have a letter,
+whatever the other labels hold.  The sample has ``per_language`` distinct
+rows of each, by the smallest hashes of id and text, so a row or an id that
+recurs cannot fill it; with more than
 ``max_languages`` labels each has fewer (see ``Config.shares``), so sample
 and landmarks stay as large as with that many.  Tasks turn texts into
 n-grams and kernel rows, so only those reach the driver.
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import chunks, plain, prepare, ragged
+from civiclake.llm.common import chunks, plain, prepare, ragged, text_key
 
 ORDERS = 3
 UNKNOWN = "und"
@@ -46,6 +46,7 @@ LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 class Config:
     per_language: int = 250
     landmarks: int = 32
+    least_rows: int = 8
     max_languages: int = 64
     ridge: float = 0.05
     sharpness: float = 4.0
@@ -165,32 +166,30 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
     """Fit on rows with a label; null if there are none."""
     spark = labelled.sparkSession
     prepare(spark)
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    total = rows.count()
-    if not total:
-        return None
+    # a row is known by its id and text: rows that recur, or share an id, cannot fill the sample
+    key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_key(text_col), F.lit("language"))
+    rows = labelled.where(F.col(lang_col).isNotNull()).select(key.alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    share = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(lettered).alias("usable"))
-    enough = (F.col("usable") >= config.landmarks) | ((F.col("usable") > 0) & (F.col("n") * config.max_languages >= total))
-    languages = sorted(r.lang for r in share.where(enough).collect())
+    usable_rows = rows.groupBy("lang").agg(F.count_if(lettered).alias("usable"))
+    languages = sorted(r.lang for r in usable_rows.where(F.col("usable") >= config.least_rows).collect())
     if not languages:
         return None
     per_language, n_landmarks = config.shares(len(languages))
     # the rank keeps at most per_language rows of a language in each task before anything is shuffled
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit("language")), "id")
+    order = Window.partitionBy("lang").orderBy("key")
     usable = rows.where(F.col("lang").isin(languages) & lettered)
-    ranked = usable.select("id", "lang", F.row_number().over(order).alias("rank")).where(F.col("rank") <= per_language)
-    picked = {(r.id, r.lang): r["rank"] for r in ranked.collect()}  # see Config.shares
-    sample = rows.where(F.col("id").isin(sorted({i for i, _ in picked})) & lettered)
+    ranked = usable.select("key", "lang", F.dense_rank().over(order).alias("rank")).where(F.col("rank") <= per_language).distinct()
+    picked = {(r.key, r.lang): r["rank"] for r in ranked.collect()}  # see Config.shares
+    sample = rows.where(F.col("key").isin(sorted({i for i, _ in picked})) & lettered).dropDuplicates(["key", "lang"])
 
     marks = {k for k, rank in picked.items() if rank <= n_landmarks}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
-            found = [(i, g, normal(t)) for i, g, t in zip(b.column("id").to_pylist(), b.column("lang").to_pylist(), plain(b.column("text")).to_pylist()) if (i, g) in marks]
+            found = [(i, g, normal(t)) for i, g, t in zip(b.column("key").to_pylist(), b.column("lang").to_pylist(), plain(b.column("text")).to_pylist()) if (i, g) in marks]
             yield pa.RecordBatch.from_arrays([pa.array([f"{g}\x00{i}" for i, g, _ in found], pa.string()), pa.array([np.unique(gram_codes(t)) for _, _, t in found], pa.list_(pa.int32()))], names=["key", "codes"])
 
-    got = sample.select("id", "lang", "text").mapInArrow(grams, "key string, codes array<int>").orderBy("key").toArrow()
+    got = sample.select("key", "lang", "text").mapInArrow(grams, "key string, codes array<int>").orderBy("key").toArrow()
     got = got["codes"].combine_chunks()
     each = np.split(got.flatten().to_numpy(), np.cumsum(got.value_lengths().to_numpy())[:-1])
     codes = np.unique(np.concatenate(each))
@@ -199,12 +198,12 @@ def train(labelled: DataFrame, config: Config = Config(), id_col: str = "doc_id"
 
     def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
-            mine = [k for k, key in enumerate(zip(b.column("id").to_pylist(), b.column("lang").to_pylist())) if key in picked]
+            mine = [k for k, key in enumerate(zip(b.column("key").to_pylist(), b.column("lang").to_pylist())) if key in picked]
             b = b.take(pa.array(mine, pa.int64()))
             rows_ = shared.value.kernel([normal(t) for t in plain(b.column("text")).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(list(rows_), pa.list_(pa.float32()))], names=["lang", "k"])
 
-    got = sample.select("id", "lang", "text").mapInArrow(kernels, "lang string, k array<float>").toArrow()
+    got = sample.select("key", "lang", "text").mapInArrow(kernels, "lang string, k array<float>").toArrow()
     kernel = got["k"].combine_chunks().flatten().to_numpy().reshape(-1, len(each))
     labels = np.searchsorted(np.array(languages, object), np.array(got["lang"].to_pylist(), object))
     # a fixed order makes the sums, and so the weights, the same in every run

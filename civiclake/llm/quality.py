@@ -10,8 +10,8 @@ wrong or missing language label does not matter.  Texts below the minimum
 lengths are not judged by that histogram: short texts vary too much.
 
 Null and empty texts have no words and fail the base rule.  Rows with null
-language count for no reference; rows of a language without a reference are
-not judged by distance.  Repeated rows are judged alike; an empty
+language count for no reference.  The label takes no part in the verdict: a
+row of a language without a reference is judged like any other.  Repeated rows are judged alike; an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -95,11 +95,13 @@ def counts(docs: DataFrame) -> DataFrame:
             words = split_words(pc.utf8_lower(texts))
             classes = class_histogram(texts)
             size = max(1, len(words.uniq))
-            n = np.bincount(code[words.rows] * size + words.codes, minlength=size * len(names)).reshape(-1, size)
+            # (language, word) pairs that occur, by language
+            pairs, n = np.unique(code[words.rows].astype(np.int64) * size + words.codes, return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(len(names) + 1) * size)
             for i, name in enumerate(names):
-                used = np.flatnonzero(n[i])
-                word = pa.concat_arrays([words.uniq.take(pa.array(used)), pa.array(["\x00", *(f"\x00{k}" for k in range(len(CLASSES)))])])
-                total = np.concatenate((n[i][used], [n[i].sum()], classes[code == i].sum(axis=0)))
+                mine = slice(ends[i], ends[i + 1])
+                word = pa.concat_arrays([words.uniq.take(pa.array(pairs[mine] - i * size)), pa.array(["\x00", *(f"\x00{k}" for k in range(len(CLASSES)))])])
+                total = np.concatenate((n[mine], [n[mine].sum()], classes[code == i].sum(axis=0)))
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(total), pa.string()), word, pa.array(total.astype(np.int64))], names=["lang", "word", "n"])
 
     got = docs.mapInArrow(work, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -179,24 +181,24 @@ def line_repeats(text: bytes) -> int:
 VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, nearest string, base_failed boolean, kept boolean"
 
 
-def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``id_col``, counts, distances from the nearest reference (null if not judged), its language,
     base_failed and kept."""
-    out = _judged(docs, refs, rules, (id_col,), text_col, lang_col)
+    out = _judged(docs, refs, rules, (id_col,), text_col)
     return out.select(F.col("__keep_0").alias(id_col), *(x.split()[0] for x in VERDICT.split(", ")))
 
 
-def good_rows(docs: DataFrame, refs: References, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def good_rows(docs: DataFrame, refs: References, rules: Rules = Rules(), text_col: str = "text") -> DataFrame:
     """The rows that are kept, with their columns as they were."""
-    out = _judged(docs, refs, rules, tuple(docs.columns), text_col, lang_col).where("kept")
+    out = _judged(docs, refs, rules, tuple(docs.columns), text_col).where("kept")
     return out.select(*[F.col(f"__keep_{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
-def _judged(docs: DataFrame, refs: References, rules: Rules, keep: tuple[str, ...], text_col: str, lang_col: str) -> DataFrame:
+def _judged(docs: DataFrame, refs: References, rules: Rules, keep: tuple[str, ...], text_col: str) -> DataFrame:
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(refs)
     names = [f"__keep_{k}" for k in range(len(keep))]
-    rows = docs.select(F.col(text_col).alias("__text"), F.col(lang_col).cast("string").alias("__lang"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    rows = docs.select(F.col(text_col).alias("__text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
     schema = ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names)), VERDICT])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +214,6 @@ def _judged(docs: DataFrame, refs: References, rules: Rules, keep: tuple[str, ..
             repeat = repeated_words(words)
             failed = (n_words < rules.min_words) | (100 * repeat > rules.max_repeat_percent * n_words)
             class_d, word_d, nearest = distances(refs, rules, texts, n_words)
-            unknown = np.array([g is not None and g not in refs.languages for g in b.column("__lang").to_pylist()], bool)
-            class_d[unknown] = word_d[unknown] = np.nan
             far = (np.nan_to_num(class_d, nan=0) > rules.max_class_distance) | (np.nan_to_num(word_d, nan=0) > rules.max_word_distance)
             as_float = lambda x: pa.array(x, pa.float64(), mask=np.isnan(x))
             cols = [b.column(x) for x in names]

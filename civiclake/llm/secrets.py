@@ -259,7 +259,9 @@ def _examples(texts: pa.Array, config: Config, seed: np.ndarray) -> list[tuple[l
             tags[lo:hi] = [B] + [I] * (hi - lo - 1)
             centres.append(lo)
         rng = np.random.default_rng(int(seed[i]) & 0xFFFFFFFF)
-        centres = centres[: config.max_places] + rng.integers(0, len(said), config.plain_places).tolist()
+        if len(centres) > config.max_places:  # any of them, not the first
+            centres = sorted(np.random.default_rng(int(seed[i]) & 0xFFFFFF).choice(centres, config.max_places, replace=False).tolist())
+        centres += rng.integers(0, len(said), config.plain_places).tolist()
         stretch = lambda w, t, c: (w, t, max(0, c - config.context), min(len(w), c + config.context + 1))
         found = [stretch(said, tags, c) for c in centres]
         for share, make, tag in ((config.made_up, made_up, B), (config.harmless, harmless, O)):

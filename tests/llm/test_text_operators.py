@@ -338,11 +338,34 @@ def test_quality_divergence(spark):
     clean = [(i, " ".join(invented(rng, 300)) + ".", "en") for i in range(60)]
     junk = [(100 + i, " ".join(w + "%%%$$$" for w in invented(rng, 200)), "en") for i in range(5)]
     other = [(200, " ".join(invented(rng, 300, "zu ch der sch ung ver keit")), "xx")]
+    other += [(201, other[0][1], None), (202, other[0][1], "en")]
+    junk += [(110 + 10 * k + i, text, label) for k, label in enumerate(("xx", None, "yy")) for i, (_, text, _) in enumerate(junk[:2])]
     short = [(300, "$$$ %%% " * 11, "en")]
     df = spark.createDataFrame(clean + junk + other + short, "doc_id long, text string, lang string")
     kept = {r.doc_id: r.kept for r in quality.judge(df, quality.fit(df)).collect()}
     assert all(kept[i] for i, *_ in clean) and not any(kept[i] for i, *_ in junk)
-    assert kept[200]  # its language has no reference, so no distance judges it
+    assert kept[200] == kept[201] == kept[202]  # the label takes no part in the verdict
+
+
+def test_quality_of_many_labels(spark):
+    """Counts by (language, word) equal a plain count, however many labels a batch has."""
+    rng = random.Random(9)
+    rows = [(f"l{i % 90}", " ".join(invented(rng, 30))) for i in range(300)] + [(None, "no label"), ("l1", None), ("l2", "")]
+    got = {(r.lang, r.word): r.n for r in quality.counts(spark.createDataFrame(rows, "lang string, text string")).collect()}
+    plain_counts = collections.Counter((g, w) for g, t in rows if g for w in words((t or "").lower()))
+    assert {k: n for k, n in got.items() if not k[1].startswith("\x00")} == {k: n for k, n in plain_counts.items() if n > 1}
+    assert {g: n for (g, w), n in got.items() if w == "\x00"} == {g: sum(n for (h, _), n in plain_counts.items() if h == g) for g in {g for g, _ in rows if g}}
+
+
+def test_a_recurring_row_does_not_fill_the_language_sample(spark):
+    rng = random.Random(10)
+    rows = [(i, " ".join(invented(rng, 40)), "a") for i in range(60)] + [(1000 + i, " ".join(invented(rng, 40, "zu ch der sch ung")), "b") for i in range(60)]
+    config = language.Config(per_language=20, landmarks=5)
+    sizes = []
+    for extra in ([], [rows[0]] * 3000, [(7, f"text {i} of one id", "a") for i in range(3000)], [(None, "null id", "b")] * 500):
+        model = language.train(spark.createDataFrame(rows + extra, "doc_id long, text string, lang string"), config)
+        sizes.append((model.languages, len(model.landmarks)))
+    assert sizes == [(["a", "b"], 10)] * 4
 
 
 def test_jensen_shannon():
