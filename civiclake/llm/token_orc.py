@@ -8,7 +8,7 @@ and min/max statistics on the document id.  A row carries its offset inside
 its file, so global offsets need only the totals of the files.
 
 Only the distinct space-separated pieces of a batch are encoded; a bounded
-per-worker cache keeps pieces seen before.  A space between two visible
+per-worker store keeps those seen before.  A space between two visible
 characters always starts a new pre-token, so this equals encoding the whole
 text; texts with other white space next to a space are cut only where that
 holds.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from civiclake.llm.common import chunks, encode_parts, plain, ragged, shuffle_partitions, prepare, text_key
 
-#: Pieces a worker remembers (some 200 bytes each); further ones are encoded again when they recur.
+#: Pieces a worker remembers (some 150 bytes each); with more it begins anew.
 CACHE_PIECES = 800_000
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, token_ids array<int>"
 #: Options of the ORC writer.
@@ -49,74 +49,121 @@ ORC_OPTIONS = {
 }
 #: A space between two visible characters.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Words that are encoded as one text; only time depends on it.
+JOINED = 128
+#: White space at an end of a piece (RE2's own class is ASCII only).
+_WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+ODD = f"^{_WHITE}|{_WHITE}$"
+
+
+def strings_of(values: pa.Array, index: np.ndarray) -> list[str]:
+    return values.take(pa.array(index)).to_numpy(zero_copy_only=False).tolist()
 
 
 class PieceEncoder:
-    """The tokenizers library behind a cache of space-separated pieces."""
+    """The tokenizers library behind a store of pieces and their ids.
+
+    Words that follow a space are encoded together, ``JOINED`` at a time; each
+    begins with the only token that holds its space, which tells them apart
+    (where the count of such tokens is another, they are encoded one by one).
+    Other pieces (a text's first, odd white space) are encoded as they are.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.cache: dict[str, bytes] = {}
-
-    def pieces(self, strings: list[str]) -> list[bytes]:
-        """Ids (int32, little-endian) of each string."""
-        known = [self.cache.get(s) for s in strings]
-        new = [i for i, k in enumerate(known) if k is None]
-        for i, e in zip(new, self.tokenizer.encode_batch_fast([strings[i] for i in new], add_special_tokens=False), strict=True):
-            known[i] = np.array(e.ids, "<i4").tobytes()
-            if len(self.cache) < CACHE_PIECES:
-                self.cache[strings[i]] = known[i]
-        return known
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.spaced: dict[str, int] = {}
+        self.exact: dict[str, int] = {}
+        self.ids = np.empty(1 << 16, np.int32)
+        self.ends = np.zeros(1 << 14, np.int64)  # piece k has ids[ends[k]:ends[k + 1]]
+        self.count = 0
+
+    def _append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        at = self.ends[self.count]
+        while at + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        while self.count + len(lengths) + 1 > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        self.ids[at : at + len(flat)] = flat
+        self.ends[self.count + 1 : self.count + 1 + len(lengths)] = at + np.cumsum(lengths)
+        self.count += len(lengths)
+
+    def _ids(self, strings: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def _one_by_one(self, strings: list[str]) -> None:
+        found = self._ids(strings)
+        self._append(np.array([i for x in found for i in x], np.int32), np.array([len(x) for x in found], np.int64))
+
+    def words(self, strings: list[str]) -> np.ndarray:
+        """Numbers of words that follow a space."""
+        known = self.spaced
+        new = [s for s in strings if s not in known]
+        groups = [new[i : i + JOINED] for i in range(0, len(new), JOINED)]
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
+            known.update(zip(group, range(self.count, self.count + len(group))))
+            flat = np.array(ids, np.int32)
+            first = np.flatnonzero(self.opens[flat])
+            if len(first) == len(group) and first[0] == 0:
+                self._append(flat, np.diff(np.append(first, len(flat))))
+            else:
+                self._one_by_one([" " + s for s in group])
+        return np.fromiter(map(known.__getitem__, strings), np.int64, len(strings))
+
+    def pieces(self, strings: list[str]) -> np.ndarray:
+        """Numbers of pieces that are encoded as they are."""
+        new = [s for s in dict.fromkeys(strings) if s not in self.exact]
+        self.exact.update(zip(new, range(self.count, self.count + len(new))))
+        if new:
+            self._one_by_one(new)
+        return np.fromiter(map(self.exact.__getitem__, strings), np.int64, len(strings))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one int32 array, and the offsets of each text."""
+        if self.count >= CACHE_PIECES:
+            self.forget()
         lists = pc.split_pattern(texts, " ")
         words = encode_parts(lists)
-        uniq = words.uniq.to_pylist()
+        codes, offsets = words.codes, words.offsets
         # a text is cut at every space only if each piece begins and ends with a visible character
-        odd = np.fromiter((s[0].isspace() or s[-1].isspace() for s in uniq), bool, len(uniq))
+        odd = pc.match_substring_regex(words.uniq, ODD).to_numpy(zero_copy_only=False).astype(bool)
         n_parts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        unsafe = (n_parts != np.diff(words.offsets)) & (n_parts > 1)
-        unsafe[words.rows[odd[words.codes]]] = True
-        first = np.zeros(len(words.codes), bool)
-        first[words.offsets[:-1][np.diff(words.offsets) > 0]] = True
-        keep = ~unsafe[words.rows]
-        # the first piece has no space before it: its own code
-        lead = sorted(set(words.codes[first & keep].tolist()))
-        at = {c: len(uniq) + i for i, c in enumerate(lead)}
-        strings = [" " + s for s in uniq] + [uniq[c] for c in lead]
-        codes = words.codes.copy()
-        codes[first & keep] = np.fromiter((at[c] for c in codes[first & keep].tolist()), np.int64, int((first & keep).sum()))
+        unsafe = (n_parts != np.diff(offsets)) & (n_parts > 1)
+        if odd.any():
+            unsafe[words.rows[odd[codes]]] = True
+        lead = offsets[:-1][~unsafe & (np.diff(offsets) > 0)]  # no space before it
+        follows = np.ones(len(codes), bool)
+        follows[lead] = False
         bad = np.flatnonzero(unsafe)
+        for row in bad.tolist():
+            follows[offsets[row] : offsets[row + 1]] = False
+        used = np.flatnonzero(np.bincount(codes[follows], minlength=len(words.uniq)))
+        of_code = np.zeros(len(words.uniq), np.int64)
+        of_code[used] = self.words(strings_of(words.uniq, used))
+        number = of_code[codes]
+        number[lead] = self.pieces(strings_of(words.uniq, codes[lead]))
         if len(bad):
-            codes, offsets, strings = self._recut(texts, bad, codes, words.offsets, strings)
-        else:
-            offsets = words.offsets
-        used = np.zeros(len(strings), bool)
-        used[codes] = True
-        each = [b""] * len(strings)
-        where = np.flatnonzero(used)
-        for i, ids in zip(where.tolist(), self.pieces([strings[i] for i in where.tolist()]), strict=True):
-            each[i] = ids
-        flat = np.frombuffer(b"".join(each), "<i4")
-        off = np.concatenate(([0], np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) // 4)))
-        ids, ends = ragged(flat, off, codes)
+            number, offsets = self._recut(texts, bad, number, offsets)
+        ids, ends = ragged(self.ids, self.ends, number)
         return ids, ends[offsets]
 
-    @staticmethod
-    def _recut(texts: pa.Array, bad: np.ndarray, codes: np.ndarray, offsets: np.ndarray, strings: list[str]):
+    def _recut(self, texts: pa.Array, bad: np.ndarray, number: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Replace the pieces of some texts by pieces cut at safe spaces only."""
-        number = {}
         own = {}
         for row in bad.tolist():
             parts = CUT.split(texts[row].as_py())
             parts = parts[:1] + [" " + p for p in parts[1:]]
-            own[row] = np.array([number.setdefault(p, len(strings) + len(number)) for p in parts if p], np.int64)
-        pieces = [own[i] if i in own else codes[a:z] for i, (a, z) in enumerate(zip(offsets[:-1], offsets[1:]))]
-        return np.concatenate(pieces), np.concatenate(([0], np.cumsum([len(p) for p in pieces]))), strings + list(number)
+            own[row] = self.pieces([p for p in parts if p])
+        rows = [own[i] if i in own else number[a:z] for i, (a, z) in enumerate(zip(offsets[:-1], offsets[1:]))]
+        return np.concatenate(rows), np.concatenate(([0], np.cumsum([len(r) for r in rows])))
 
 
 _LOADED: dict[int, PieceEncoder] = {}
