@@ -3,8 +3,8 @@
 Quality rules drop what they reject; of each group of near duplicates one
 document stays; documents that benchmark passages contaminate go; secrets
 are masked in the texts; the last stage encodes and decodes the texts and
-returns their digests.  Rows that no stage rejects keep all their columns
-(``n_chars`` follows a masked text).  SQL can express none but the benchmark
+returns their digests.  Rows that no stage rejects keep all their columns,
+whatever their names (``n_chars`` follows a masked text).  SQL can express none but the benchmark
 stage, so the pipeline has no oracle; tests hold it against brute force.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from civiclake.llm import bpe, decontam, jaccard, quality, secrets
 from civiclake.llm.common import table, text_key
 from civiclake.llm.queries import WORD_BPE, tokenizer_file
-from civiclake.session import materialize
+from civiclake.session import Scratch, materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,8 +40,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     bad = found.where(decontam.is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key")).distinct()
     # written, so Catalyst knows its size and need not shuffle the texts for a few rows
     bad = materialize(bad, "pipeline-contaminated")
-    met = (text_key("text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return docs.join(bad, met, "left_anti").select(*docs.columns)
+    # the rows' own columns are renamed meanwhile, whatever their names
+    names = [f"__keep_{k}" for k in range(len(docs.columns))]
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    met = (text_key(text) == F.col("__key")) & F.col(doc_id).eqNullSafe(F.col("__id"))
+    return docs.toDF(*names).join(bad, met, "left_anti").select(*names).toDF(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +70,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages from the documents table on; every stage's output is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages from the documents table on; every stage's output is written as Parquet and read again,
+    and removed once the next stage's is written."""
+    docs, before = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        own = Scratch(spark)
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", own)
+        before.clear()
+        before = own
     return docs
