@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -58,6 +59,18 @@ def test_stages(spark, table):
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, state["bpe"].collect()))
 
 
+def test_rows_keep_columns_of_any_name(spark, table):
+    folder, _ = table
+    names = ["__key", "__id", "__own", "__nth", "__once", "__mine", "k", "sig", "kept", "group_key", "__keep_0", "__text"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    wide = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce("doc_id", F.lit(-1)).cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, wide, folder)
+        assert got.columns == wide.columns
+        rows = got.collect()
+        assert rows and all(r[n] == f"{n} of {-1 if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names)
+
+
 def test_stages_on_an_empty_table(spark, table, tmp_path):
     folder = str(tmp_path)
     spark.read.parquet(f"{table[0]}/documents.parquet").limit(0).write.parquet(f"{folder}/documents.parquet")
