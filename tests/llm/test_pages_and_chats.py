@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 
@@ -95,6 +96,84 @@ def test_deep_and_broken_pages():
         text_of("".join(rng.choice(["<p>", "</p>", "<article>", "</article>", "<td", ">", "<li>", "&amp", "&#x;", "a ", "<!--", "-->", "<script>", "</script>", '"', "'", "<b class=ad>", "<!", "</"]) for _ in range(40)))
 
 
+def test_tag_soup():
+    """An unmatched quote ends at the next >, a quote before white space or > closes, a tag without > is text."""
+    assert text_of('<article><p title="x>Hello</p>') == "Hello"
+    assert text_of('<article><p title="x>Hello</p><p class="y">there</p>') == "Hello\n\nthere"
+    assert text_of("<article><p title='a>b' id=\"c\">it's \"so\"</p>") == "it's \"so\""
+    assert text_of("<article><p>a <b and c") == "a <b and c"
+
+
+def test_parse_takes_linear_time():
+    for source in ("<b>" * 50000 + "</i>" * 50000, "<li><ul>" + "<b>" * 50000 + "<li></li>" * 50000, '<a ="<b" ' * 50000, "<p>" + "<b>" * 50000 + "<tr>" * 50000):
+        begin = time.process_time()
+        html_text.parse(source)
+        assert time.process_time() - begin < 5  # a quadratic parse takes minutes
+
+
+NAMES = [
+    ('<p class="social-science">t</p>', "t"), ('<section id="related-work">t</section>', "t"), ('<div class="notice-period">t</div>', "t"), ('<p class="menu">t</p>', "t"),
+    ('<h2 class="section-header">t</h2>', "t"), ('<div class="section-header">t</div>', "t"), ('<div class="comment-list">t</div>', ""), ('<div id="comments">t</div>', ""),
+    ('<section class="relatedPosts">t</section>', ""), ('<p class="advert">t</p>', ""), ('<div id="cookie-banner-3">t</div>', ""), ('<div class="share">t</div>', ""), ('<article id="c1">t</article>', ""),
+]
+
+
+@pytest.mark.parametrize(("part", "text"), NAMES)
+def test_names_count_as_a_whole(part, text):
+    assert text_of(f"<article><h1>Own</h1>{part}</article>") == "\n\n".join(filter(None, ("Own", text)))
+
+
+def test_comment_articles_outside_a_marked_block_go():
+    assert text_of('<article><p>t</p></article><article id="c1"><p>first!</p></article><article id="comment-2"><p>no</p></article>') == "t"
+
+
+def test_recurring_subtrees_go_before_the_content_is_chosen(spark):
+    """A teaser article, and a block named like content, that stand on a host's pages are not its content."""
+    teaser = "<article><h2>Read this too</h2><p>Best of the year.</p></article>"
+    named = '<div class="content"><p>About this site.</p></div>'
+    bodies = {f"teaser{i}": f"<div>{teaser}</div><article><p>Own {i}.</p></article>" for i in range(12)}
+    bodies |= {f"named{i}": f'{named}<div class="entry"><p>Own {i}.</p></div>' for i in range(12)}
+    # articles that few pages share, and an article that all pages copy, are content
+    bodies |= {f"few{i}": f"{teaser if i < 4 else ''}<article><p>Own {i}.</p></article>" for i in range(12)}
+    bodies |= {f"same{i}": f"<p>Page {i}</p>{teaser}" for i in range(12)}
+    df = spark.createDataFrame([(k, f"http://{re.sub(r'[0-9]', '', k)}.example/", f"<body>{b}</body>") for k, b in bodies.items()], "page_id string, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    read = "Read this too\n\nBest of the year."
+    for k, text in got.items():
+        i = int(re.sub(r"\D", "", k))
+        assert text == (read if k.startswith("same") else f"{read}\n\nOwn {i}." if k.startswith("few") and i < 4 else f"Own {i}."), k
+
+
+def test_counts_and_deletions_against_brute_force(spark):
+    """On how many distinct pages each subtree is, by comparing the subtrees' texts themselves."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        menu = "<ul>" + "".join(f"<li>{rng.choice('ab')}</li>" for _ in range(2)) + "</ul>"
+        parts = [f"<p>own {i}</p>"] + rng.choices(["<div>boxed</div>", "<p>common</p>", "<section><p>deep</p></section>"], k=2)
+        rows.append((i, f"http://h{i % 2}.example", f"<body>{menu}<article>{''.join(parts)}</article><div>fine <b>print</b></div></body>"))
+    rows += rows[:7]  # copies count once
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen: dict = {}
+    for host in ("h0", "h1"):
+        for _, _, source in sorted({(0, u, h) for _, u, h in rows if host in u}):
+            for part in {m[0] for m in re.finditer(r"<(ul|div|section)>.*?</\1>", source)} | set(re.findall("<li>.</li>|<b>print</b>|<p>common</p>|<p>deep</p>", source)):
+                seen.setdefault((f"{host}.example", part), set()).add(source)
+    counts = {(r.host, r.mark): r.n for r in html_text.subtree_counts(df.select(html_text.host_of(df.url).alias("host"), "html")).collect()}
+    for (host, part), sources in seen.items():
+        page = html_text.analysed(part)
+        kind = html_text.OUTSIDE if part.startswith(("<ul", "<li", "<b", "<div>fine")) else html_text.ARTICLE_PARAGRAPH if part.startswith("<p") else html_text.CONTAINER
+        assert counts[host, html_text.marked_hash(int(html_text.subtree_hashes(page)[1]), kind)] == len(sources), part
+    assert counts["h0.example", None] == 60
+    gone = {(h, p) for (h, p), s in seen.items() if len(s) >= 30 and p in ("<div>boxed</div>", "<section><p>deep</p></section>")}
+    for r in html_text.extract(df).collect():
+        left = next(h for i, _, h in rows if i == r.page_id)
+        for host, part in gone:
+            if f"h{r.page_id % 2}.example" == host:
+                left = left.replace(part, "")
+        assert r.text == text_of(left)
+
+
 def test_site_templates(spark):
     common = "<p>Released under the MIT License.</p>"
     promo = "<div><p>Get our app today</p></div>"
