@@ -21,7 +21,10 @@ lower case).  Two sets link when their Jaccard similarity is at least
    fewest tokens before it), which joins large groups of copies without
    their pairs; after that, all pairs that are not yet in one component.
 4. Parity sketches give a lower bound of the symmetric difference; pairs
-   that survive it are verified on the shingles of their whole texts.
+   that survive it are verified on the shingles of their whole texts.  A hub
+   with more than ``HOT_PAIRS`` pairs meets them in parts, each in a task of
+   its own with one copy of the hub's text, so its text is not shuffled with
+   the pairs and no task holds all of them.
 
 No bucket, candidate list or partner list has a cap.  Null and empty texts,
 and texts without words, have the empty set and link with nothing; shorter
@@ -53,6 +56,8 @@ GROUPS = 4
 FREQUENT_CLASS = 64
 #: Text bytes that one numpy step works on: shingle arrays take some thirty times that.
 STEP_BYTES = 2 << 20
+#: Pairs of one set that meet its row in one task; a set with more has its row once for each part of them.
+HOT_PAIRS = 256
 
 
 def allowance(n, percent: int):
@@ -245,7 +250,7 @@ class SetTable:
     joins on it shuffle only their other side."""
 
     def __init__(self, docs: DataFrame, wanted: DataFrame, width: int, scratch: Scratch):
-        self.spark, self.width = docs.sparkSession, width
+        self.spark, self.width, self.scratch = docs.sparkSession, width, scratch
         self.name = f"near_sets_{uuid.uuid4().hex}"
         parts = shuffle_partitions(self.spark)
         found = self._sets(docs).join(wanted.select("sig").distinct(), "sig", "left_semi").dropDuplicates(["sig"])
@@ -280,7 +285,7 @@ class SetTable:
                 total = b.column("nx").to_numpy().astype(np.int64) + b.column("ny").to_numpy()
                 apart = np.array([sketch_difference(p, q) for p, q in zip(b.column("sx").to_pylist(), b.column("sy").to_pylist())], np.int64)
                 # overlap = (total - difference) / 2
-                yield b.filter(pa.array((100 + percent) * (total - apart) >= 2 * percent * total)).select(["x", "y"])
+                yield b.filter(pa.array((100 + percent) * (total - apart) >= 2 * percent * total)).select(["x", "y", "xparts", "yparts"])
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in chunks(chunks(batches, "tx", STEP_BYTES), "ty", STEP_BYTES):
@@ -296,12 +301,44 @@ class SetTable:
                 union = np.bincount(rows, minlength=b.num_rows) - common
                 yield b.filter(pa.array(100 * common >= percent * union)).select(["x", "y"])
 
-        def with_sides(p: DataFrame, *cols: str) -> DataFrame:
-            side = lambda s: self.table.select(F.col("sig").alias(s), *[F.col(c).alias(c[0] + s) for c in cols])
-            return p.join(side("x"), "x").join(side("y"), "y")
+        ends = pairs.select(F.col("x").alias("sig")).unionByName(pairs.select(F.col("y").alias("sig")))
+        busy = ends.groupBy("sig").agg(F.ceil(F.count("*") / HOT_PAIRS).cast("int").alias("parts")).where("parts > 1")
+        # at most one hub for HOT_PAIRS / 2 pairs; written, so Catalyst broadcasts it only if it is small
+        busy = materialize(busy, "near-busy", self.scratch)
+        if busy.isEmpty():
+            hubs, dealt = None, pairs.select("x", "y", F.lit(1).alias("xparts"), F.lit(1).alias("yparts"))
+        else:
+            hubs = materialize(self.table.join(busy, "sig"), "near-hubs", self.scratch)
+            dealt = pairs
+            for s in ("x", "y"):
+                dealt = dealt.join(busy.select(F.col("sig").alias(s), F.col("parts").alias(f"{s}parts")), s, "left")
+            dealt = dealt.select("x", "y", F.coalesce("xparts", F.lit(1)).alias("xparts"), F.coalesce("yparts", F.lit(1)).alias("yparts"))
+            # the busier end is y, met last: its text is not shuffled with its pairs
+            turn = lambda a, b: F.when(F.col("xparts") > F.col("yparts"), F.col(b)).otherwise(F.col(a))
+            dealt = dealt.select(turn("x", "y").alias("x"), turn("y", "x").alias("y"), turn("xparts", "yparts").alias("xparts"), turn("yparts", "xparts").alias("yparts"))
+            dealt = materialize(dealt, "near-dealt", self.scratch)
+
+        def side(p: DataFrame, s: str, other: str, hot: bool, cols: tuple[str, ...]) -> DataFrame:
+            named = [F.col("sig").alias(s), *[F.col(c).alias(c[0] + s) for c in cols]]
+            if not hot:
+                return p.join(self.table.select(*named), s)
+            # a hub's row once for each part of its pairs
+            rows = hubs.select(*named, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+            return p.withColumn("part", F.pmod(F.xxhash64(other), F.col(f"{s}parts")).cast("int")).join(rows, [s, "part"]).drop("part")
 
-        close = with_sides(pairs, "n", "sketch").mapInArrow(near, "x long, y long")
-        return with_sides(close, "text").select("x", "y", "tx", "ty").mapInArrow(exact, "x long, y long")
+        def with_sides(p: DataFrame, *cols: str) -> DataFrame:
+            kinds = [(False, False)] if hubs is None else [(False, False), (False, True), (True, True)]
+            out = None
+            for hot_x, hot_y in kinds:
+                mine = p.where(((F.col("xparts") > 1) == F.lit(hot_x)) & ((F.col("yparts") > 1) == F.lit(hot_y)))
+                met = side(side(mine, "x", "y", hot_x, cols), "y", "x", hot_y, cols)
+                met = met.select("x", "y", "xparts", "yparts", *[c[0] + s for c in cols for s in ("x", "y")])
+                out = met if out is None else out.unionByName(met)
+            return out
+
+        close = materialize(with_sides(dealt, "n", "sketch").mapInArrow(near, "x long, y long, xparts int, yparts int"), "near-close", self.scratch)
+        found = with_sides(close, "text").select("x", "y", "tx", "ty").mapInArrow(exact, "x long, y long")
+        return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

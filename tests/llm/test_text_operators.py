@@ -230,6 +230,55 @@ def test_near_duplicates(docs, texts, monkeypatch, frequent, percent):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == expected_groups(texts, percent)
 
 
+def near_copies(n, seed):
+    """A third of the texts are near copies of one; the others share a common passage."""
+    rng = random.Random(seed)
+    base, common = [[rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(120)] for _ in range(2)]
+    out = []
+    for i in range(n):
+        if i % 3:
+            t = [f"w{i}x{k}" for k in range(rng.randint(5, 60))] + common[:30]
+        else:
+            t = list(base)
+            for _ in range(rng.randint(0, 2)):
+                t[rng.randrange(120)] = f"n{rng.randint(0, 40)}"
+        out.append((i, " ".join(t)))
+    return out
+
+
+@pytest.mark.parametrize("least", [2, 256])
+def test_hub_of_a_third_of_the_sets(spark, monkeypatch, least):
+    """A hub's pairs meet it in parts; a passage of all other texts links none of them by itself."""
+    monkeypatch.setattr(jaccard, "HOT_PAIRS", least)
+    labels, real = [], jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label="stage", scratch=None: (labels.append(label), real(df, label, scratch))[1])
+    rows = near_copies(150, 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert rows_of(jaccard.near_duplicates(df), "doc_id", "n_shingles", "component_id") == expected_groups(rows)
+    assert ("near-hubs" in labels) == (least == 2)
+
+
+def test_verified_pairs_of_hubs(spark, monkeypatch):
+    """Pairs with no, one and two hubs, against brute force."""
+    monkeypatch.setattr(jaccard, "HOT_PAIRS", 4)
+    rows = near_copies(60, 9)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sig = {r.doc_id: r.b for r in jaccard.measure(df.withColumn("doc_key", jaccard.text_key("text")).select("doc_id", "doc_key", "text"), 5).where("kind = 0").collect()}
+    sets = {sig[i]: s for (i, _), s in zip(rows, sets_of(rows))}
+    among = [(a, b) for a in range(60) for b in range(a) if b in (0, 3, 6) or (a, b) in ((15, 12), (21, 18), (24, 22))]
+    pairs = sorted({(min(sig[a], sig[b]), max(sig[a], sig[b])) for a, b in among if sig[a] != sig[b]})
+    given = spark.createDataFrame(pairs, "x long, y long")
+    scratch = jaccard.Scratch(spark)
+    table = jaccard.SetTable(df, given.selectExpr("x sig").union(given.selectExpr("y sig")), 5, scratch)
+    try:
+        got = table.verified(given, 75).collect()
+        assert sorted(map(tuple, got)) == [(x, y) for x, y in pairs if 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])]
+        assert 20 < len(got) < len(pairs)
+    finally:
+        table.drop()
+        scratch.clear()
+
+
 def test_one_of_each_group_stays(docs, texts, empty):
     found = jaccard.near_duplicates(docs)
     kept = jaccard.one_of_each(docs, found)
