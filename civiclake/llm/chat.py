@@ -12,7 +12,8 @@ first character, backslashes doubled, and line feeds of a role escaped.
 So a turn's marks occur only where a turn begins or ends, and unescaping
 gives every text back.  The loss mask lists the assistants' text spans.
 
-A null role or text is empty.  Rows of one turn number are ordered by role
+A null role or text is empty.  A conversation whose array of messages is null
+or empty stays, as the empty text.  Rows of one turn number are ordered by role
 and text; repeated rows are turns of their own; a null conversation id is a
 conversation.  An empty table gives an empty result, and other columns are
 not read unless the layout names them.  A conversation becomes one string, so
@@ -96,13 +97,13 @@ def layout_of(schema: StructType) -> Layout:
 
 
 def canonical_turns(df: DataFrame, layout: Layout | None = None) -> DataFrame:
-    """conv_id, turn, role, text of any known layout."""
+    """conv_id, turn, role, text of any known layout; a conversation without messages has one row, its role null."""
     layout = layout or layout_of(df.schema)
     names = dict(layout.columns)
     if layout.kind == "rows":
         out = df.select(F.col(layout.conv).alias("conv_id"), F.col(names["turn"]).cast("long").alias("turn"), F.col(names["role"]).alias("role"), F.col(names["text"]).alias("text"))
     elif layout.kind == "messages":
-        each = df.select(F.col(layout.conv).alias("conv_id"), F.posexplode(layout.messages).alias("turn", "m"))
+        each = df.select(F.col(layout.conv).alias("conv_id"), F.posexplode_outer(layout.messages).alias("turn", "m"))
         out = each.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("m")[names["role"]].alias("role"), F.col("m")[names["text"]].alias("text"))
     else:
         turns = [F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"), F.col(c).cast("string").alias("text"), F.lit(c in layout.optional).alias("optional")) for i, (role, c) in enumerate(layout.columns)]
@@ -111,7 +112,10 @@ def canonical_turns(df: DataFrame, layout: Layout | None = None) -> DataFrame:
     role = F.col("role").cast("string")
     for name, canonical in layout.roles:
         role = F.when(F.col("role") == name, F.lit(canonical)).otherwise(role)
-    return out.select("conv_id", "turn", F.coalesce(role, F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    role, text = F.coalesce(role, F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    if layout.kind == "messages":  # posexplode_outer gives no place where there is no message
+        role, text = F.when(F.col("turn").isNotNull(), role), F.when(F.col("turn").isNotNull(), text)
+    return out.select("conv_id", "turn", role.alias("role"), text.alias("text"))
 
 
 def escape(text: Column) -> Column:
@@ -128,7 +132,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """conv_id, formatted (the rendered conversation) and loss_mask (array of start, end in
     characters of formatted, end exclusive: the escaped text of each assistant turn)."""
     head = F.concat(F.lit(TURN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\\n")), F.lit("\n"))
-    each = turns.select("conv_id", F.struct("turn", "role", "text", head.alias("head"), escape(F.col("text")).alias("body")).alias("t"))
+    turn = F.struct("turn", "role", "text", head.alias("head"), escape(F.col("text")).alias("body"))
+    each = turns.select("conv_id", F.when(F.col("role").isNotNull(), turn).alias("t"))
     convs = each.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
     formatted = F.concat_ws("", F.transform("t", lambda t: F.concat(t["head"], t["body"], F.lit(END))))
     # character positions by a running sum over the turns

@@ -78,7 +78,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(probe).alias("text"))
-    read = chat.read_chats(chat.format_chats(chat.canonical_turns(given.select("conv_id", "turn", "role", "text").unionByName(extra))))
+    read = chat.read_chats(chat.format_chats(chat.canonical_turns(given.unionByName(extra, allowMissingColumns=True))))
     loss = F.concat_ws("", "loss_texts")
     turns = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
     return read.select(

@@ -55,6 +55,16 @@ def test_layouts(spark, schema, row, turns):
     assert [(r.role, r.text) for r in df.orderBy("turn").collect()] == turns
 
 
+def test_conversations_without_messages_stay(spark):
+    """Null, empty, one null message, one of nulls: only the last two have a turn."""
+    rows = [(1, None), (2, []), (3, [None]), (4, [(None, None)]), (None, []), (5, [("user", "q"), ("assistant", "a")])]
+    df = spark.createDataFrame(rows, "id long, messages array<struct<role:string,content:string>>")
+    formatted = chat.format_chats(chat.canonical_turns(df))
+    got = {r.conv_id: ([(t.role, t.text) for t in r.turns], list(r.loss_texts), r.formatted == "") for r in chat.read_chats(formatted).collect()}
+    none, blank = ([], [], True), ([("", "")], [], False)
+    assert got == {1: none, 2: none, 3: blank, 4: blank, None: none, 5: ([("user", "q"), ("assistant", "a")], ["a"], False)}
+
+
 def test_unknown_layout(spark):
     with pytest.raises(ValueError, match="no layout"):
         chat.canonical_turns(spark.createDataFrame([(1, "x")], "id long, body string"))
