@@ -11,8 +11,9 @@ window gives the only possible span (positional bound), which must fit into
 the document (length bound) and equal the window word by word.
 
 Nothing but confirmed hits and one row a document is shuffled.  The anchors
-are broadcast in blocks of ``BLOCK_WINDOWS`` windows; a larger benchmark
-takes more scans, not a larger broadcast.
+are broadcast in blocks of ``BLOCK_WINDOWS`` windows, each with its number
+only; a larger benchmark takes more scans, not a larger broadcast.  The items
+of a window are joined to the documents that have it.
 
 Null and empty texts have no words.  Items with null or empty text, or no
 words, have no window; items of equal text or repeated ids are each counted
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from civiclake.llm.common import text_key
 from civiclake.session import materialize
 
-#: Windows in one broadcast: 13 words and a few ids each, some 20 MB.
+#: Windows in one broadcast: 13 words and a number each, some 20 MB.
 BLOCK_WINDOWS = 50_000
 #: Not a word; one stands after the words of each document and carries its count through the join.
 END = "\x00"
@@ -44,28 +45,27 @@ def words_of(text: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """words (array), items (array of ids as strings): the distinct windows."""
+    """words (array), item (id as string): the distinct windows of each item."""
     w = items.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     starts = F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0))))
-    cut = w.select("item", "w", starts.alias("at")).select("item", F.expr(f"slice(w, at + 1, {window})").alias("words"))
-    return cut.groupBy("words").agg(F.collect_set("item").alias("items"))
+    return w.select("item", "w", starts.alias("at")).select(F.expr(f"slice(w, at + 1, {window})").alias("words"), "item").distinct()
 
 
 def anchors(windows: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """The windows with anchor (their rarest word in the documents), its place ``off``, and a number."""
+    """The windows (window_id, words) with anchor, their rarest word in the documents, and its place ``off``."""
     vocabulary = materialize(windows.select(F.explode("words").alias("word")).distinct(), "decontam-words")
     said = docs.select(F.explode(words_of(F.col(text_col))).alias("word"))
     # the vocabulary is a benchmark's: Catalyst broadcasts it by its measured size, or else shuffles
     freq = materialize(said.join(vocabulary, "word", "left_semi").groupBy("word").agg(F.count("*").alias("freq")), "decontam-freq")
-    each = windows.withColumn("window_id", F.monotonically_increasing_id()).select("window_id", "words", "items", F.posexplode("words").alias("off", "word"))
-    rated = each.join(freq, "word", "left").groupBy("window_id", "words", "items").agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "word", "off")).alias("rarest"))
-    return rated.select("words", "items", F.col("rarest.word").alias("anchor"), F.col("rarest.off").alias("off"))
+    each = windows.select("window_id", "words", F.posexplode("words").alias("off", "word"))
+    rated = each.join(freq, "word", "left").groupBy("window_id", "words").agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "word", "off")).alias("rarest"))
+    return rated.select("window_id", "words", F.col("rarest.word").alias("anchor"), F.col("rarest.off").alias("off"))
 
 
 def hits(docs: DataFrame, block: DataFrame, first: bool) -> DataFrame:
-    """doc_id, doc_key, n_words, start, len, items: confirmed windows; with ``first`` also a
+    """doc_id, doc_key, n_words, start, len, window_id: confirmed windows; with ``first`` also a
     row without a span for each document."""
-    by_anchor = block.groupBy("anchor").agg(F.collect_list(F.struct("words", "items", "off")).alias("windows"))
+    by_anchor = block.groupBy("anchor").agg(F.collect_list(F.struct("words", "window_id", "off")).alias("windows"))
     if first:
         mark = docs.sparkSession.range(1).select(F.lit(END).alias("anchor"), F.lit(None).cast(by_anchor.schema["windows"].dataType).alias("windows"))
         by_anchor = by_anchor.unionByName(mark)
@@ -78,12 +78,15 @@ def hits(docs: DataFrame, block: DataFrame, first: bool) -> DataFrame:
     fits = (start >= 0) & (start + F.size("x.words") <= F.size("w"))
     # slice() is evaluated only where the span fits
     equal = F.when(fits, F.slice("w", start + 1, F.size("x.words")) == F.col("x.words")).otherwise(False)
-    return met.where((F.col("anchor") == END) | equal).select("doc_id", "doc_key", F.size("w").alias("n_words"), start.alias("start"), F.size("x.words").alias("len"), F.col("x.items").alias("items"))
+    return met.where((F.col("anchor") == END) | equal).select("doc_id", "doc_key", F.size("w").alias("n_words"), start.alias("start"), F.size("x.words").alias("len"), F.col("x.window_id").alias("window_id"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``id_col``, doc_key, n_words, n_hit (words inside a window's occurrence), items (sorted ids)."""
-    windows = materialize(anchors(benchmark_windows(benchmark, window), docs, text_col), "decontam-windows")
+    pairs = materialize(benchmark_windows(benchmark, window), "decontam-pairs")
+    # written, so that the numbers are the same wherever they are read
+    numbered = materialize(pairs.select("words").distinct().withColumn("window_id", F.monotonically_increasing_id()), "decontam-numbered")
+    windows = materialize(anchors(numbered, docs, text_col), "decontam-windows")
     n = windows.count()
     blocks = max(1, -(-n // BLOCK_WINDOWS))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("doc_key"), words_of(F.col(text_col)).alias("w"))
@@ -98,13 +101,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_co
     spans = found.groupBy("doc_id", "doc_key").agg(
         F.max("n_words").alias("n_words"), F.sum(F.col("start").isNull().cast("int")).alias("copies"),
         F.sort_array(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "len")))).alias("spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.collect_set("window_id").alias("windows"),
     )
     # spans in order: each adds what lies beyond the furthest end so far
     step = "named_struct('n', a.n + greatest(0, s.start + s.len - greatest(a.upto, s.start)), 'upto', greatest(a.upto, s.start + s.len))"
     n_hit = F.expr(f"aggregate(spans, named_struct('n', 0, 'upto', 0), (a, s) -> {step}, a -> cast(a.n as long))")
-    out = spans.withColumn("n_hit", n_hit).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return out.select(F.col("doc_id").alias(id_col), "doc_key", F.col("n_words").cast("long").alias("n_words"), "n_hit", "items")
+    spans = materialize(spans.select("doc_id", "doc_key", "n_words", "copies", n_hit.alias("n_hit"), "windows"), "decontam-spans")
+    # items are met by the windows' numbers, so a window of many items costs no more in the broadcast;
+    # only documents with hits take part
+    said = spans.select("doc_id", "doc_key", F.explode("windows").alias("window_id"))
+    of_window = pairs.where("item is not null").join(numbered, "words").select("window_id", "item")
+    named = said.join(of_window, "window_id").groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    named = materialize(named.select(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__key"), "items"), "decontam-named")
+    met = (F.col("doc_key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    out = spans.join(named, met, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select(F.col("doc_id").alias(id_col), "doc_key", F.col("n_words").cast("long").alias("n_words"), "n_hit", items.alias("items"))
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
