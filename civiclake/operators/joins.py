@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclake.session import Scratch, materialize
+
 
 def lookup_join(
     left: DataFrame,
@@ -40,3 +42,22 @@ def lookup_join(
     r = right.select(*[F.col(k).alias(t) for k, t in zip(rk, tmp)], *[F.col(s).alias(d) for s, d in out.items()])
     cond = [left[lk_] == r[t] for lk_, t in zip(lk, tmp)]
     return left.join(r, cond, how).drop(*tmp)
+
+
+def dimension_lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    left_on: str | Sequence[str],
+    right_on: str | Sequence[str] | None = None,
+    columns: Sequence[str] | Mapping[str, str] = (),
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """Labels of a dimension that has just been derived, by its key.
+
+    Catalyst takes a ``distinct`` for as large as its input, so it would
+    shuffle the fact on a key of a few, skewed values.  The dimension is
+    therefore written once: a small one is broadcast by the size of its
+    files, a large one is shuffle-joined.  Facts without a member keep NULL.
+    ``scratch`` owns the written dimension.
+    """
+    return lookup_join(fact, materialize(dim, "dimension", scratch), left_on, right_on, columns)

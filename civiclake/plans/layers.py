@@ -41,12 +41,12 @@ STATUS = StructType([
 
 
 def run_layer(spark: SparkSession, layer: str, tables: Mapping[str, Callable[[], DataFrame]], out_dir: str,
-              partitions: Mapping[str, tuple[str, ...]] | None = None, isolate_errors: bool = False, run: str = "") -> list[tuple]:
+              partitions: Mapping[str, tuple[str, ...]] | None = None, isolate_errors: bool = False, run: str = "", rebalance: bool = False) -> list[tuple]:
     """Publish every table of a layer; returns status rows."""
     rows = []
     for name, build in tables.items():
         try:
-            n = publish(build(), os.path.join(out_dir, layer, name), (partitions or {}).get(name, ()), run=run).total
+            n = publish(build(), os.path.join(out_dir, layer, name), (partitions or {}).get(name, ()), run=run, rebalance=rebalance).total
             rows.append((layer, name, "ok", n, None))
         except Exception as e:  # noqa: BLE001 - reported in the status frame
             rows.append((layer, name, "falha", None, f"{type(e).__name__}: {e}"))
@@ -159,7 +159,8 @@ def analyze_all(spark: SparkSession, out_dir: str, as_of: str | None = None) ->
     at = lambda name: os.path.join(out_dir, "gold", name)
     tables = {f"b_{k}": v for k, v in gold.tables_b(sv, lambda name: at(f"b_{name}")).items()} | {f"a_{k}": v for k, v in gold.tables_a(sv).items()}
     tables |= {k: v for k, v in gold.lifecycles(_read_bronze(spark, out_dir)).items()}
-    rows = run_layer(spark, "gold", tables, out_dir, gold.PARTITIONS, run=run)
+    # reports come sorted, their tables need not be
+    rows = run_layer(spark, "gold", tables, out_dir, gold.PARTITIONS, run=run, rebalance=True)
 
     def feed() -> DataFrame:
         found = read_published(spark, at("b_anomalias_despesas"))

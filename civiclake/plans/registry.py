@@ -191,9 +191,9 @@ def q_alignment_front(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_supplier_ranking_key(spark: SparkSession, d: str) -> DataFrame:
     """Ranking by deterministic supplier key with a label lookup."""
-    exp = roles.expenses(spark, d)
-    dim = extract_dim(exp, "nomeFornecedor", "nome_fornecedor", "id_fornecedor")
-    return reports.supplier_ranking_by_key(exp, dim, 10)
+    # every supplier's label, so the ranking alone reads the expenses
+    dim = extract_dim(roles.fronts(spark, d), "titulo", "nome_fornecedor", "id_fornecedor")
+    return reports.supplier_ranking_by_key(roles.expenses(spark, d), dim, 10)
 
 
 @register(
@@ -356,7 +356,7 @@ from civiclake.functions import clean as clean_fn  # noqa: E402
 from civiclake.functions import dates as date_fn  # noqa: E402
 from civiclake.functions.keys import surrogate_key  # noqa: E402
 from civiclake.operators import dedup, quality, scd2  # noqa: E402
-from civiclake.operators.joins import lookup_join  # noqa: E402
+from civiclake.operators.joins import dimension_lookup, lookup_join  # noqa: E402
 
 LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
            "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -416,11 +416,11 @@ def q_extract_dim(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_star_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Fact keys resolve in both dimensions (labels attached by key)."""
-    exp = roles.expenses(spark, d)
-    dc = extract_dim(exp, "tipoDespesa", "categoria", "id_categoria")
-    df_ = extract_dim(exp, "nomeFornecedor", "nome_fornecedor", "id_fornecedor")
-    x = lookup_join(exp, dc, "id_categoria", "id_categoria", ["categoria"])
-    x = lookup_join(x, df_, "id_fornecedor", "id_fornecedor", ["nome_fornecedor"])
+    # all types and suppliers, so the expenses are read once
+    dc = extract_dim(roles.table(spark, d, "part"), "p_type", "categoria", "id_categoria")
+    df_ = extract_dim(roles.fronts(spark, d), "titulo", "nome_fornecedor", "id_fornecedor")
+    x = dimension_lookup(roles.expenses(spark, d), dc, "id_categoria", columns=["categoria"])
+    x = dimension_lookup(x, df_, "id_fornecedor", columns=["nome_fornecedor"])
     return x.select("idDeputado", "data_documento", "valor_liquido", "id_categoria", "categoria", "id_fornecedor", "nome_fornecedor")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from civiclake.sinks.writers import _observed_rows
+from civiclake.sinks.writers import _observed_rows, arranged
 
 NEW, RECORD, VERSIONS = "_novo", "_publicacao.json", "_versoes"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
@@ -153,9 +153,11 @@ def _settle(folder: Folder, version: Version) -> None:
     folder.delete(f"{NEW}/{version.id}")
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), parts: Iterable[str] | None = None, run: str = "") -> Version:
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), parts: Iterable[str] | None = None, run: str = "",
+            rebalance: bool = False) -> Version:
     """Publish ``df`` as the table at ``path``, or as its partitions ``parts`` (folder names of the
-    first partition column; those without rows go, others stay as they are)."""
+    first partition column; those without rows go, others stay as they are).  ``rebalance`` as in
+    :func:`civiclake.sinks.writers.arranged`."""
     spark = df.sparkSession
     recover(spark, path)
     folder = Folder(spark, path)
@@ -163,8 +165,7 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), parts: I
     new = Version(before.number + 1 if before else 1, uuid.uuid4().hex, run, schema=df.schema.json())
     staged = f"{path.rstrip('/')}/{NEW}/{new.id}"
     obs = Observation("rows")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out = out.hint("rebalance", *partition_by) if partition_by else out
+    out = arranged(df, partition_by, rebalance).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.partitionBy(*partition_by) if partition_by else out.write
     writer.mode("errorifexists").parquet(staged)
     new.move = folder.visible(f"{NEW}/{new.id}")

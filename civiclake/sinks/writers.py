@@ -16,11 +16,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def arranged(df: DataFrame, partition_by: Sequence[str] = (), rebalance: bool = False) -> DataFrame:
+    """``df`` dealt for a write: by its partition columns, or with ``rebalance`` into files of even size.
+
+    A table has no order, so the sort of a report is not worth its sampling and
+    range shuffle there; Catalyst drops a sort directly below the hint (one
+    that a limit needs stays).  Rows are observed above it, so nothing stands between.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by or rebalance else df
+
+
 def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, replace: str):
     if replace not in ("table", "partitions"):
         raise ValueError(f"replace must be 'table' or 'partitions', not {replace!r}")
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
@@ -28,19 +36,19 @@ def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, replace: str)
 
 
 def write_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite",
-               replace: str = "table") -> int:
+               replace: str = "table", rebalance: bool = False) -> int:
     """Overwrite a path (schema replaced); returns rows written."""
     obs = Observation("rows")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = arranged(df, partition_by, rebalance).observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(observed, partition_by, mode, replace).format(fmt).save(path)
     return _observed_rows(obs, df)
 
 
 def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite",
-               replace: str = "table") -> int:
+               replace: str = "table", rebalance: bool = False) -> int:
     """Overwrite a catalog table; returns rows written."""
     obs = Observation("rows")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = arranged(df, partition_by, rebalance).observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(observed, partition_by, mode, replace).format(fmt).saveAsTable(name)
     return _observed_rows(obs, df)
 

@@ -6,7 +6,12 @@ import datetime as dt
 
 import pytest
 
+from civiclake.functions.clean import clean_text
+from civiclake.functions.keys import surrogate_key
 from civiclake.operators import alignment, diversity, engagement, reports, stats
+from civiclake.operators.dims import extract_dim
+from civiclake.operators.joins import dimension_lookup
+from civiclake.session import Scratch
 
 
 def test_diversity_fixture(spark):
@@ -120,6 +125,28 @@ def test_top_n_ties_break_on_key(spark):
     assert [r["k"] for r in reports.top_n(df, "m", ["k"], 2).collect()] == ["a", "b"]
 
 
+def test_dimension_lookup_reads_a_derived_dimension_once_by_its_size(spark):
+    names = ["hot"] * 300 + ["rare", " hot ", None, "", "unlisted"]
+    fact = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, nome string").withColumn("chave", surrogate_key(clean_text("nome")))
+    dim = extract_dim(fact.where("nome is distinct from 'unlisted'"), "nome", "rotulo", "chave")
+    scratch = Scratch(spark)
+    got = dimension_lookup(fact, dim, "chave", columns=["rotulo"], scratch=scratch)
+    assert got.columns == ["id", "nome", "chave", "rotulo"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "HashAggregate" not in plan
+    labels = [r["rotulo"] for r in got.orderBy("id").collect()]
+    assert labels == ["hot"] * 300 + ["rare", "hot", None, None, None]
+    # beyond the limit the same rows come by a shuffle join
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [r["rotulo"] for r in dimension_lookup(fact, dim, "chave", columns=["rotulo"], scratch=scratch).orderBy("id").collect()] == labels
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert dimension_lookup(fact, dim.limit(0), "chave", columns=["rotulo"], scratch=scratch).where("rotulo is not null").isEmpty()
+    scratch.clear()
+
+
 def test_spend_by_state_null_state_group(spark):
     exp = spark.createDataFrame([(1, 10.0), (2, 5.0), (3, 1.0)], "idDeputado long, valor_liquido double")
     deps = spark.createDataFrame([(1, "SP"), (2, None)], "id long, sigla_uf string")

@@ -29,6 +29,32 @@ def test_query_matches_oracle(results, name):
         assert r["match"], r
 
 
+#: Sort of the reports whose order is part of the result: columns, "-" for descending.
+ORDERS = {
+    "spend_by_type": ["-total_gasto", "tipoDespesa"],
+    "spend_by_deputy": ["-total_gasto", "deputado_id"],
+    "spend_by_state": ["-total_gasto", "sigla_uf"],
+    "vote_patterns": ["-qtde_votos", "tipoVoto"],
+    "monthly_frequency": ["ano", "mes"],
+    "weekly_density_spine": ["ano", "semana"],
+    "top_participants": ["-qtde_frentes", "id_deputado"],
+    "supplier_ranking_name": ["-total_recebido", "nomeFornecedor"],
+}
+
+
+@pytest.mark.parametrize("name", ORDERS)
+def test_report_order(spark, name):
+    rows = registry.QUERIES[name](spark, SF).collect()
+    keys = [tuple(-r[c[1:]] if c[0] == "-" else r[c] for c in ORDERS[name]) for r in rows]
+    assert len(rows) > 1 and keys == sorted(keys)
+
+
+def test_outliers_by_size_of_their_score(spark):
+    rows = registry.QUERIES["expense_outliers"](spark, SF).collect()
+    keys = [(-abs(r["z_score"]), r["deputado_id"]) for r in rows]
+    assert len(rows) > 1 and keys == sorted(keys)
+
+
 def test_every_query_has_an_oracle():
     assert set(registry.QUERIES) == set(registry.SQL)
     assert set(E.queries()) >= set(registry.QUERIES)

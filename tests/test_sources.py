@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from civiclake.operators import quality
 from civiclake.schemas import BRONZE, DESPESAS, FRENTES_MEMBROS
 from civiclake.sinks import writers
+from civiclake.sinks.published import publish, read_published
 from civiclake.sources import envelope
 
 AS_OF = "2024-12-31 00:00:00"
@@ -164,6 +165,24 @@ def test_tables_bulk_and_predicates(spark, tmpdir_run):
     spark.sql("DROP TABLE IF EXISTS silver_cpis")
 
 
+def test_a_written_report_is_not_sorted_unless_it_is_cut(spark, tmpdir_run):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    per = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    ranked = per.orderBy(F.desc("count"), "k")
+    assert "Sort" in plan(ranked) and "Sort" not in plan(writers.arranged(ranked, rebalance=True))
+    assert "Sort" not in plan(writers.arranged(ranked, ["k"]))
+    assert "Sort" in plan(writers.arranged(ranked)), "asked for nothing"
+    top = writers.arranged(ranked.limit(2), rebalance=True)
+    assert "Sort" in plan(top)
+    path = os.path.join(tmpdir_run, "top")
+    assert writers.write_path(top, path, rebalance=True) == 2
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [0, 1]
+    # empty frames are counted too, and a published report has all its rows
+    assert writers.write_path(per.where("k > 7").orderBy("k"), os.path.join(tmpdir_run, "none"), rebalance=True) == 0
+    version = publish(ranked, os.path.join(tmpdir_run, "all"), rebalance=True)
+    assert version.total == 7 and read_published(spark, os.path.join(tmpdir_run, "all")).agg(F.sum("count")).first()[0] == 100
+
+
 def test_sink_observes_rows_and_comments(spark, tmpdir_run):
     df = spark.range(5).withColumn("ano", F.lit(2024)).withColumn("mes", (F.col("id") % 2).cast("int"))
     n = writers.write_path(df, os.path.join(tmpdir_run, "t"), partition_by=("ano", "mes"))
