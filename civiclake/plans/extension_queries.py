@@ -15,7 +15,7 @@ from civiclake.operators.joins import lookup_join
 from civiclake.plans import roles, runs
 from civiclake.plans.registry import CLM, DEP, LEV, MEM, SQL, VOT, _zsql, register, rnd, with_
 from civiclake.schemas import BronzeSpec
-from civiclake.session import shared_dir
+from civiclake.session import Scratch, materialize, shared_dir
 from civiclake.sinks.published import publish, read_published
 from civiclake.sources.tables import of_type
 
@@ -36,12 +36,14 @@ def q_expense_outliers_merged(spark: SparkSession, d: str) -> DataFrame:
 @register("alignment_front_cells", SQL["alignment_front"])
 def q_alignment_front_cells(spark: SparkSession, d: str) -> DataFrame:
     """G5 from cells stored per bucket of ballots: the later half of the ballots is added to those of the first."""
-    votes, mem, dep = roles.votes(spark, d), roles.memberships(spark, d), roles.deputies(spark, d)
-    path = shared_dir(spark, "cells")
+    votes, mem, dep = roles.votes(spark, d), roles.membership_rows(spark, d), roles.deputies(spark, d)
+    path, scratch = shared_dir(spark, "cells"), Scratch(spark)
+    mem = materialize(alignment.voter_memberships(votes, mem), "members", scratch)
     middle = votes.agg(F.percentile_approx(F.unix_date("idVotacao"), 0.5)).first()[0] or 0
     early = F.unix_date("idVotacao") <= middle
     alignment.store_cells(votes.where(early), mem, dep, path)
     alignment.store_cells(votes, mem, dep, path, ballots=votes.where(~early))
+    scratch.clear()  # the cells are written
     return rnd(alignment.alignment_of_cells(alignment.stored_cells(spark, path)), {"indice_alinhamento_medio": 6})
 
 
@@ -59,7 +61,7 @@ def q_alignment_front_cells(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_alignment_matrix_long(spark: SparkSession, d: str) -> DataFrame:
     """X4 in long form from additive cells (parties are an open set)."""
-    cells = alignment.alignment_cells(roles.votes(spark, d), roles.memberships(spark, d), roles.deputies(spark, d))
+    cells = alignment.alignment_cells(roles.votes(spark, d), roles.membership_rows(spark, d), roles.deputies(spark, d))
     return rnd(alignment.matrix_of_cells(cells), {"indice_alinhamento": 6})
 
 

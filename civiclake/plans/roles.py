@@ -80,12 +80,18 @@ def fronts(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("titulo"), F.upper("s_name").alias("titulo_padronizado"))
 
 
-def memberships(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct (idFrente, id): the map-side partial distinct keeps the shuffle small."""
+def membership_rows(spark: SparkSession, d: str) -> DataFrame:
+    """(idFrente, id) of each lineitem, repeats included, for operators that make memberships distinct
+    themselves: without a ``distinct`` below it, Catalyst takes their filter on deputies to the orders."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     j = lookup_join(li, o, "l_orderkey", "o_orderkey", ["o_custkey"], how="inner")
-    return j.select(F.col("l_suppkey").alias("idFrente"), F.col("o_custkey").alias("id")).distinct()
+    return j.select(F.col("l_suppkey").alias("idFrente"), F.col("o_custkey").alias("id"))
+
+
+def memberships(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (idFrente, id): the map-side partial distinct keeps the shuffle small."""
+    return membership_rows(spark, d).distinct()
 
 
 def votes(spark: SparkSession, d: str) -> DataFrame:

@@ -86,3 +86,70 @@ def test_only_voters_memberships_are_made_distinct(tables):
     semi = next(line for line in lines if "LeftSemi" in line)
     distinct = next(line for line in lines if "Aggregate [__dep" in line and "idFrente" in line)
     assert semi.index("Join") > distinct.index("Aggregate")
+
+
+# ---------------------------------------------------- the queries: memberships of voters, made distinct once
+@pytest.fixture()
+def role_tables(spark, tmpdir_run):
+    """Lineitems that repeat a membership, NULL keys, and deputies of whom few vote."""
+    rng = random.Random(5)
+    orders = [(o, None if o % 17 == 0 else o % 30) for o in range(90)]
+    items = [(rng.randrange(100), rng.choice([0, 1, 2, None])) for _ in range(400)] * 2
+    events = [(f"2024-01-0{rng.randint(1, 6)} 10:00:00", rng.choice([*range(6), None]), rng.choice(["view", "error", None])) for _ in range(300)]
+    rows = {
+        "orders": (orders, "o_orderkey long, o_custkey long"),
+        "lineitem": (items, "l_orderkey long, l_suppkey long"),
+        "customer": ([(c, f"c{c}", c % 3, ["BUILDING", "MACHINERY"][c % 2]) for c in range(30)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "nation": ([(n, f"n{n}", 0) for n in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmpdir_run}/{name}.parquet")
+    spark.createDataFrame(events, "ts string, user_id long, event_type string").selectExpr("cast(ts as timestamp_ntz) AS ts", "user_id", "event_type").write.parquet(f"{tmpdir_run}/events.parquet")
+    of = dict(orders)
+    votes = [(ts[:10], u, t) for ts, u, t in events]
+    return tmpdir_run, (votes, [(s, of.get(o)) for o, s in items], {c: ["BUILDING", "MACHINERY"][c % 2] for c in range(30)})
+
+
+def query_as(spark, name, d):
+    import __spark_entry__ as entry
+
+    return entry.queries()[name](spark, d)
+
+
+def rounded(ratios):
+    return {k: pytest.approx(v, abs=2e-6) for k, v in ratios.items()}
+
+
+def voters_meet_the_orders(spark, name, d):
+    """Without a broadcast, as at size: no distinct stands between the filter on voters and the orders."""
+    with_limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(query_as(spark, name, d), "optimizedPlan").splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_limit)
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    first = next(line for line in lines[semi:] if "Relation" in line)
+    return "o_custkey" in first
+
+
+def test_stored_cells_read_memberships_written_once(spark, role_tables, monkeypatch):
+    d, data = role_tables
+    seen, store = [], alignment.store_cells
+
+    def watched(votes, memberships, *args, **kw):
+        seen.append(memberships)
+        assert not [f for f in memberships.inputFiles() if "lineitem" in f or "orders" in f]
+        assert memberships.count() == len({(f, m) for f, m in data[1] if f is not None and m in {v[1] for v in data[0]} - {None}})
+        return store(votes, memberships, *args, **kw)
+
+    monkeypatch.setattr(alignment, "store_cells", watched)
+    got = {r[0]: r[1] for r in query_as(spark, "alignment_front_cells", d).collect()}
+    assert len(seen) == 2
+    assert got == rounded({f: r for (f, _), r in by_hand(*data, party=False).items()})
+
+
+def test_matrix_long_filters_orders_by_voters(spark, role_tables):
+    d, data = role_tables
+    assert voters_meet_the_orders(spark, "alignment_matrix_long", d)
+    assert {tuple(r)[:2]: r[2] for r in query_as(spark, "alignment_matrix_long", d).collect() if r[2] is not None} == rounded(by_hand(*data))
