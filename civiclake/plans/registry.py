@@ -177,7 +177,7 @@ def q_top_participants(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_alignment_front(spark: SparkSession, d: str) -> DataFrame:
     """Mean front/house option-share ratio per front."""
-    return rnd(alignment.relative_alignment(roles.votes(spark, d), roles.memberships(spark, d)), {"indice_alinhamento_medio": 6})
+    return rnd(alignment.relative_alignment(roles.votes(spark, d), roles.membership_rows(spark, d)), {"indice_alinhamento_medio": 6})
 
 
 @register(

@@ -153,3 +153,9 @@ def test_matrix_long_filters_orders_by_voters(spark, role_tables):
     d, data = role_tables
     assert voters_meet_the_orders(spark, "alignment_matrix_long", d)
     assert {tuple(r)[:2]: r[2] for r in query_as(spark, "alignment_matrix_long", d).collect() if r[2] is not None} == rounded(by_hand(*data))
+
+
+def test_front_filters_orders_by_voters(spark, role_tables):
+    d, data = role_tables
+    assert voters_meet_the_orders(spark, "alignment_front", d)
+    assert {r[0]: r[1] for r in query_as(spark, "alignment_front", d).collect()} == rounded({f: r for (f, _), r in by_hand(*data, party=False).items()})
