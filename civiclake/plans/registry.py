@@ -715,7 +715,7 @@ def q_front_atlas(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_alignment_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Front x party alignment with the house, pivoted by party."""
-    out = alignment.alignment_matrix(roles.votes(spark, d), roles.memberships(spark, d), roles.deputies(spark, d), PARTIES)
+    out = alignment.alignment_matrix(roles.votes(spark, d), roles.membership_rows(spark, d), roles.deputies(spark, d), PARTIES)
     return rnd(out, {p: 6 for p in PARTIES})
 
 

@@ -159,3 +159,10 @@ def test_front_filters_orders_by_voters(spark, role_tables):
     d, data = role_tables
     assert voters_meet_the_orders(spark, "alignment_front", d)
     assert {r[0]: r[1] for r in query_as(spark, "alignment_front", d).collect()} == rounded({f: r for (f, _), r in by_hand(*data, party=False).items()})
+
+
+def test_matrix_filters_orders_by_voters(spark, role_tables):
+    d, data = role_tables
+    assert voters_meet_the_orders(spark, "alignment_matrix", d)
+    got = {(r["id_frente"], p): r[p] for r in query_as(spark, "alignment_matrix", d).collect() for p in ("BUILDING", "MACHINERY") if r[p] is not None}
+    assert got == rounded(by_hand(*data))
